@@ -1,0 +1,99 @@
+"""Run every registered query in Spark and its DuckDB oracle side by side
+(row count, column names, order-insensitive value hash), like the driver."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import math
+import sys
+import time
+
+import duckdb
+import pandas as pd
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def norm_value(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return round(v, 6)
+    if hasattr(v, "isoformat"):
+        if hasattr(v, "hour") and (v.hour, v.minute, v.second, v.microsecond) == (0, 0, 0, 0):
+            return v.date().isoformat() if hasattr(v, "date") else v.isoformat()
+        if hasattr(v, "to_pydatetime"):
+            v = v.to_pydatetime()
+        return v.isoformat()
+    if isinstance(v, bytes):
+        return v.hex()
+    return v
+
+
+def frame_hash(df: pd.DataFrame) -> str:
+    cols = sorted(df.columns)
+    rows = [json.dumps([norm_value(r[c]) for c in cols], default=str, ensure_ascii=False) for r in
+            df[cols].to_dict("records")]
+    rows.sort()
+    return hashlib.sha256("\n".join(rows).encode()).hexdigest()[:16]
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def to_pandas_spark(df):
+    rows = df.collect()
+    return pd.DataFrame([r.asDict() for r in rows], columns=df.columns)
+
+
+def main(names: list[str], sf_dir: str = "/root/testdata/sf0.01") -> int:
+    sys.path.insert(0, "/root/repo")
+    import __spark_entry__ as E
+    from casework.session import get_session
+    spark = get_session("local[8]")
+    qs, oracle = E.queries(), E.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name in names or list(qs):
+        t = time.time()
+        try:
+            s = to_pandas_spark(qs[name](spark, sf_dir))
+        except Exception as e:  # noqa: BLE001
+            print(f"{name:32s} SPARK ERROR {type(e).__name__}: {str(e)[:400]}")
+            bad += 1
+            continue
+        ts = time.time() - t
+        if name not in oracle:
+            print(f"{name:32s} rows={len(s):7d} (no oracle) {ts:.1f}s")
+            continue
+        try:
+            o = con.execute(oracle[name]).df()
+        except Exception as e:  # noqa: BLE001
+            print(f"{name:32s} ORACLE ERROR {str(e)[:400]}")
+            bad += 1
+            continue
+        same_cols = sorted(s.columns) == sorted(o.columns)
+        hs = frame_hash(s) if same_cols else "-"
+        ho = frame_hash(o.astype(object).where(o.notna(), None)) if same_cols else "-"
+        ok = same_cols and len(s) == len(o) and hs == ho
+        bad += 0 if ok else 1
+        print(f"{name:32s} {'OK ' if ok else 'BAD'} rows={len(s)}/{len(o)} cols={'ok' if same_cols else (sorted(s.columns), sorted(o.columns))} "
+              f"hash={hs}/{ho} {ts:.1f}s")
+    return bad
+
+
+if __name__ == "__main__":
+    sf = "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--sf=")]
+    for a in sys.argv[1:]:
+        if a.startswith("--sf="):
+            sf = a[5:]
+    sys.exit(1 if main(args, sf) else 0)
