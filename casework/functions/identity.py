@@ -10,7 +10,7 @@ patterns instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions import rules
@@ -49,12 +49,15 @@ def _patterns(mode: str) -> tuple[str, str, str]:
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def categorize_id(raw: Column, mode: str = "parity") -> Column:
-    """F03 -> struct<category: string, reason: string>."""
-    foreign, not_given, symbols = _patterns(mode)
+def id_helpers(raw: Column) -> dict[str, Column]:
+    """Per-row intermediates of F03, to be projected once as columns."""
     s = strip_blanks(raw.cast("string"))
-    low = F.lower(s)
-    digits = F.regexp_replace(s, r"\D", "")
+    return {"_id_s": s, "_id_low": F.lower(s), "_id_digits": F.regexp_replace(s, r"\D", "")}
+
+
+def categorize_id_from(raw: Column, s: Column, low: Column, digits: Column, mode: str = "parity") -> Column:
+    """F03 over precomputed intermediates -> struct<category, reason>."""
+    foreign, not_given, symbols = _patterns(mode)
     nd = F.length(digits)
     distinct_letters = F.size(F.array_distinct(F.split(low, "")))
 
@@ -76,6 +79,24 @@ def categorize_id(raw: Column, mode: str = "parity") -> Column:
     )
 
 
+def categorize_id(raw: Column, mode: str = "parity") -> Column:
+    """F03 as a single Column expression (ad-hoc use; inside a pipeline use
+    ``with_id_category`` so the intermediates are computed once per row)."""
+    h = id_helpers(raw)
+    return categorize_id_from(raw, h["_id_s"], h["_id_low"], h["_id_digits"], mode)
+
+
+def with_id_category(df: DataFrame, src: str, out_cat: str, out_reason: str, mode: str = "parity") -> DataFrame:
+    """F03 as a DataFrame step: intermediates projected once, then the chain."""
+    h = id_helpers(F.col(src))
+    staged = df.select("*", *[v.alias(k) for k, v in h.items()])
+    cat = categorize_id_from(F.col(src), F.col("_id_s"), F.col("_id_low"), F.col("_id_digits"), mode)
+    return (staged.select("*", cat.alias("_id_cat"))
+                  .select(*[c for c in df.columns if c not in (out_cat, out_reason)],
+                          F.trim(F.col("_id_cat.category")).alias(out_cat),
+                          F.col("_id_cat.reason").alias(out_reason)))
+
+
 def is_valid_id(c: Column) -> Column:
     """length >= 6, not one repeated character, digits only once ``.``
     and ``-`` are removed, not in the invalid list.  Null -> false."""

@@ -41,9 +41,9 @@ def substring_tier(text: Column) -> Column:
     return expr
 
 
-def rule_category(text: Column) -> Column:
-    """C05 without the fuzzy tier: blank -> sin_match, tiers 0-2, else null."""
-    t = strip_blanks(text)
+def rule_category(t: Column) -> Column:
+    """C05 without the fuzzy tier over an already stripped text: blank ->
+    sin_match, tiers 0-2, else null."""
     return (F.when(t.isNull() | (t == ""), F.lit(rules.NO_MATCH))
             .otherwise(F.coalesce(exact_tier(t), substring_tier(t))))
 
@@ -58,23 +58,22 @@ def fuzzy_category(texts: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def fuzzy_table(df: DataFrame, text_col: str) -> DataFrame:
+def fuzzy_table(ruled: DataFrame) -> DataFrame:
     """Distinct texts unmatched by tiers 0-2 with their fuzzy category."""
-    t = strip_blanks(F.col(text_col))
-    return (df.select(t.alias("_fz_text"), rule_category(F.col(text_col)).alias("_rule"))
-            .filter(F.col("_rule").isNull())
-            .select("_fz_text").distinct()
-            .select("_fz_text", fuzzy_category("_fz_text").alias("_fz_cat")))
+    return (ruled.filter(F.col("_rule").isNull())
+                 .select(F.col("_t").alias("_fz_text")).distinct()
+                 .select("_fz_text", fuzzy_category("_fz_text").alias("_fz_cat")))
 
 
 def categorize(df: DataFrame, text_col: str = "texto_limpio", out_col: str = "categoria_final",
                fuzzy: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Tiers 0-3 over ``text_col`` (already cleaned by F02)."""
-    ruled = df.withColumn("_rule", rule_category(F.col(text_col)))
+    ruled = (df.select("*", strip_blanks(F.col(text_col)).alias("_t"))
+               .select("*", rule_category(F.col("_t")).alias("_rule")))
     if not fuzzy:
-        return ruled.withColumn(out_col, F.coalesce("_rule", F.lit(rules.NO_MATCH))).drop("_rule")
-    table, small = materialize_checked(fuzzy_table(df, text_col), max_broadcast_rows)
-    key = strip_blanks(F.col(text_col))
+        return ruled.withColumn(out_col, F.coalesce("_rule", F.lit(rules.NO_MATCH))).drop("_rule", "_t")
+    table, small = materialize_checked(fuzzy_table(ruled), max_broadcast_rows)
+    key = F.col("_t")
     if small:
         joined = ruled.join(F.broadcast(table), key == F.col("_fz_text"), "left")
     else:
@@ -82,7 +81,7 @@ def categorize(df: DataFrame, text_col: str = "texto_limpio", out_col: str = "ca
         rest = ruled.filter(F.col("_rule").isNull()).join(table, key == F.col("_fz_text"), "left")
         joined = matched.unionByName(rest, allowMissingColumns=True)
     return (joined.withColumn(out_col, F.coalesce("_rule", "_fz_cat", F.lit(rules.NO_MATCH)))
-            .drop("_rule", "_fz_text", "_fz_cat"))
+            .drop("_rule", "_t", "_fz_text", "_fz_cat"))
 
 
 def outcome_columns(df: DataFrame, fuzzy: bool = True, apply_placeholders: bool = True) -> DataFrame:
@@ -121,9 +120,8 @@ def remap_raw_outcomes(df: DataFrame, date_col: str = "fecha_inicio", col: str =
 def value_distribution(df: DataFrame, col: str, top: int | None = None) -> DataFrame:
     """Count per value with share of the total, descending;
     ``top`` keeps the head of the audit (the feature itself)."""
-    from pyspark.sql import Window
     counts = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = df.select(F.count(F.lit(1))).scalar()  # scalar subquery, no single-partition window
     out = counts.withColumn("share", F.round(F.col("n") / total, 6))
     if top is not None:
         out = out.orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(top)

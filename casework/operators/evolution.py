@@ -99,7 +99,8 @@ def appearances_by_name(batch: DataFrame, history: DataFrame, key: str = KEY) ->
         anon = F.col(key).isin(rules.ANONYMOUS_ID_LABELS)
         return df.withColumn(
             "_ckey",
-            F.when(anon, F.concat_ws("|", F.upper(F.trim("persona_nombre")), F.upper(F.trim("persona_apellido"))))
+            F.when(anon, F.concat(F.upper(F.trim("persona_nombre")), F.lit("|"),
+                                    F.upper(F.trim("persona_apellido"))))
              .otherwise(F.col(key)))\
             .withColumn("_ckind", F.when(anon, F.lit("name")).otherwise(F.lit("dni")))
 

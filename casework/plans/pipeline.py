@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casework.functions import rules
-from casework.functions.identity import categorize_id
+from casework.functions.identity import with_id_category
 from casework.functions.scalars import week_start
 from casework.functions.text import clean_name, strip_blanks
 from casework.operators.categorize import outcome_columns
@@ -40,13 +40,9 @@ def drop_internal_agencies(df: DataFrame, col: str = "agencia") -> DataFrame:
 
 def identity_columns(df: DataFrame, mode: str = "parity") -> DataFrame:
     """F03 + F01 on the person columns."""
-    cat = categorize_id(F.col("persona_dni"), mode)
-    return (df.withColumn("_dni", cat)
-              .withColumn("dni_categorizado", F.trim(F.col("_dni.category")))
-              .withColumn("dni_categorizado_motivo", F.col("_dni.reason"))
-              .drop("_dni")
-              .withColumn("persona_nombre", clean_name(F.col("persona_nombre")))
-              .withColumn("persona_apellido", clean_name(F.col("persona_apellido"))))
+    out = with_id_category(df, "persona_dni", "dni_categorizado", "dni_categorizado_motivo", mode)
+    return out.withColumns({"persona_nombre": clean_name(F.col("persona_nombre")),
+                            "persona_apellido": clean_name(F.col("persona_apellido"))})
 
 
 def clean_batch(raw: DataFrame, fuzzy: bool = True, id_mode: str = "parity", dedup: bool = True) -> DataFrame:

@@ -110,7 +110,8 @@ def hierarchy_counts(prepared: DataFrame) -> DataFrame:
     z, w, g, lv = "zone", WEEK, "grupo_manual", "nivel_norm"
     agg = (df.groupingSets([[z, w], [z, w, lv], [z, w, g], [z, w, g, lv], [w], [w, lv], [w, g], [w, g, lv]],
                            z, w, g, lv)
-             .agg(F.count(F.lit(1)).alias("n"), F.grouping_id(z, g, lv).alias("_gid")))
+             .agg(F.count(F.lit(1)).alias("n"),
+                  (F.grouping(z) * 4 + F.grouping(g) * 2 + F.grouping(lv)).alias("_gid")))
     gz = F.col("_gid").bitwiseAND(4) != 0
     gg = F.col("_gid").bitwiseAND(2) != 0
     gl = F.col("_gid").bitwiseAND(1) != 0
@@ -166,25 +167,19 @@ def kpi_table(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
                  cnt(auto & (F.col("_cls") == "Se contacta")).alias("se_contacta"),
                  cnt(auto & (F.col("_cls") == "No se contacta")).alias("no_se_contacta"),
                  cnt(auto & (F.col("_cls") == "Sin cubrir")).alias("sin_cubrir"),
-                 F.grouping_id("zone").alias("_gz"))
+                 F.grouping("zone").alias("_gz"))
             .withColumn("zone", F.when(F.col("_gz") == 1, F.lit("total")).otherwise(F.col("zone"))))
     weeks = last_weeks(base, n_weeks)
     sp = spine(weeks, zone=["c2", "c13", "c14", "zona1a", "resto", "total"])
     full = reindex_counts(agg.drop("_gz"), sp, [WEEK, "zone"], "total")
     for c in ["cis", "auto", "se_contacta", "no_se_contacta", "sin_cubrir"]:
         full = full.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
-    rows = F.array(
-        F.struct(F.lit(1).alias("ord"), F.lit(rules.KPI_ROWS[0]).alias("kpi"), F.col("total").alias("n"),
-                 F.lit(None).cast("int").alias("pct")),
-        F.struct(F.lit(2), F.lit(rules.KPI_ROWS[1]), F.col("cis"), F.lit(None).cast("int")),
-        F.struct(F.lit(3), F.lit(rules.KPI_ROWS[2]), F.col("auto"), F.lit(None).cast("int")),
-        F.struct(F.lit(4), F.lit(rules.KPI_ROWS[3]), F.col("se_contacta"),
-                 pct_of_total(F.col("se_contacta"), F.col("auto"))),
-        F.struct(F.lit(5), F.lit(rules.KPI_ROWS[4]), F.col("no_se_contacta"),
-                 pct_of_total(F.col("no_se_contacta"), F.col("auto"))),
-        F.struct(F.lit(6), F.lit(rules.KPI_ROWS[5]), F.col("sin_cubrir"),
-                 pct_of_total(F.col("sin_cubrir"), F.col("auto"))),
-    )
+    def row(ord_: int, label: str, n: str, pct: bool) -> Column:
+        p = pct_of_total(F.col(n), F.col("auto")) if pct else F.lit(None).cast("int")
+        return F.struct(F.lit(ord_).alias("ord"), F.lit(label).alias("kpi"), F.col(n).alias("n"), p.alias("pct"))
+    rows = F.array(row(1, rules.KPI_ROWS[0], "total", False), row(2, rules.KPI_ROWS[1], "cis", False),
+                   row(3, rules.KPI_ROWS[2], "auto", False), row(4, rules.KPI_ROWS[3], "se_contacta", True),
+                   row(5, rules.KPI_ROWS[4], "no_se_contacta", True), row(6, rules.KPI_ROWS[5], "sin_cubrir", True))
     out = full.select("zone", WEEK, F.inline(rows))
     cell = F.when(F.col("pct").isNull(), F.col("n").cast("string")).otherwise(
         F.format_string("%d%% (%d)", F.col("pct"), F.col("n").cast("int")))
@@ -280,7 +275,7 @@ def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) ->
     agg = (d.groupingSets([["zone", WEEK, "tipo", "kind", "clase"], ["zone", WEEK, "kind", "clase"],
                            [WEEK, "tipo", "kind", "clase"], [WEEK, "kind", "clase"]],
                           "zone", WEEK, "tipo", "kind", "clase")
-             .agg(F.count(F.lit(1)).alias("n"), F.grouping_id("zone", "tipo").alias("_g"))
+             .agg(F.count(F.lit(1)).alias("n"), (F.grouping("zone") * 2 + F.grouping("tipo")).alias("_g"))
              .withColumn("zone", F.when(F.col("_g").bitwiseAND(2) != 0, F.lit("todas")).otherwise(F.col("zone")))
              .withColumn("tipo", F.when(F.col("_g").bitwiseAND(1) != 0, F.lit("ALL")).otherwise(F.col("tipo")))
              .drop("_g"))

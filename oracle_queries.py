@@ -700,8 +700,8 @@ def _q_outcome_breakdown() -> str:
           wk AS {last_weeks_sql('z')},
           c AS (SELECT semana, {bucket('categoria_final')} AS bucket, count(*) AS n FROM z
                 WHERE semana >= (SELECT min(semana) FROM wk) AND nivel_contacto = 'Se contacta' GROUP BY ALL)
-          SELECT {lit(name)} AS zone, wk.semana, b.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS n
-          FROM wk CROSS JOIN {values_list('bucket', buckets)} b LEFT JOIN c ON wk.semana = c.semana AND b.bucket = c.bucket)""")
+          SELECT {lit(name)} AS zone, wk.semana, t.bucket, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+          FROM wk CROSS JOIN {values_list('bucket', buckets)} LEFT JOIN c ON wk.semana = c.semana AND t.bucket = c.bucket)""")
     return f"""WITH {labeled_ctes()},
   base AS {prepare_dashboard_cte('labeled')}
 {' UNION ALL '.join(parts)}"""

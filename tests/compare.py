@@ -10,6 +10,7 @@ import sys
 import time
 
 import duckdb
+import numpy as np
 import pandas as pd
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -19,9 +20,15 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def norm_value(v):
     if v is None:
         return None
+    if isinstance(v, np.generic):
+        v = v.item()
+    if v is pd.NaT:
+        return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if v.is_integer():
+            return int(v)
         return round(v, 6)
     if hasattr(v, "isoformat"):
         if hasattr(v, "hour") and (v.hour, v.minute, v.second, v.microsecond) == (0, 0, 0, 0):
