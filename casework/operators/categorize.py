@@ -59,9 +59,15 @@ def fuzzy_category(texts: pd.Series) -> pd.Series:
 
 
 def fuzzy_table(ruled: DataFrame) -> DataFrame:
-    """Distinct texts unmatched by tiers 0-2 with their fuzzy category."""
-    return (ruled.filter(F.col("_rule").isNull())
-                 .select(F.col("_t").alias("_fz_text")).distinct()
+    """Distinct texts unmatched by tiers 0-2 with their fuzzy category.
+
+    The tier result is carried through the distinct as an aggregate value so
+    that the "unmatched" filter stays above the aggregation: a filter on the
+    grouping key would be pushed down to every input row with the whole
+    text-cleaning expression inlined into each rule branch."""
+    return (ruled.groupBy(F.col("_t").alias("_fz_text"))
+                 .agg(F.any_value("_rule").alias("_r"))
+                 .filter(F.col("_r").isNull())
                  .select("_fz_text", fuzzy_category("_fz_text").alias("_fz_cat")))
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.functions import rules
-from casework.functions.identity import categorize_id, is_valid_id
+from casework.functions.identity import is_valid_id, with_id_category
 from casework.functions.scalars import (contact_and_data, contact_level, dashboard_contact_class,
                                         district_key, interview_class, manual_group, origin_group,
                                         outcome_bucket, report_level, week_start)
@@ -167,21 +167,19 @@ def q_clean_outcome_documents(spark, sf_dir):
 
 
 def q_dni_category(spark, sf_dir):
-    i = load_interventions(spark, sf_dir)
-    c = categorize_id(F.col("persona_dni"))
-    return i.select("_seq", c["category"].alias("dni_categorizado"), c["reason"].alias("dni_motivo"))
+    i = with_id_category(load_interventions(spark, sf_dir), "persona_dni", "dni_categorizado", "dni_motivo")
+    return i.select("_seq", "dni_categorizado", "dni_motivo")
 
 
 def q_dni_category_intended(spark, sf_dir):
-    i = load_interventions(spark, sf_dir)
-    c = categorize_id(F.col("persona_dni"), mode="intended")
-    return i.select("_seq", c["category"].alias("dni_categorizado"), c["reason"].alias("dni_motivo"))
+    i = with_id_category(load_interventions(spark, sf_dir), "persona_dni", "dni_categorizado", "dni_motivo",
+                         mode="intended")
+    return i.select("_seq", "dni_categorizado", "dni_motivo")
 
 
 def q_dni_valid(spark, sf_dir):
-    i = load_interventions(spark, sf_dir)
-    c = categorize_id(F.col("persona_dni"))["category"]
-    return i.select("_seq", c.alias("dni_categorizado"), is_valid_id(c).alias("valid"))
+    i = with_id_category(load_interventions(spark, sf_dir), "persona_dni", "dni_categorizado", "dni_motivo")
+    return i.select("_seq", "dni_categorizado", is_valid_id(F.col("dni_categorizado")).alias("valid"))
 
 
 def _distinct_texts(spark, sf_dir) -> DataFrame:
@@ -201,7 +199,8 @@ def q_category_fuzzy(spark, sf_dir):
 
 def q_category_levels(spark, sf_dir):
     i = cat.outcome_columns(load_interventions(spark, sf_dir), fuzzy=False)
-    c = categorize_id(F.col("persona_dni"))["category"]
+    i = with_id_category(i, "persona_dni", "_dni", "_dni_motivo")
+    c = F.col("_dni")
     return i.select("_seq", "cierre_texto", "texto_limpio", "categoria_final", "nivel_contacto", "contacto",
                     "brinda_datos", outcome_bucket(F.col("categoria_final")).alias("bucket"),
                     interview_class(F.col("categoria_final"), c).alias("entrevista"))
@@ -213,9 +212,8 @@ def q_value_remap_audit(spark, sf_dir):
 
 
 def q_value_distribution(spark, sf_dir):
-    i = load_interventions(spark, sf_dir)
-    c = categorize_id(F.col("persona_dni"))
-    return cat.value_distribution(i.select(c["reason"].alias("motivo")), "motivo")
+    i = with_id_category(load_interventions(spark, sf_dir), "persona_dni", "dni_categorizado", "motivo")
+    return cat.value_distribution(i.select("motivo"), "motivo")
 
 
 def q_geo_zone(spark, sf_dir):

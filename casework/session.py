@@ -24,6 +24,10 @@ LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
+    # Wide rule projections generate methods above HotSpot's 8 KB JIT limit;
+    # let the JIT compile them instead of interpreting them per row.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -117,8 +117,21 @@ def interventions_from_events(events: DataFrame) -> DataFrame:
     return events.selectExpr(*[f"{expr} AS {name}" for name, expr in INTERVENTION_COLUMNS])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    A scan yields one task per file split; a small file with a single row
+    group is one task, which would serialise every regex and rule chain on
+    one core.  Only then is the input round-robin repartitioned; a large
+    table already has far more splits than cores and is left untouched."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def load_interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
