@@ -26,7 +26,7 @@ from casework.operators import categorize as cat
 from casework.operators import dedup, evolution, geo, history
 from casework.plans import pipeline, reports
 from casework.sources import schema
-from casework.session import cut_lineage
+from casework.session import write_table
 from casework.sources.adapter import load_interventions, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +48,12 @@ _MEMO: dict[tuple[str, str, str], DataFrame] = {}
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
-        _MEMO[key] = cut_lineage(build())
+        import os
+        import time
+        t = time.time()
+        _MEMO[key] = write_table(build(), name)
+        if os.environ.get("CASEWORK_TRACE"):
+            print(f"materialized {name} in {time.time() - t:.2f}s", flush=True)
     return _MEMO[key]
 
 

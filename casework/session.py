@@ -63,5 +63,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Materialise ``df`` as a Parquet table under the shared checkpoint
+    folder and return a read of it: lineage is cut, and later readers get
+    columnar scans with column pruning and predicate pushdown (a reliable
+    RDD checkpoint would be row-serialised).  A fresh path per call, so a
+    plan never reads and overwrites the same files."""
+    import uuid
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
