@@ -158,12 +158,16 @@ def catchup_delta(history: DataFrame, snapshot: DataFrame, ts: str = TS) -> Data
 
 # -- write paths (S07, S08, S11, S12) ------------------------------------------
 
-def append_history(df: DataFrame, path: str, ts: str = TS) -> None:
+def append_history(df: DataFrame, path: str, ts: str = TS, max_records_per_file: int = 5_000_000) -> None:
     """Append, partitioned by Monday week, sorted by date inside
-    each file (L01)."""
+    each file (L01).  Every task writes its own files per week (no shuffle
+    by week: one week of a large history must not land in one task); the
+    local sort keeps one open writer per task and gives row-group date
+    statistics for pruning."""
     (df.withColumn("week", week_start(F.col(ts)))
-       .repartition("week").sortWithinPartitions(ts)
-       .write.mode("append").partitionBy("week").parquet(path))
+       .sortWithinPartitions("week", ts)
+       .write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy("week").parquet(path))
 
 
 def overwrite_partitions(df: DataFrame, path: str) -> None:

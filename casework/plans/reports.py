@@ -186,6 +186,23 @@ def kpi_table(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
     return out.select("zone", WEEK, "kpi", "n", "pct", cell.alias("cell"))
 
 
+# -- per-zone week axes ----------------------------------------------------------------
+
+def zone_tags(zones: dict[str, Column | None]) -> Column:
+    """Array of the zone names whose predicate holds (None = every row)."""
+    parts = [F.when(F.lit(True) if p is None else F.coalesce(p, F.lit(False)), F.lit(name))
+             for name, p in zones.items()]
+    return F.filter(F.array(*parts), lambda x: x.isNotNull())
+
+
+def top_weeks_per_zone(tagged: DataFrame, n: int) -> DataFrame:
+    """(zone, week) for the last ``n`` observed weeks of each zone: a window
+    over the distinct (zone, week) pairs (a handful of rows per zone)."""
+    w = Window.partitionBy("zone").orderBy(F.desc(WEEK))
+    return (tagged.select("zone", WEEK).distinct()
+                  .withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r"))
+
+
 # -- evolution per zone (R02, R07) ---------------------------------------------------
 
 def dni_evolution(base: DataFrame, zones: dict[str, Column | None], rest_zone: str | None,
@@ -194,30 +211,24 @@ def dni_evolution(base: DataFrame, zones: dict[str, Column | None], rest_zone: s
     ``n_weeks`` weeks.  ``zones`` maps a zone name to a row predicate (None =
     all rows); the week axis is the whole base's, except for ``rest_zone``
     whose axis comes from its own rows.  'Nuevo repetido' counts as 'Nuevos';
-    each (zone, week, id) keeps the label of its first row."""
+    each (zone, week, id) keeps the label of its first row.  One pass: rows
+    are exploded to their zone tags and aggregated once."""
     classes = ["Nuevos", "Recurrentes", "Migratorios"]
     label = F.when(F.col("tipo_evolucion") == "Nuevo repetido", F.lit("Nuevos")).otherwise(F.col("tipo_evolucion"))
-    zone_expr = None
-    for name, pred in zones.items():
-        cond = F.lit(True) if pred is None else F.coalesce(pred, F.lit(False))
-        zone_expr = F.when(cond, F.array(F.lit(name))).otherwise(F.array()) if zone_expr is None else \
-            F.concat(zone_expr, F.when(cond, F.array(F.lit(name))).otherwise(F.array()))
-    tagged = base.withColumn("_lab", label).withColumn("zone", F.explode(zone_expr))
-    per_id = (tagged.groupBy("zone", WEEK, "dni_categorizado")
+    all_tag = "__all__"
+    tagged = (base.withColumn("_lab", label)
+                  .withColumn("zone", F.explode(F.array_union(zone_tags(zones), F.array(F.lit(all_tag))))))
+    per_id = (tagged.filter(F.col("zone") != all_tag)
+                    .groupBy("zone", WEEK, "dni_categorizado")
                     .agg(F.min_by("_lab", F.struct("fecha_inicio", "_seq")).alias("_lab")))
     counts = (per_id.filter(F.col("_lab").isin(classes))
                     .groupBy("zone", WEEK).pivot("_lab", classes).count())
-    axes = []
-    all_weeks = last_weeks(base, n_weeks)
-    for name in zones:
-        if name == rest_zone:
-            rest_rows = tagged.filter(F.col("zone") == name)
-            axes.append(last_weeks(rest_rows, n_weeks).withColumn("zone", F.lit(name)))
-        else:
-            axes.append(all_weeks.withColumn("zone", F.lit(name)))
-    axis = axes[0]
-    for a in axes[1:]:
-        axis = axis.unionByName(a)
+    tops = top_weeks_per_zone(tagged.filter(F.col("zone").isin(all_tag, rest_zone or all_tag)), n_weeks)
+    shared = [z for z in zones if z != rest_zone]
+    axis = (tops.filter(F.col("zone") == all_tag)
+                .select(F.explode(F.array(*[F.lit(z) for z in shared])).alias("zone"), WEEK))
+    if rest_zone is not None:
+        axis = axis.unionByName(tops.filter(F.col("zone") == rest_zone))
     out = axis.join(counts, ["zone", WEEK], "left")
     return out.select("zone", WEEK, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c.lower())
                                        for c in classes])
@@ -243,18 +254,12 @@ def outcome_breakdown(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS, legacy
     source's stale bucket list (only the default bucket can be non-zero)."""
     buckets = rules.LEGACY_DASHBOARD_BUCKETS if legacy_names else \
         sorted(set(rules.BUCKET_BY_CATEGORY.values())) + [rules.BUCKET_DEFAULT]
-    zones = dashboard_zones()
-    out = None
-    for name, pred in zones.items():
-        rows = base if pred is None else base.filter(F.coalesce(pred, F.lit(False)))
-        wmin = first_of_last_weeks(rows, n_weeks)
-        counts = (rows.filter((F.col(WEEK) >= wmin) & (F.col("nivel_contacto") == "Se contacta"))
-                      .groupBy(WEEK, outcome_bucket(F.col("categoria_final")).alias("bucket"))
-                      .agg(F.count(F.lit(1)).alias("n")))
-        sp = spine(last_weeks(rows, n_weeks), bucket=buckets)
-        z = reindex_counts(counts, sp, [WEEK, "bucket"]).withColumn("zone", F.lit(name))
-        out = z if out is None else out.unionByName(z)
-    return out.select("zone", WEEK, "bucket", "n")
+    tagged = base.withColumn("zone", F.explode(zone_tags(dashboard_zones())))
+    counts = (tagged.filter(F.col("nivel_contacto") == "Se contacta")
+                    .groupBy("zone", WEEK, outcome_bucket(F.col("categoria_final")).alias("bucket"))
+                    .agg(F.count(F.lit(1)).alias("n")))
+    sp = spine(top_weeks_per_zone(tagged, n_weeks), bucket=buckets)
+    return reindex_counts(counts, sp, ["zone", WEEK, "bucket"]).select("zone", WEEK, "bucket", "n")
 
 
 def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
