@@ -77,10 +77,14 @@ def clean_outcome_text(c: Column) -> Column:
     return F.coalesce(s, F.lit(""))
 
 
+# The whitespace set of ``\s`` (space, tab, newline, vertical tab, form feed, CR).
+_BLANKS = " \t\n\x0b\f\r"
+
+
 def strip_blanks(c: Column) -> Column:
     """Trim leading/trailing whitespace of every kind (Spark ``trim``
-    only removes spaces)."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    only removes spaces); a character-set trim, no regex."""
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def placeholder_to_null(c: Column, placeholders: list[str]) -> Column:

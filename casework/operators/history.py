@@ -40,12 +40,20 @@ def table_stats(df: DataFrame, ts: str = TS) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
 
 
-def after_watermark(df: DataFrame, wm: Column | None, ts: str = TS) -> DataFrame:
-    """Strictly after the watermark; a null watermark keeps everything;
-    null dates are dropped when a watermark exists."""
+def after_watermark(df: DataFrame, wm: Column | None, ts: str = TS, known: DataFrame | None = None,
+                    key: list[str] | None = None) -> DataFrame:
+    """Strictly after the watermark; a null watermark keeps
+    everything; null dates are dropped when a watermark exists (parity:
+    late rows are lost).  With ``known`` (the history) and ``key``, rows at
+    or before the watermark whose key is absent from the history are kept
+    too (late-arrival mode, an anti join on the key)."""
     if wm is None:
         return df
-    return df.filter(wm.isNull() | (F.col(ts) > wm))
+    fresh = df.filter(wm.isNull() | (F.col(ts) > wm))
+    if known is None:
+        return fresh
+    late = df.filter(F.col(ts) <= wm).join(known.select(*key), key, "left_anti")
+    return fresh.unionByName(late)
 
 
 # -- as-of state (J01, J02) --------------------------------------------------
@@ -170,6 +178,11 @@ def append_history(df: DataFrame, path: str, ts: str = TS, max_records_per_file:
        .partitionBy("week").parquet(path))
 
 
+def append_raw(df: DataFrame, path: str, ts: str = TS) -> None:
+    """Bronze copy of the landing rows as received (before cleaning)."""
+    append_history(df, path, ts)
+
+
 def overwrite_partitions(df: DataFrame, path: str) -> None:
     """Rewrite only the week partitions present in ``df`` (dynamic partition
     overwrite).  ``df`` must not read from ``path``: stage it first."""

@@ -382,6 +382,42 @@ def q_union_by_name(spark, sf_dir):
     return prev.unionByName(new, allowMissingColumns=True)
 
 
+def q_reconcile_summary(spark, sf_dir):
+    """J04 count + A06: rows updated and distinct incidents closed."""
+    i, _, _ = split(spark, sf_dir)
+    ch, _ = cleaned(spark, sf_dir)
+    upd = history.reconcile_updates(reexport(i), ch, fuzzy=False)
+    out = history.reconcile_pending(ch, reexport(i), fuzzy=False)
+    n_rows = out.agg(F.count_if("_updated").alias("n_rows_updated"))
+    return n_rows.select("n_rows_updated", upd.select(F.count_distinct("id_suceso")).scalar().alias("n_incidents"))
+
+
+def q_snapshot_merge(spark, sf_dir):
+    """S09 + U01 + P15: an older snapshot without the categorised id column
+    merged with the new cleaned batch; blank ids are recomputed."""
+    ch, cb = cleaned(spark, sf_dir)
+    prev = ch.drop("dni_categorizado", "dni_categorizado_motivo")
+    return pipeline.snapshot_merge(prev, cb).select("_seq", "persona_dni", "dni_categorizado", "categoria_final")
+
+
+def q_report_week_range(spark, sf_dir):
+    """The weekly table restricted to [second, fourth] observed week."""
+    p = reports.prepare_weekly(labeled(spark, sf_dir))
+    weeks = p.select(reports.WEEK).distinct()
+    w2 = weeks.orderBy(reports.WEEK).limit(2).agg(F.max(reports.WEEK)).scalar()
+    w4 = weeks.orderBy(reports.WEEK).limit(4).agg(F.max(reports.WEEK)).scalar()
+    return reports.week_range(reports.hierarchy_counts(p), w2, w4)
+
+
+def q_late_arrivals(spark, sf_dir):
+    """Export rows after the watermark plus rows at/before it that the
+    history never received (anti join on the row key)."""
+    i, _, _ = split(spark, sf_dir)
+    ch, _ = cleaned(spark, sf_dir)
+    wm = history.watermark(ch).scalar()
+    return history.after_watermark(i, wm, known=ch, key=["_seq"]).select("_seq", "id_suceso", "fecha_inicio")
+
+
 def q_weekly_stream_counts(spark, sf_dir):
     from casework.streaming.incremental import weekly_counts_stream
     return weekly_counts_stream(spark, sf_dir)
@@ -434,4 +470,8 @@ QUERIES: dict[str, Query] = {
     "schema_align": q_schema_align,
     "union_by_name": q_union_by_name,
     "weekly_stream_counts": q_weekly_stream_counts,
+    "reconcile_summary": q_reconcile_summary,
+    "snapshot_merge": q_snapshot_merge,
+    "report_week_range": q_report_week_range,
+    "late_arrivals": q_late_arrivals,
 }

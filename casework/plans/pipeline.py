@@ -55,6 +55,32 @@ def clean_batch(raw: DataFrame, fuzzy: bool = True, id_mode: str = "parity", ded
     return outcome_columns(df, fuzzy=fuzzy)
 
 
+# FIXED VALUES: texts that count as a missing categorised id after a merge
+BLANK_ID_TEXTS = ["none", "nan", "<na>", "", "null"]
+
+
+def repair_blank_ids(df: DataFrame, mode: str = "parity") -> DataFrame:
+    """Rows whose categorised id is null or a blank marker get F03
+    recomputed from the raw id (the reason column is left as is)."""
+    blank = F.col("dni_categorizado").isNull() | \
+        F.lower(strip_blanks(F.col("dni_categorizado"))).isin(BLANK_ID_TEXTS)
+    staged = with_id_category(df.withColumn("_blank", blank), "persona_dni", "_dni_fix", "_dni_fix_reason", mode)
+    return (staged.withColumn("dni_categorizado",
+                              F.when(F.col("_blank"), F.col("_dni_fix")).otherwise(F.col("dni_categorizado")))
+                  .drop("_blank", "_dni_fix", "_dni_fix_reason"))
+
+
+def snapshot_merge(prev: DataFrame, new: DataFrame) -> DataFrame:
+    """S09 + U01 + P15: coerce the new rows to the snapshot's types, union by
+    name (missing columns -> null) and repair ids left blank by the merge."""
+    from casework.sources.schema import align_to_schema
+    coerced = align_to_schema(new, T.StructType([f for f in prev.schema.fields if f.name in new.columns]))
+    merged = prev.unionByName(coerced, allowMissingColumns=True)
+    if "dni_categorizado" not in merged.columns:
+        merged = merged.withColumn("dni_categorizado", F.lit(None).cast("string"))
+    return repair_blank_ids(merged)
+
+
 @dataclass
 class WeeklyResult:
     batch: DataFrame          # classified new rows (appended)

@@ -35,6 +35,11 @@ def first_of_last_weeks(df: DataFrame, n: int = rules.REPORT_WEEKS, week: str =
     return last_weeks(df, n, week).agg(F.min(week)).scalar()
 
 
+def week_range(df: DataFrame, start: Column, end: Column, week: str = WEEK) -> DataFrame:
+    """Keep weeks with start <= week <= end."""
+    return df.filter(F.col(week).between(start, end))
+
+
 def spine(weeks: DataFrame, **dims: list) -> DataFrame:
     """Week list x fixed label lists, by exploding literal arrays."""
     out = weeks
@@ -126,6 +131,18 @@ def hierarchy_counts(prepared: DataFrame) -> DataFrame:
     return out
 
 
+def display_order(row_type: Column, group: Column, level: Column) -> Column:
+    """Table order - total, its levels (fixed level order), then each
+    displayed group (fixed group order) followed by its levels."""
+    from casework.functions.scalars import lookup
+    li = lookup({v: i for i, v in enumerate(rules.LEVEL_ORDER)}, level)
+    gi = lookup({v: i for i, v in enumerate(rules.MANUAL_GROUP_ORDER)}, group)
+    return (F.when(row_type == "total", F.lit(0))
+             .when(row_type == "total_nivel", 1 + li)
+             .when(row_type == "grupo_origen", 10 + 10 * gi)
+             .otherwise(10 + 10 * gi + 1 + li))
+
+
 def hierarchy_with_pct(prepared: DataFrame) -> DataFrame:
     """each row's percent of its parent row (total for level/group rows,
     the group row for group x level rows), half-up."""
@@ -140,7 +157,8 @@ def hierarchy_with_pct(prepared: DataFrame) -> DataFrame:
                            & F.col("h._parent_key").eqNullSafe(F.col("p._parent_key")), "left")
     parent_n = F.when(F.col("h.row_type") == "total", F.lit(None)).otherwise(F.col("p._parent_n"))
     return hp.select("h.zone", f"h.{WEEK}", "h.row_type", "h.grupo", "h.nivel", "h.n",
-                     pct_of_parent(F.col("h.n"), parent_n).alias("pct"))
+                     pct_of_parent(F.col("h.n"), parent_n).alias("pct"),
+                     display_order(F.col("h.row_type"), F.col("h.grupo"), F.col("h.nivel")).alias("row_order"))
 
 
 # -- dashboard KPI table (R01, F19, F20) -------------------------------------------

@@ -639,6 +639,65 @@ SELECT zone, semana, kpi, n, pct,
 FROM r"""
 
 
+def level_idx(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN {lit(v)} THEN {i}" for i, v in enumerate(rules.LEVEL_ORDER)) + " END"
+
+
+def group_idx(x: str) -> str:
+    return "CASE " + x + " " + " ".join(f"WHEN {lit(v)} THEN {i}" for i, v in enumerate(rules.MANUAL_GROUP_ORDER)) + " END"
+
+
+def hierarchy_base_sql() -> str:
+    return f"""p AS (SELECT *, {report_zone('comuna_key')} AS zone FROM {prepare_weekly_cte('labeled')}),
+  a AS (SELECT zone, semana, grupo_manual, nivel_norm, count(*) AS n, GROUPING(zone, grupo_manual, nivel_norm) AS gid
+        FROM p GROUP BY GROUPING SETS ((zone, semana), (zone, semana, nivel_norm), (zone, semana, grupo_manual),
+                                       (zone, semana, grupo_manual, nivel_norm), (semana), (semana, nivel_norm),
+                                       (semana, grupo_manual), (semana, grupo_manual, nivel_norm))),
+  h AS (SELECT CASE WHEN gid & 4 <> 0 THEN 'todas' ELSE zone END AS zone, semana,
+               CASE WHEN gid & 3 = 3 THEN 'total' WHEN gid & 2 <> 0 THEN 'total_nivel'
+                    WHEN gid & 1 <> 0 THEN 'grupo_origen' ELSE 'grupo_origen_nivel' END AS row_type,
+               CASE WHEN gid & 2 <> 0 THEN NULL ELSE grupo_manual END AS grupo,
+               CASE WHEN gid & 1 <> 0 THEN NULL ELSE nivel_norm END AS nivel, CAST(n AS BIGINT) AS n
+        FROM a),
+  hf AS (SELECT * FROM h WHERE grupo IS NULL OR grupo IN {in_list(rules.MANUAL_GROUP_ORDER)})"""
+
+
+def _q_report_week_range() -> str:
+    return f"""WITH {labeled_ctes()},
+  {hierarchy_base_sql()},
+  wk AS (SELECT DISTINCT semana FROM p),
+  b AS (SELECT (SELECT max(semana) FROM (SELECT semana FROM wk ORDER BY semana LIMIT 2)) AS w2,
+               (SELECT max(semana) FROM (SELECT semana FROM wk ORDER BY semana LIMIT 4)) AS w4)
+SELECT zone, semana, row_type, grupo, nivel, n FROM hf
+WHERE semana BETWEEN (SELECT w2 FROM b) AND (SELECT w4 FROM b)"""
+
+
+def _q_reconcile_summary() -> str:
+    body = _q_reconcile_pending()
+    head, _, _ = body.rpartition("SELECT _seq, id_suceso,")
+    return f"""{head}SELECT CAST(count(*) FILTER (WHERE _upd) AS BIGINT) AS n_rows_updated,
+       (SELECT CAST(count(DISTINCT u_id) AS BIGINT) FROM u) AS n_incidents FROM j"""
+
+
+def _q_snapshot_merge() -> str:
+    cat, _ = id_parts("persona_dni")
+    blank = f"(dni_categorizado IS NULL OR lower({strip_blanks('dni_categorizado')}) IN ('none', 'nan', '<na>', '', 'null'))"
+    return f"""WITH {clean_ctes()},
+  m AS (SELECT _seq, persona_dni, CAST(NULL AS VARCHAR) AS dni_categorizado, categoria_final FROM ch
+        UNION ALL SELECT _seq, persona_dni, dni_categorizado, categoria_final FROM cb)
+SELECT _seq, persona_dni, CASE WHEN {blank} THEN trim({cat}) ELSE dni_categorizado END AS dni_categorizado,
+       categoria_final FROM m"""
+
+
+def _q_late_arrivals() -> str:
+    return f"""WITH {clean_ctes()},
+  wm AS (SELECT max(fecha_inicio) AS w FROM ch)
+SELECT _seq, id_suceso, fecha_inicio FROM interventions WHERE fecha_inicio > (SELECT w FROM wm)
+UNION ALL
+SELECT _seq, id_suceso, fecha_inicio FROM interventions
+WHERE fecha_inicio <= (SELECT w FROM wm) AND _seq NOT IN (SELECT _seq FROM ch)"""
+
+
 def _q_hierarchy_counts() -> str:
     return f"""WITH {labeled_ctes()},
   p AS (SELECT *, {report_zone('comuna_key')} AS zone FROM {prepare_weekly_cte('labeled')}),
@@ -653,11 +712,15 @@ def _q_hierarchy_counts() -> str:
                CASE WHEN gid & 1 <> 0 THEN NULL ELSE nivel_norm END AS nivel, CAST(n AS BIGINT) AS n
         FROM a),
   hf AS (SELECT * FROM h WHERE grupo IS NULL OR grupo IN {in_list(rules.MANUAL_GROUP_ORDER)}),
+  hr AS (SELECT *, CASE WHEN row_type = 'total' THEN 0 WHEN row_type = 'total_nivel' THEN 1 + {level_idx('nivel')}
+                        WHEN row_type = 'grupo_origen' THEN 10 + 10 * {group_idx('grupo')}
+                        ELSE 10 + 10 * {group_idx('grupo')} + 1 + {level_idx('nivel')} END AS row_order FROM hf),
   par AS (SELECT zone, semana, grupo AS pk, n AS pn FROM hf WHERE row_type IN ('total', 'grupo_origen'))
 SELECT hf.zone, hf.semana, hf.row_type, hf.grupo, hf.nivel, hf.n,
        CASE WHEN hf.row_type = 'total' OR hf.n = 0 OR par.pn IS NULL OR par.pn = 0 THEN NULL
-            ELSE CAST(floor(CAST(hf.n AS DOUBLE) * 100.0 / par.pn + 0.5) AS INTEGER) END AS pct
-FROM hf LEFT JOIN par ON hf.zone = par.zone AND hf.semana = par.semana
+            ELSE CAST(floor(CAST(hf.n AS DOUBLE) * 100.0 / par.pn + 0.5) AS INTEGER) END AS pct,
+       hf.row_order
+FROM hr hf LEFT JOIN par ON hf.zone = par.zone AND hf.semana = par.semana
   AND (CASE WHEN hf.row_type = 'grupo_origen_nivel' THEN hf.grupo END) IS NOT DISTINCT FROM par.pk"""
 
 
@@ -822,4 +885,8 @@ ORACLE: dict[str, str] = {
     "schema_align": _q_schema_align(),
     "union_by_name": _q_union_by_name(),
     "weekly_stream_counts": _q_weekly_stream_counts(),
+    "reconcile_summary": _q_reconcile_summary(),
+    "snapshot_merge": _q_snapshot_merge(),
+    "report_week_range": _q_report_week_range(),
+    "late_arrivals": _q_late_arrivals(),
 }
