@@ -54,25 +54,63 @@ def label_weeks(weekly: DataFrame, state: DataFrame, key: str = KEY) -> DataFram
 def classify_batch(batch: DataFrame, history: DataFrame, key: str = KEY, district: str = DISTRICT,
                    ts: str = TS, seq: str = SEQ, bound: str = "day",
                    with_appearances: bool = True) -> DataFrame:
-    """W04-W07 (+A04): adds ``tipo_evolucion`` (and ``apariciones``) to the batch.
+    """W04-W07 (+A04): adds ``tipo_evolucion`` (and ``apariciones``) to the
+    batch, deriving the carried state from the full history table.
 
     ``bound='day'`` keeps the source's truncation of the state bound to the
     calendar day of the batch minimum; ``'exact'`` uses the timestamp."""
-    b = batch.withColumn("_week", week_start(F.col(ts))).withColumn("_valid", is_valid_id(F.col(key)))
-    valid = b.filter("_valid")
-    invalid = b.filter(~F.col("_valid"))
-
+    b = batch.withColumn("_valid", is_valid_id(F.col(key)))
+    keys = b.filter("_valid").select(key).distinct()
     batch_min = batch.select(F.min(ts)).scalar()
     bound_col = day_bound(batch_min) if bound == "day" else batch_min
-    keys = valid.select(key).distinct()
-    state = last_state_asof(history.join(keys, key, "left_semi"), bound_col, key, district, ts, seq)
-
+    hist = history.join(keys, key, "left_semi")
+    state = last_state_asof(hist, bound_col, key, district, ts, seq)
+    counts = semi_join_counts(history, keys, key) if with_appearances else None
+    return _label_batch(b, state, counts, key, district, ts, seq)
+
+
+def classify_batch_with_state(batch: DataFrame, person_state: DataFrame, key: str = KEY,
+                              district: str = DISTRICT, ts: str = TS, seq: str = SEQ) -> DataFrame:
+    """Same labels from the compact person-state table (one row per id:
+    last district, last (ts, seq), row count) instead of re-aggregating the
+    whole history every run.  Equal to ``classify_batch`` whenever the batch
+    starts on a later calendar day than the state's last row (batches cut at
+    week or day boundaries)."""
+    b = batch.withColumn("_valid", is_valid_id(F.col(key)))
+    keys = b.filter("_valid").select(key).distinct()
+    st = person_state.join(keys, key, "left_semi")
+    state = st.select(key, F.col("last_" + district))
+    counts = st.select(key, F.col("n_rows").alias("n_hist"))
+    return _label_batch(b, state, counts, key, district, ts, seq)
+
+
+def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: str = KEY,
+                        district: str = DISTRICT, ts: str = TS, seq: str = SEQ) -> DataFrame:
+    """Merge a batch into the person-state table: latest district by
+    (ts, seq), latest (ts, seq), row count.  One aggregation over the state
+    plus the batch (map-side combined), never over the history."""
+    new = (rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+               .groupBy(key).agg(F.max_by(F.col(district), F.struct(ts, seq)).alias("last_" + district),
+                                 F.max(F.struct(ts, seq)).alias("last_at"),
+                                 F.count(F.lit(1)).alias("n_rows")))
+    if person_state is None:
+        return new
+    both = person_state.select(key, "last_" + district, "last_at", "n_rows").unionByName(new)
+    return both.groupBy(key).agg(F.max_by(F.col("last_" + district), F.col("last_at")).alias("last_" + district),
+                                 F.max("last_at").alias("last_at"),
+                                 F.sum("n_rows").alias("n_rows"))
+
+
+def _label_batch(b: DataFrame, state: DataFrame, hist_counts: DataFrame | None, key: str, district: str,
+                 ts: str, seq: str) -> DataFrame:
+    b = b.withColumn("_week", week_start(F.col(ts)))
+    valid = b.filter("_valid")
+    invalid = b.filter(~F.col("_valid"))
     weekly = weekly_reference(valid, key, district, ts, seq)
     labels = label_weeks(weekly, state, key).join(weekly.select(key, "_week", "_first"), [key, "_week"])
-    if with_appearances:
+    if hist_counts is not None:
         # History count (all history, no date bound) + batch count
         batch_counts = weekly.groupBy(key).agg(F.sum("_n_week").alias("_n_batch"))
-        hist_counts = semi_join_counts(history, keys, key)
         counts = (batch_counts.join(hist_counts, key, "left")
                   .select(key, (F.col("_n_batch") + F.coalesce("n_hist", F.lit(0))).alias("apariciones")))
         labels = labels.join(counts, key)
@@ -83,7 +121,7 @@ def classify_batch(batch: DataFrame, history: DataFrame, key: str = KEY, distric
         "tipo_evolucion",
         F.when((F.col("_label") == "Nuevos") & ~is_first, F.lit("Nuevo repetido")).otherwise(F.col("_label")))
     out_invalid = invalid.withColumn("tipo_evolucion", F.lit("No clasificable"))
-    if with_appearances:
+    if hist_counts is not None:
         out_valid = out_valid.withColumn("apariciones", F.col("apariciones").cast("bigint"))
         out_invalid = out_invalid.withColumn("apariciones", F.lit(0).cast("bigint"))
     drop = ["_week", "_valid", "_label", "_first"]

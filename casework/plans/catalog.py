@@ -241,6 +241,17 @@ def q_evolution_labels(spark, sf_dir):
                                          "apariciones")
 
 
+def q_evolution_labels_state(spark, sf_dir):
+    """The flagship through the compact person-state path (state merged
+    after the first run, second run labelled from it)."""
+    ch, cb = cleaned(spark, sf_dir)
+    first_load = evolution.classify_batch(ch, ch.filter(F.lit(False)))
+    state = evolution.update_person_state(None, ch)
+    second = evolution.classify_batch_with_state(cb, state)
+    return first_load.unionByName(second).select("_seq", "dni_categorizado", "comuna_calculada",
+                                                 "tipo_evolucion", "apariciones")
+
+
 def q_appearance_summary(spark, sf_dir):
     ch, cb = cleaned(spark, sf_dir)
     b = evolution.classify_batch(cb, ch)
@@ -449,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "asof_last_state": q_asof_last_state,
     "last_state_row_number": q_last_state_row_number,
     "evolution_labels": q_evolution_labels,
+    "evolution_labels_state": q_evolution_labels_state,
     "appearance_summary": q_appearance_summary,
     "semi_join_counts": q_semi_join_counts,
     "appearances_composite_key": q_appearances_composite_key,

@@ -20,7 +20,7 @@ from casework.functions.scalars import week_start
 from casework.functions.text import clean_name, strip_blanks
 from casework.operators.categorize import outcome_columns
 from casework.operators.dedup import drop_exact_duplicates
-from casework.operators.evolution import classify_batch
+from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
 from casework.operators.geo import assign_zone
 from casework.operators.history import (after_watermark, append_history, overwrite_partitions,
                                         reconcile_pending)
@@ -86,21 +86,32 @@ class WeeklyResult:
     batch: DataFrame          # classified new rows (appended)
     history: DataFrame        # history after reconcile
     n_reconciled: int
+    person_state: DataFrame | None = None   # merged state when the state path is used
 
 
 def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None = None,
-               wm: Column | None = None, fuzzy: bool = True) -> WeeklyResult:
+               wm: Column | None = None, fuzzy: bool = True,
+               person_state: DataFrame | None = None) -> WeeklyResult:
     """T01 end to end.  ``history`` must be a *staged* read when the result is
-    written back to ``history_path`` (never read and overwrite one path)."""
+    written back to ``history_path`` (never read and overwrite one path).
+    With ``person_state`` the evolution labels and appearance counts come
+    from the compact per-person table instead of two aggregations over the
+    whole history; the merged state is returned for the caller to write."""
     reconciled = cut_lineage(reconcile_pending(history, export, fuzzy=fuzzy))
     n = reconciled.filter("_updated").count()
     new_rows = after_watermark(export, wm)
     cleaned = cut_lineage(clean_batch(new_rows, fuzzy=fuzzy))
-    classified = classify_batch(cleaned, reconciled.drop("_updated"))
+    new_state = None
+    if person_state is not None:
+        classified = classify_batch_with_state(cleaned, person_state)
+        new_state = update_person_state(person_state, cleaned)
+    else:
+        classified = classify_batch(cleaned, reconciled.drop("_updated"))
     if history_path is not None:
         touched = reconciled.filter("_updated").select(week_start(F.col("fecha_inicio")).alias("week")).distinct()
         rewrite = (reconciled.drop("_updated").withColumn("week", week_start(F.col("fecha_inicio")))
                    .join(touched, "week", "left_semi"))
         overwrite_partitions(rewrite, history_path)
         append_history(classified, history_path)
-    return WeeklyResult(batch=classified, history=reconciled.drop("_updated"), n_reconciled=n)
+    return WeeklyResult(batch=classified, history=reconciled.drop("_updated"), n_reconciled=n,
+                        person_state=new_state)

@@ -864,6 +864,7 @@ ORACLE: dict[str, str] = {
     "asof_last_state": _q_asof_last_state(),
     "last_state_row_number": _q_last_state_row_number(),
     "evolution_labels": _q_evolution_labels(),
+    "evolution_labels_state": _q_evolution_labels(),
     "appearance_summary": _q_appearance_summary(),
     "semi_join_counts": _q_semi_join_counts(),
     "appearances_composite_key": _q_appearances_composite_key(),

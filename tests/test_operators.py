@@ -100,3 +100,27 @@ def test_asof_state_day_bound(spark):
     bound = history.day_bound(F.lit(dt.datetime(2024, 1, 2, 20)).cast("timestamp_ntz"))
     assert history.last_state_asof(h, bound).first().last_comuna_calculada == 1.0
     assert history.last_state_legacy(h).first().last_comuna_calculada == 3.0  # null date sorts first under DESC
+
+
+def test_person_state_path_equals_history_path(spark):
+    schema = "dni_categorizado string, comuna_calculada double, fecha_inicio timestamp_ntz, _seq long"
+    rows = [("3000000%d" % (i % 7), None if i % 11 == 0 else float(i % 4), _ts(i * 13), i) for i in range(120)]
+    df = spark.createDataFrame(rows, schema)
+    cut1, cut2 = dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15)
+    b1 = df.filter(F.col("fecha_inicio") < cut1)
+    b2 = df.filter((F.col("fecha_inicio") >= cut1) & (F.col("fecha_inicio") < cut2))
+    b3 = df.filter(F.col("fecha_inicio") >= cut2)
+    empty = df.filter(F.lit(False))
+    # path 1: full history each run
+    h1 = evolution.classify_batch(b1, empty)
+    h2 = evolution.classify_batch(b2, b1)
+    h3 = evolution.classify_batch(b3, b1.unionByName(b2))
+    want = {r._seq: (r.tipo_evolucion, r.apariciones) for d in (h1, h2, h3) for r in d.collect()}
+    # path 2: compact person state merged after each run
+    s1 = evolution.update_person_state(None, b1)
+    g2 = evolution.classify_batch_with_state(b2, s1)
+    s2 = evolution.update_person_state(s1, b2)
+    g3 = evolution.classify_batch_with_state(b3, s2)
+    got = {r._seq: (r.tipo_evolucion, r.apariciones) for d in (h1, g2, g3) for r in d.collect()}
+    assert got == want
+    assert evolution.update_person_state(s2, b3).count() == 7
