@@ -341,6 +341,10 @@ def q_contact_breakdown(spark, sf_dir):
     return reports.contact_breakdown(reports.prepare_weekly(labeled(spark, sf_dir)))
 
 
+def q_contact_breakdown_dashboard(spark, sf_dir):
+    return reports.contact_breakdown_dashboard(reports.prepare_dashboard(labeled(spark, sf_dir)))
+
+
 def q_outcome_breakdown(spark, sf_dir):
     return reports.outcome_breakdown(reports.prepare_dashboard(labeled(spark, sf_dir)))
 
@@ -474,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "kpi_table": q_kpi_table,
     "hierarchy_counts": q_hierarchy_counts,
     "contact_breakdown": q_contact_breakdown,
+    "contact_breakdown_dashboard": q_contact_breakdown_dashboard,
     "outcome_breakdown": q_outcome_breakdown,
     "evolution_weekly": q_evolution_weekly,
     "evolution_report": q_evolution_report,

@@ -305,6 +305,27 @@ def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) ->
     return agg.select("zone", WEEK, "tipo", "kind", "clase", F.col("n").cast("bigint").alias("n"))
 
 
+def contact_breakdown_dashboard(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
+    """R04 (dashboard copy): contacted rows by interview and outcome class per
+    card type (compared exactly, no trim/upper) and week of the base's last
+    weeks; city-wide, no zones."""
+    wmin = first_of_last_weeks(base, n_weeks)
+    d = (base.filter((F.col(WEEK) >= wmin) & (F.col("nivel_contacto") == "Se contacta")
+                     & F.col("tipo_carta").isin("AUTOMATICA", "MANUAL"))
+             .withColumn("_pair", F.explode(F.array(
+                 F.struct(F.lit("entrevista").alias("kind"),
+                          interview_class(F.col("categoria_final"), F.col("dni_categorizado")).alias("clase")),
+                 F.struct(F.lit("resultado").alias("kind"), outcome_bucket(F.col("categoria_final")).alias("clase")))))
+             .select(WEEK, F.col("tipo_carta").alias("tipo"), "_pair.kind", "_pair.clase"))
+    counts = d.groupBy(WEEK, "tipo", "kind", "clase").agg(F.count(F.lit(1)).alias("n"))
+    sp = (spine(last_weeks(base, n_weeks), tipo=["AUTOMATICA", "MANUAL"])
+          .withColumn("_kc", F.explode(F.array(
+              *[F.struct(F.lit("entrevista").alias("kind"), F.lit(c).alias("clase")) for c in rules.INTERVIEW_CLASSES],
+              *[F.struct(F.lit("resultado").alias("kind"), F.lit(c).alias("clase")) for c in rules.OUTCOME_CLASSES])))
+          .select(WEEK, "tipo", "_kc.kind", "_kc.clase"))
+    return reindex_counts(counts, sp, [WEEK, "tipo", "kind", "clase"]).select(WEEK, "tipo", "kind", "clase", "n")
+
+
 # -- JSON payload (R08) --------------------------------------------------------------
 
 def chart_payload(evolution: DataFrame) -> DataFrame:

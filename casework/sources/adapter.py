@@ -124,10 +124,12 @@ def spread(df: DataFrame) -> DataFrame:
     group is one task, which would serialise every regex and rule chain on
     one core.  Only then is the input round-robin repartitioned; a large
     table already has far more splits than cores and is left untouched."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): keep the scan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -742,6 +742,24 @@ FROM xf GROUP BY GROUPING SETS ((zone, semana, tipo, kind, clase), (zone, semana
                                 (semana, tipo, kind, clase), (semana, kind, clase))"""
 
 
+def _q_contact_breakdown_dashboard() -> str:
+    kc = " UNION ALL ".join([f"SELECT 'entrevista' AS kind, {lit(c)} AS clase" for c in rules.INTERVIEW_CLASSES] +
+                            [f"SELECT 'resultado', {lit(c)}" for c in rules.OUTCOME_CLASSES])
+    return f"""WITH {labeled_ctes()},
+  base AS {prepare_dashboard_cte('labeled')},
+  wk AS {last_weeks_sql('base')},
+  d AS (SELECT semana, tipo_carta AS tipo, {interview('categoria_final', 'dni_categorizado')} AS ent,
+               {bucket('categoria_final')} AS res
+        FROM base WHERE semana >= (SELECT min(semana) FROM wk) AND nivel_contacto = 'Se contacta'
+          AND tipo_carta IN ('AUTOMATICA', 'MANUAL')),
+  x AS (SELECT semana, tipo, 'entrevista' AS kind, ent AS clase FROM d
+        UNION ALL SELECT semana, tipo, 'resultado', res FROM d),
+  c AS (SELECT semana, tipo, kind, clase, count(*) AS n FROM x GROUP BY ALL),
+  sp AS (SELECT wk.semana, t.tipo, k.kind, k.clase FROM wk, {values_list('tipo', ['AUTOMATICA', 'MANUAL'])}, ({kc}) k)
+SELECT sp.semana, sp.tipo, sp.kind, sp.clase, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM sp LEFT JOIN c USING (semana, tipo, kind, clase)"""
+
+
 def _dashboard_zone_preds() -> dict[str, str | None]:
     d = "comuna_calculada"
     return {"c2": f"{d} = 2", "c13": f"{d} = 13", "c14": f"{d} = 14", "zona1a": f"{d} = 1.5",
@@ -878,6 +896,7 @@ ORACLE: dict[str, str] = {
     "kpi_table": _q_kpi_table(),
     "hierarchy_counts": _q_hierarchy_counts(),
     "contact_breakdown": _q_contact_breakdown(),
+    "contact_breakdown_dashboard": _q_contact_breakdown_dashboard(),
     "outcome_breakdown": _q_outcome_breakdown(),
     "evolution_weekly": _q_evolution_weekly(),
     "evolution_report": _q_evolution_report(),
