@@ -64,11 +64,15 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Cleaned history and batch (tiers 0-2), materialised."""
-    def build(part: int) -> Callable[[], DataFrame]:
-        return lambda: pipeline.clean_batch(split(spark, sf_dir)[part], fuzzy=False)
-    return (materialized(spark, sf_dir, "clean_history", build(1)),
-            materialized(spark, sf_dir, "clean_batch", build(2)))
+    """Cleaned history and batch (tiers 0-2).  Cleaning is row-wise apart
+    from the exact-duplicate step, and exact duplicates share their date, so
+    cleaning everything once and splitting at the cutoff equals cleaning the
+    two parts separately; the cleaned table is materialised once and both
+    parts are pruned reads of it."""
+    i = load_interventions(spark, sf_dir)
+    bs = batch_start(i)
+    allc = materialized(spark, sf_dir, "clean_all", lambda: pipeline.clean_batch(i, fuzzy=False))
+    return allc.filter(F.col("fecha_inicio") < bs), allc.filter(F.col("fecha_inicio") >= bs)
 
 
 def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
