@@ -394,6 +394,15 @@ def q_schema_align(spark, sf_dir):
                           "agencia", "resultado", "cierre_supervisor")
 
 
+def q_legacy_headers(spark, sf_dir):
+    """S04 + S15: a legacy export with Title Case headers is brought back to
+    the canonical snake_case names in one projection."""
+    i = load_interventions(spark, sf_dir).drop("_seq").withColumn("_seq", F.col("id_suceso"))
+    legacy = i.toDF(*[schema.title_case(c) if c != "_seq" else c for c in i.columns])
+    canon = schema.canonical_headers(legacy)
+    return canon.select("id_suceso", "fecha_inicio", "persona_dni", "tipo_carta", "cierre_supervisor")
+
+
 def q_union_by_name(spark, sf_dir):
     ch, cb = cleaned(spark, sf_dir)
     prev = ch.select("_seq", "id_suceso", "fecha_inicio", "categoria_final")
@@ -490,6 +499,7 @@ QUERIES: dict[str, Query] = {
     "batch_quality": q_batch_quality,
     "schema_align": q_schema_align,
     "union_by_name": q_union_by_name,
+    "legacy_headers": q_legacy_headers,
     "weekly_stream_counts": q_weekly_stream_counts,
     "reconcile_summary": q_reconcile_summary,
     "snapshot_merge": q_snapshot_merge,

@@ -845,6 +845,11 @@ SELECT _seq, id_suceso, fecha_inicio, persona_dni, persona_nombre, latitud, CAST
        resultado, cierre_supervisor FROM interventions"""
 
 
+def _q_legacy_headers() -> str:
+    return f"""WITH {base_ctes()}
+SELECT id_suceso, fecha_inicio, persona_dni, tipo_carta, cierre_supervisor FROM interventions"""
+
+
 def _q_union_by_name() -> str:
     return f"""WITH {clean_ctes()}
 SELECT _seq, id_suceso, fecha_inicio, categoria_final, CAST(NULL AS DOUBLE) AS comuna_calculada FROM ch
@@ -904,6 +909,7 @@ ORACLE: dict[str, str] = {
     "batch_quality": _q_batch_quality(),
     "schema_align": _q_schema_align(),
     "union_by_name": _q_union_by_name(),
+    "legacy_headers": _q_legacy_headers(),
     "weekly_stream_counts": _q_weekly_stream_counts(),
     "reconcile_summary": _q_reconcile_summary(),
     "snapshot_merge": _q_snapshot_merge(),

@@ -51,3 +51,9 @@ def test_schema_alignment_and_landing_csv(spark, tmp_path):
         ("1", "30111222", "1,5", None), ("2", None, "2.0", None)]
     assert schema.snake_case("Recurso Fecha asignacion") == "recurso_fecha_asignacion"
     assert schema.title_case("fecha_inicio") == "Fecha Inicio"
+
+
+def test_report_header_renames(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "Resultado string, Estado string, Otra string")
+    out = schema.rename_headers(df, schema.REPORT_HEADER_RENAMES)
+    assert out.columns == ["resultado", "estado", "Otra"]
