@@ -446,6 +446,14 @@ def q_late_arrivals(spark, sf_dir):
     return history.after_watermark(i, wm, known=ch, key=["_seq"]).select("_seq", "id_suceso", "fecha_inicio")
 
 
+def q_evolution_stream(spark, sf_dir):
+    """T04 as Structured Streaming: the landing drop labelled against the
+    stream's person state (one micro-batch per drop)."""
+    from casework.streaming.evolution import evolution_stream
+    return evolution_stream(spark, sf_dir).select("_seq", "dni_categorizado", "comuna_calculada",
+                                                  "tipo_evolucion", "apariciones")
+
+
 def q_weekly_stream_counts(spark, sf_dir):
     from casework.streaming.incremental import weekly_counts_stream
     return weekly_counts_stream(spark, sf_dir)
@@ -501,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "union_by_name": q_union_by_name,
     "legacy_headers": q_legacy_headers,
     "weekly_stream_counts": q_weekly_stream_counts,
+    "evolution_stream": q_evolution_stream,
     "reconcile_summary": q_reconcile_summary,
     "snapshot_merge": q_snapshot_merge,
     "report_week_range": q_report_week_range,

@@ -857,6 +857,14 @@ UNION ALL
 SELECT _seq, CAST(NULL AS VARCHAR), fecha_inicio, categoria_final, comuna_calculada FROM cb"""
 
 
+def _q_evolution_stream() -> str:
+    return f"""WITH {base_ctes()},
+  ca AS {clean_cte('interventions')},
+  empty_h AS (SELECT * FROM ca WHERE false),
+  l AS (SELECT * FROM {classify_cte('ca', 'empty_h')})
+SELECT _seq, dni_categorizado, comuna_calculada, tipo_evolucion, apariciones FROM l"""
+
+
 def _q_weekly_stream_counts() -> str:
     return f"""WITH {base_ctes()}
 SELECT {week('fecha_inicio')} AS semana, estado, CAST(count(*) AS BIGINT) AS n FROM interventions GROUP BY ALL"""
@@ -911,6 +919,7 @@ ORACLE: dict[str, str] = {
     "union_by_name": _q_union_by_name(),
     "legacy_headers": _q_legacy_headers(),
     "weekly_stream_counts": _q_weekly_stream_counts(),
+    "evolution_stream": _q_evolution_stream(),
     "reconcile_summary": _q_reconcile_summary(),
     "snapshot_merge": _q_snapshot_merge(),
     "report_week_range": _q_report_week_range(),
