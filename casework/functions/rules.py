@@ -340,6 +340,12 @@ EVOLUTION_LABELS = ["Nuevos", "Recurrentes", "Migratorios", "Nuevo repetido", "N
 KPI_ROWS = ["Intervenciones totales", "Derivaciones CIS", "Llamados 108",
             "% Se contacta", "% No se contacta", "% Sin cubrir"]
 REPORT_WEEKS = 8
+# Dashboard KPI baseline column, per zone, in KPI row order ("-" elsewhere)
+KPI_BASELINES = {
+    "c2": ["341", "26", "175", "38% (66)", "53% (92)", "9% (16)"],
+    "total": ["4344", "341", "2798", "27% (782)", "25% (717)", "46% (1299)"],
+}
+KPI_BASELINE_DEFAULT = "-"
 
 # ---------------------------------------------------------------------------
 # end of FIXED VALUES

@@ -201,7 +201,12 @@ def kpi_table(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
     out = full.select("zone", WEEK, F.inline(rows))
     cell = F.when(F.col("pct").isNull(), F.col("n").cast("string")).otherwise(
         F.format_string("%d%% (%d)", F.col("pct"), F.col("n").cast("int")))
-    return out.select("zone", WEEK, "kpi", "n", "pct", cell.alias("cell"))
+    base_map = {f"{z}|{i + 1}": v for z, vals in rules.KPI_BASELINES.items() for i, v in enumerate(vals)}
+    from casework.functions.scalars import lookup, week_label
+    baseline = F.coalesce(lookup(base_map, F.concat_ws("|", F.col("zone"), F.col("ord").cast("string"))),
+                          F.lit(rules.KPI_BASELINE_DEFAULT))
+    return out.select("zone", WEEK, week_label(F.col(WEEK), "dmon").alias("week_label"), "kpi",
+                      baseline.alias("base"), "n", "pct", cell.alias("cell"))
 
 
 # -- per-zone week axes ----------------------------------------------------------------

@@ -611,8 +611,10 @@ def _q_kpi_table() -> str:
             (5, rules.KPI_ROWS[4], "no_se_contacta", pct("no_se_contacta")),
             (6, rules.KPI_ROWS[5], "sin_cubrir", pct("sin_cubrir"))]
     unions = " UNION ALL ".join(
-        f"SELECT zone, semana, {lit(k)} AS kpi, {col} AS n, {p or 'CAST(NULL AS INTEGER)'} AS pct FROM f"
-        for _, k, col, p in rows)
+        f"SELECT zone, semana, {o} AS ord, {lit(k)} AS kpi, {col} AS n, {p or 'CAST(NULL AS INTEGER)'} AS pct FROM f"
+        for o, k, col, p in rows)
+    base_cases = " ".join(f"WHEN zone = {lit(z)} AND ord = {i + 1} THEN {lit(v)}"
+                          for z, vals in rules.KPI_BASELINES.items() for i, v in enumerate(vals))
     return f"""WITH {labeled_ctes()},
   base AS {prepare_dashboard_cte('labeled')},
   wk AS {last_weeks_sql('base')},
@@ -634,7 +636,8 @@ def _q_kpi_table() -> str:
                CAST(coalesce(a.sin_cubrir, 0) AS BIGINT) AS sin_cubrir
         FROM sp LEFT JOIN a USING (semana, zone)),
   r AS ({unions})
-SELECT zone, semana, kpi, n, pct,
+SELECT zone, semana, strftime(semana, '%d %b') AS week_label, kpi,
+       CASE {base_cases} ELSE {lit(rules.KPI_BASELINE_DEFAULT)} END AS base, n, pct,
        CASE WHEN pct IS NULL THEN CAST(n AS VARCHAR) ELSE CAST(pct AS VARCHAR) || '% (' || CAST(n AS VARCHAR) || ')' END AS cell
 FROM r"""
 
