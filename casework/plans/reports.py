@@ -285,21 +285,29 @@ def outcome_breakdown(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS, legacy
     return reindex_counts(counts, sp, ["zone", WEEK, "bucket"]).select("zone", WEEK, "bucket", "n")
 
 
+def _class_pairs() -> Column:
+    return F.explode(F.array(
+        *[F.struct(F.lit("entrevista").alias("kind"), F.lit(c).alias("clase")) for c in rules.INTERVIEW_CLASSES],
+        *[F.struct(F.lit("resultado").alias("kind"), F.lit(c).alias("clase")) for c in rules.OUTCOME_CLASSES]))
+
+
 def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
     """R05 (+A13): contacted rows by interview class and outcome class, per
     card type, week (global last weeks) and zone; card type 'ALL' is the
-    AUTO+MANUAL roll-up."""
+    AUTO+MANUAL roll-up.  Zero-filled like the source: every (week, card
+    type, class) cell for 'todas', 'resto' and each highlighted district
+    that has any row."""
     wmin = first_of_last_weeks(prepared, n_weeks)
-    d = (prepared.filter((F.col(WEEK) >= wmin) & (F.col("nivel_contacto") == "Se contacta")
-                         & F.col("tipo_carta_norm").isin("AUTOMATICA", "MANUAL"))
-                 .withColumn("zone", report_zone(F.col("comuna_key")))
-                 .withColumn("_ent", interview_class(F.col("categoria_final"), F.col("dni_categorizado")))
-                 .withColumn("_res", outcome_bucket(F.col("categoria_final")))
-                 .withColumn("_pair", F.explode(F.array(
-                     F.struct(F.lit("entrevista").alias("kind"), F.col("_ent").alias("clase")),
-                     F.struct(F.lit("resultado").alias("kind"), F.col("_res").alias("clase")))))
-                 .select("zone", WEEK, F.col("tipo_carta_norm").alias("tipo"), "_pair.kind", "_pair.clase")
-                 .filter(F.col("clase").isin(rules.INTERVIEW_CLASSES + rules.OUTCOME_CLASSES)))
+    zoned = prepared.withColumn("zone", report_zone(F.col("comuna_key")))
+    d = (zoned.filter((F.col(WEEK) >= wmin) & (F.col("nivel_contacto") == "Se contacta")
+                      & F.col("tipo_carta_norm").isin("AUTOMATICA", "MANUAL"))
+              .withColumn("_ent", interview_class(F.col("categoria_final"), F.col("dni_categorizado")))
+              .withColumn("_res", outcome_bucket(F.col("categoria_final")))
+              .withColumn("_pair", F.explode(F.array(
+                  F.struct(F.lit("entrevista").alias("kind"), F.col("_ent").alias("clase")),
+                  F.struct(F.lit("resultado").alias("kind"), F.col("_res").alias("clase")))))
+              .select("zone", WEEK, F.col("tipo_carta_norm").alias("tipo"), "_pair.kind", "_pair.clase")
+              .filter(F.col("clase").isin(rules.INTERVIEW_CLASSES + rules.OUTCOME_CLASSES)))
     agg = (d.groupingSets([["zone", WEEK, "tipo", "kind", "clase"], ["zone", WEEK, "kind", "clase"],
                            [WEEK, "tipo", "kind", "clase"], [WEEK, "kind", "clase"]],
                           "zone", WEEK, "tipo", "kind", "clase")
@@ -307,7 +315,15 @@ def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) ->
              .withColumn("zone", F.when(F.col("_g").bitwiseAND(2) != 0, F.lit("todas")).otherwise(F.col("zone")))
              .withColumn("tipo", F.when(F.col("_g").bitwiseAND(1) != 0, F.lit("ALL")).otherwise(F.col("tipo")))
              .drop("_g"))
-    return agg.select("zone", WEEK, "tipo", "kind", "clase", F.col("n").cast("bigint").alias("n"))
+    fixed_zones = ["todas", "resto"]
+    sp = (spine(last_weeks(prepared, n_weeks), zone=fixed_zones + rules.HIGHLIGHT_DISTRICT_KEYS,
+                tipo=["AUTOMATICA", "MANUAL", "ALL"])
+          .withColumn("_kc", _class_pairs()).select("zone", WEEK, "tipo", "_kc.kind", "_kc.clase"))
+    present = zoned.select("zone").distinct()
+    sp = sp.filter(F.col("zone").isin(fixed_zones)).unionByName(
+        sp.filter(~F.col("zone").isin(fixed_zones)).join(present, "zone", "left_semi"))
+    return reindex_counts(agg, sp, ["zone", WEEK, "tipo", "kind", "clase"]).select(
+        "zone", WEEK, "tipo", "kind", "clase", "n")
 
 
 def contact_breakdown_dashboard(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:

@@ -729,20 +729,29 @@ FROM hr hf LEFT JOIN par ON hf.zone = par.zone AND hf.semana = par.semana
 
 def _q_contact_breakdown() -> str:
     classes = rules.INTERVIEW_CLASSES + rules.OUTCOME_CLASSES
+    kc = " UNION ALL ".join([f"SELECT 'entrevista' AS kind, {lit(c)} AS clase" for c in rules.INTERVIEW_CLASSES] +
+                            [f"SELECT 'resultado', {lit(c)}" for c in rules.OUTCOME_CLASSES])
+    zones = ["todas", "resto"] + rules.HIGHLIGHT_DISTRICT_KEYS
     return f"""WITH {labeled_ctes()},
-  p AS {prepare_weekly_cte('labeled')},
+  p AS (SELECT *, {report_zone('comuna_key')} AS zone FROM {prepare_weekly_cte('labeled')}),
   wk AS {last_weeks_sql('p')},
-  d AS (SELECT {report_zone('comuna_key')} AS zone, semana, tipo_carta_norm AS tipo,
+  d AS (SELECT zone, semana, tipo_carta_norm AS tipo,
                {interview('categoria_final', 'dni_categorizado')} AS ent, {bucket('categoria_final')} AS res
         FROM p WHERE semana >= (SELECT min(semana) FROM wk) AND nivel_contacto = 'Se contacta'
           AND tipo_carta_norm IN ('AUTOMATICA', 'MANUAL')),
   x AS (SELECT zone, semana, tipo, 'entrevista' AS kind, ent AS clase FROM d
         UNION ALL SELECT zone, semana, tipo, 'resultado', res FROM d),
-  xf AS (SELECT * FROM x WHERE clase IN {in_list(classes)})
-SELECT CASE WHEN GROUPING(zone) = 1 THEN 'todas' ELSE zone END AS zone, semana,
-       CASE WHEN GROUPING(tipo) = 1 THEN 'ALL' ELSE tipo END AS tipo, kind, clase, CAST(count(*) AS BIGINT) AS n
-FROM xf GROUP BY GROUPING SETS ((zone, semana, tipo, kind, clase), (zone, semana, kind, clase),
-                                (semana, tipo, kind, clase), (semana, kind, clase))"""
+  xf AS (SELECT * FROM x WHERE clase IN {in_list(classes)}),
+  c AS (SELECT CASE WHEN GROUPING(zone) = 1 THEN 'todas' ELSE zone END AS zone, semana,
+               CASE WHEN GROUPING(tipo) = 1 THEN 'ALL' ELSE tipo END AS tipo, kind, clase, count(*) AS n
+        FROM xf GROUP BY GROUPING SETS ((zone, semana, tipo, kind, clase), (zone, semana, kind, clase),
+                                        (semana, tipo, kind, clase), (semana, kind, clase))),
+  zs AS (SELECT zone FROM {values_list('zone', zones)}
+         WHERE zone IN ('todas', 'resto') OR zone IN (SELECT DISTINCT zone FROM p)),
+  sp AS (SELECT zs.zone, wk.semana, t.tipo, k.kind, k.clase
+         FROM zs, wk, (SELECT * FROM {values_list('tipo', ['AUTOMATICA', 'MANUAL', 'ALL'])}) t, ({kc}) k)
+SELECT sp.zone, sp.semana, sp.tipo, sp.kind, sp.clase, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM sp LEFT JOIN c USING (zone, semana, tipo, kind, clase)"""
 
 
 def _q_contact_breakdown_dashboard() -> str:
