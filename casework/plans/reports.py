@@ -143,18 +143,49 @@ def display_order(row_type: Column, group: Column, level: Column) -> Column:
              .otherwise(10 + 10 * gi + 1 + li))
 
 
+def _row_keys() -> Column:
+    """Every row key the table can have (fixed vocabulary: 30 keys)."""
+    def key(t: str, g: str | None, lv: str | None) -> Column:
+        return F.struct(F.lit(t).alias("row_type"), F.lit(g).cast("string").alias("grupo"),
+                        F.lit(lv).cast("string").alias("nivel"))
+    keys = [key("total", None, None)] + [key("total_nivel", None, lv) for lv in rules.LEVEL_ORDER]
+    for g in rules.MANUAL_GROUP_ORDER:
+        keys += [key("grupo_origen", g, None)] + [key("grupo_origen_nivel", g, lv) for lv in rules.LEVEL_ORDER]
+    return F.explode(F.array(*keys))
+
+
 def hierarchy_with_pct(prepared: DataFrame) -> DataFrame:
-    """each row's percent of its parent row (total for level/group rows,
-    the group row for group x level rows), half-up."""
+    """R06 + F21 + L04: the weekly table in long form, zero-filled like the
+    source (rows whose key occurs anywhere in the base, every observed week,
+    'todas', 'resto' and each highlighted district with rows), each cell with
+    its percent of the parent row (total for level/group rows, the group row
+    for group x level rows; half-up) and its display order."""
     h = hierarchy_counts(prepared)
+    fixed_zones = ["todas", "resto"]
+    present_zones = prepared.select(report_zone(F.col("comuna_key")).alias("zone")).distinct()
+    present_keys = h.filter(F.col("zone") == "todas").select("row_type", "grupo", "nivel").distinct()
+    sp = spine(prepared.select(WEEK).distinct(), zone=fixed_zones + rules.HIGHLIGHT_DISTRICT_KEYS)
+    sp = sp.filter(F.col("zone").isin(fixed_zones)).unionByName(
+        sp.filter(~F.col("zone").isin(fixed_zones)).join(present_zones, "zone", "left_semi"))
+    sp = sp.withColumn("_k", _row_keys()).select("zone", WEEK, "_k.*")
+    keyed = (sp.alias("s").join(present_keys.alias("k"),
+                                (F.col("s.row_type") == F.col("k.row_type"))
+                                & F.col("s.grupo").eqNullSafe(F.col("k.grupo"))
+                                & F.col("s.nivel").eqNullSafe(F.col("k.nivel")), "left_semi"))
+    full = (keyed.alias("s").join(h.alias("c"),
+                                  (F.col("s.zone") == F.col("c.zone")) & (F.col(f"s.{WEEK}") == F.col(f"c.{WEEK}"))
+                                  & (F.col("s.row_type") == F.col("c.row_type"))
+                                  & F.col("s.grupo").eqNullSafe(F.col("c.grupo"))
+                                  & F.col("s.nivel").eqNullSafe(F.col("c.nivel")), "left")
+                 .select("s.*", F.coalesce(F.col("c.n"), F.lit(0)).cast("bigint").alias("n")))
     parent_key = F.when(F.col("row_type") == "grupo_origen_nivel", F.col("grupo"))
-    h = h.withColumn("_parent_key", parent_key)
-    parents = (h.filter(F.col("row_type").isin("total", "grupo_origen"))
-                .select("zone", WEEK, F.col("grupo").alias("_parent_key"), F.col("n").alias("_parent_n")))
+    h2 = full.withColumn("_parent_key", parent_key)
+    parents = (h2.filter(F.col("row_type").isin("total", "grupo_origen"))
+                 .select("zone", WEEK, F.col("grupo").alias("_parent_key"), F.col("n").alias("_parent_n")))
     # parent lookup on (zone, week, group-or-null) with a null-safe key
-    hp = h.alias("h").join(parents.alias("p"),
-                           (F.col("h.zone") == F.col("p.zone")) & (F.col(f"h.{WEEK}") == F.col(f"p.{WEEK}"))
-                           & F.col("h._parent_key").eqNullSafe(F.col("p._parent_key")), "left")
+    hp = h2.alias("h").join(parents.alias("p"),
+                            (F.col("h.zone") == F.col("p.zone")) & (F.col(f"h.{WEEK}") == F.col(f"p.{WEEK}"))
+                            & F.col("h._parent_key").eqNullSafe(F.col("p._parent_key")), "left")
     parent_n = F.when(F.col("h.row_type") == "total", F.lit(None)).otherwise(F.col("p._parent_n"))
     return hp.select("h.zone", f"h.{WEEK}", "h.row_type", "h.grupo", "h.nivel", "h.n",
                      pct_of_parent(F.col("h.n"), parent_n).alias("pct"),

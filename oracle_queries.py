@@ -702,23 +702,28 @@ WHERE fecha_inicio <= (SELECT w FROM wm) AND _seq NOT IN (SELECT _seq FROM ch)""
 
 
 def _q_hierarchy_counts() -> str:
+    keys = [("total", None, None)] + [("total_nivel", None, lv) for lv in rules.LEVEL_ORDER]
+    for g in rules.MANUAL_GROUP_ORDER:
+        keys += [("grupo_origen", g, None)] + [("grupo_origen_nivel", g, lv) for lv in rules.LEVEL_ORDER]
+    kv = "(VALUES " + ", ".join(f"({lit(t)}, CAST({lit(g)} AS VARCHAR), CAST({lit(lv)} AS VARCHAR))"
+                                for t, g, lv in keys) + ") AS k(row_type, grupo, nivel)"
+    zones = ["todas", "resto"] + rules.HIGHLIGHT_DISTRICT_KEYS
     return f"""WITH {labeled_ctes()},
-  p AS (SELECT *, {report_zone('comuna_key')} AS zone FROM {prepare_weekly_cte('labeled')}),
-  a AS (SELECT zone, semana, grupo_manual, nivel_norm, count(*) AS n, GROUPING(zone, grupo_manual, nivel_norm) AS gid
-        FROM p GROUP BY GROUPING SETS ((zone, semana), (zone, semana, nivel_norm), (zone, semana, grupo_manual),
-                                       (zone, semana, grupo_manual, nivel_norm), (semana), (semana, nivel_norm),
-                                       (semana, grupo_manual), (semana, grupo_manual, nivel_norm))),
-  h AS (SELECT CASE WHEN gid & 4 <> 0 THEN 'todas' ELSE zone END AS zone, semana,
-               CASE WHEN gid & 3 = 3 THEN 'total' WHEN gid & 2 <> 0 THEN 'total_nivel'
-                    WHEN gid & 1 <> 0 THEN 'grupo_origen' ELSE 'grupo_origen_nivel' END AS row_type,
-               CASE WHEN gid & 2 <> 0 THEN NULL ELSE grupo_manual END AS grupo,
-               CASE WHEN gid & 1 <> 0 THEN NULL ELSE nivel_norm END AS nivel, CAST(n AS BIGINT) AS n
-        FROM a),
-  hf AS (SELECT * FROM h WHERE grupo IS NULL OR grupo IN {in_list(rules.MANUAL_GROUP_ORDER)}),
+  {hierarchy_base_sql()},
+  pk AS (SELECT DISTINCT row_type, grupo, nivel FROM hf WHERE zone = 'todas'),
+  zs AS (SELECT zone FROM {values_list('zone', zones)}
+         WHERE zone IN ('todas', 'resto') OR zone IN (SELECT DISTINCT zone FROM p)),
+  sp AS (SELECT zs.zone, w.semana, k.row_type, k.grupo, k.nivel
+         FROM zs, (SELECT DISTINCT semana FROM p) w, {kv}
+         WHERE EXISTS (SELECT 1 FROM pk WHERE pk.row_type = k.row_type AND pk.grupo IS NOT DISTINCT FROM k.grupo
+                       AND pk.nivel IS NOT DISTINCT FROM k.nivel)),
+  f AS (SELECT sp.*, CAST(coalesce(hf.n, 0) AS BIGINT) AS n FROM sp LEFT JOIN hf
+          ON sp.zone = hf.zone AND sp.semana = hf.semana AND sp.row_type = hf.row_type
+         AND sp.grupo IS NOT DISTINCT FROM hf.grupo AND sp.nivel IS NOT DISTINCT FROM hf.nivel),
   hr AS (SELECT *, CASE WHEN row_type = 'total' THEN 0 WHEN row_type = 'total_nivel' THEN 1 + {level_idx('nivel')}
                         WHEN row_type = 'grupo_origen' THEN 10 + 10 * {group_idx('grupo')}
-                        ELSE 10 + 10 * {group_idx('grupo')} + 1 + {level_idx('nivel')} END AS row_order FROM hf),
-  par AS (SELECT zone, semana, grupo AS pk, n AS pn FROM hf WHERE row_type IN ('total', 'grupo_origen'))
+                        ELSE 10 + 10 * {group_idx('grupo')} + 1 + {level_idx('nivel')} END AS row_order FROM f),
+  par AS (SELECT zone, semana, grupo AS pk, n AS pn FROM f WHERE row_type IN ('total', 'grupo_origen'))
 SELECT hf.zone, hf.semana, hf.row_type, hf.grupo, hf.nivel, hf.n,
        CASE WHEN hf.row_type = 'total' OR hf.n = 0 OR par.pn IS NULL OR par.pn = 0 THEN NULL
             ELSE CAST(floor(CAST(hf.n AS DOUBLE) * 100.0 / par.pn + 0.5) AS INTEGER) END AS pct,
