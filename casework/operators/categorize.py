@@ -97,14 +97,13 @@ def outcome_columns(df: DataFrame, fuzzy: bool = True, apply_placeholders: bool
     if apply_placeholders:
         sup = placeholder_to_null(sup, rules.PLACEHOLDER_VALUES)
         res = placeholder_to_null(res, rules.PLACEHOLDER_VALUES)
-    out = (df.withColumn("cierre_supervisor", sup).withColumn("resultado", res)
+    out = (df.withColumns({"cierre_supervisor": sup, "resultado": res})
              .withColumn("cierre_texto", F.coalesce("cierre_supervisor", "resultado"))
              .withColumn("texto_limpio", clean_outcome_text(F.col("cierre_texto"))))
     out = categorize(out, "texto_limpio", "categoria_final", fuzzy=fuzzy)
     pair = contact_and_data(F.col("categoria_final"))
-    return (out.withColumn("nivel_contacto", contact_level(F.col("categoria_final")))
-               .withColumn("contacto", pair["contacto"])
-               .withColumn("brinda_datos", pair["brinda_datos"]))
+    return out.withColumns({"nivel_contacto": contact_level(F.col("categoria_final")),
+                            "contacto": pair["contacto"], "brinda_datos": pair["brinda_datos"]})
 
 
 # -- one-time migration (C08, C09) ------------------------------------------

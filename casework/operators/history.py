@@ -122,9 +122,8 @@ def apply_keyed_update(target: DataFrame, updates: DataFrame, key: str, columns:
     if predicate is not None:
         hit = hit & F.coalesce(predicate, F.lit(False))
     out = joined.withColumn("_updated", hit)
-    for c in columns:
-        out = out.withColumn(c, F.when(F.col("_updated"), F.col("_u_" + c)).otherwise(F.col(c)))
-    return out.drop("_u_key", *["_u_" + c for c in columns])
+    return (out.withColumns({c: F.when(F.col("_updated"), F.col("_u_" + c)).otherwise(F.col(c)) for c in columns})
+               .drop("_u_key", *["_u_" + c for c in columns]))
 
 
 def reconcile_pending(history: DataFrame, export: DataFrame, fuzzy: bool = True) -> DataFrame:
@@ -152,8 +151,7 @@ def patch_from_lookup(target: DataFrame, lookup: DataFrame, key: str, columns: l
     dedup = keep_last_per_key(lookup.select(key, *order, *columns), [key], order).select(key, *columns)
     out = apply_keyed_update(target, dedup, key, columns)
     if not keep_unmatched:
-        for c in columns:
-            out = out.withColumn(c, F.when(F.col("_updated"), F.col(c)))
+        out = out.withColumns({c: F.when(F.col("_updated"), F.col(c)) for c in columns})
     return out
 
 

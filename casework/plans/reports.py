@@ -75,8 +75,8 @@ def prepare_weekly(df: DataFrame, dedup_incident: bool = False) -> DataFrame:
     out = out.filter(~excluded)
     if dedup_incident:
         out = keep_first_per_key(out, ["id_suceso"], ["fecha_inicio", "_seq"])
-    return (out.withColumn("tipo_carta_norm", card_type(F.col("tipo_carta")))
-               .withColumn("comuna_key", district_key(F.col("comuna_calculada"))))
+    return out.withColumns({"tipo_carta_norm": card_type(F.col("tipo_carta")),
+                            "comuna_key": district_key(F.col("comuna_calculada"))})
 
 
 def prepare_dashboard(df: DataFrame) -> DataFrame:
@@ -221,8 +221,8 @@ def kpi_table(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
     weeks = last_weeks(base, n_weeks)
     sp = spine(weeks, zone=["c2", "c13", "c14", "zona1a", "resto", "total"])
     full = reindex_counts(agg.drop("_gz"), sp, [WEEK, "zone"], "total")
-    for c in ["cis", "auto", "se_contacta", "no_se_contacta", "sin_cubrir"]:
-        full = full.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
+    full = full.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+                             for c in ["cis", "auto", "se_contacta", "no_se_contacta", "sin_cubrir"]})
     def row(ord_: int, label: str, n: str, pct: bool) -> Column:
         p = pct_of_total(F.col(n), F.col("auto")) if pct else F.lit(None).cast("int")
         return F.struct(F.lit(ord_).alias("ord"), F.lit(label).alias("kpi"), F.col(n).alias("n"), p.alias("pct"))
