@@ -22,9 +22,10 @@ from casework.operators.categorize import outcome_columns
 from casework.operators.dedup import drop_exact_duplicates
 from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
 from casework.operators.geo import assign_zone
-from casework.operators.history import (after_watermark, append_history, overwrite_partitions,
-                                        reconcile_pending)
-from casework.session import cut_lineage
+from casework.operators.history import (RECONCILE_COLUMNS, after_watermark, append_history,
+                                        apply_keyed_update, overwrite_partitions, reconcile_updates)
+from casework.operators.joins import materialize_checked
+from casework.session import cut_lineage, write_table
 
 
 def strip_all_strings(df: DataFrame) -> DataFrame:
@@ -92,26 +93,42 @@ class WeeklyResult:
 def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None = None,
                wm: Column | None = None, fuzzy: bool = True,
                person_state: DataFrame | None = None) -> WeeklyResult:
-    """T01 end to end.  ``history`` must be a *staged* read when the result is
-    written back to ``history_path`` (never read and overwrite one path).
-    With ``person_state`` the evolution labels and appearance counts come
-    from the compact per-person table instead of two aggregations over the
-    whole history; the merged state is returned for the caller to write."""
-    reconciled = cut_lineage(reconcile_pending(history, export, fuzzy=fuzzy))
-    n = reconciled.filter("_updated").count()
+    """T01 end to end.
+
+    Reconciliation (J04) touches only pending rows of closed incidents, so
+    only the week partitions holding them are rewritten: the update table is
+    materialised (small), the touched weeks are found with a semi join, those
+    partitions are rebuilt into a staging table and swapped in with dynamic
+    partition overwrite - the history is never copied whole, and no plan
+    reads and overwrites the same files.  The evolution labels only need
+    districts and counts, which reconciliation never changes, so the batch is
+    classified against the history as read (or against ``person_state``, the
+    compact per-person table, whose merged version is returned)."""
+    if "week" not in history.columns:
+        history = history.withColumn("week", week_start(F.col("fecha_inicio")))
+    updates, small = materialize_checked(reconcile_updates(export, history.drop("week"), fuzzy=fuzzy))
+    upd_keys = updates.select("id_suceso")
+    touched_weeks = (history.filter(F.col("estado") == "PENDIENTE")
+                            .join(F.broadcast(upd_keys) if small else upd_keys, "id_suceso", "left_semi")
+                            .select("week").distinct())
+    part = history.join(touched_weeks, "week", "left_semi")
+    rebuilt = write_table(
+        apply_keyed_update(part, updates, "id_suceso", RECONCILE_COLUMNS,
+                           predicate=F.col("estado") == "PENDIENTE"), "reconciled_weeks")
+    n = rebuilt.filter("_updated").count()
+
     new_rows = after_watermark(export, wm)
     cleaned = cut_lineage(clean_batch(new_rows, fuzzy=fuzzy))
     new_state = None
+    base = history.drop("week")
     if person_state is not None:
         classified = classify_batch_with_state(cleaned, person_state)
-        new_state = update_person_state(person_state, cleaned)
+        new_state = write_table(update_person_state(person_state, cleaned), "person_state")
     else:
-        classified = classify_batch(cleaned, reconciled.drop("_updated"))
+        classified = classify_batch(cleaned, base)
+    # everything that reads the history is materialised before its files change
+    classified = write_table(classified, "classified_batch")
     if history_path is not None:
-        touched = reconciled.filter("_updated").select(week_start(F.col("fecha_inicio")).alias("week")).distinct()
-        rewrite = (reconciled.drop("_updated").withColumn("week", week_start(F.col("fecha_inicio")))
-                   .join(touched, "week", "left_semi"))
-        overwrite_partitions(rewrite, history_path)
+        overwrite_partitions(rebuilt.drop("_updated"), history_path)
         append_history(classified, history_path)
-    return WeeklyResult(batch=classified, history=reconciled.drop("_updated"), n_reconciled=n,
-                        person_state=new_state)
+    return WeeklyResult(batch=classified, history=base, n_reconciled=n, person_state=new_state)

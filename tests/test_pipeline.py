@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casework.operators import history
 from casework.plans import catalog, pipeline
-from casework.session import write_table
+from casework.session import write_table  # noqa: F401
 from casework.sources import schema
 
 SF = "/root/testdata/sf0.001"
@@ -24,14 +24,21 @@ def test_two_weekly_runs(spark):
     n_first = spark.read.parquet(path).count()
     assert n_first == pipeline.clean_batch(h, fuzzy=False).count()
 
-    staged = write_table(spark.read.parquet(path).drop("week"), "staged_history")
-    wm = history.watermark(staged).scalar()
-    second = pipeline.run_weekly(catalog.reexport(i), staged, path, wm=wm, fuzzy=True)
+    before = write_table(spark.read.parquet(path), "before_second_run")  # a copy only to compare against
+    n_pending_before = before.filter("estado = 'PENDIENTE'").count()
+    hist = spark.read.parquet(path)
+    wm = history.watermark(hist).scalar()
+    second = pipeline.run_weekly(catalog.reexport(i), hist, path, wm=wm, fuzzy=True)
+    n_batch = second.batch.count()
     out = spark.read.parquet(path)
     assert second.n_reconciled > 0
-    assert out.count() == n_first + second.batch.count()
-    assert out.filter("estado = 'PENDIENTE' AND week < (SELECT min(week) FROM VALUES (DATE'2024-01-22') t(week))"
-                      ).count() < staged.filter("estado = 'PENDIENTE'").count()
+    assert out.count() == n_first + n_batch
+    old = out.join(before.select("_seq"), "_seq", "left_semi")
+    assert old.filter("estado = 'PENDIENTE'").count() == n_pending_before - second.n_reconciled
+    # reconciled rows equal the reconcile operator applied to the whole history
+    want = history.reconcile_pending(before.drop("week"), catalog.reexport(i), fuzzy=True)
+    got = {r._seq: (r.estado, r.categoria_final) for r in old.collect()}
+    assert got == {r._seq: (r.estado, r.categoria_final) for r in want.collect()}
     # a person is "Nuevos" at most once across both runs
     news = out.filter("tipo_evolucion = 'Nuevos'").groupBy("dni_categorizado").count()
     assert news.filter("count > 1").count() == 0
