@@ -64,3 +64,22 @@ def test_report_header_renames(spark):
     df = spark.createDataFrame([("a", "b", "c")], "Resultado string, Estado string, Otra string")
     out = schema.rename_headers(df, schema.REPORT_HEADER_RENAMES)
     assert out.columns == ["resultado", "estado", "Otra"]
+
+
+def test_cli_weekly_and_reports(spark, tmp_path):
+    from casework.__main__ import main
+    i, h, b = catalog.split(spark, SF)
+    first = str(tmp_path / "landing1")
+    second = str(tmp_path / "landing2")
+    h.write.parquet(first)
+    catalog.reexport(i).write.parquet(second)
+    hist = str(tmp_path / "history")
+    main(["weekly", "--landing", first, "--format", "parquet", "--history", hist, "--no-fuzzy"])
+    n1 = spark.read.parquet(hist).count()
+    main(["weekly", "--landing", second, "--format", "parquet", "--history", hist, "--no-fuzzy"])
+    n2 = spark.read.parquet(hist).count()
+    assert n2 > n1
+    out = str(tmp_path / "reports")
+    main(["reports", "--history", hist, "--out", out])
+    assert spark.read.parquet(os.path.join(out, "hierarchy")).count() > 0
+    assert spark.read.parquet(os.path.join(out, "kpi_table")).count() > 0
