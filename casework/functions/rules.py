@@ -340,6 +340,8 @@ EVOLUTION_LABELS = ["Nuevos", "Recurrentes", "Migratorios", "Nuevo repetido", "N
 KPI_ROWS = ["Intervenciones totales", "Derivaciones CIS", "Llamados 108",
             "% Se contacta", "% No se contacta", "% Sin cubrir"]
 REPORT_WEEKS = 8
+# Chart series colours (evolution charts), in series order
+EVOLUTION_SERIES = [("Nuevos", "#10B981"), ("Recurrentes", "#3B82F6"), ("Migratorios", "#F97316")]
 # Dashboard KPI baseline column, per zone, in KPI row order ("-" elsewhere)
 KPI_BASELINES = {
     "c2": ["341", "26", "175", "38% (66)", "53% (92)", "9% (16)"],

@@ -380,15 +380,18 @@ def contact_breakdown_dashboard(base: DataFrame, n_weeks: int = rules.REPORT_WEE
 
 # -- JSON payload (R08) --------------------------------------------------------------
 
-def chart_payload(evolution: DataFrame) -> DataFrame:
-    """One JSON document per zone with week labels and three datasets."""
+def chart_payload(evolution: DataFrame, label_format: str = "dd MMM") -> DataFrame:
+    """One JSON document per zone with week labels and the three
+    evolution series (label, data, colour); ``dd MMM`` for the dashboard,
+    ``dd/MM`` for the weekly report."""
     pts = F.array_sort(F.collect_list(F.struct(WEEK, "nuevos", "recurrentes", "migratorios")))
     g = evolution.groupBy("zone").agg(pts.alias("_p"))
-    labels = F.transform("_p", lambda p: F.date_format(p[WEEK], "dd/MM"))
+    labels = F.transform("_p", lambda p: F.date_format(p[WEEK], label_format))
 
-    def ds(name: str, field: str) -> Column:
-        return F.struct(F.lit(name).alias("label"), F.transform("_p", lambda p: p[field]).alias("data"))
+    def ds(name: str, colour: str) -> Column:
+        field = name.lower()
+        return F.struct(F.lit(name).alias("label"), F.transform("_p", lambda p: p[field]).alias("data"),
+                        F.lit(colour).alias("backgroundColor"))
     payload = F.struct(labels.alias("labels"),
-                       F.array(ds("Nuevos", "nuevos"), ds("Recurrentes", "recurrentes"),
-                               ds("Migratorios", "migratorios")).alias("datasets"))
+                       F.array(*[ds(n, c) for n, c in rules.EVOLUTION_SERIES]).alias("datasets"))
     return g.select("zone", F.to_json(payload).alias("payload"))

@@ -840,10 +840,10 @@ def _q_evolution_report() -> str:
 def _q_chart_payload() -> str:
     inner = _q_evolution_weekly()
     return f"""WITH ev AS ({inner})
-SELECT zone, to_json({{'labels': list(strftime(semana, '%d/%m') ORDER BY semana),
-                       'datasets': [{{'label': 'Nuevos', 'data': list(nuevos ORDER BY semana)}},
-                                    {{'label': 'Recurrentes', 'data': list(recurrentes ORDER BY semana)}},
-                                    {{'label': 'Migratorios', 'data': list(migratorios ORDER BY semana)}}]}})::VARCHAR AS payload
+SELECT zone, to_json({{'labels': list(strftime(semana, '%d %b') ORDER BY semana),
+                       'datasets': [{{'label': 'Nuevos', 'data': list(nuevos ORDER BY semana), 'backgroundColor': '#10B981'}},
+                                    {{'label': 'Recurrentes', 'data': list(recurrentes ORDER BY semana), 'backgroundColor': '#3B82F6'}},
+                                    {{'label': 'Migratorios', 'data': list(migratorios ORDER BY semana), 'backgroundColor': '#F97316'}}]}})::VARCHAR AS payload
 FROM ev GROUP BY zone"""
 
 
