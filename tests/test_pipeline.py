@@ -83,3 +83,22 @@ def test_cli_weekly_and_reports(spark, tmp_path):
     main(["reports", "--history", hist, "--out", out])
     assert spark.read.parquet(os.path.join(out, "hierarchy")).count() > 0
     assert spark.read.parquet(os.path.join(out, "kpi_table")).count() > 0
+
+
+def test_incident_dedup_option_and_write_paths(spark, tmp_path):
+    from casework.plans import reports
+    lab = catalog.labeled(spark, SF)
+    plain = reports.prepare_weekly(lab)
+    dedup = reports.prepare_weekly(lab, dedup_incident=True)
+    assert dedup.count() == plain.select("id_suceso").distinct().count() < plain.count()
+    first = dedup.join(plain.groupBy("id_suceso").agg(F.min_by("_seq", F.struct("fecha_inicio", "_seq")).alias("_seq")),
+                       ["id_suceso", "_seq"], "left_anti")
+    assert first.count() == 0  # the earliest row of each incident is kept
+    snap = str(tmp_path / "snapshot")
+    history.write_snapshot(lab, snap)
+    history.write_snapshot(lab.limit(5), snap)  # whole-table overwrite
+    assert spark.read.parquet(snap).count() == 5
+    raw = str(tmp_path / "bronze")
+    history.append_raw(catalog.split(spark, SF)[2], raw)
+    history.append_raw(catalog.split(spark, SF)[2], raw)
+    assert spark.read.parquet(raw).count() == 2 * catalog.split(spark, SF)[2].count()
