@@ -74,8 +74,11 @@ def repair_blank_ids(df: DataFrame, mode: str = "parity") -> DataFrame:
 def snapshot_merge(prev: DataFrame, new: DataFrame) -> DataFrame:
     """S09 + U01 + P15: coerce the new rows to the snapshot's types, union by
     name (missing columns -> null) and repair ids left blank by the merge."""
-    from casework.sources.schema import align_to_schema
-    coerced = align_to_schema(new, T.StructType([f for f in prev.schema.fields if f.name in new.columns]))
+    prev_types = {f.name: f.dataType for f in prev.schema.fields}
+    coerced = new.select(*[
+        (F.col(f.name) if f.dataType == prev_types[f.name] else F.col(f.name).try_cast(prev_types[f.name])).alias(f.name)
+        if f.name in prev_types else F.col(f.name)
+        for f in new.schema.fields])
     merged = prev.unionByName(coerced, allowMissingColumns=True)
     if "dni_categorizado" not in merged.columns:
         merged = merged.withColumn("dni_categorizado", F.lit(None).cast("string"))
