@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from casework.session import cut_lineage
 
-# Rows of a derived lookup table we are willing to ship to every executor.
+# Size of a derived lookup table we are willing to ship to every executor.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def broadcast_fixed(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -25,8 +26,17 @@ def broadcast_fixed(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAS
     return F.broadcast(df)
 
 
-def materialize_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Checkpoint a derived table (reliable, shared folder), count it and say
-    whether it may be broadcast.  Returns (table, small_enough)."""
+def materialize_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Checkpoint a derived table (reliable, shared folder), measure it (row
+    count and an upper estimate of its bytes: string lengths plus 16 bytes
+    per field) in one job, and say whether it may be broadcast.
+    Returns (table, small_enough)."""
+    from pyspark.sql import types as T
     table = cut_lineage(df)
-    return table, table.count() <= max_rows
+    strings = [f.name for f in table.schema.fields if isinstance(f.dataType, T.StringType)]
+    width = 16 * max(len(table.columns), 1)
+    size = F.lit(width) + sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in strings), F.lit(0))
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(size.cast("long")).alias("b")).first()
+    n, b = row["n"], row["b"] or 0
+    return table, n <= max_rows and b <= max_bytes

@@ -67,3 +67,10 @@ def test_fuzzy_scorer_basics():
     assert fuzzy.weighted_ratio("", "x") == 0.0
     i, s = fuzzy.best_match("zzzz qqqq", ["01 traslado efectivo a cis", "18 mendicidad"])
     assert s < 80
+
+
+def test_fuzzy_join_fallback_equals_broadcast_path(spark):
+    df = spark.createDataFrame([(a,) for a, _ in TIER_ROWS] * 3, "texto_limpio string")
+    small = sorted(map(tuple, categorize(df).collect()))
+    large = sorted(map(tuple, categorize(df, max_broadcast_rows=0).collect()))
+    assert small == large

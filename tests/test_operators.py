@@ -124,3 +124,14 @@ def test_person_state_path_equals_history_path(spark):
     got = {r._seq: (r.tipo_evolucion, r.apariciones) for d in (h1, g2, g3) for r in d.collect()}
     assert got == want
     assert evolution.update_person_state(s2, b3).count() == 7
+
+
+def test_keyed_update_shuffle_fallback_equals_broadcast_path(spark):
+    target = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 3, "z"), (None, 4, "w")],
+                                   "k string, _seq int, v string")
+    updates = spark.createDataFrame([("a", "A"), ("c", "C")], "k string, v string")
+    small = sorted(map(tuple, history.apply_keyed_update(target, updates, "k", ["v"]).collect()), key=str)
+    large = sorted(map(tuple, history.apply_keyed_update(target, updates, "k", ["v"],
+                                                         max_broadcast_rows=0).collect()), key=str)
+    assert small == large
+    assert {r[1]: r[2] for r in small} == {1: "A", 2: "A", 3: "z", 4: "w"}
