@@ -8,6 +8,7 @@ All of it is projection only (no job, no shuffle).
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -110,14 +111,14 @@ def read_landing_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFram
     table of two rows per file; the rest is parsed in parallel with
     ``from_csv`` (the reader's ``skipRows`` option is not honoured)."""
     lines = (spark.read.text(path)
-                  .withColumn("_file", F.input_file_name())
-                  .withColumn("_block", F.input_file_block_start())
+                  .select("value", F.col("_metadata.file_path").alias("_file"),
+                          F.col("_metadata.file_block_start").alias("_block"))
                   .withColumn("_id", F.monotonically_increasing_id()))
     first = (lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner")))
     lead = first.select("_file", F.explode(F.array(F.col("_banner"), F.col("_banner") + 1)).alias("_id"))
     header_line = (lines.join(first, "_file").filter(F.col("_id") == F.col("_banner") + 1)
                         .select("value").first())
-    names = header_line.value.split(sep)
+    names = next(csv.reader([header_line.value], delimiter=sep))  # one line, quoted names allowed
     ddl = ", ".join(f"`{n.strip()}` string" for n in names)
     body = lines.join(lead, ["_file", "_id"], "left_anti")
     parsed = body.select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
