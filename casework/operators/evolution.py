@@ -18,12 +18,12 @@ Plan shape (no per-row windows over a person key):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casework.functions.identity import is_valid_id
 from casework.functions.scalars import week_start
-from casework.operators.history import DISTRICT, KEY, SEQ, TS, day_bound, last_state_asof, semi_join_counts
+from casework.operators.history import DISTRICT, KEY, SEQ, TS, day_bound
 
 
 def weekly_reference(valid: DataFrame, key: str = KEY, district: str = DISTRICT, ts: str = TS,
@@ -35,27 +35,51 @@ def weekly_reference(valid: DataFrame, key: str = KEY, district: str = DISTRICT,
                       F.count(F.lit(1)).alias("_n_week")))
 
 
-def label_weeks(weekly: DataFrame, state: DataFrame, key: str = KEY) -> DataFrame:
-    """Label each (id, week) against the carried state."""
-    hist = state.select(key, F.lit(None).cast("date").alias("_week"),
-                        F.col(state.columns[1]).alias("_ref"), F.lit(True).alias("_hist"))
-    cur = weekly.select(key, "_week", "_ref", F.lit(False).alias("_hist"))
-    w = Window.partitionBy(key).orderBy(F.col("_week").asc_nulls_first())
+def history_summary(history: DataFrame, keys: DataFrame, bound: Column | None, key: str = KEY,
+                    district: str = DISTRICT, ts: str = TS, seq: str = SEQ) -> DataFrame:
+    """J01 + J03/A04 in one aggregation over the history rows of the batch's
+    ids: the last district strictly before ``bound`` (null dates excluded),
+    whether any such row exists ("seen"), and the row count over all dates."""
+    h = history.join(keys, key, "left_semi")
+    in_state = F.col(ts).isNotNull() if bound is None else (F.col(ts).isNotNull() & (F.col(ts) < bound))
+    return h.groupBy(key).agg(
+        F.max_by(F.col(district), F.when(in_state, F.struct(ts, seq))).alias("_ref"),
+        F.count_if(in_state).alias("_n_state"),
+        F.count(F.lit(1)).alias("n_hist"))
+
+
+def label_weeks(weekly: DataFrame, summary: DataFrame, key: str = KEY) -> DataFrame:
+    """W05 (+A04): label each (id, week) against the carried state in one
+    window pass per id.  The summary row (one per id, "week 0") carries the
+    state only if the id was seen before the bound; ``lag`` does not ignore
+    nulls (a null district replaces the state); appearance counts are the
+    history count plus the batch's rows."""
+    hist = summary.select(key, F.lit(None).cast("date").alias("_week"), "_ref",
+                          (F.col("_n_state") > 0).alias("_real"), F.col("n_hist").cast("long").alias("n_hist"),
+                          F.lit(None).alias("_first"), F.lit(0).cast("long").alias("_n_week"))
+    cur = weekly.select(key, "_week", "_ref", F.lit(True).alias("_real"), F.lit(0).cast("long").alias("n_hist"),
+                        "_first", F.col("_n_week").cast("long"))
+    by_key = Window.partitionBy(key)
+    ordered = by_key.orderBy(F.col("_week").asc_nulls_first())
     seq = (hist.unionByName(cur)
-               .withColumn("_prev", F.lag("_ref").over(w))
-               .withColumn("_rn", F.row_number().over(w)))
-    label = (F.when(F.col("_rn") == 1, F.lit("Nuevos"))
+               .withColumn("_prev", F.lag("_ref").over(ordered))
+               .withColumn("_rank", F.sum(F.col("_real").cast("int")).over(
+                   ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+               .withColumn("apariciones", F.sum("n_hist").over(by_key) + F.sum("_n_week").over(by_key)))
+    label = (F.when(F.col("_rank") == 1, F.lit("Nuevos"))
               .when(F.col("_prev").isNull() | F.col("_ref").isNull(), F.lit("Recurrentes"))
               .when(F.col("_prev") == F.col("_ref"), F.lit("Recurrentes"))
               .otherwise(F.lit("Migratorios")))
-    return seq.filter(~F.col("_hist")).select(key, "_week", label.alias("_label"))
+    return seq.filter(F.col("_week").isNotNull()).select(key, "_week", label.alias("_label"), "_first",
+                                                          "apariciones")
 
 
 def classify_batch(batch: DataFrame, history: DataFrame, key: str = KEY, district: str = DISTRICT,
                    ts: str = TS, seq: str = SEQ, bound: str = "day",
                    with_appearances: bool = True) -> DataFrame:
     """W04-W07 (+A04): adds ``tipo_evolucion`` (and ``apariciones``) to the
-    batch, deriving the carried state from the full history table.
+    batch, deriving the carried state from the full history table in one
+    aggregation over the batch ids' history rows.
 
     ``bound='day'`` keeps the source's truncation of the state bound to the
     calendar day of the batch minimum; ``'exact'`` uses the timestamp."""
@@ -63,10 +87,8 @@ def classify_batch(batch: DataFrame, history: DataFrame, key: str = KEY, distric
     keys = b.filter("_valid").select(key).distinct()
     batch_min = batch.select(F.min(ts)).scalar()
     bound_col = day_bound(batch_min) if bound == "day" else batch_min
-    hist = history.join(keys, key, "left_semi")
-    state = last_state_asof(hist, bound_col, key, district, ts, seq)
-    counts = semi_join_counts(history, keys, key) if with_appearances else None
-    return _label_batch(b, state, counts, key, district, ts, seq)
+    summary = history_summary(history, keys, bound_col, key, district, ts, seq)
+    return _label_batch(b, summary, with_appearances, key, district, ts, seq)
 
 
 def classify_batch_with_state(batch: DataFrame, person_state: DataFrame, key: str = KEY,
@@ -78,10 +100,10 @@ def classify_batch_with_state(batch: DataFrame, person_state: DataFrame, key: st
     week or day boundaries)."""
     b = batch.withColumn("_valid", is_valid_id(F.col(key)))
     keys = b.filter("_valid").select(key).distinct()
-    st = person_state.join(keys, key, "left_semi")
-    state = st.select(key, F.col("last_" + district))
-    counts = st.select(key, F.col("n_rows").alias("n_hist"))
-    return _label_batch(b, state, counts, key, district, ts, seq)
+    summary = (person_state.join(keys, key, "left_semi")
+                           .select(key, F.col("last_" + district).alias("_ref"),
+                                   F.lit(1).alias("_n_state"), F.col("n_rows").alias("n_hist")))
+    return _label_batch(b, summary, True, key, district, ts, seq)
 
 
 def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: str = KEY,
@@ -101,29 +123,23 @@ def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: st
                                  F.sum("n_rows").alias("n_rows"))
 
 
-def _label_batch(b: DataFrame, state: DataFrame, hist_counts: DataFrame | None, key: str, district: str,
+def _label_batch(b: DataFrame, summary: DataFrame, with_appearances: bool, key: str, district: str,
                  ts: str, seq: str) -> DataFrame:
     b = b.withColumn("_week", week_start(F.col(ts)))
     valid = b.filter("_valid")
     invalid = b.filter(~F.col("_valid"))
-    weekly = weekly_reference(valid, key, district, ts, seq)
-    labels = label_weeks(weekly, state, key).join(weekly.select(key, "_week", "_first"), [key, "_week"])
-    if hist_counts is not None:
-        # History count (all history, no date bound) + batch count
-        batch_counts = weekly.groupBy(key).agg(F.sum("_n_week").alias("_n_batch"))
-        counts = (batch_counts.join(hist_counts, key, "left")
-                  .select(key, (F.col("_n_batch") + F.coalesce("n_hist", F.lit(0))).alias("apariciones")))
-        labels = labels.join(counts, key)
-
+    labels = label_weeks(weekly_reference(valid, key, district, ts, seq), summary, key)
     out_valid = valid.join(labels, [key, "_week"], "left")
     is_first = F.struct(F.col(ts), F.col(seq)) == F.col("_first")
     out_valid = out_valid.withColumn(
         "tipo_evolucion",
         F.when((F.col("_label") == "Nuevos") & ~is_first, F.lit("Nuevo repetido")).otherwise(F.col("_label")))
     out_invalid = invalid.withColumn("tipo_evolucion", F.lit("No clasificable"))
-    if hist_counts is not None:
+    if with_appearances:
         out_valid = out_valid.withColumn("apariciones", F.col("apariciones").cast("bigint"))
         out_invalid = out_invalid.withColumn("apariciones", F.lit(0).cast("bigint"))
+    else:
+        out_valid = out_valid.drop("apariciones")
     drop = ["_week", "_valid", "_label", "_first"]
     return out_valid.drop(*drop).unionByName(out_invalid.drop(*drop))
 
