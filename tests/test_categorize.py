@@ -74,3 +74,12 @@ def test_fuzzy_join_fallback_equals_broadcast_path(spark):
     small = sorted(map(tuple, categorize(df).collect()))
     large = sorted(map(tuple, categorize(df, max_broadcast_rows=0).collect()))
     assert small == large
+
+
+def test_fuzzy_scorer_documented_examples():
+    # examples from the public documentation of the weighted-ratio scorer
+    assert round(fuzzy.ratio("this is a test", "this is a test!"), 6) == round(96.55172413793103, 6)
+    assert fuzzy.partial_ratio("this is a test", "this is a test!") == 100.0
+    assert fuzzy.token_sort_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100.0
+    assert fuzzy.token_set_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100.0
+    assert round(fuzzy.weighted_ratio("this is a test", "this is a new test!!!"), 6) == 85.5
