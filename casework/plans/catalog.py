@@ -16,11 +16,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casework.functions import rules
 from casework.functions.identity import is_valid_id, with_id_category
-from casework.functions.scalars import (contact_and_data, contact_level, dashboard_contact_class,
-                                        district_key, interview_class, manual_group, origin_group,
-                                        outcome_bucket, report_level, week_start)
+from casework.functions.scalars import (dashboard_contact_class, district_key, interview_class, manual_group,
+                                        origin_group, outcome_bucket, report_level, week_start)
 from casework.functions.text import clean_name, clean_outcome_text
 from casework.operators import categorize as cat
 from casework.operators import dedup, evolution, geo, history

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from casework.functions import rules
 from casework.functions.scalars import (associated_id_is_zero, card_type, dashboard_contact_class,
                                         district_key, interview_class, manual_group, origin_group,
-                                        outcome_bucket, pct_cell, pct_of_parent, pct_of_total,
+                                        outcome_bucket, pct_of_parent, pct_of_total,
                                         report_level, to_timestamp_lenient, week_start)
 from casework.operators.dedup import keep_first_per_key
 
