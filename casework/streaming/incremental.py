@@ -32,13 +32,20 @@ def weekly_counts_stream(spark: SparkSession, sf_dir: str, out_dir: str | None =
     stream = (spark.readStream.schema(schema)
                    .option("pathGlobFilter", source_file)
                    .parquet(sf_dir))
-    rows = interventions_from_events(stream).withColumn("_ts", F.col("fecha_inicio").cast("timestamp"))
+    # event time as an instant whose UTC wall clock is the naive timestamp, so
+    # the Monday-aligned windows do not move with the session time zone
+    c = F.col("fecha_inicio")
+    rows = interventions_from_events(stream).withColumn(
+        "_ts", F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c), F.second(c),
+                                F.lit("UTC")))
     agg = (rows.withWatermark("_ts", "14 days")
                .groupBy(F.window("_ts", "1 week", startTime="4 days").alias("w"), "estado")
                .agg(F.count(F.lit(1)).alias("n")))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        (batch.select(F.col("w.start").cast("date").alias("semana"), "estado", F.col("n").cast("bigint"))
+        monday = F.date_add(F.lit("1970-01-01").cast("date"),
+                            F.floor(F.unix_micros("w.start") / 86_400_000_000).cast("int"))
+        (batch.select(monday.alias("semana"), "estado", F.col("n").cast("bigint"))
               .write.mode("overwrite").parquet(result_path))
 
     query = (agg.writeStream.outputMode("complete")
