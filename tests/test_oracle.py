@@ -36,3 +36,19 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "tipo_evolucion" in df.columns
+
+
+@pytest.mark.parametrize("name", ["weekly_totals_by_zone", "weekly_stream_counts", "watermark_filter",
+                                  "orders_weekly_reindex"])
+def test_week_buckets_ignore_session_time_zone(spark, oracle, name):
+    from tests_support import frame_hash, to_pandas_spark
+    qs, sql, con = oracle
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Argentina/Buenos_Aires")
+    try:
+        got = to_pandas_spark(qs[name](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = con.execute(sql[name]).df()
+    assert len(got) == len(want)
+    assert frame_hash(got) == frame_hash(want.astype(object).where(want.notna(), None))
