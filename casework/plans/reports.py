@@ -159,37 +159,38 @@ def hierarchy_with_pct(prepared: DataFrame) -> DataFrame:
     source (rows whose key occurs anywhere in the base, every observed week,
     'todas', 'resto' and each highlighted district with rows), each cell with
     its percent of the parent row (total for level/group rows, the group row
-    for group x level rows; half-up) and its display order."""
+    for group x level rows; half-up) and its display order.
+
+    The grouping-sets aggregation is consumed once: the (week, zone) axis
+    comes from one light distinct pass, and key presence and parent totals
+    are window flags over the small zero-filled table (no self-joins, which
+    would re-run the aggregation)."""
     h = hierarchy_counts(prepared)
     fixed_zones = ["todas", "resto"]
-    present_zones = prepared.select(report_zone(F.col("comuna_key")).alias("zone")).distinct()
-    present_keys = h.filter(F.col("zone") == "todas").select("row_type", "grupo", "nivel").distinct()
-    sp = spine(prepared.select(WEEK).distinct(), zone=fixed_zones + rules.HIGHLIGHT_DISTRICT_KEYS)
+    wz = prepared.select(WEEK, report_zone(F.col("comuna_key")).alias("zone")).distinct()
+    weeks = wz.select(WEEK).distinct()
+    sp = spine(weeks, zone=fixed_zones + rules.HIGHLIGHT_DISTRICT_KEYS)
     sp = sp.filter(F.col("zone").isin(fixed_zones)).unionByName(
-        sp.filter(~F.col("zone").isin(fixed_zones)).join(present_zones, "zone", "left_semi"))
+        sp.filter(~F.col("zone").isin(fixed_zones)).join(wz.select("zone").distinct(), "zone", "left_semi"))
     sp = sp.withColumn("_k", _row_keys()).select("zone", WEEK, "_k.*")
-    keyed = (sp.alias("s").join(present_keys.alias("k"),
-                                (F.col("s.row_type") == F.col("k.row_type"))
-                                & F.col("s.grupo").eqNullSafe(F.col("k.grupo"))
-                                & F.col("s.nivel").eqNullSafe(F.col("k.nivel")), "left_semi"))
-    full = (keyed.alias("s").join(h.alias("c"),
-                                  (F.col("s.zone") == F.col("c.zone")) & (F.col(f"s.{WEEK}") == F.col(f"c.{WEEK}"))
-                                  & (F.col("s.row_type") == F.col("c.row_type"))
-                                  & F.col("s.grupo").eqNullSafe(F.col("c.grupo"))
-                                  & F.col("s.nivel").eqNullSafe(F.col("c.nivel")), "left")
-                 .select("s.*", F.coalesce(F.col("c.n"), F.lit(0)).cast("bigint").alias("n")))
-    parent_key = F.when(F.col("row_type") == "grupo_origen_nivel", F.col("grupo"))
-    h2 = full.withColumn("_parent_key", parent_key)
-    parents = (h2.filter(F.col("row_type").isin("total", "grupo_origen"))
-                 .select("zone", WEEK, F.col("grupo").alias("_parent_key"), F.col("n").alias("_parent_n")))
-    # parent lookup on (zone, week, group-or-null) with a null-safe key
-    hp = h2.alias("h").join(parents.alias("p"),
-                            (F.col("h.zone") == F.col("p.zone")) & (F.col(f"h.{WEEK}") == F.col(f"p.{WEEK}"))
-                            & F.col("h._parent_key").eqNullSafe(F.col("p._parent_key")), "left")
-    parent_n = F.when(F.col("h.row_type") == "total", F.lit(None)).otherwise(F.col("p._parent_n"))
-    return hp.select("h.zone", f"h.{WEEK}", "h.row_type", "h.grupo", "h.nivel", "h.n",
-                     pct_of_parent(F.col("h.n"), parent_n).alias("pct"),
-                     display_order(F.col("h.row_type"), F.col("h.grupo"), F.col("h.nivel")).alias("row_order"))
+    full = (sp.alias("s").join(h.alias("c"),
+                               (F.col("s.zone") == F.col("c.zone")) & (F.col(f"s.{WEEK}") == F.col(f"c.{WEEK}"))
+                               & (F.col("s.row_type") == F.col("c.row_type"))
+                               & F.col("s.grupo").eqNullSafe(F.col("c.grupo"))
+                               & F.col("s.nivel").eqNullSafe(F.col("c.nivel")), "left")
+                .select("s.*", F.coalesce(F.col("c.n"), F.lit(0)).cast("bigint").alias("n")))
+    by_key = Window.partitionBy("row_type", "grupo", "nivel")
+    by_cell = Window.partitionBy("zone", WEEK)
+    by_group = Window.partitionBy("zone", WEEK, "grupo")
+    present = F.max(((F.col("zone") == "todas") & (F.col("n") > 0)).cast("int")).over(by_key) == 1
+    total_n = F.max(F.when(F.col("row_type") == "total", F.col("n"))).over(by_cell)
+    group_n = F.max(F.when(F.col("row_type") == "grupo_origen", F.col("n"))).over(by_group)
+    parent_n = (F.when(F.col("row_type").isin("total_nivel", "grupo_origen"), total_n)
+                 .when(F.col("row_type") == "grupo_origen_nivel", group_n))
+    return (full.withColumn("_present", present).filter("_present")
+                .select("zone", WEEK, "row_type", "grupo", "nivel", "n",
+                        pct_of_parent(F.col("n"), parent_n).alias("pct"),
+                        display_order(F.col("row_type"), F.col("grupo"), F.col("nivel")).alias("row_order")))
 
 
 # -- dashboard KPI table (R01, F19, F20) -------------------------------------------
