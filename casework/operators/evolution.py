@@ -158,6 +158,10 @@ def appearances_by_name(batch: DataFrame, history: DataFrame, key: str = KEY) ->
              .otherwise(F.col(key)))\
             .withColumn("_ckind", F.when(anon, F.lit("name")).otherwise(F.lit("dni")))
 
-    both = with_key(history).select("_ckind", "_ckey").unionByName(with_key(batch).select("_ckind", "_ckey"))
-    counts = both.groupBy("_ckind", "_ckey").agg(F.count(F.lit(1)).alias("apariciones"))
-    return with_key(batch).join(counts, ["_ckind", "_ckey"], "left").drop("_ckind", "_ckey")
+    b = with_key(batch)
+    keys = b.select("_ckind", "_ckey").distinct()
+    # only history rows of the batch's keys reach the aggregation shuffle (as J03)
+    hist = with_key(history).select("_ckind", "_ckey").join(keys, ["_ckind", "_ckey"], "left_semi")
+    counts = (hist.unionByName(b.select("_ckind", "_ckey"))
+                  .groupBy("_ckind", "_ckey").agg(F.count(F.lit(1)).alias("apariciones")))
+    return b.join(counts, ["_ckind", "_ckey"], "left").drop("_ckind", "_ckey")
