@@ -102,3 +102,21 @@ def test_incident_dedup_option_and_write_paths(spark, tmp_path):
     history.append_raw(catalog.split(spark, SF)[2], raw)
     history.append_raw(catalog.split(spark, SF)[2], raw)
     assert spark.read.parquet(raw).count() == 2 * catalog.split(spark, SF)[2].count()
+
+
+def test_cli_weekly_from_banner_csv(spark, tmp_path):
+    from casework.__main__ import main
+    _, h, _ = catalog.split(spark, SF)
+    cols = [c for c in h.columns if c != "_seq"]
+    headers = [schema.title_case(c) for c in cols]
+    body = h.orderBy("_seq").select(F.to_csv(F.struct(*[F.col(c).cast("string") for c in cols])).alias("value"))
+    lead = spark.createDataFrame([("Exported report - weekly interventions",), (",".join(headers),)], "value string")
+    landing = str(tmp_path / "csv_landing")
+    (lead.withColumn("_o", F.lit(0)).unionByName(body.withColumn("_o", F.lit(1)))
+         .coalesce(1).sortWithinPartitions("_o").drop("_o").write.text(landing))
+    hist = str(tmp_path / "history_csv")
+    main(["weekly", "--landing", landing, "--format", "csv", "--history", hist, "--no-fuzzy"])
+    out = spark.read.parquet(hist)
+    assert out.count() == pipeline.clean_batch(h, fuzzy=False).count()
+    assert out.filter("fecha_inicio IS NULL").count() == 0
+    assert out.filter("tipo_evolucion IS NULL").count() == 0
