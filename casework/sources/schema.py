@@ -103,26 +103,36 @@ def canonical_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_case(c) for c in df.columns])
 
 
-def read_landing_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> DataFrame:
     """A landing export whose first line is a banner and whose second
-    line is the header; every column arrives as a string.  The two leading
-    lines of each file are found in the file's first split (ids increase
-    with the line order inside a split) and removed with an anti join on a
-    table of two rows per file; the rest is parsed in parallel with
-    ``from_csv`` (the reader's ``skipRows`` option is not honoured)."""
-    lines = (spark.read.text(path)
-                  .select("value", F.col("_metadata.file_path").alias("_file"),
-                          F.col("_metadata.file_block_start").alias("_block"))
-                  .withColumn("_id", F.monotonically_increasing_id()))
-    first = (lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner")))
-    lead = first.select("_file", F.explode(F.array(F.col("_banner"), F.col("_banner") + 1)).alias("_id"))
-    header_line = (lines.join(first, "_file").filter(F.col("_id") == F.col("_banner") + 1)
-                        .select("value").first())
+    line is the header; every column arrives as a string.
+
+    The header names come from the second line of the first file (parsed as
+    CSV).  Records are then read by Spark's CSV reader with a schema of that
+    many string columns; ``multiline`` keeps quoted fields with line breaks
+    whole (the file is then read by one task, as a spreadsheet export is).
+    The two leading records of each file (banner, header) are found in the
+    file's first split - ids increase with the record order inside a split -
+    and removed with an anti join on a table of two rows per file (the
+    reader's ``skipRows`` option is not honoured)."""
+    first_lines = (spark.read.text(path)
+                        .select("value", F.col("_metadata.file_path").alias("_file"),
+                                F.col("_metadata.file_block_start").alias("_block"))
+                        .withColumn("_id", F.monotonically_increasing_id()))
+    heads = (first_lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner")))
+    header_line = (first_lines.join(heads, "_file").filter(F.col("_id") == F.col("_banner") + 1)
+                              .orderBy("_file").select("value").first())
     names = next(csv.reader([header_line.value], delimiter=sep))  # one line, quoted names allowed
-    ddl = ", ".join(f"`{n.strip()}` string" for n in names)
-    body = lines.join(lead, ["_file", "_id"], "left_anti")
-    parsed = body.select(F.from_csv("value", ddl, {"sep": sep}).alias("r"))
-    return parsed.select("r.*")
+    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    records = (spark.read.schema(raw_schema).option("sep", sep).option("multiLine", multiline)
+                    .option("mode", "PERMISSIVE").csv(path)
+                    .withColumn("_file", F.col("_metadata.file_path"))
+                    .withColumn("_block", F.col("_metadata.file_block_start"))
+                    .withColumn("_id", F.monotonically_increasing_id()))
+    first = records.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner"))
+    lead = first.select("_file", F.explode(F.array(F.col("_banner"), F.col("_banner") + 1)).alias("_id"))
+    body = records.join(lead, ["_file", "_id"], "left_anti")
+    return body.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)])
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -120,3 +120,11 @@ def test_cli_weekly_from_banner_csv(spark, tmp_path):
     assert out.count() == pipeline.clean_batch(h, fuzzy=False).count()
     assert out.filter("fecha_inicio IS NULL").count() == 0
     assert out.filter("tipo_evolucion IS NULL").count() == 0
+
+
+def test_landing_csv_keeps_quoted_line_breaks(spark, tmp_path):
+    p = tmp_path / "multi.csv"
+    p.write_text('Banner line, exported\nId.Suceso,Resultado\n1,"Se retira\ndel lugar"\n2,"18. Mendicidad"\n',
+                 encoding="utf-8")
+    rows = schema.read_landing_csv(spark, str(p)).orderBy("`Id.Suceso`").collect()
+    assert [(r["Id.Suceso"], r["Resultado"]) for r in rows] == [("1", "Se retira\ndel lugar"), ("2", "18. Mendicidad")]
