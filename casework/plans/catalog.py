@@ -51,7 +51,8 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
         t = time.time()
         _MEMO[key] = write_table(build(), name)
         if os.environ.get("CASEWORK_TRACE"):
-            print(f"materialized {name} in {time.time() - t:.2f}s", flush=True)
+            import sys
+            print(f"materialized {name} in {time.time() - t:.2f}s", file=sys.stderr, flush=True)
     return _MEMO[key]
 
 
