@@ -135,3 +135,14 @@ def test_keyed_update_shuffle_fallback_equals_broadcast_path(spark):
                                                          max_broadcast_rows=0).collect()), key=str)
     assert small == large
     assert {r[1]: r[2] for r in small} == {1: "A", 2: "A", 3: "z", 4: "w"}
+
+
+def test_state_bound_day_vs_exact(spark):
+    schema = "dni_categorizado string, comuna_calculada double, fecha_inicio timestamp_ntz, _seq long"
+    hist = spark.createDataFrame([("30000001", 2.0, dt.datetime(2024, 1, 8, 6), 1)], schema)
+    batch = spark.createDataFrame([("30000001", 5.0, dt.datetime(2024, 1, 8, 9), 2)], schema)
+    day = evolution.classify_batch(batch, hist).first()
+    exact = evolution.classify_batch(batch, hist, bound="exact").first()
+    # day bound: the same-day history row is invisible to the state -> first seen
+    assert (day.tipo_evolucion, day.apariciones) == ("Nuevos", 2)
+    assert (exact.tipo_evolucion, exact.apariciones) == ("Migratorios", 2)
