@@ -146,3 +146,17 @@ def test_state_bound_day_vs_exact(spark):
     # day bound: the same-day history row is invisible to the state -> first seen
     assert (day.tipo_evolucion, day.apariciones) == ("Nuevos", 2)
     assert (exact.tipo_evolucion, exact.apariciones) == ("Migratorios", 2)
+
+
+def test_patch_from_lookup_modes_and_week_labels(spark):
+    from casework.functions.scalars import week_label
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, _seq int, v string")
+    lookup = spark.createDataFrame([("a", 5, "old"), ("a", 9, "new")], "k string, _seq int, v string")
+    safe = {r.k: r.v for r in history.patch_from_lookup(target, lookup, "k", ["v"], ["_seq"]).collect()}
+    parity = {r.k: r.v for r in history.patch_from_lookup(target, lookup, "k", ["v"], ["_seq"],
+                                                          keep_unmatched=False).collect()}
+    assert safe == {"a": "new", "b": "y"} and parity == {"a": "new", "b": None}
+    d = spark.sql("select date'2024-01-08' w").select(
+        week_label(F.col("w"), "dm").alias("a"), week_label(F.col("w"), "dmon").alias("b"),
+        week_label(F.col("w"), "iso").alias("c")).first()
+    assert (d.a, d.b, d.c) == ("08/01", "08 Jan", "2024-01-08")
