@@ -25,3 +25,11 @@ def test_two_drops_equal_two_weekly_runs(spark):
     got = {r._seq: (r.tipo_evolucion, r.apariciones) for r in out.collect()}
     want = {r._seq: (r.tipo_evolucion, r.apariciones) for r in catalog.labeled(spark, SF).collect()}
     assert got == want
+
+
+def test_restart_with_same_checkpoint_is_idempotent(spark):
+    root = tempfile.mkdtemp(prefix="run-stream-root-")
+    first = {r._seq: (r.tipo_evolucion, r.apariciones) for r in evolution_stream(spark, SF, root=root).collect()}
+    again = evolution_stream(spark, SF, root=root)  # same checkpoint: no new files, same output
+    assert {r._seq: (r.tipo_evolucion, r.apariciones) for r in again.collect()} == first
+    assert again.count() == len(first)
