@@ -69,10 +69,12 @@ def categorize_id_from(raw: Column, s: Column, low: Column, digits: Column, mode
     return (
         F.when(raw.isNull(), out(no, "nan"))
         .when(s == "", out(no, "empty"))
-        .when(low.rlike("(?i)" + not_given), out(no, "patron_no_brindo_genericos"))
-        .when(s.rlike("(?i)" + symbols) | s.rlike(SHORT_LETTERS_PATTERN), out(no, "simbolos_o_letras_cortas"))
+        # the source matched case-insensitively; ``low`` is already lower case, the pattern letters are
+        # lower-case ASCII and the symbol class lists x and X, so plain matching gives the same result
+        .when(low.rlike(not_given), out(no, "patron_no_brindo_genericos"))
+        .when(s.rlike(symbols) | s.rlike(SHORT_LETTERS_PATTERN), out(no, "simbolos_o_letras_cortas"))
         .when(s.rlike(ONLY_LETTERS_PATTERN) & (distinct_letters <= 2), out(no, "solo_letras_repetidas"))
-        .when(low.rlike("(?i)" + foreign), out(rules.FOREIGN_ID, "patron_extranjero"))
+        .when(low.rlike(foreign), out(rules.FOREIGN_ID, "patron_extranjero"))
         .when((nd >= 6) & (nd <= 10), out(digits.cast("bigint").cast("string"), "dni_valido"))
         .when((nd < 6) | low.rlike("[A-Za-z]"), out(no, "texto_o_corto"))
         .otherwise(out(no, "resto_no_brindo"))
