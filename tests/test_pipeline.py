@@ -128,3 +128,8 @@ def test_landing_csv_keeps_quoted_line_breaks(spark, tmp_path):
                  encoding="utf-8")
     rows = schema.read_landing_csv(spark, str(p)).orderBy("`Id.Suceso`").collect()
     assert [(r["Id.Suceso"], r["Resultado"]) for r in rows] == [("1", "Se retira\ndel lugar"), ("2", "18. Mendicidad")]
+
+
+def test_read_history_first_load_is_empty_typed_frame(spark, tmp_path):
+    df = schema.read_history(spark, str(tmp_path / "missing"), schema.HISTORY_SCHEMA)
+    assert df.count() == 0 and df.schema == schema.HISTORY_SCHEMA
