@@ -58,6 +58,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor
+    (once per application), wherever the driver found it."""
+    import shutil
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(here):  # else it came as a --py-files archive and is there already
+        root = tempfile.mkdtemp(prefix="casework-py-")
+        shutil.copytree(here, os.path.join(root, "pkg", "casework"), ignore=shutil.ignore_patterns("__pycache__"))
+        sc.addPyFile(shutil.make_archive(os.path.join(root, "casework_py"), "zip", os.path.join(root, "pkg")))
+    _SHIPPED.add(sc.applicationId)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a
     local checkpoint: executors may be lost)."""
