@@ -31,13 +31,17 @@ MAX_LANES = 4096
 STEPS = 256
 
 
+#: Next confidence by (miss or hit, confidence so far); a miss at 0 or 1 takes the new id.
+CONFIDENCE = np.array([[1, 1, 1, 2], [1, 2, 3, 3]], dtype=np.int8)
+
+
 class _Model:
     def __init__(self, alphabet: int):
         self.n = alphabet
         self.counts = np.ones(alphabet, dtype=np.int64)
         self.cum = np.zeros(alphabet + 1, dtype=np.int64)
-        self.one = np.zeros(alphabet, dtype=np.int64), np.zeros(alphabet, dtype=np.int64)
-        self.two = np.zeros(1 << SLOT_BITS, dtype=np.int64), np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        self.one = np.zeros(alphabet, dtype=np.int32), np.zeros(alphabet, dtype=np.int8)
+        self.two = np.zeros(1 << SLOT_BITS, dtype=np.int32), np.zeros(1 << SLOT_BITS, dtype=np.int8)
         self.seen = np.full(32, 4, dtype=np.int64)
         self.hits1 = np.ones(32, dtype=np.int64)
         self.hits2 = np.ones(32, dtype=np.int64)
@@ -80,7 +84,7 @@ class _Model:
         past_b = past_a & (rest >= self.base(b + 1) + wb)
         is_b = past_a & ~past_b & (rest >= self.base(b))
         rest = rest - wb * past_b
-        x = np.where(is_a, a, b)
+        x = np.where(is_a, a, b).astype(np.int64)
         free = np.nonzero(~(is_a | is_b))[0]
         at = ((rest[free] + 1) * self.total - 1) // self.w0[free]
         x[free] = np.searchsorted(self.cum, at, side="right") - 1
@@ -94,9 +98,9 @@ class _Model:
         self.hits2 += np.bincount(self.key[hit2], minlength=32)
         for (ids, conf), at, p, c, same in ((self.one, self.last, self.p1, self.c1, self.same1),
                                             (self.two, self.slot, self.p2, self.c2, self.same2)):
-            new = ~same & (c <= 1)
-            conf[at] = np.where(same, np.minimum(c + 1, 3), np.where(new, 1, c - 1))
-            ids[at] = np.where(new, x, p)
+            conf[at] = CONFIDENCE[same.view(np.int8), c]
+            new = np.flatnonzero(~same & (c <= 1))
+            ids[at[new]] = x[new]
         self.counts += GAIN * np.bincount(x, minlength=self.n)
         if self.total + GAIN * len(x) > MAX_COUNT:
             self.counts = (self.counts + 1) >> 1
@@ -127,9 +131,10 @@ def compress(ids: np.ndarray) -> bytes:
     begin = _starts(lanes, steps, alive)
     model = _Model(int(ids.max()) + 1)
     low, rng = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK + 1, dtype=np.int64)
-    digits = np.zeros((lanes, 2 * steps + 4), dtype=np.int64)  # digit 0 takes no carry: the code stays below 1
-    at = np.ones(lanes, dtype=np.int64)
-    every = np.arange(lanes)
+    room = 2 * steps + 4
+    digits = np.zeros(lanes * room, dtype=np.int32)
+    first = np.arange(lanes) * room  # a lane's digit 0 is there for the writing only: the code stays below 1
+    at = first + 1
     last = before = np.zeros(lanes, dtype=np.int64)
     for step in range(steps):
         k = lanes if step < steps - 1 else alive
@@ -139,22 +144,24 @@ def compress(ids: np.ndarray) -> bytes:
         r = rng[:k] >> TOTAL_BITS
         l = low[:k] + r * start
         r *= width
-        over = l >> WINDOW
-        digits[every[:k], at[:k] - 1] += over
+        over = np.flatnonzero(l > MASK)
+        digits[at[over] - 1] += 1
         l &= MASK
         for _ in range(2):
             short = np.nonzero(r < LOWEST)[0]
-            digits[short, at[short]] = l[short] >> (WINDOW - 16)
-            l[short] = (l[short] << 16) & MASK
+            out = l[short]
+            digits[at[short]] = out >> (WINDOW - 16)
+            l[short] = (out << 16) & MASK
             r[short] <<= 16
             at[short] += 1
         low[:k], rng[:k] = l, r
         model.learn(x)
         before, last = last[:k], x
     v = (low + (LOWEST - 1)) >> (WINDOW - 16)  # one digit within the range is enough, zeros follow
-    digits[every, at - 1] += v >> 16
-    digits[every, at] = v & 0xFFFF
-    at += 1
+    digits[at - 1] += (v >> 16).astype(np.int32)
+    digits[at] = v & 0xFFFF
+    at += 1 - first
+    digits = digits.reshape(lanes, room)
     for j in range(int(at.max()) - 1, 0, -1):
         digits[:, j - 1] += digits[:, j] >> 16
         digits[:, j] &= 0xFFFF
