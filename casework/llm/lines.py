@@ -41,8 +41,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """The table with the text of each document without its repeated windows,
     and __n_lines and __n_removed."""
     lines = F.split("text", "\n")
+    # the lines are a column of their own, else each window would split the text again
     found = write_table(
-        docs.select("doc_id", F.xxhash64("text").alias("key"), F.explode(_windows(lines)).alias("w"))
+        docs.select("doc_id", F.xxhash64("text").alias("key"), lines.alias("lines"))
+        .select("doc_id", "key", F.explode(_windows(F.col("lines"))).alias("w"))
         .select("doc_id", "key", "w.pos", "w.h1", "w.h2"), "line-windows")
     at = F.struct("doc_id", "key", "pos")
     repeated = (found.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -50,8 +52,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     later = found.join(repeated, ["h1", "h2"]).filter(~at.eqNullSafe(F.col("first")))
     covered = later.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("__starts"))
     covered = covered.withColumnsRenamed({"doc_id": "__id", "key": "__key"})
-    cut = docs.withColumn("__lines", lines).join(
-        covered, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left")
+    cut = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key")), "left")
+    cut = cut.withColumn("__lines", lines)
     gone = F.array_distinct(F.flatten(F.transform("__starts", lambda p: F.array(*[p + k for k in range(WINDOW)]))))
     n = F.coalesce(F.size("__lines"), F.lit(0))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
