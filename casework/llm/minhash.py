@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from casework.llm.common import in_id_order, shuffle_partitions, split_hot, texts
+from casework.llm.common import in_id_order, scratch, shuffle_partitions, split_hot, texts
 from casework.llm.components import components
 from casework.session import write_table
 
@@ -197,7 +197,10 @@ def fingerprint_table(docs: DataFrame) -> DataFrame:
                 yield _batch(pa, rows, arrow(pa))
 
     ordered = in_id_order(texts(docs), shuffle_partitions(docs.sparkSession))
-    found = write_table(ordered.mapInArrow(within, _RESULT + ", range int, kind string, text string"), "minhash-rows")
+    path = scratch(docs.sparkSession, "minhash-rows")
+    (ordered.mapInArrow(within, _RESULT + ", range int, kind string, text string")
+     .write.option("compression", "zstd").parquet(path))  # hexadecimal text: half of it goes
+    found = docs.sparkSession.read.parquet(path)
     first = found.filter("kind = 'first'")
     by_range = Window.orderBy("range")  # one row a range
     before = first.select(F.col("text").alias("next"), F.coalesce(
