@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casework.llm.common import split_hot, texts
+from casework.llm.common import small_side, split_hot, texts
 from casework.llm.components import components
 from casework.session import write_table
 
@@ -274,6 +274,9 @@ def keep_one(docs: DataFrame) -> DataFrame:
     roots = classes(marked.select(F.col("__fp").alias("fp")))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
     least = marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(order).alias("first"))
-    kept = write_table(least.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
-                       .select(F.col("first.row").alias("__row")), "simhash-kept")
-    return marked.join(kept, "__row", "left_semi").select(*docs.columns)
+    # rows to go are few beside the rows that stay, so the texts needn't be shuffled to find them
+    first = least.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    keep = roots.join(first, "root").select(F.col("fp").alias("__fp"), F.col("first.row").alias("keep"))
+    gone = write_table(marked.select("__fp", "__row").join(keep, "__fp").filter(F.col("__row") != F.col("keep")).select("__row"),
+                       "simhash-gone")
+    return marked.join(small_side(gone, 4_000_000), "__row", "left_anti").select(*docs.columns)
