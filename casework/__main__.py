@@ -33,10 +33,11 @@ def _landing(spark, path: str, fmt: str):
 def weekly(args) -> dict:
     from casework.operators import evolution, history
     from casework.plans import pipeline
-    from casework.session import get_session, write_table
+    from casework.session import get_session, path_exists, ship_package, write_table
     spark = get_session()
+    ship_package(spark)
     export = _landing(spark, args.landing, args.format)
-    exists = os.path.exists(args.history)
+    exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
         cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy), "first_load")
         labelled = evolution.classify_batch(cleaned, cleaned.filter(F.lit(False)))

@@ -26,9 +26,14 @@ def lookup(d: dict, key: Column) -> Column:
 
 # -- numbers ----------------------------------------------------------------
 
+# what counts as a number; a plain cast also takes the type suffixes of literals ('12d', '0f')
+NUMBER = r"(?i)^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?$|^[+-]?inf(inity)?$"
+
+
 def to_district(c: Column) -> Column:
     """text or number -> double; comma decimal; bad, NaN -> null."""
-    v = F.replace(F.trim(c.cast("string")), F.lit(","), F.lit(".")).try_cast("double")
+    text = F.replace(F.trim(c.cast("string")), F.lit(","), F.lit("."))
+    v = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 

@@ -24,7 +24,7 @@ from casework.operators import categorize as cat
 from casework.operators import dedup, evolution, geo, history
 from casework.plans import pipeline, reports
 from casework.sources import schema
-from casework.session import write_table
+from casework.session import table_path, table_version, write_table
 from casework.sources.adapter import load_interventions, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +40,12 @@ def batch_start(i: DataFrame) -> Column:
 # Derived tables shared by several queries are materialised once per session
 # as reliable checkpoints in the shared checkpoint folder (the role the
 # written history table plays in production); later queries read them.
-_MEMO: dict[tuple[str, str, str], DataFrame] = {}
+_MEMO: dict[tuple, DataFrame] = {}
 
 
 def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    # the version makes the copy go out of use when its source table changes
+    key = (spark.sparkContext.applicationId, sf_dir, name, table_version(spark, table_path(sf_dir, "events")))
     if key not in _MEMO:
         import os
         import time

@@ -88,7 +88,7 @@ def snapshot_merge(prev: DataFrame, new: DataFrame) -> DataFrame:
 @dataclass
 class WeeklyResult:
     batch: DataFrame          # classified new rows (appended)
-    history: DataFrame        # history after reconcile
+    history: DataFrame        # history after reconcile; with a path the table as stored, batch included
     n_reconciled: int
     person_state: DataFrame | None = None   # merged state when the state path is used
 
@@ -113,8 +113,11 @@ def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None =
     upd_keys = updates.select("id_suceso")
     touched_weeks = (history.filter(F.col("estado") == "PENDIENTE")
                             .join(F.broadcast(upd_keys) if small else upd_keys, "id_suceso", "left_semi")
-                            .select("week").distinct())
-    part = history.join(touched_weeks, "week", "left_semi")
+                            .select(F.col("week").alias("_touched")).distinct())
+    # rows without a date are a partition of their own, so the weeks are compared null-safe
+    touched_weeks = write_table(touched_weeks, "touched_weeks")
+    same_week = F.col("week").eqNullSafe(F.col("_touched"))
+    part = history.join(touched_weeks, same_week, "left_semi")
     rebuilt = write_table(
         apply_keyed_update(part, updates, "id_suceso", RECONCILE_COLUMNS,
                            predicate=F.col("estado") == "PENDIENTE"), "reconciled_weeks")
@@ -134,4 +137,7 @@ def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None =
     if history_path is not None:
         overwrite_partitions(rebuilt.drop("_updated"), history_path)
         append_history(classified, history_path)
-    return WeeklyResult(batch=classified, history=base, n_reconciled=n, person_state=new_state)
+        after = history.sparkSession.read.parquet(history_path).drop("week")
+    else:
+        after = history.join(touched_weeks, same_week, "left_anti").unionByName(rebuilt.drop("_updated")).drop("week")
+    return WeeklyResult(batch=classified, history=after, n_reconciled=n, person_state=new_state)

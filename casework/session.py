@@ -11,8 +11,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Conf keys the jobs rely on.  Values here are only defaults for local runs;
-# on a cluster the submitter's values win (``getOrCreate`` keeps them).
+# Conf keys the jobs rely on.  Values here are only defaults: whatever the
+# submitter has set wins, and the LOCAL_ONLY ones are never set off a local master.
+LOCAL_ONLY = {"spark.sql.shuffle.partitions", "spark.driver.memory"}
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -33,18 +34,65 @@ LOCAL_DEFAULTS = {
 }
 
 
+def submitted_conf() -> dict[str, str]:
+    """Settings made outside this code: by spark-submit (the JVM is up then),
+    or in PYSPARK_SUBMIT_ARGS."""
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        from pyspark import SparkConf, SparkContext
+        SparkContext._ensure_initialized()
+        return dict(SparkConf().getAll())
+    import shlex
+    words, out = shlex.split(os.environ.get("PYSPARK_SUBMIT_ARGS", "")), {}
+    for flag, value in zip(words, words[1:]):
+        if flag in ("--conf", "-c"):
+            key, _, out_value = value.partition("=")
+            out[key] = out_value
+        elif flag == "--master":
+            out["spark.master"] = value
+        elif flag == "--driver-memory":
+            out["spark.driver.memory"] = value
+    return out
+
+
 def get_session(master: str | None = None, app: str = "casework", **conf: str) -> SparkSession:
+    """A session with the defaults above; ``conf`` given here beats them, and
+    what was submitted beats both."""
     builder = SparkSession.builder.appName(app)
+    submitted = submitted_conf()
+    master = submitted.get("spark.master", master)
     if master:
         builder = builder.master(master)
+    local = not master or is_local(master)
     for k, v in {**LOCAL_DEFAULTS, **conf}.items():
-        builder = builder.config(k, v)
+        if k not in submitted and (local or k in conf or k not in LOCAL_ONLY):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system Spark knows exists."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def table_version(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """(files, bytes, latest change) below a path: changes when the table does."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
+    n = size = latest = 0
+    while files.hasNext():
+        status = files.next()
+        n, size, latest = n + 1, size + status.getLen(), max(latest, status.getModificationTime())
+    return n, size, latest
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -52,6 +100,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     back to a fresh scratch folder when it is unset (local tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="casework-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

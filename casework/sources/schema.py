@@ -9,12 +9,15 @@ All of it is projection only (no job, no shuffle).
 from __future__ import annotations
 
 import csv
+from urllib.parse import unquote
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casework.session import path_exists
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES: source header renames
 # ---------------------------------------------------------------------------
@@ -104,43 +107,52 @@ def canonical_headers(df: DataFrame) -> DataFrame:
 
 
 def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> DataFrame:
-    """A landing export whose first line is a banner and whose second
-    line is the header; every column arrives as a string.
-
-    The header names come from the second line of the first file (parsed as
-    CSV).  Records are then read by Spark's CSV reader with a schema of that
-    many string columns; ``multiline`` keeps quoted fields with line breaks
-    whole (the file is then read by one task, as a spreadsheet export is).
-    The two leading records of each file (banner, header) are found in the
-    file's first split - ids increase with the record order inside a split -
-    and removed with an anti join on a table of two rows per file (the
-    reader's ``skipRows`` option is not honoured)."""
-    first_lines = (spark.read.text(path)
-                        .select("value", F.col("_metadata.file_path").alias("_file"),
-                                F.col("_metadata.file_block_start").alias("_block"))
-                        .withColumn("_id", F.monotonically_increasing_id()))
-    heads = (first_lines.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner")))
-    header_line = (first_lines.join(heads, "_file").filter(F.col("_id") == F.col("_banner") + 1)
-                              .orderBy("_file").select("value").first())
-    names = next(csv.reader([header_line.value], delimiter=sep))  # one line, quoted names allowed
+    """Landing exports whose first line is a banner and whose second line
+    is the header; every column arrives as a string.
+
+    Header and banner of each file are found in its first split (ids increase
+    with the record order inside a split) and collected, one row a file.  Files
+    with the same header are read together by Spark's CSV reader, with that
+    many string columns; files with other headers are joined to them by column
+    name.  ``multiline`` keeps quoted fields with line breaks whole (a file is
+    then read by one task, as a spreadsheet export is)."""
+    lines = (spark.read.text(path)
+                  .select("value", F.col("_metadata.file_path").alias("_file"),
+                          F.col("_metadata.file_block_start").alias("_block"))
+                  .withColumn("_id", F.monotonically_increasing_id()).filter(F.col("_block") == 0))
+    top = lines.groupBy("_file").agg(F.min("_id").alias("_banner"))
+    leading = lines.join(top, "_file").filter(F.col("_id") <= F.col("_banner") + 1)
+    files = (leading.groupBy("_file").agg(F.min_by("value", "_id").alias("banner"), F.max_by("value", "_id").alias("header"))
+                    .orderBy("_file").collect())
+    groups: dict[tuple[str, bool], list[str]] = {}
+    for f in files:  # the CSV reader leaves out a blank banner line by itself
+        groups.setdefault((f.header, not f.banner.strip()), []).append(f["_file"])
+    out = None
+    for (header, blank), paths in groups.items():
+        part = _landing_files(spark, paths, next(csv.reader([header], delimiter=sep)), 1 if blank else 2, sep, multiline)
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _landing_files(spark: SparkSession, paths: list[str], names: list[str], lead: int, sep: str, multiline: bool) -> DataFrame:
+    """Records of files with one header, without the ``lead`` first of each file
+    (an anti join on a table of that many rows per file; the reader's
+    ``skipRows`` option is not honoured)."""
     raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     records = (spark.read.schema(raw_schema).option("sep", sep).option("multiLine", multiline)
-                    .option("mode", "PERMISSIVE").csv(path)
+                    .option("mode", "PERMISSIVE").csv([unquote(p) for p in paths])
                     .withColumn("_file", F.col("_metadata.file_path"))
                     .withColumn("_block", F.col("_metadata.file_block_start"))
                     .withColumn("_id", F.monotonically_increasing_id()))
     first = records.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner"))
-    lead = first.select("_file", F.explode(F.array(F.col("_banner"), F.col("_banner") + 1)).alias("_id"))
-    body = records.join(lead, ["_file", "_id"], "left_anti")
+    leading = first.select("_file", F.explode(F.array(*[F.col("_banner") + i for i in range(lead)])).alias("_id"))
+    body = records.join(leading, ["_file", "_id"], "left_anti")
     return body.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)])
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The history table (empty frame of the schema when absent)."""
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except Exception:  # path absent: first load
-        if schema is None:
-            raise
+    if schema is not None and not path_exists(spark, path):  # first load; any other failure is an error
         return spark.createDataFrame([], schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)

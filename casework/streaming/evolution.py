@@ -28,15 +28,14 @@ from pyspark.sql import functions as F
 
 from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
 from casework.plans.pipeline import clean_batch
-from casework.session import ensure_checkpoint_dir, table_path
+from casework.session import ensure_checkpoint_dir, path_exists, table_path
 from casework.sources.adapter import interventions_from_events
 
 
 def _latest_state(spark: SparkSession, state_root: str, before_epoch: int) -> DataFrame | None:
-    try:
-        versions = spark.read.parquet(state_root)
-    except Exception:  # no state written yet
+    if not path_exists(spark, state_root):  # no state written yet; an unreadable one is an error
         return None
+    versions = spark.read.parquet(state_root)
     older = versions.filter(F.col("v") < before_epoch)
     latest = older.agg(F.max("v")).first()[0]
     if latest is None:
