@@ -176,7 +176,7 @@ def pct_of_total(n: Column, total: Column) -> Column:
 
 def pct_cell(n: Column, total: Column) -> Column:
     """'<p>% (<n>)'."""
-    return F.format_string("%d%% (%d)", pct_of_total(n, total), n.cast("int"))
+    return F.format_string("%d%% (%d)", pct_of_total(n, total), n)
 
 
 def pct_of_parent(n: Column, parent: Column) -> Column:

@@ -166,11 +166,12 @@ def catchup_delta(history: DataFrame, snapshot: DataFrame, ts: str = TS) -> Data
 
 def append_history(df: DataFrame, path: str, ts: str = TS, max_records_per_file: int = 5_000_000) -> None:
     """Append, partitioned by Monday week, sorted by date inside
-    each file (L01).  Every task writes its own files per week (no shuffle
-    by week: one week of a large history must not land in one task); the
-    local sort keeps one open writer per task and gives row-group date
-    statistics for pruning."""
-    (df.withColumn("week", week_start(F.col(ts)))
+    each file (L01).  The rebalance hint brings the rows of a week together,
+    so a first load doesn't write tasks x weeks small files, while adaptive
+    execution splits a week that is larger than the advisory size over
+    several tasks; the local sort keeps one open writer per task and gives
+    row-group date statistics for pruning."""
+    (df.withColumn("week", week_start(F.col(ts))).hint("rebalance", "week")
        .sortWithinPartitions("week", ts)
        .write.mode("append").option("maxRecordsPerFile", max_records_per_file)
        .partitionBy("week").parquet(path))

@@ -43,14 +43,15 @@ def batch_start(i: DataFrame) -> Column:
 _MEMO: dict[tuple, DataFrame] = {}
 
 
-def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame],
+                 partition: str | None = None) -> DataFrame:
     # the version makes the copy go out of use when its source table changes
     key = (spark.sparkContext.applicationId, sf_dir, name, table_version(spark, table_path(sf_dir, "events")))
     if key not in _MEMO:
         import os
         import time
         t = time.time()
-        _MEMO[key] = write_table(build(), name)
+        _MEMO[key] = write_table(build(), name, partition)
         if os.environ.get("CASEWORK_TRACE"):
             import sys
             print(f"materialized {name} in {time.time() - t:.2f}s", file=sys.stderr, flush=True)
@@ -81,8 +82,9 @@ def labeled(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         ch, cb = cleaned(spark, sf_dir)
         first_load = evolution.classify_batch(ch, ch.filter(F.lit(False)))
-        return first_load.unionByName(evolution.classify_batch(cb, ch))
-    return materialized(spark, sf_dir, "labeled_history", build)
+        both = first_load.unionByName(evolution.classify_batch(cb, ch))
+        return both.withColumn(reports.PARTITION, week_start(F.col("fecha_inicio"))).hint("rebalance", reports.PARTITION)
+    return materialized(spark, sf_dir, "labeled_history", build, reports.PARTITION)
 
 
 def reexport(i: DataFrame) -> DataFrame:
@@ -433,7 +435,7 @@ def q_report_week_range(spark, sf_dir):
     weeks = p.select(reports.WEEK).distinct()
     w2 = weeks.orderBy(reports.WEEK).limit(2).agg(F.max(reports.WEEK)).scalar()
     w4 = weeks.orderBy(reports.WEEK).limit(4).agg(F.max(reports.WEEK)).scalar()
-    return reports.week_range(reports.hierarchy_counts(p), w2, w4)
+    return reports.hierarchy_counts(reports.week_range(p, w2, w4))
 
 
 def q_late_arrivals(spark, sf_dir):

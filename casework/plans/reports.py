@@ -21,6 +21,7 @@ from casework.functions.scalars import (associated_id_is_zero, card_type, dashbo
 from casework.operators.dedup import keep_first_per_key
 
 WEEK = "semana"
+PARTITION = "week"  # Monday week, the partition column of the stored history
 
 
 # -- week axis (L02, A08) ------------------------------------------------------
@@ -56,12 +57,18 @@ def reindex_counts(counts: DataFrame, spine_df: DataFrame, keys: list[str], valu
 
 # -- preparation (R09, R10) ------------------------------------------------------
 
+def _week_column(df: DataFrame) -> Column:
+    """The Monday week: the partition column of a stored history (so that
+    filters on weeks prune its partitions), else computed from the date."""
+    return F.col(PARTITION).cast("date") if PARTITION in df.columns else week_start(F.col("fecha_inicio"))
+
+
 def prepare_weekly(df: DataFrame, dedup_incident: bool = False) -> DataFrame:
     """Date, P07, F15 + P08, F16, F11, P10, W09, F18, F17 (order matters:
     the report level is computed before the category exclusion)."""
     out = (df.withColumn("fecha_inicio", to_timestamp_lenient(F.col("fecha_inicio")))
              .filter(F.col("fecha_inicio").isNotNull())
-             .withColumn(WEEK, week_start(F.col("fecha_inicio")))
+             .withColumn(WEEK, _week_column(df))
              .filter(associated_id_is_zero(F.col("id_suceso_asociado")))
              .withColumn("grupo_origen", origin_group(F.col("origen")))
              .filter(F.col("grupo_origen") != rules.ORIGIN_EXCLUDED_MARK)
@@ -84,7 +91,7 @@ def prepare_dashboard(df: DataFrame) -> DataFrame:
     cat = F.col("categoria_final")
     return (df.withColumn("fecha_inicio", to_timestamp_lenient(F.col("fecha_inicio")))
               .filter(F.col("fecha_inicio").isNotNull())
-              .withColumn(WEEK, week_start(F.col("fecha_inicio")))
+              .withColumn(WEEK, _week_column(df))
               .filter(associated_id_is_zero(F.col("id_suceso_asociado")))
               .filter(~F.coalesce(F.col("origen").isin("CORTAN", "EQUIVOCADO"), F.lit(False)))
               .filter(~F.coalesce(cat.isin("sin_match", "error de soflex"), F.lit(False))))
@@ -232,7 +239,7 @@ def kpi_table(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS) -> DataFrame:
                    row(5, rules.KPI_ROWS[4], "no_se_contacta", True), row(6, rules.KPI_ROWS[5], "sin_cubrir", True))
     out = full.select("zone", WEEK, F.inline(rows))
     cell = F.when(F.col("pct").isNull(), F.col("n").cast("string")).otherwise(
-        F.format_string("%d%% (%d)", F.col("pct"), F.col("n").cast("int")))
+        F.format_string("%d%% (%d)", F.col("pct"), F.col("n")))
     base_map = {f"{z}|{i + 1}": v for z, vals in rules.KPI_BASELINES.items() for i, v in enumerate(vals)}
     from casework.functions.scalars import lookup, week_label
     baseline = F.coalesce(lookup(base_map, F.concat_ws("|", F.col("zone"), F.col("ord").cast("string"))),
@@ -266,24 +273,27 @@ def dni_evolution(base: DataFrame, zones: dict[str, Column | None], rest_zone: s
     ``n_weeks`` weeks.  ``zones`` maps a zone name to a row predicate (None =
     all rows); the week axis is the whole base's, except for ``rest_zone``
     whose axis comes from its own rows.  'Nuevo repetido' counts as 'Nuevos';
-    each (zone, week, id) keeps the label of its first row.  One pass: rows
-    are exploded to their zone tags and aggregated once."""
+    each (zone, week, id) keeps the label of its first row.  A base without
+    labels gives zeros.  The axes come from one narrow pass; only the weeks
+    from the oldest of them on are labelled, reduced to one row per (week,
+    id, zones) and only then spread over the zones."""
     classes = ["Nuevos", "Recurrentes", "Migratorios"]
-    label = F.when(F.col("tipo_evolucion") == "Nuevo repetido", F.lit("Nuevos")).otherwise(F.col("tipo_evolucion"))
+    evo = F.col("tipo_evolucion") if "tipo_evolucion" in base.columns else F.lit(None).cast("string")
+    label = F.when(evo == "Nuevo repetido", F.lit("Nuevos")).otherwise(evo)
     all_tag = "__all__"
-    tagged = (base.withColumn("_lab", label)
-                  .withColumn("zone", F.explode(F.array_union(zone_tags(zones), F.array(F.lit(all_tag))))))
-    per_id = (tagged.filter(F.col("zone") != all_tag)
-                    .groupBy("zone", WEEK, "dni_categorizado")
-                    .agg(F.min_by("_lab", F.struct("fecha_inicio", "_seq")).alias("_lab")))
+    axis_tags = {all_tag: None} | ({rest_zone: zones[rest_zone]} if rest_zone is not None else {})
+    tops = top_weeks_per_zone(base.withColumn("zone", F.explode(zone_tags(axis_tags))), n_weeks)
+    shared = F.array(*[F.lit(z) for z in zones if z != rest_zone])
+    axis = tops.select(F.explode(F.when(F.col("zone") == all_tag, shared).otherwise(F.array("zone"))).alias("zone"), WEEK)
+    order = F.struct("fecha_inicio", "_seq")
+    first = (base.filter(F.col(WEEK) >= tops.agg(F.min(WEEK)).scalar())
+                 .select(WEEK, "dni_categorizado", zone_tags(zones).alias("_zones"), order.alias("_o"), label.alias("_lab"))
+                 .groupBy(WEEK, "dni_categorizado", "_zones")
+                 .agg(F.min("_o").alias("_o"), F.min_by("_lab", "_o").alias("_lab")))
+    per_id = (first.withColumn("zone", F.explode("_zones"))
+                   .groupBy("zone", WEEK, "dni_categorizado").agg(F.min_by("_lab", "_o").alias("_lab")))
     counts = (per_id.filter(F.col("_lab").isin(classes))
                     .groupBy("zone", WEEK).pivot("_lab", classes).count())
-    tops = top_weeks_per_zone(tagged.filter(F.col("zone").isin(all_tag, rest_zone or all_tag)), n_weeks)
-    shared = [z for z in zones if z != rest_zone]
-    axis = (tops.filter(F.col("zone") == all_tag)
-                .select(F.explode(F.array(*[F.lit(z) for z in shared])).alias("zone"), WEEK))
-    if rest_zone is not None:
-        axis = axis.unionByName(tops.filter(F.col("zone") == rest_zone))
     out = axis.join(counts, ["zone", WEEK], "left")
     return out.select("zone", WEEK, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c.lower())
                                        for c in classes])
@@ -310,10 +320,12 @@ def outcome_breakdown(base: DataFrame, n_weeks: int = rules.REPORT_WEEKS, legacy
     buckets = rules.LEGACY_DASHBOARD_BUCKETS if legacy_names else \
         sorted(set(rules.BUCKET_BY_CATEGORY.values())) + [rules.BUCKET_DEFAULT]
     tagged = base.withColumn("zone", F.explode(zone_tags(dashboard_zones())))
-    counts = (tagged.filter(F.col("nivel_contacto") == "Se contacta")
-                    .groupBy("zone", WEEK, outcome_bucket(F.col("categoria_final")).alias("bucket"))
-                    .agg(F.count(F.lit(1)).alias("n")))
-    sp = spine(top_weeks_per_zone(tagged, n_weeks), bucket=buckets)
+    tops = top_weeks_per_zone(tagged, n_weeks)
+    counts = (base.filter((F.col(WEEK) >= tops.agg(F.min(WEEK)).scalar()) & (F.col("nivel_contacto") == "Se contacta"))
+                  .withColumn("zone", F.explode(zone_tags(dashboard_zones())))
+                  .groupBy("zone", WEEK, outcome_bucket(F.col("categoria_final")).alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+    sp = spine(tops, bucket=buckets)
     return reindex_counts(counts, sp, ["zone", WEEK, "bucket"]).select("zone", WEEK, "bucket", "n")
 
 

@@ -133,7 +133,7 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
     """Materialise ``df`` as a Parquet table under the shared checkpoint
     folder and return a read of it: lineage is cut, and later readers get
     columnar scans with column pruning and predicate pushdown (a reliable
@@ -142,7 +142,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     import uuid
     root = ensure_checkpoint_dir(df.sparkSession)
     path = os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").parquet(path)
+    writer = df.write.mode("errorifexists")
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

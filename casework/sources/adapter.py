@@ -118,18 +118,18 @@ def interventions_from_events(events: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work at least one task per core.
+    """Give CPU-heavy per-row work over a single scan split one task per core.
 
-    A scan yields one task per file split; a small file with a single row
-    group is one task, which would serialise every regex and rule chain on
-    one core.  Only then is the input round-robin repartitioned; a large
-    table already has far more splits than cores and is left untouched."""
+    A table of one split (at most ``spark.sql.files.maxPartitionBytes``)
+    would run every regex and rule chain on one core, so it alone is dealt
+    round-robin.  A table of two or more splits is never shuffled here,
+    however many cores the cluster has."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (e.g. a remote session): keep the scan as is
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target) if splits == 1 else df
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
