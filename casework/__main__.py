@@ -1,7 +1,7 @@
 """Command line for the weekly job and the report datasets.
 
-    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--no-fuzzy]
-    python -m casework reports --history PATH --out DIR
+    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--no-fuzzy]
+    python -m casework reports --history PATH --out DIR [--dedup-incident]
 
 ``weekly`` is the incremental run (T01): landing export -> header alignment
 -> watermark -> reconcile late closures -> clean -> evolution labels and
@@ -31,21 +31,22 @@ def _landing(spark, path: str, fmt: str):
 
 
 def weekly(args) -> dict:
-    from casework.operators import evolution, history
+    from casework.operators import evolution, geo, history
     from casework.plans import pipeline
     from casework.session import get_session, path_exists, ship_package, write_table
     spark = get_session()
     ship_package(spark)
     export = _landing(spark, args.landing, args.format)
+    zones = geo.read_zones(spark, args.zones) if args.zones else None
     exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
-        cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy), "first_load")
+        cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy, zones=zones), "first_load")
         labelled = evolution.classify_batch(cleaned, cleaned.filter(F.lit(False)))
         history.append_history(labelled, args.history)
         return {"mode": "first_load", "appended": spark.read.parquet(args.history).count()}
     hist = spark.read.parquet(args.history)
     wm = history.watermark(hist).scalar()
-    res = pipeline.run_weekly(export, hist, args.history, wm=wm, fuzzy=args.fuzzy)
+    res = pipeline.run_weekly(export, hist, args.history, wm=wm, fuzzy=args.fuzzy, zones=zones)
     return {"mode": "incremental", "reconciled": res.n_reconciled, "appended": res.batch.count()}
 
 
@@ -54,13 +55,14 @@ def reports(args) -> dict:
     from casework.session import get_session
     spark = get_session()
     hist = spark.read.parquet(args.history)
-    weekly_base, dash_base = R.prepare_weekly(hist), R.prepare_dashboard(hist)
+    weekly_base, dash_base = R.prepare_weekly(hist, args.dedup_incident), R.prepare_dashboard(hist)
     outputs = {
         "kpi_table": R.kpi_table(dash_base),
         "dni_evolution_dashboard": R.dni_evolution(dash_base, R.dashboard_zones(), rest_zone="resto"),
         "outcome_breakdown": R.outcome_breakdown(dash_base),
         "hierarchy": R.hierarchy_with_pct(weekly_base),
         "contact_breakdown": R.contact_breakdown(weekly_base),
+        "contact_breakdown_dashboard": R.contact_breakdown_dashboard(dash_base),
         "dni_evolution_report": R.dni_evolution(weekly_base, R.report_zones(), rest_zone="resto"),
     }
     outputs["chart_payload"] = R.chart_payload(outputs["dni_evolution_dashboard"])
@@ -79,10 +81,12 @@ def main(argv=None) -> None:
     w.add_argument("--landing", required=True)
     w.add_argument("--format", choices=["csv", "parquet"], default="csv")
     w.add_argument("--history", required=True)
+    w.add_argument("--zones", help="Parquet zone layer, one ring per row")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     r = sub.add_parser("reports")
     r.add_argument("--history", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--dedup-incident", action="store_true", help="first row of each incident only")
     args = p.parse_args(argv)
     result = weekly(args) if args.cmd == "weekly" else reports(args)
     print(json.dumps(result, default=str))

@@ -1,6 +1,7 @@
 """Point-in-polygon zone tagging.
 
-Plan shape: the zone layer is a fixed asset (a handful of rings), so it is
+Plan shape: the zone layer is a small asset (``read_zones`` reads one ring per
+row; several rings of a zone are its parts and holes), so it is
 cut on the driver into a grid of cells, each cell holding the zones whose
 bounding box touches it, ordered by (priority, ord).  Points compute their
 cell and take a broadcast hash equi-join on the cell key (no cross join, no
@@ -15,14 +16,14 @@ first-match for duplicates without any shuffle.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casework.functions.scalars import to_coordinate
-from casework.operators.joins import broadcast_fixed
+from casework.operators.joins import DEFAULT_BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -32,12 +33,21 @@ class Zone:
     priority: int
     ord: int
     ring: tuple[tuple[float, float], ...]
+    #: further rings: a ring inside another is a hole, one outside a part
+    more: tuple[tuple[tuple[float, float], ...], ...] = field(default=())
 
     def edges(self):
-        pts = list(self.ring)
-        if pts[0] != pts[-1]:
-            pts.append(pts[0])
-        return [(a[0], a[1], b[0], b[1]) for a, b in zip(pts, pts[1:])]
+        out = []
+        for ring in (self.ring, *self.more):
+            pts = list(ring)
+            if pts[0] != pts[-1]:
+                pts.append(pts[0])
+            out += [(a[0], a[1], b[0], b[1]) for a, b in zip(pts, pts[1:])]
+        return out
+
+    def box(self) -> tuple[float, float, float, float]:
+        xs, ys = zip(*(p for ring in (self.ring, *self.more) for p in ring))
+        return min(xs), min(ys), max(xs), max(ys)
 
 
 # Synthetic layer (the source's district shapefile is not available): a
@@ -53,6 +63,9 @@ SYNTHETIC_ZONES = [
     Zone("d14", 14.0, 1, 4, ((5, 4), (8, 4), (7, 5), (9, 6), (5, 6), (5, 4))),
 ]
 
+#: largest zone layer that the driver reads
+MAX_VERTICES = 2_000_000
+
 _EDGE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")])
 _ZONE = T.StructType([
     T.StructField("zone_id", T.StringType()),
@@ -77,15 +90,38 @@ def zone_cells(zones: list[Zone], cell: float) -> list[tuple]:
     """Driver-side grid index of a fixed zone layer: cell -> ordered zones."""
     index: dict[tuple[int, int], list[Zone]] = {}
     for z in zones:
-        xs = [p[0] for p in z.ring]
-        ys = [p[1] for p in z.ring]
-        for cx in range(math.floor(min(xs) / cell), math.floor(max(xs) / cell) + 1):
-            for cy in range(math.floor(min(ys) / cell), math.floor(max(ys) / cell) + 1):
+        x1, y1, x2, y2 = z.box()
+        for cx in range(math.floor(x1 / cell), math.floor(x2 / cell) + 1):
+            for cy in range(math.floor(y1 / cell), math.floor(y2 / cell) + 1):
                 index.setdefault((cx, cy), []).append(z)
     return [(cx, cy, [_zone_row(z) for z in sorted(zs, key=lambda z: (z.priority, z.ord))])
             for (cx, cy), zs in sorted(index.items())]
 
 
+def cell_size(zones: list[Zone], per_side: int = 32) -> float:
+    """Grid step of a layer: its longer side in ``per_side`` cells."""
+    x1, y1, x2, y2 = (f(v) for f, v in zip((min, min, max, max), zip(*(z.box() for z in zones))))
+    return max(x2 - x1, y2 - y1) / per_side or 1.0
+
+
+def read_zones(spark: SparkSession, path: str) -> list[Zone]:
+    """A zone layer from a Parquet table with one ring per row: zone_id,
+    comuna, priority, ord, ring (array of structs x, y, in the units of the
+    records' coordinates).  Rings of equal (priority, ord, zone_id) make one
+    zone; null or short rings are left out.  The layer is map data, not
+    records; one above ``MAX_VERTICES`` is refused before it is read here."""
+    rings = spark.read.parquet(path).filter(F.size("ring") >= 3)
+    n = rings.agg(F.sum(F.size("ring").cast("long"))).first()[0] or 0
+    if not 0 < n <= MAX_VERTICES:
+        raise ValueError(f"zone layer {path}: {n} vertices, expected 1 to {MAX_VERTICES}")
+    found: dict[tuple, list] = {}
+    for r in rings.select("zone_id", "comuna", "priority", "ord", "ring").collect():
+        key = (r["priority"], r["ord"], r["zone_id"], float(r["comuna"]))
+        found.setdefault(key, []).append(tuple((float(p["x"]), float(p["y"])) for p in r["ring"]))
+    return [Zone(zone_id, comuna, priority, order, parts[0], tuple(parts[1:]))
+            for (priority, order, zone_id, comuna), parts in sorted(found.items(), key=lambda kv: kv[0])]
+
+
 def zones_df(spark: SparkSession, zones: list[Zone] = SYNTHETIC_ZONES) -> DataFrame:
     return spark.createDataFrame([_zone_row(z) for z in zones], _ZONE)
 
@@ -101,12 +137,18 @@ _FIRST_CONTAINING = f"get(filter(_zones, z -> ({_INSIDE}) AND NOT ({_ON_EDGE})),
 
 
 def assign_zone(df: DataFrame, lon_col: str = "longitud", lat_col: str = "latitud",
-                out_col: str = "comuna_calculada", zones: list[Zone] = SYNTHETIC_ZONES,
-                cell: float = 1.0) -> DataFrame:
-    """Priority overlay of zone layers; rows without coordinates get null."""
+                out_col: str = "comuna_calculada", zones: list[Zone] | None = None,
+                cell: float | None = None) -> DataFrame:
+    """Priority overlay of zone layers; rows without coordinates get null.
+    The grid is broadcast if its edges take at most the byte bound, else joined
+    by a shuffle."""
     spark = df.sparkSession
+    zones = SYNTHETIC_ZONES if zones is None else zones
+    cell = cell or cell_size(zones)
     cells = zone_cells(zones, cell)
-    cell_df = broadcast_fixed(spark.createDataFrame(cells, _CELLS), len(cells))
+    cell_df = spark.createDataFrame(cells, _CELLS)
+    if sum(64 + sum(64 + 48 * len(z[4]) for z in c[2]) for c in cells) <= DEFAULT_BROADCAST_BYTES:
+        cell_df = F.broadcast(cell_df)
     pts = (df.withColumn("_px", to_coordinate(F.col(lon_col)))
              .withColumn("_py", to_coordinate(F.col(lat_col)))
              .withColumn("_pcx", F.floor(F.col("_px") / cell))

@@ -1,7 +1,7 @@
 """Join helpers with explicit size discipline.
 
 ``broadcast`` is used only for tables whose size is proven: either built
-from a fixed literal asset (row count known on the driver without a job),
+from a fixed literal asset (bytes known on the driver without a job),
 or materialised to the shared checkpoint folder and counted first.  Above
 the bound the caller's fallback (a shuffle join, with AQE skew handling)
 is used instead.
@@ -19,13 +19,6 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
-def broadcast_fixed(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a literal-built table whose row count is known statically."""
-    if n_rows > max_rows:
-        raise ValueError(f"fixed table of {n_rows} rows exceeds broadcast bound {max_rows}")
-    return F.broadcast(df)
-
-
 def materialize_checked(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """Checkpoint a derived table (reliable, shared folder), measure it (row

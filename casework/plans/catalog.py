@@ -24,7 +24,7 @@ from casework.operators import categorize as cat
 from casework.operators import dedup, evolution, geo, history
 from casework.plans import pipeline, reports
 from casework.sources import schema
-from casework.session import table_path, table_version, write_table
+from casework.session import ensure_checkpoint_dir, table_path, table_version, write_table
 from casework.sources.adapter import load_interventions, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +231,26 @@ def q_geo_zone(spark, sf_dir):
     return geo.assign_zone(load_interventions(spark, sf_dir)).select("_seq", "comuna_calculada", "zone_id")
 
 
+#: one ring per row; rect_a has a hole, rect_b two parts, rect_c lies under both
+LAYER_RINGS = [
+    ("rect_a", 1.0, 0, 0, [(0, 0), (6, 0), (6, 6), (0, 6)]), ("rect_a", 1.0, 0, 0, [(2, 1), (4, 1), (4, 4), (2, 4)]),
+    ("rect_b", 2.0, 0, 1, [(7, 0), (9, 0), (9, 2), (7, 2)]), ("rect_b", 2.0, 0, 1, [(7, 3), (9, 3), (9, 5), (7, 5)]),
+    ("rect_c", 12.0, 1, 0, [(3, 1), (10, 1), (10, 4), (3, 4)]),
+]
+
+
+def q_geo_zone_layer(spark, sf_dir):
+    """A zone layer given as a ring table, with a hole and two parts."""
+    import os
+    import uuid
+    schema_ = "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>"
+    rows = [(*r[:4], [(float(x), float(y)) for x, y in r[4]]) for r in LAYER_RINGS]
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"zone-layer-{uuid.uuid4().hex}")
+    spark.createDataFrame(rows, schema_).write.parquet(path)
+    zones = geo.read_zones(spark, path)
+    return geo.assign_zone(load_interventions(spark, sf_dir), zones=zones).select("_seq", "comuna_calculada", "zone_id")
+
+
 def q_asof_last_state(spark, sf_dir):
     ch, cb = cleaned(spark, sf_dir)
     bound = history.day_bound(cb.select(F.min("fecha_inicio")).scalar())
@@ -483,6 +503,7 @@ QUERIES: dict[str, Query] = {
     "value_remap_audit": q_value_remap_audit,
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
+    "geo_zone_layer": q_geo_zone_layer,
     "asof_last_state": q_asof_last_state,
     "last_state_row_number": q_last_state_row_number,
     "evolution_labels": q_evolution_labels,

@@ -21,7 +21,7 @@ from casework.functions.text import clean_name, strip_blanks
 from casework.operators.categorize import outcome_columns
 from casework.operators.dedup import drop_exact_duplicates
 from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
-from casework.operators.geo import assign_zone
+from casework.operators.geo import Zone, assign_zone
 from casework.operators.history import (RECONCILE_COLUMNS, after_watermark, append_history,
                                         apply_keyed_update, overwrite_partitions, reconcile_updates)
 from casework.operators.joins import materialize_checked
@@ -46,11 +46,13 @@ def identity_columns(df: DataFrame, mode: str = "parity") -> DataFrame:
                             "persona_apellido": clean_name(F.col("persona_apellido"))})
 
 
-def clean_batch(raw: DataFrame, fuzzy: bool = True, id_mode: str = "parity", dedup: bool = True) -> DataFrame:
-    """C06 with geo: the cleaning half of the weekly run."""
+def clean_batch(raw: DataFrame, fuzzy: bool = True, id_mode: str = "parity", dedup: bool = True,
+                zones: list[Zone] | None = None) -> DataFrame:
+    """C06 with geo: the cleaning half of the weekly run (``zones``: the layer
+    of ``geo.read_zones``, else the built-in one)."""
     df = drop_exact_duplicates(raw) if dedup else raw
     df = strip_all_strings(df)
-    df = assign_zone(df)
+    df = assign_zone(df, zones=zones)
     df = identity_columns(df, id_mode)
     df = drop_internal_agencies(df)
     return outcome_columns(df, fuzzy=fuzzy)
@@ -95,7 +97,7 @@ class WeeklyResult:
 
 def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None = None,
                wm: Column | None = None, fuzzy: bool = True,
-               person_state: DataFrame | None = None) -> WeeklyResult:
+               person_state: DataFrame | None = None, zones: list[Zone] | None = None) -> WeeklyResult:
     """T01 end to end.
 
     Reconciliation (J04) touches only pending rows of closed incidents, so
@@ -124,7 +126,7 @@ def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None =
     n = rebuilt.filter("_updated").count()
 
     new_rows = after_watermark(export, wm)
-    cleaned = cut_lineage(clean_batch(new_rows, fuzzy=fuzzy))
+    cleaned = cut_lineage(clean_batch(new_rows, fuzzy=fuzzy, zones=zones))
     new_state = None
     base = history.drop("week")
     if person_state is not None:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
+from casework.operators.geo import Zone
 from casework.plans.pipeline import clean_batch
 from casework.session import ensure_checkpoint_dir, path_exists, table_path
 from casework.sources.adapter import interventions_from_events
@@ -45,7 +46,7 @@ def _latest_state(spark: SparkSession, state_root: str, before_epoch: int) -> Da
 
 def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None, fuzzy: bool = False,
                      source_file: str = "events.parquet", files_per_trigger: int | None = None,
-                     schema=None) -> DataFrame:
+                     schema=None, zones: list[Zone] | None = None) -> DataFrame:
     """Drain the landing folder (``availableNow``) and return the labelled
     history the stream maintains; ``files_per_trigger`` makes each landing
     file its own micro-batch (one weekly drop per trigger)."""
@@ -61,7 +62,7 @@ def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None,
     def run(batch: DataFrame, epoch: int) -> None:
         s = batch.sparkSession
         cleaned_path = os.path.join(root, "cleaned", f"epoch={epoch}")
-        clean_batch(batch, fuzzy=fuzzy).write.mode("overwrite").parquet(cleaned_path)
+        clean_batch(batch, fuzzy=fuzzy, zones=zones).write.mode("overwrite").parquet(cleaned_path)
         cleaned = s.read.parquet(cleaned_path)
         state = _latest_state(s, state_root, epoch)
         if state is None:

@@ -481,6 +481,20 @@ def _q_value_distribution() -> str:
 SELECT value, n, round(CAST(n AS DOUBLE) / (SELECT sum(n) FROM c), 6) AS share FROM c"""
 
 
+def _q_geo_zone_layer() -> str:
+    """Its own predicate: the layer's rings are rectangles, written as open
+    intervals; edges (the hole's too) are outside."""
+    return f"""
+    WITH i AS ({interventions_sql()}),
+    p AS (SELECT _seq, {to_district('longitud')} AS x, {to_district('latitud')} AS y FROM i),
+    z AS (SELECT _seq, CASE
+      WHEN x > 0 AND x < 6 AND y > 0 AND y < 6 AND NOT (x >= 2 AND x <= 4 AND y >= 1 AND y <= 4) THEN 'rect_a'
+      WHEN x > 7 AND x < 9 AND ((y > 0 AND y < 2) OR (y > 3 AND y < 5)) THEN 'rect_b'
+      WHEN x > 3 AND x < 10 AND y > 1 AND y < 4 THEN 'rect_c' END AS zone_id FROM p)
+    SELECT _seq, CASE zone_id WHEN 'rect_a' THEN 1.0::DOUBLE WHEN 'rect_b' THEN 2.0::DOUBLE
+                              WHEN 'rect_c' THEN 12.0::DOUBLE END AS comuna_calculada, zone_id FROM z"""
+
+
 def _q_geo_zone() -> str:
     return f"""WITH {base_ctes()}
 SELECT _seq, comuna_calculada, zone_id FROM {geo_cte('interventions')}"""
@@ -909,6 +923,7 @@ ORACLE: dict[str, str] = {
     "value_remap_audit": _q_value_remap_audit(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
+    "geo_zone_layer": _q_geo_zone_layer(),
     "asof_last_state": _q_asof_last_state(),
     "last_state_row_number": _q_last_state_row_number(),
     "evolution_labels": _q_evolution_labels(),

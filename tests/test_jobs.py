@@ -53,3 +53,38 @@ def test_submitted_settings_win(monkeypatch):
 def test_literal_suffixes_are_no_numbers(spark):
     rows = spark.createDataFrame([(v,) for v in ("12d", "0f", "12", " 1,5 ", "1e2", "x", "")], "v string")
     assert [r[0] for r in rows.select(to_district(F.col("v"))).collect()] == [None, None, 12.0, 1.5, 100.0, None, None]
+
+
+def test_zone_table_with_parts_and_holes(spark, tmp_path):
+    from casework.operators import geo
+    rings = [("z", 2.0, 0, 0, [(0., 0.), (4., 0.), (4., 4.), (0., 4.)]), ("z", 2.0, 0, 0, [(1., 1.), (3., 1.), (3., 3.), (1., 3.)]),
+             ("z", 2.0, 0, 0, [(5., 0.), (6., 0.), (6., 1.), (5., 1.)]), ("bad", 9.0, 0, 0, None), ("bad", 9.0, 0, 0, [(0., 0.)])]
+    spark.createDataFrame(rings, "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>") \
+        .write.parquet(str(tmp_path / "zones"))
+    zones = geo.read_zones(spark, f"file:{tmp_path}/zones")
+    assert [(z.zone_id, len(z.edges())) for z in zones] == [("z", 12)]
+    points = [("0.5", "0.5"), ("2", "2"), ("1", "2"), ("0.5", "5.5"), ("0.5", "4.5"), ("4", "4"), (None, "1"), ("1e9", "1e9")]
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "i int, latitud string, longitud string")
+    got = {r["i"]: r["comuna_calculada"] for r in geo.assign_zone(rows, zones=zones).collect()}
+    assert got == {0: 2.0, 1: None, 2: None, 3: 2.0, 4: None, 5: None, 6: None, 7: None}
+
+
+def test_weekly_job_run_twice_on_a_uri(spark, tmp_path):
+    from argparse import Namespace
+    from casework import __main__ as job
+    from casework.sources.adapter import load_interventions
+    load_interventions(spark, "/root/testdata/sf0.001").write.parquet(str(tmp_path / "landing"))
+    spark.createDataFrame([("all", 7.0, 0, 0, [(-500., -500.), (500., -500.), (500., 500.), (-500., 500.)])],
+                          "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>") \
+        .write.parquet(str(tmp_path / "zones"))
+    args = Namespace(landing=f"file:{tmp_path}/landing", format="parquet", history=f"file:{tmp_path}/history",
+                     zones=f"file:{tmp_path}/zones", fuzzy=False)
+    first = job.weekly(args)
+    assert first["mode"] == "first_load" and first["appended"] > 0
+    stored = spark.read.parquet(args.history)
+    assert {r[0] for r in stored.select("comuna_calculada").distinct().collect()} - {None} == {7.0}
+    second = job.weekly(args)
+    assert second["mode"] == "incremental" and second["appended"] == 0
+    assert spark.read.parquet(args.history).count() == first["appended"]
+    out = job.reports(Namespace(history=args.history, out=f"file:{tmp_path}/reports", dedup_incident=True))
+    assert "contact_breakdown_dashboard" in out and spark.read.parquet(out["kpi_table"]).count() > 0
