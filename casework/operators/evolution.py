@@ -125,7 +125,8 @@ def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: st
 
 def _label_batch(b: DataFrame, summary: DataFrame, with_appearances: bool, key: str, district: str,
                  ts: str, seq: str) -> DataFrame:
-    b = b.withColumn("_week", week_start(F.col(ts)))
+    # labels of an earlier run give way to the new ones
+    b = b.drop("tipo_evolucion", "apariciones").withColumn("_week", week_start(F.col(ts)))
     valid = b.filter("_valid")
     invalid = b.filter(~F.col("_valid"))
     labels = label_weeks(weekly_reference(valid, key, district, ts, seq), summary, key)
@@ -164,4 +165,4 @@ def appearances_by_name(batch: DataFrame, history: DataFrame, key: str = KEY) ->
     hist = with_key(history).select("_ckind", "_ckey").join(keys, ["_ckind", "_ckey"], "left_semi")
     counts = (hist.unionByName(b.select("_ckind", "_ckey"))
                   .groupBy("_ckind", "_ckey").agg(F.count(F.lit(1)).alias("apariciones")))
-    return b.join(counts, ["_ckind", "_ckey"], "left").drop("_ckind", "_ckey")
+    return b.drop("apariciones").join(counts, ["_ckind", "_ckey"], "left").drop("_ckind", "_ckey")

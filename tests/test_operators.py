@@ -160,3 +160,12 @@ def test_patch_from_lookup_modes_and_week_labels(spark):
         week_label(F.col("w"), "dm").alias("a"), week_label(F.col("w"), "dmon").alias("b"),
         week_label(F.col("w"), "iso").alias("c")).first()
     assert (d.a, d.b, d.c) == ("08/01", "08 Jan", "2024-01-08")
+
+
+def test_labelled_rows_can_be_labelled_again(spark):
+    schema = "dni_categorizado string, comuna_calculada double, fecha_inicio timestamp_ntz, _seq long"
+    batch = spark.createDataFrame([("30111222", 1.0, _ts(0), 0), ("30111222", 2.0, _ts(200), 1), ("NO VISIBLE", 1.0, _ts(1), 2)], schema)
+    once = evolution.classify_batch(batch, batch.filter(F.lit(False)))
+    again = evolution.classify_batch(once, batch.filter(F.lit(False)))
+    assert again.columns == once.columns
+    assert sorted(map(tuple, again.collect()), key=lambda r: r[3]) == sorted(map(tuple, once.collect()), key=lambda r: r[3])
