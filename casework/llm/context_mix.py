@@ -31,8 +31,8 @@ MAX_LANES = 4096
 STEPS = 256
 
 
-#: Next confidence by (miss or hit, confidence so far); a miss at 0 or 1 takes the new id.
-CONFIDENCE = np.array([[1, 1, 1, 2], [1, 2, 3, 3]], dtype=np.int8)
+#: Next confidence by 4 * (hit or miss) + confidence so far; a miss at 0 or 1 takes the new id.
+CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], dtype=np.int8)
 
 
 class _Model:
@@ -40,6 +40,7 @@ class _Model:
         self.n = alphabet
         self.counts = np.ones(alphabet, dtype=np.int64)
         self.cum = np.zeros(alphabet + 1, dtype=np.int64)
+        self.cum32 = np.zeros(alphabet + 1, dtype=np.int32)
         self.one = np.zeros(alphabet, dtype=np.int32), np.zeros(alphabet, dtype=np.int8)
         self.two = np.zeros(1 << SLOT_BITS, dtype=np.int32), np.zeros(1 << SLOT_BITS, dtype=np.int8)
         self.seen = np.full(32, 4, dtype=np.int64)
@@ -49,6 +50,7 @@ class _Model:
 
     def _settle(self) -> None:
         np.cumsum(self.counts, out=self.cum[1:])
+        self.cum32[:] = self.cum  # at most MAX_COUNT
         self.total = int(self.cum[-1])
         free = TOTAL - 2 * MAX_COUNT
         self.weight1 = self.hits1 * free // self.seen
@@ -75,33 +77,36 @@ class _Model:
 
     def find(self, t: np.ndarray) -> np.ndarray:
         """The id whose interval holds t."""
-        swap = self.p1 > self.p2
-        a, b = np.where(swap, self.p2, self.p1), np.where(swap, self.p1, self.p2)
-        wa, wb = np.where(swap, self.w2, self.w1), np.where(swap, self.w1, self.w2)
-        past_a = t >= self.base(a + 1) + wa
-        rest = t - wa * past_a
-        is_a = ~past_a & (t >= self.base(a))
-        past_b = past_a & (rest >= self.base(b + 1) + wb)
-        is_b = past_a & ~past_b & (rest >= self.base(b))
-        rest = rest - wb * past_b
-        x = np.where(is_a, a, b).astype(np.int64)
-        free = np.nonzero(~(is_a | is_b))[0]
-        at = ((rest[free] + 1) * self.total - 1) // self.w0[free]
-        x[free] = np.searchsorted(self.cum, at, side="right") - 1
+        x = self.p2.astype(np.int64)
+        start, width = self.interval(x)
+        off = np.flatnonzero((t < start) | (t >= start + width))  # not the order-2 prediction
+        p1, w1, w2, t = self.p1.take(off), self.w1.take(off), self.w2.take(off), t.take(off)
+        w0, past2 = self.w0.take(off), t >= start.take(off)
+        rest = t - w2 * past2
+        lo, hi = (self.cum.take(p1 + side) * w0 // self.total for side in (0, 1))
+        past1 = rest >= hi + w1
+        hit = (rest >= lo) & ~past1
+        x[off] = p1
+        free = np.flatnonzero(~hit)
+        rest = (rest - w1 * past1).take(free)
+        at = ((rest + 1) * self.total - 1) // w0.take(free)
+        x[off.take(free)] = np.searchsorted(self.cum32, at.astype(np.int32), side="right") - 1
         return x
 
     def learn(self, x: np.ndarray) -> None:
         """After ``interval(x)``."""
-        hit2, hit1 = self.same2, self.same1 & ~self.same2
-        self.seen += np.bincount(self.key, minlength=32)
-        self.hits1 += np.bincount(self.key[hit1], minlength=32)
-        self.hits2 += np.bincount(self.key[hit2], minlength=32)
-        for (ids, conf), at, p, c, same in ((self.one, self.last, self.p1, self.c1, self.same1),
-                                            (self.two, self.slot, self.p2, self.c2, self.same2)):
-            conf[at] = CONFIDENCE[same.view(np.int8), c]
-            new = np.flatnonzero(~same & (c <= 1))
-            ids[at[new]] = x[new]
-        self.counts += GAIN * np.bincount(x, minlength=self.n)
+        which = self.key + 32 * self.same1.view(np.int8) + 64 * self.same2.view(np.int8)
+        none, only1, only2, both = np.bincount(which, minlength=128).reshape(4, 32)
+        self.seen += none + only1 + only2 + both
+        self.hits1 += only1
+        self.hits2 += only2 + both
+        for (ids, conf), at, c, same in ((self.one, self.last, self.c1, self.same1),
+                                         (self.two, self.slot, self.c2, self.same2)):
+            state = 4 * same.view(np.int8) + c
+            conf[at] = CONFIDENCE.take(state)
+            new = np.flatnonzero(state <= 1)
+            ids[at.take(new)] = x.take(new)
+        np.add.at(self.counts, x, GAIN)
         if self.total + GAIN * len(x) > MAX_COUNT:
             self.counts = (self.counts + 1) >> 1
             while int(self.counts.sum()) > MAX_COUNT - GAIN * MAX_LANES:
