@@ -1,6 +1,6 @@
 """Command line for the weekly job and the report datasets.
 
-    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--no-fuzzy]
+    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--day-first] [--no-fuzzy]
     python -m casework reports --history PATH --out DIR [--dedup-incident]
 
 ``weekly`` is the incremental run (T01): landing export -> header alignment
@@ -20,23 +20,24 @@ import os
 from pyspark.sql import functions as F
 
 
-def _landing(spark, path: str, fmt: str):
+def _landing(spark, path: str, fmt: str, day_first: bool = False):
     from casework.sources import schema
     raw = schema.read_landing_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
     canon = schema.canonical_headers(raw)
     if "_seq" not in canon.columns:
         # file order: ids increase with the row order inside each split
         canon = canon.withColumn("_seq", F.monotonically_increasing_id())
-    return schema.align_to_schema(canon, schema.HISTORY_SCHEMA)
+    return schema.align_to_schema(canon, schema.LANDING_SCHEMA, day_first)
 
 
 def weekly(args) -> dict:
     from casework.operators import evolution, geo, history
     from casework.plans import pipeline
     from casework.session import get_session, path_exists, ship_package, write_table
+    from casework.sources import schema
     spark = get_session()
     ship_package(spark)
-    export = _landing(spark, args.landing, args.format)
+    export = _landing(spark, args.landing, args.format, args.day_first)
     zones = geo.read_zones(spark, args.zones) if args.zones else None
     exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
@@ -44,7 +45,7 @@ def weekly(args) -> dict:
         labelled = evolution.classify_batch(cleaned, cleaned.filter(F.lit(False)))
         history.append_history(labelled, args.history)
         return {"mode": "first_load", "appended": spark.read.parquet(args.history).count()}
-    hist = spark.read.parquet(args.history)
+    hist = schema.read_history_with(spark, args.history, schema.LANDING_SCHEMA)
     wm = history.watermark(hist).scalar()
     res = pipeline.run_weekly(export, hist, args.history, wm=wm, fuzzy=args.fuzzy, zones=zones)
     return {"mode": "incremental", "reconciled": res.n_reconciled, "appended": res.batch.count()}
@@ -53,8 +54,9 @@ def weekly(args) -> dict:
 def reports(args) -> dict:
     from casework.plans import reports as R
     from casework.session import get_session
+    from casework.sources import schema
     spark = get_session()
-    hist = spark.read.parquet(args.history)
+    hist = schema.canonical_headers(schema.rename_headers(spark.read.parquet(args.history), schema.REPORT_HEADER_RENAMES))
     weekly_base, dash_base = R.prepare_weekly(hist, args.dedup_incident), R.prepare_dashboard(hist)
     outputs = {
         "kpi_table": R.kpi_table(dash_base),
@@ -82,6 +84,7 @@ def main(argv=None) -> None:
     w.add_argument("--format", choices=["csv", "parquet"], default="csv")
     w.add_argument("--history", required=True)
     w.add_argument("--zones", help="Parquet zone layer, one ring per row")
+    w.add_argument("--day-first", action="store_true", help="read 4/5/2026 as 4 May, not 5 April")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     r = sub.add_parser("reports")
     r.add_argument("--history", required=True)

@@ -70,6 +70,18 @@ def to_timestamp_lenient(c: Column) -> Column:
     return F.try_to_timestamp(c.cast("string"))
 
 
+def to_wall_clock(c: Column, day_first: bool = False) -> Column:
+    """F07 for landing texts: ISO, else numbered dates parted by ``/``, ``-``
+    or ``.`` with the year last (month first unless ``day_first``; a date that
+    doesn't exist that way round is read the other way), with or without a
+    time; null otherwise.  Timestamps without zone, whatever the session's."""
+    text = F.trim(c)
+    numbered = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})"
+    orders = ["$3-$2-$1", "$3-$1-$2"] if day_first else ["$3-$1-$2", "$3-$2-$1"]
+    return F.coalesce(text.try_cast("timestamp_ntz"),
+                      *[F.regexp_replace(text, numbered, o).try_cast("timestamp_ntz") for o in orders])
+
+
 def week_start(ts: Column) -> Column:
     """Monday of the ISO week as a DATE."""
     return F.date_trunc("week", ts).cast("date")

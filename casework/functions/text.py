@@ -19,12 +19,16 @@ from pyspark.sql import functions as F
 _LATIN_RANGES = [(0x00C0, 0x0250), (0x1E00, 0x1F00)]
 
 # Letters with no canonical decomposition that a Latin-to-ASCII
-# transliterator spells out (lower case; F02 lower-cases first).
+# transliterator spells out (lower case; F02 lower-cases first), and signs.
+# FIXED VALUES: public Latin transliteration
 _LOWER_EXPANSIONS = [
     ("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("đ", "d"), ("ð", "d"),
     ("ł", "l"), ("þ", "th"), ("ħ", "h"), ("ı", "i"), ("ŧ", "t"), ("ŋ", "ng"),
     ("ĳ", "ij"), ("ſ", "s"),
+    ("ª", "a"), ("º", "o"), ("°", "deg"), ("¹", "1"), ("²", "2"), ("³", "3"),
+    ("µ", "u"), ("×", "x"), ("©", "(c)"), ("®", "(r)"),
 ]
+# end of FIXED VALUES
 
 
 @lru_cache(maxsize=None)

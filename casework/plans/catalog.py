@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 
 from casework.functions.identity import is_valid_id, with_id_category
 from casework.functions.scalars import (dashboard_contact_class, district_key, interview_class, manual_group,
-                                        origin_group, outcome_bucket, report_level, week_start)
+                                        origin_group, outcome_bucket, report_level, to_wall_clock, week_start)
 from casework.functions.text import clean_name, clean_outcome_text
 from casework.operators import categorize as cat
 from casework.operators import dedup, evolution, geo, history
 from casework.plans import pipeline, reports
 from casework.sources import schema
 from casework.session import ensure_checkpoint_dir, table_path, table_version, write_table
-from casework.sources.adapter import load_interventions, load_table
+from casework.sources.adapter import LANDING_DATE_TEXT, load_interventions, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -425,6 +425,23 @@ def q_legacy_headers(spark, sf_dir):
     return canon.select("id_suceso", "fecha_inicio", "persona_dni", "tipo_carta", "cierre_supervisor")
 
 
+def q_landing_dates(spark, sf_dir):
+    """F07 on every event: ISO and numbered date texts, both ways round."""
+    e = load_table(spark, sf_dir, "events").selectExpr("event_id", f"{LANDING_DATE_TEXT} AS fecha_texto")
+    return e.select("event_id", "fecha_texto", to_wall_clock(F.col("fecha_texto")).alias("month_first"),
+                    to_wall_clock(F.col("fecha_texto"), day_first=True).alias("day_first"))
+
+
+def q_header_collisions(spark, sf_dir):
+    """Two headers that become alike; the last column stays."""
+    i = load_interventions(spark, sf_dir)
+    landed = i.select("_seq", F.lit("first").alias("Id Suceso"), F.col("id_suceso").alias("Id.Suceso"),
+                      F.col("persona_nombre").alias("Documento"), F.col("persona_dni").alias("Persona DNI"),
+                      F.col("fecha_fin").cast("string").alias("Recurso Arribo"), F.col("origen").alias("SubTipo"))
+    return schema.align_to_schema(schema.canonical_headers(landed), schema.LANDING_SCHEMA).select(
+        "_seq", "id_suceso", "persona_dni", "subtipo", "recurso_arribo", "recurso_fecha_liberado")
+
+
 def q_union_by_name(spark, sf_dir):
     ch, cb = cleaned(spark, sf_dir)
     prev = ch.select("_seq", "id_suceso", "fecha_inicio", "categoria_final")
@@ -530,6 +547,8 @@ QUERIES: dict[str, Query] = {
     "schema_align": q_schema_align,
     "union_by_name": q_union_by_name,
     "legacy_headers": q_legacy_headers,
+    "landing_dates": q_landing_dates,
+    "header_collisions": q_header_collisions,
     "weekly_stream_counts": q_weekly_stream_counts,
     "evolution_stream": q_evolution_stream,
     "reconcile_summary": q_reconcile_summary,

@@ -106,6 +106,16 @@ INTERVENTION_COLUMNS: list[tuple[str, str]] = [
      "WHEN 3 THEN 'Se retira del lugar' ELSE '(Vacio)' END ELSE NULL END"),
 ]
 
+# dates as exports write them, from events.ts (Spark/DuckDB common SQL subset)
+LANDING_DATE_TEXT = (
+    "CASE event_id % 7 "
+    "WHEN 0 THEN CAST(month(ts) AS STRING) || '/' || CAST(day(ts) AS STRING) || '/' || CAST(year(ts) AS STRING) "
+    "WHEN 1 THEN CAST(day(ts) AS STRING) || '/' || CAST(month(ts) AS STRING) || '/' || CAST(year(ts) AS STRING) "
+    "|| ' ' || lpad(CAST(hour(ts) AS STRING), 2, '0') || ':' || lpad(CAST(minute(ts) AS STRING), 2, '0') "
+    "WHEN 2 THEN CAST(CAST(ts AS DATE) AS STRING) "
+    "WHEN 3 THEN lpad(CAST(day(ts) AS STRING), 2, '0') || '-' || lpad(CAST(month(ts) AS STRING), 2, '0') || '-' "
+    "|| CAST(year(ts) AS STRING) WHEN 4 THEN '31/02/2026' WHEN 5 THEN 'sin fecha' ELSE NULL END")
+
 
 def interventions_sql(source: str = "events") -> str:
     """The adapter as one SELECT (used by the DuckDB oracle)."""

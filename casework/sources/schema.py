@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casework.functions.scalars import to_wall_clock
 from casework.session import path_exists
 
 # ---------------------------------------------------------------------------
@@ -35,6 +36,24 @@ REPORT_HEADER_RENAMES = {
     "DNI_Categorizado": "DNI_categorizado",
     "Id Suceso": "id suceso",
 }
+LEGACY_TITLES = {
+    "fecha_inicio": "Fecha Inicio",
+    "fecha_fin": "Fecha Fin",
+    "id_suceso": "Id Suceso",
+    "persona_dni": "Persona DNI",
+    "latitud": "Latitud",
+    "longitud": "Longitud",
+    "agencia": "Agencia",
+    "tipo_carta": "Tipo Carta",
+    "origen": "Origen",
+    "tipo": "Tipo",
+    "subtipo": "SubTipo",
+    "recurso_fecha_liberado": "Recurso Fecha Liberado",
+    "recurso_fecha_asignacion": "Recurso Fecha asignacion",
+    "recurso_arribo": "Recurso Arribo",
+    "comuna_calculada": "comuna_calculada",
+    "dni_categorizado": "dni_categorizado",
+}
 # end of FIXED VALUES
 
 # Canonical (snake_case) history schema used by this engine.
@@ -57,6 +76,15 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("cierre_supervisor", T.StringType()),
 ])
 
+# What the weekly job keeps of a landing export: the above and the columns that no operator reads.
+LANDING_SCHEMA = T.StructType(HISTORY_SCHEMA.fields + [
+    T.StructField("tipo", T.StringType()),
+    T.StructField("subtipo", T.StringType()),
+    T.StructField("recurso_fecha_asignacion", T.TimestampNTZType()),
+    T.StructField("recurso_fecha_liberado", T.TimestampNTZType()),
+    T.StructField("recurso_arribo", T.TimestampNTZType()),
+])
+
 
 def norm_header(name: str) -> str:
     """Lower case without spaces and underscores (S06/S15 matching key)."""
@@ -64,14 +92,13 @@ def norm_header(name: str) -> str:
 
 
 def snake_case(name: str) -> str:
-    """Legacy snake_case header form."""
-    s = re.sub(r"[^0-9a-zA-Z]+", "_", name.strip()).strip("_")
-    return s.lower()
+    """Legacy snake_case header form; only blanks change, other signs stay."""
+    return "_".join(name.strip().lower().split(" "))
 
 
 def title_case(name: str) -> str:
-    """Legacy Title Case header form."""
-    return " ".join(w.capitalize() for w in name.replace("_", " ").split())
+    """Legacy Title Case header form, from the fixed table where it has the name."""
+    return LEGACY_TITLES.get(name) or name.replace("_", " ").title()
 
 
 def rename_headers(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -80,11 +107,11 @@ def rename_headers(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def align_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
+def align_to_schema(df: DataFrame, target: T.StructType, day_first: bool = False) -> DataFrame:
     """S06 + S09: match source columns to target fields on the normalised
     name (last source column wins a collision), missing -> typed null,
     extras dropped, target order, values coerced with ``try_cast``
-    (unparsable -> null)."""
+    (unparsable -> null), dates written as text with ``to_wall_clock``."""
     by_norm: dict[str, str] = {}
     for c in df.columns:
         by_norm[norm_header(c)] = c
@@ -95,15 +122,22 @@ def align_to_schema(df: DataFrame, target: T.StructType) -> DataFrame:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         elif df.schema[src].dataType == f.dataType:
             cols.append(F.col(f"`{src}`").alias(f.name))
+        elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(df.schema[src].dataType, T.StringType):
+            cols.append(to_wall_clock(F.col(f"`{src}`"), day_first).alias(f.name))
         else:
             cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
     return df.select(*cols)
 
 
 def canonical_headers(df: DataFrame) -> DataFrame:
-    """One rename of every header to snake_case after the fixed renames."""
+    """One rename of every header to snake_case after the fixed renames;
+    of headers that become alike the last column stays."""
     df = rename_headers(df, BATCH_HEADER_RENAMES)
-    return df.toDF(*[snake_case(c) for c in df.columns])
+    names = [snake_case(c) for c in df.columns]
+    last = {name: i for i, name in enumerate(names)}
+    beaten = [i for i, name in enumerate(names) if last[name] != i]
+    apart = df.toDF(*[f"_beaten_{i}" if i in beaten else name for i, name in enumerate(names)])
+    return apart.drop(*[f"_beaten_{i}" for i in beaten])
 
 
 def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> DataFrame:
@@ -156,3 +190,14 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType | None = N
         return spark.createDataFrame([], schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
+
+
+def read_history_with(spark: SparkSession, path: str, landing: T.StructType) -> DataFrame:
+    """The stored history with every column of ``landing``: files written
+    before a column was kept hold null for it.  File schemas are merged only
+    if the plain read, which trusts one file, lacks a column."""
+    hist = spark.read.parquet(path)
+    if not {f.name for f in landing.fields} <= set(hist.columns):
+        hist = spark.read.option("mergeSchema", "true").parquet(path)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in landing.fields if f.name not in hist.columns}
+    return hist.withColumns(absent) if absent else hist

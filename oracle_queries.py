@@ -13,9 +13,8 @@ from casework.functions import rules
 from casework.functions.identity import (FOREIGN_PATTERN_PARITY, NOT_GIVEN_PATTERN_PARITY,
                                          ONLY_LETTERS_PATTERN, SHORT_LETTERS_PATTERN,
                                          SYMBOLS_PATTERN_PARITY, _intended)
-from casework.functions.text import _LOWER_EXPANSIONS
 from casework.operators.geo import SYNTHETIC_ZONES
-from casework.sources.adapter import interventions_sql
+from casework.sources.adapter import LANDING_DATE_TEXT, interventions_sql
 
 NO = rules.NO_ID
 
@@ -37,6 +36,15 @@ def case_map(expr: str, d: dict, default: str = "NULL") -> str:
 
 # -- scalar expressions ---------------------------------------------------------
 
+# FIXED VALUES: public Latin transliteration, the oracle's own copy
+TRANSLITERATION = {
+    "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ħ": "h", "ı": "i", "ŧ": "t",
+    "ŋ": "ng", "ĳ": "ij", "ſ": "s", "ª": "a", "º": "o", "°": "deg", "¹": "1", "²": "2", "³": "3", "µ": "u", "×": "x",
+    "©": "(c)", "®": "(r)",
+}
+# end of FIXED VALUES
+
+
 def strip_blanks(x: str) -> str:
     return rf"regexp_replace(regexp_replace({x}, '^\s+', ''), '\s+$', '')"
 
@@ -51,7 +59,7 @@ def clean_name(x: str) -> str:
 
 def clean_outcome(x: str) -> str:
     s = f"lower({x})"
-    for a, b in _LOWER_EXPANSIONS:
+    for a, b in TRANSLITERATION.items():
         s = f"replace({s}, {lit(a)}, {lit(b)})"
     s = f"strip_accents({s})"
     s = f"regexp_replace({s}, '[_-]', ' ', 'g')"
@@ -881,6 +889,21 @@ def _q_legacy_headers() -> str:
 SELECT id_suceso, fecha_inicio, persona_dni, tipo_carta, cierre_supervisor FROM interventions"""
 
 
+def _q_landing_dates() -> str:
+    def parsed(*orders: str) -> str:
+        forms = ["%Y-%m-%d"] + [f"{o.replace('/', sep)}{time}" for o in orders for sep in "/-" for time in ("", " %H:%M")]
+        return "coalesce(" + ", ".join(f"try_strptime(fecha_texto, '{f}')" for f in forms) + ")"
+    return f"""WITH e AS (SELECT event_id, {LANDING_DATE_TEXT} AS fecha_texto FROM events)
+SELECT event_id, fecha_texto, {parsed('%m/%d/%Y', '%d/%m/%Y')} AS month_first,
+       {parsed('%d/%m/%Y', '%m/%d/%Y')} AS day_first FROM e"""
+
+
+def _q_header_collisions() -> str:
+    return f"""WITH {base_ctes()}
+SELECT _seq, id_suceso, persona_dni, origen AS subtipo, fecha_fin AS recurso_arribo,
+       CAST(NULL AS TIMESTAMP) AS recurso_fecha_liberado FROM interventions"""
+
+
 def _q_union_by_name() -> str:
     return f"""WITH {clean_ctes()}
 SELECT _seq, id_suceso, fecha_inicio, categoria_final, CAST(NULL AS DOUBLE) AS comuna_calculada FROM ch
@@ -950,6 +973,8 @@ ORACLE: dict[str, str] = {
     "schema_align": _q_schema_align(),
     "union_by_name": _q_union_by_name(),
     "legacy_headers": _q_legacy_headers(),
+    "landing_dates": _q_landing_dates(),
+    "header_collisions": _q_header_collisions(),
     "weekly_stream_counts": _q_weekly_stream_counts(),
     "evolution_stream": _q_evolution_stream(),
     "reconcile_summary": _q_reconcile_summary(),

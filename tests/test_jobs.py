@@ -78,7 +78,7 @@ def test_weekly_job_run_twice_on_a_uri(spark, tmp_path):
                           "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>") \
         .write.parquet(str(tmp_path / "zones"))
     args = Namespace(landing=f"file:{tmp_path}/landing", format="parquet", history=f"file:{tmp_path}/history",
-                     zones=f"file:{tmp_path}/zones", fuzzy=False)
+                     zones=f"file:{tmp_path}/zones", fuzzy=False, day_first=False)
     first = job.weekly(args)
     assert first["mode"] == "first_load" and first["appended"] > 0
     stored = spark.read.parquet(args.history)
@@ -88,3 +88,40 @@ def test_weekly_job_run_twice_on_a_uri(spark, tmp_path):
     assert spark.read.parquet(args.history).count() == first["appended"]
     out = job.reports(Namespace(history=args.history, out=f"file:{tmp_path}/reports", dedup_incident=True))
     assert "contact_breakdown_dashboard" in out and spark.read.parquet(out["kpi_table"]).count() > 0
+
+
+def test_numbered_dates(spark):
+    from datetime import datetime
+
+    from casework.functions.scalars import to_wall_clock
+    texts = ["4/5/2026", " 04/05/2026 10:00 ", "13/05/2026 9:30:15", "5.4.2026", "2026-05-04 10:00:00", "31/02/2026", "x", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
+    got = rows.orderBy("i").select(to_wall_clock(F.col("v")), to_wall_clock(F.col("v"), day_first=True)).collect()
+    april, may = datetime(2026, 4, 5), datetime(2026, 5, 4)
+    assert [r[0] for r in got] == [april, april.replace(hour=10), datetime(2026, 5, 13, 9, 30, 15), may, may.replace(hour=10),
+                                   None, None, None, None]
+    assert [r[1] for r in got] == [may, may.replace(hour=10), datetime(2026, 5, 13, 9, 30, 15), april, may.replace(hour=10),
+                                   None, None, None, None]
+
+
+def test_headers_alike_and_unknown_ones(spark):
+    df = spark.createDataFrame([("a", "b", "c", "d")], ["Id Suceso", "Id.Suceso", "Teléfono", "teléfono "])
+    got = schema.canonical_headers(df)
+    assert got.columns == ["id_suceso", "teléfono"] and tuple(got.first()) == ("b", "d")
+    assert schema.title_case("persona_dni") == "Persona DNI" and schema.title_case("nota_final") == "Nota Final"
+
+
+def test_history_of_before_a_column_was_kept(spark, tmp_path):
+    path = str(tmp_path / "h")
+    old = spark.createDataFrame([(1, "a")], "_seq long, id_suceso string")
+    old.write.parquet(path)
+    assert schema.read_history_with(spark, path, schema.LANDING_SCHEMA).select("recurso_arribo", "tipo").first() == (None, None)
+    old.withColumn("tipo", F.lit("t")).write.mode("append").parquet(path)
+    rows = schema.read_history_with(spark, path, schema.LANDING_SCHEMA).select("tipo").collect()
+    assert sorted(str(r[0]) for r in rows) == ["None", "t"]
+
+
+def test_signs_are_spelled_out(spark):
+    from casework.functions.text import clean_outcome_text
+    df = spark.createDataFrame([("Nº 5 – 1ª 20° m²",)], "v string")
+    assert df.select(clean_outcome_text(F.col("v"))).first()[0] == "no 5 1a 20deg m2"
