@@ -1,11 +1,14 @@
 """Command line for the weekly job and the report datasets.
 
-    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--day-first] [--no-fuzzy]
+    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--state PATH] [--day-first]
+        [--no-fuzzy]
     python -m casework reports --history PATH --out DIR [--dedup-incident]
 
 ``weekly`` is the incremental run (T01): landing export -> header alignment
 -> watermark -> reconcile late closures -> clean -> evolution labels and
-appearances -> append to the week-partitioned Parquet history.  ``reports``
+appearances -> append to the week-partitioned Parquet history.  With
+``--state`` it keeps one row a person there and labels from it, without
+aggregating the history again.  ``reports``
 writes the report datasets (R01-R08) as Parquet tables under DIR.
 Submit with spark-submit on a cluster; the session's configuration (and its
 ``spark.checkpoint.dir``) is used as given.
@@ -16,6 +19,7 @@ from __future__ import annotations
 import argparse
 import json
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -30,6 +34,13 @@ def _landing(spark, path: str, fmt: str, day_first: bool = False):
     return schema.align_to_schema(canon, schema.LANDING_SCHEMA, day_first)
 
 
+def _state_path(root: str, history) -> str:
+    """Where the person state of just this history lies.  A run that ended
+    between history and state leaves none, and the next one rebuilds it."""
+    s = history.agg(F.count(F.lit(1)).alias("n"), F.max("fecha_inicio").cast("string").alias("until")).first()
+    return f"{root}/rows-{s.n}-until-{re.sub('[^0-9]', '', s.until or '')}"
+
+
 def weekly(args) -> dict:
     from casework.operators import evolution, geo, history
     from casework.plans import pipeline
@@ -44,11 +55,22 @@ def weekly(args) -> dict:
         cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy, zones=zones), "first_load")
         labelled = evolution.classify_batch(cleaned, cleaned.filter(F.lit(False)))
         history.append_history(labelled, args.history)
-        return {"mode": "first_load", "appended": spark.read.parquet(args.history).count()}
+        stored = spark.read.parquet(args.history)
+        if args.state:
+            evolution.update_person_state(None, stored).write.mode("overwrite").parquet(_state_path(args.state, stored))
+        return {"mode": "first_load", "appended": stored.count()}
     hist = schema.read_history_with(spark, args.history, schema.LANDING_SCHEMA)
     wm = history.watermark(hist).scalar()
-    res = pipeline.run_weekly(export, hist, args.history, wm=wm, fuzzy=args.fuzzy, zones=zones)
-    return {"mode": "incremental", "reconciled": res.n_reconciled, "appended": res.batch.count()}
+    state = None
+    if args.state:
+        kept = _state_path(args.state, hist)
+        state = (spark.read.parquet(kept) if path_exists(spark, f"{kept}/_SUCCESS")
+                 else write_table(evolution.update_person_state(None, hist), "person_state"))
+    res = pipeline.run_weekly(export, hist, args.history, wm=wm, fuzzy=args.fuzzy, zones=zones, person_state=state)
+    appended = res.batch.count()
+    if args.state:
+        res.person_state.write.mode("overwrite").parquet(_state_path(args.state, spark.read.parquet(args.history)))
+    return {"mode": "incremental", "reconciled": res.n_reconciled, "appended": appended}
 
 
 def reports(args) -> dict:
@@ -84,6 +106,7 @@ def main(argv=None) -> None:
     w.add_argument("--format", choices=["csv", "parquet"], default="csv")
     w.add_argument("--history", required=True)
     w.add_argument("--zones", help="Parquet zone layer, one ring per row")
+    w.add_argument("--state", help="folder of the person-state table")
     w.add_argument("--day-first", action="store_true", help="read 4/5/2026 as 4 May, not 5 April")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     r = sub.add_parser("reports")

@@ -96,24 +96,34 @@ def classify_batch_with_state(batch: DataFrame, person_state: DataFrame, key: st
     """Same labels from the compact person-state table (one row per id:
     last district, last (ts, seq), row count) instead of re-aggregating the
     whole history every run.  Equal to ``classify_batch`` whenever the batch
-    starts on a later calendar day than the state's last row (batches cut at
-    week or day boundaries)."""
+    ``starts_after`` the state; else the history has to be used."""
     b = batch.withColumn("_valid", is_valid_id(F.col(key)))
     keys = b.filter("_valid").select(key).distinct()
     summary = (person_state.join(keys, key, "left_semi")
                            .select(key, F.col("last_" + district).alias("_ref"),
-                                   F.lit(1).alias("_n_state"), F.col("n_rows").alias("n_hist")))
+                                   F.col("last_at").isNotNull().cast("int").alias("_n_state"),
+                                   F.col("n_rows").alias("n_hist")))
     return _label_batch(b, summary, True, key, district, ts, seq)
 
 
+def starts_after(batch: DataFrame, person_state: DataFrame, ts: str = TS) -> bool:
+    """Whether the batch starts on a later calendar day than the state ends:
+    the state then holds just what ``classify_batch`` takes from the history,
+    whose bound is the day on which the batch starts."""
+    begin = batch.agg(F.date_trunc("day", F.min(ts))).first()[0]
+    end = person_state.agg(F.max(F.col("last_at")[ts])).first()[0]
+    return begin is None or end is None or end < begin
+
+
 def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: str = KEY,
                         district: str = DISTRICT, ts: str = TS, seq: str = SEQ) -> DataFrame:
     """Merge a batch into the person-state table: latest district by
-    (ts, seq), latest (ts, seq), row count.  One aggregation over the state
-    plus the batch (map-side combined), never over the history."""
-    new = (rows.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-               .groupBy(key).agg(F.max_by(F.col(district), F.struct(ts, seq)).alias("last_" + district),
-                                 F.max(F.struct(ts, seq)).alias("last_at"),
+    (ts, seq), latest (ts, seq), row count.  Rows without a date count, but
+    set no district.  One aggregation over the state plus the batch (map-side
+    combined), never over the history."""
+    at = F.when(F.col(ts).isNotNull(), F.struct(ts, seq))
+    new = (rows.filter(F.col(key).isNotNull())
+               .groupBy(key).agg(F.max_by(F.col(district), at).alias("last_" + district), F.max(at).alias("last_at"),
                                  F.count(F.lit(1)).alias("n_rows")))
     if person_state is None:
         return new

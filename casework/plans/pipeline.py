@@ -20,7 +20,8 @@ from casework.functions.scalars import week_start
 from casework.functions.text import clean_name, strip_blanks
 from casework.operators.categorize import outcome_columns
 from casework.operators.dedup import drop_exact_duplicates
-from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
+from casework.operators.evolution import (classify_batch, classify_batch_with_state, starts_after,
+                                          update_person_state)
 from casework.operators.geo import Zone, assign_zone
 from casework.operators.history import (RECONCILE_COLUMNS, after_watermark, append_history,
                                         apply_keyed_update, overwrite_partitions, reconcile_updates)
@@ -108,7 +109,8 @@ def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None =
     reads and overwrites the same files.  The evolution labels only need
     districts and counts, which reconciliation never changes, so the batch is
     classified against the history as read (or against ``person_state``, the
-    compact per-person table, whose merged version is returned)."""
+    compact per-person table, whose merged version is returned; a batch that
+    starts on a day the state already holds is classified by the history)."""
     if "week" not in history.columns:
         history = history.withColumn("week", week_start(F.col("fecha_inicio")))
     updates, small = materialize_checked(reconcile_updates(export, history.drop("week"), fuzzy=fuzzy))
@@ -130,7 +132,8 @@ def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None =
     new_state = None
     base = history.drop("week")
     if person_state is not None:
-        classified = classify_batch_with_state(cleaned, person_state)
+        classified = (classify_batch_with_state(cleaned, person_state) if starts_after(cleaned, person_state)
+                      else classify_batch(cleaned, base))
         new_state = write_table(update_person_state(person_state, cleaned), "person_state")
     else:
         classified = classify_batch(cleaned, base)

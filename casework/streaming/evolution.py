@@ -26,7 +26,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casework.operators.evolution import classify_batch, classify_batch_with_state, update_person_state
+from casework.operators.evolution import (classify_batch, classify_batch_with_state, starts_after,
+                                          update_person_state)
 from casework.operators.geo import Zone
 from casework.plans.pipeline import clean_batch
 from casework.session import ensure_checkpoint_dir, path_exists, table_path
@@ -67,8 +68,10 @@ def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None,
         state = _latest_state(s, state_root, epoch)
         if state is None:
             labelled = classify_batch(cleaned, cleaned.filter(F.lit(False)))
-        else:
+        elif starts_after(cleaned, state):
             labelled = classify_batch_with_state(cleaned, state)
+        else:  # a drop that starts on a day the state already holds
+            labelled = classify_batch(cleaned, s.read.parquet(history_root).filter(F.col("epoch") < epoch))
         labelled.write.mode("overwrite").parquet(os.path.join(history_root, f"epoch={epoch}"))
         update_person_state(state, cleaned).write.mode("overwrite").parquet(
             os.path.join(state_root, f"v={epoch}"))

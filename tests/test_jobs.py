@@ -78,7 +78,7 @@ def test_weekly_job_run_twice_on_a_uri(spark, tmp_path):
                           "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>") \
         .write.parquet(str(tmp_path / "zones"))
     args = Namespace(landing=f"file:{tmp_path}/landing", format="parquet", history=f"file:{tmp_path}/history",
-                     zones=f"file:{tmp_path}/zones", fuzzy=False, day_first=False)
+                     zones=f"file:{tmp_path}/zones", fuzzy=False, day_first=False, state=None)
     first = job.weekly(args)
     assert first["mode"] == "first_load" and first["appended"] > 0
     stored = spark.read.parquet(args.history)
@@ -125,3 +125,25 @@ def test_signs_are_spelled_out(spark):
     from casework.functions.text import clean_outcome_text
     df = spark.createDataFrame([("Nº 5 – 1ª 20° m²",)], "v string")
     assert df.select(clean_outcome_text(F.col("v"))).first()[0] == "no 5 1a 20deg m2"
+
+
+def test_weekly_job_with_and_without_person_state(spark, tmp_path):
+    """Three drops, the second of which starts in the middle of a day."""
+    from argparse import Namespace
+
+    from casework import __main__ as job
+    from casework.sources.adapter import load_interventions
+    rows = load_interventions(spark, "/root/testdata/sf0.001")
+    times = [r[0] for r in rows.select("fecha_inicio").orderBy("fecha_inicio").collect()]
+    cuts = [times[len(times) // 3], times[2 * len(times) // 3].replace(hour=0, minute=0, second=0, microsecond=0), times[-1]]
+    for i, cut in enumerate(cuts):
+        rows.filter(F.col("fecha_inicio") <= F.lit(cut)).write.parquet(str(tmp_path / f"landing{i}"))
+    states = []
+    for name, state in (("plain", None), ("kept", f"file:{tmp_path}/state")):
+        for i in range(3):
+            job.weekly(Namespace(landing=f"file:{tmp_path}/landing{i}", format="parquet", history=f"file:{tmp_path}/{name}",
+                                 zones=None, fuzzy=False, day_first=False, state=state))
+        states.append(sorted(map(str, spark.read.parquet(f"file:{tmp_path}/{name}").select(
+            "_seq", "id_suceso", "tipo_evolucion", "apariciones").collect())))
+    assert states[0] == states[1] and len(states[0]) > 0
+    assert len(list((tmp_path / "state").iterdir())) == 3
