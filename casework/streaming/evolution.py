@@ -45,7 +45,7 @@ def _latest_state(spark: SparkSession, state_root: str, before_epoch: int) -> Da
     return versions.filter(F.col("v") == latest).drop("v")
 
 
-def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None, fuzzy: bool = False,
+def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None, fuzzy: bool = True,
                      source_file: str = "events.parquet", files_per_trigger: int | None = None,
                      schema=None, zones: list[Zone] | None = None) -> DataFrame:
     """Drain the landing folder (``availableNow``) and return the labelled

@@ -33,3 +33,19 @@ def test_restart_with_same_checkpoint_is_idempotent(spark):
     again = evolution_stream(spark, SF, root=root)  # same checkpoint: no new files, same output
     assert {r._seq: (r.tipo_evolucion, r.apariciones) for r in again.collect()} == first
     assert again.count() == len(first)
+
+
+def test_stream_runs_every_tier(spark):
+    from casework.functions import rules
+    from casework.functions.fuzzy import best_match
+    from casework.operators.categorize import CLEAN_LABELS
+    out = evolution_stream(spark, SF)
+    got = {(r.texto_limpio, r.categoria_final) for r in out.select("texto_limpio", "categoria_final").distinct().collect()}
+    by_rules = {r.texto_limpio: r.categoria_final for r in catalog.q_category_rules(spark, SF).collect()}
+    near = 0
+    for text, category in got:
+        if text and by_rules.get(text) == rules.NO_MATCH and text not in {**rules.TIER0_EXACT, **rules.TIER1_EXACT}:
+            i, score = best_match(text, CLEAN_LABELS)
+            assert category == (rules.CANONICAL_CATEGORIES[i] if score >= rules.FUZZY_ACCEPT_SCORE else rules.NO_MATCH)
+            near += category != rules.NO_MATCH
+    assert near > 0
