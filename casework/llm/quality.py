@@ -2,7 +2,9 @@
 
 A document is a bag of passages of 64 words.  A passage is encoded as the mean
 of its words' shape features, the share of words new to the document, and its
-length.  A hidden layer, gated attention (a tanh layer times a sigmoid layer)
+length.  A word over 40 characters takes the place of a word for each 8 of
+them, and one over 512 (a text without white space, say) is cut into stretches
+of 512, each a word.  A hidden layer, gated attention (a tanh layer times a sigmoid layer)
 and a logistic output on the attention-weighted passages are trained together
 from the labels of whole documents by Adam, in numpy on the driver, on at most
 ``MAX_TRAIN`` labelled documents (the first by a hash of doc_id, so the bound
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from casework.llm.common import texts
 
 PASSAGE, THRESHOLD = 64, 0.3
+LETTERS = 8  # characters of a long word that take the place of one word of a passage
 MAX_TRAIN, MAX_PASSAGES = 6000, 64
 HASHED, SHAPES = 20, 10
 WIDTH = SHAPES + HASHED + 2
@@ -57,8 +60,18 @@ def word_features(word: str) -> list[float]:
     return out
 
 
+def stretches(words: list[str], longest: int) -> tuple[list[str], list[int]]:
+    """Words, those over a passage's characters in stretches of so many, and the
+    share of a passage that each takes, in words."""
+    out = []
+    for w in words:
+        out += [w] if len(w) <= PASSAGE * LETTERS else [w[i:i + PASSAGE * LETTERS] for i in range(0, len(w), PASSAGE * LETTERS)]
+    return out, [1 if len(w) <= longest else -(-len(w) // LETTERS) for w in out]
+
+
 class Encoder:
-    """Passage vectors of texts; word features are kept by word, emptied at ``limit``."""
+    """Passage vectors of texts; features of words of up to ``longest`` characters
+    are kept by word, emptied at ``limit``."""
 
     def __init__(self, limit: int = 300_000, longest: int = 40):
         import numpy as np
@@ -67,21 +80,33 @@ class Encoder:
         self.table = np.zeros((limit + 1, SHAPES + HASHED), dtype=np.float32)
 
     def _numbers(self, words: list[str]):
+        """Number of each word, and the features by number: those of the table,
+        then those of the longer words."""
         import numpy as np
-        new = {w[:self.longest] for w in words}.difference(self.rows)
+        distinct = set(words)
+        long = {w: self.limit + 1 + i for i, w in enumerate(w for w in distinct if len(w) > self.longest)}
+        new = distinct.difference(self.rows, long)
         if len(self.rows) + len(new) > self.limit:
             self.rows.clear()
-            new = {w[:self.longest] for w in words}
+            new = distinct.difference(long)
             if len(new) > self.limit:
                 raise ValueError("more distinct words in one text than the table holds")
         for w in new:
             self.table[len(self.rows)] = word_features(w)
             self.rows[w] = len(self.rows)
-        return np.fromiter(map(self.rows.__getitem__, (w[:self.longest] for w in words)), dtype=np.int64, count=len(words))
+        if not long:
+            return np.fromiter(map(self.rows.__getitem__, words), dtype=np.int64, count=len(words)), self.table.__getitem__
+        extra = np.array([word_features(w) for w in long], dtype=np.float32)
+
+        def features(at):
+            out = self.table[np.minimum(at, self.limit)]
+            out[at > self.limit] = extra[at[at > self.limit] - self.limit - 1]
+            return out
+
+        return np.fromiter((long[w] if w in long else self.rows[w] for w in words), dtype=np.int64, count=len(words)), features
 
     def passages(self, text: str):
-        """(passages, WIDTH) float32; words longer than ``longest`` count by their
-        first characters in the shape features."""
+        """(passages, WIDTH) float32, of all characters of the text."""
         import numpy as np
         words = text.split()
         if not words:
@@ -89,15 +114,27 @@ class Encoder:
         if len(words) > self.limit // 2:  # a text of very many words in turns
             half = len(words) // 2 // PASSAGE * PASSAGE
             return np.concatenate([self.passages(" ".join(words[:half])), self.passages(" ".join(words[half:]))])
-        at = self._numbers(words)
         starts = np.arange(0, len(words), PASSAGE)
         counts = np.diff(np.append(starts, len(words))).astype(np.float32)
+        taken = counts
+        if max(map(len, words)) > self.longest:
+            words, units = stretches(words, self.longest)
+            starts, room = [], 0
+            for i, n in enumerate(units):
+                if n > room:
+                    starts.append(i)
+                    room = PASSAGE
+                room -= n
+            starts = np.array(starts)
+            counts = np.diff(np.append(starts, len(words))).astype(np.float32)
+            taken = np.add.reduceat(np.array(units, dtype=np.float32), starts)
+        at, features = self._numbers(words)
         new = np.zeros(len(words), dtype=np.float32)
         new[np.unique(at, return_index=True)[1]] = 1
         out = np.empty((len(starts), WIDTH), dtype=np.float32)
-        out[:, :-2] = np.add.reduceat(self.table[at], starts, axis=0) / counts[:, None]
+        out[:, :-2] = np.add.reduceat(features(at), starts, axis=0) / counts[:, None]
         out[:, -2] = np.add.reduceat(new, starts) / counts
-        out[:, -1] = counts / PASSAGE
+        out[:, -1] = taken / PASSAGE
         return out
 
 

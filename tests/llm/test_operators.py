@@ -137,6 +137,22 @@ def test_quality_awkward_rows(spark, docs, none):
     assert kept.count() == 0 and kept.columns == docs.columns
 
 
+def test_quality_reads_long_words_whole():
+    encode = quality.Encoder().passages
+    draw = random.Random(8)
+    unspaced = "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(5000))
+    assert len(encode(unspaced)) == 10 and (encode(unspaced)[:9, -1] == 1).all()
+    for changed in (unspaced[:4000] + "7" + unspaced[4001:], unspaced + "!!", unspaced[:4500]):
+        assert encode(changed).shape != encode(unspaced).shape or (encode(changed) != encode(unspaced)).any()
+    assert encode(unspaced[:512] * 4)[:, -2].tolist() == [1, 0, 0, 0]
+    one, two = "a" * 45 + "x", "a" * 45 + "7..."
+    assert encode(f"{one} {two}")[0, -2] == 1 and encode(f"{one} {one}")[0, -2] == 0.5
+    assert np.allclose(encode(two)[0, :-2], quality.word_features(two))
+    assert not any(len(w) > 40 for w in quality.encoder().rows)
+    text = " ".join("".join(draw.choices("abcdefg7.", k=draw.randint(1, 40))) for _ in range(500))
+    assert len(encode(text)) == 8 and (encode(text)[:7, -1] == 1).all()
+
+
 # -- 3 ---------------------------------------------------------------------------------
 
 def plain_simhash(text):
