@@ -111,9 +111,6 @@ class Encoder:
         words = text.split()
         if not words:
             return np.zeros((1, WIDTH), dtype=np.float32)
-        if len(words) > self.limit // 2:  # a text of very many words in turns
-            half = len(words) // 2 // PASSAGE * PASSAGE
-            return np.concatenate([self.passages(" ".join(words[:half])), self.passages(" ".join(words[half:]))])
         starts = np.arange(0, len(words), PASSAGE)
         counts = np.diff(np.append(starts, len(words))).astype(np.float32)
         taken = counts
@@ -128,13 +125,23 @@ class Encoder:
             starts = np.array(starts)
             counts = np.diff(np.append(starts, len(words))).astype(np.float32)
             taken = np.add.reduceat(np.array(units, dtype=np.float32), starts)
-        at, features = self._numbers(words)
-        new = np.zeros(len(words), dtype=np.float32)
-        new[np.unique(at, return_index=True)[1]] = 1
         out = np.empty((len(starts), WIDTH), dtype=np.float32)
-        out[:, :-2] = np.add.reduceat(features(at), starts, axis=0) / counts[:, None]
-        out[:, -2] = np.add.reduceat(new, starts) / counts
         out[:, -1] = taken / PASSAGE
+        bounds, seen, at = np.append(starts, len(words)), set(), 0
+        while at < len(starts):  # a text of very many words in turns
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + self.limit // 2, side="right")) - 1)
+            part = words[bounds[at]:bounds[to]]
+            numbers, features = self._numbers(part)
+            first = np.unique(numbers, return_index=True)[1]
+            if to - at < len(starts):  # new to the whole text, not to the part
+                first = [i for i in first.tolist() if part[i] not in seen]
+                seen.update(part[i] for i in first)
+            new = np.zeros(len(part), dtype=np.float32)
+            new[first] = 1
+            inner = starts[at:to] - bounds[at]
+            out[at:to, :-2] = np.add.reduceat(features(numbers), inner, axis=0) / counts[at:to, None]
+            out[at:to, -2] = np.add.reduceat(new, inner) / counts[at:to]
+            at = to
         return out
 
 

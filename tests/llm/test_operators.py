@@ -153,6 +153,16 @@ def test_quality_reads_long_words_whole():
     assert len(encode(text)) == 8 and (encode(text)[:7, -1] == 1).all()
 
 
+def test_quality_of_a_very_long_text_in_turns():
+    draw = random.Random(9)
+    words = ["".join(draw.choices("abcdef", k=draw.choice([2, 3, 50, 700]))) for _ in range(300)]
+    text = " ".join(draw.choices(words, k=2500))
+    whole, parts = quality.Encoder().passages(text), quality.Encoder(limit=400).passages(text)
+    assert len(whole) > 20 and np.array_equal(whole, parts)
+    plain = " ".join(f"w{i % 150}" for i in range(2000))
+    assert quality.Encoder(limit=400).passages(plain)[:, -2].sum() * 64 == 150
+
+
 # -- 3 ---------------------------------------------------------------------------------
 
 def plain_simhash(text):
