@@ -7,8 +7,8 @@ between them have to be decoded.  A token has word-shape features of its own
 and of its neighbours; weights are trained by gradient ascent on the exact
 log-likelihood (forward-backward) of the small labelled table below, on the
 driver, in well under a second or two.  Runs of like length are decoded
-together by Viterbi in numpy.  A run of equal labels that touches no pattern
-span becomes a span of that kind.
+together by Viterbi in numpy.  In a run of equal labels, each stretch of tokens
+that touch no pattern span becomes a span of that kind.
 
 Defined cases: a null text is empty and has no spans; null and repeated
 doc_ids are kept, one result per row; an empty table gives no rows; other
@@ -21,7 +21,9 @@ import hashlib
 import re
 import string
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -289,6 +291,22 @@ def train(table: str = LABELLED, rounds: int = 60, rate: float = 0.3, decay: flo
     return field
 
 
+def _free(tokens: list[tuple[int, int]], starts: list[int], reach: list[int]) -> list[tuple[int, int]]:
+    """Bounds of the stretches of tokens that touch no pattern span, of which
+    ``starts`` are the sorted starts and ``reach`` the furthest ends so far."""
+    out, apart = [], True
+    for a, b in tokens:
+        before = bisect_left(starts, b)
+        if before and reach[before - 1] > a:
+            apart = True
+        elif apart:
+            out.append((a, b))
+            apart = False
+        else:
+            out[-1] = (out[-1][0], b)
+    return out
+
+
 def added_spans(batch: list[str], base: list[list[tuple[int, int, int]]], field: Field) -> list[list[tuple[int, int, int]]]:
     """Spans (start, kind, end) the field adds to each text."""
     import numpy as np
@@ -298,6 +316,7 @@ def added_spans(batch: list[str], base: list[list[tuple[int, int, int]]], field:
             for run in marked_runs(text):
                 by_length.setdefault(len(run), []).append((i, run))
     out: list[list[tuple[int, int, int]]] = [[] for _ in batch]
+    edges = [([s for s, _, _ in b], list(accumulate((e for _, _, e in b), max))) for b in base]
     for length, runs in by_length.items():
         for at in range(0, len(runs), max(1, 200_000 // length)):
             part = runs[at:at + max(1, 200_000 // length)]
@@ -309,13 +328,14 @@ def added_spans(batch: list[str], base: list[list[tuple[int, int, int]]], field:
                     while u + 1 < length and labels[u + 1] == labels[t]:
                         u += 1
                     if labels[t]:
-                        text, start, end = batch[i], run[t][0], run[u][1]
-                        while start < end and not (text[start].isalnum() or text[start] in "(+"):
-                            start += 1
-                        while end > start and not text[end - 1].isalnum():
-                            end -= 1
-                        if start < end and not any(s < end and start < e for s, _, e in base[i]):
-                            out[i].append((start, labels[t] - 1, end))
+                        text = batch[i]
+                        for start, end in _free(run[t:u + 1], *edges[i]):
+                            while start < end and not (text[start].isalnum() or text[start] in "(+"):
+                                start += 1
+                            while end > start and not text[end - 1].isalnum():
+                                end -= 1
+                            if start < end:
+                                out[i].append((start, labels[t] - 1, end))
                     t = u + 1
     return out
 

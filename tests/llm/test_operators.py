@@ -420,6 +420,19 @@ def test_field_learns_and_adds():
     assert added == [[(5, 3, 19)], [], []]
 
 
+def test_numbers_beside_a_pattern_span_are_added():
+    field = pii.train()
+    text = ["call 415-555-0199 +1 (974) 555-3436 today", "415-555-0199 +1 (974) 555-3436",
+            "mail root@intranet ana@mail.example.com kim.99@host now"]
+    base = [pii.base_spans(t) for t in text]
+    assert base == [[(18, 3, 35)], [(13, 3, 30)], [(19, 0, 39)]]
+    added = pii.added_spans(text, base, field)
+    assert added == [[(5, 3, 17)], [(0, 3, 12)], [(5, 0, 18), (40, 0, 51)]]
+    assert pii.redacted(text[0], base[0] + added[0]) == "call <PHONE> <PHONE> today"
+    # one label all over: tokens 1 and 2 lie beside a span within tokens 0, 3 and 4
+    assert pii._free([(0, 2), (3, 5), (6, 8), (9, 11), (12, 14), (15, 17)], [0, 9], [2, 13]) == [(3, 8), (15, 17)]
+
+
 def test_find_and_redact(docs, none):
     got = {(by_id(r)): r for r in rows_of(pii.find(docs))}
     row = got[(True, 14)]
