@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casework.llm import ann, bpe, lines, minhash, packing, pii, quality, shards, simhash, token_store
+from casework.llm import ann, bpe, lines, minhash, packing, pii, quality, shards, simhash, substrings, token_store
 from casework.llm.common import tokenizer_path
 from casework.session import table_path
 
@@ -55,7 +55,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprint_table(_read(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_table(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_store, op2_quality, op3_simhash, op4_shards, op5_bpe, op6_line_dedup, op7_pii,
-                            op8_packing, op9_nearest, op10_minhash)}
+                            op8_packing, op9_nearest, op10_minhash, op11_substring_dedup)}
 ORACLE = {"op6_line_dedup": lines.LINES_SQL, "op9_nearest": ann.NEAREST_SQL}
