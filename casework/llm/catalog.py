@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casework.llm import ann, bpe, lines, minhash, packing, pii, prefix_trie, quality, shards, simhash, substrings, token_store
+from casework.llm import ann, bpe, lines, minhash, packing, pii, prefix_trie, quality, repair, shards, simhash, substrings, token_store
 from casework.llm.common import tokenizer_path
 from casework.session import table_path
 
@@ -63,7 +63,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie_table(_read(spark, sf_dir, "conversations"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_table(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_store, op2_quality, op3_simhash, op4_shards, op5_bpe, op6_line_dedup, op7_pii,
-                            op8_packing, op9_nearest, op10_minhash, op11_substring_dedup, op12_prefix_trie)}
+                            op8_packing, op9_nearest, op10_minhash, op11_substring_dedup, op12_prefix_trie,
+                            op13_repair)}
 ORACLE = {"op6_line_dedup": lines.LINES_SQL, "op9_nearest": ann.NEAREST_SQL, "op12_prefix_trie": prefix_trie.TRIE_SQL}

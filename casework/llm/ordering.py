@@ -20,10 +20,11 @@ from casework.session import write_table
 _IN_PART = (1 << 33) - 1  # monotonically_increasing_id: partition above, row below
 
 
-def in_order(rows: DataFrame, by: list[Column], name: str) -> DataFrame:
-    """The rows, written in order of ``by``, with ``part`` and ``at``."""
+def in_order(rows: DataFrame, by: list[Column], name: str, keep: list[str] | None = None) -> DataFrame:
+    """The rows, written in order of ``by``, with ``part`` and ``at``; of their
+    columns those to ``keep``, or all."""
     placed = rows.repartitionByRange(shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by)
-    return write_table(placed.withColumn("part", F.spark_partition_id())
+    return write_table(placed.select(*(keep or rows.columns)).withColumn("part", F.spark_partition_id())
                        .withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PART))), name)
 
 
@@ -48,7 +49,11 @@ def running(table: DataFrame, totals: dict[str, Column], merge: Callable[[Column
     parts = parts.select(*keys, *[F.coalesce(merge(F.col(k)).over(before), zero).alias(f"{k}_before") for k in totals])
     here = Window.partitionBy(*keys).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     named = named.select(*table.columns, *[merge(F.col(k)).over(here).alias(k) for k in totals])
-    joined = named.join(parts if key else F.broadcast(parts), keys)  # without a key: one row a partition
+    if key:
+        parts = parts.withColumnsRenamed({"part": "part_before", key: "key_before"})
+        joined = named.join(parts, (F.col("part") == F.col("part_before")) & F.col(key).eqNullSafe(F.col("key_before")))
+    else:
+        joined = named.join(F.broadcast(parts), "part")  # one row a partition
 
     def with_before(k: str) -> Column:
         if merge is F.sum:

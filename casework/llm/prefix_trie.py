@@ -43,10 +43,11 @@ def turns_of(conversations: DataFrame) -> DataFrame:
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     rows = (conversations.select(F.col("conv_id").cast("long").alias("conv"), "turn", role.alias("role"), text.alias("text"))
             .filter("conv is not null"))
-    placed = in_order(rows, [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")], "turns-in-order")
-    own = running(placed.select("conv", F.xxhash64("role", "text").alias("h1"), F.xxhash64(F.lit(2), "text", "role").alias("h2"),
-                                F.regexp_count("text", F.lit(WORD)).cast("long").alias("words"), "part", "at"),
-                  {"d": F.lit(1).cast("long")}, key="conv")
+    rows = rows.withColumns({"h1": F.xxhash64("role", "text"), "h2": F.xxhash64(F.lit(2), "text", "role"),
+                             "words": F.regexp_count("text", F.lit(WORD)).cast("long")})
+    placed = in_order(rows, [F.col("conv"), F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")], "turns-in-order",
+                      ["conv", "h1", "h2", "words"])
+    own = running(placed, {"d": F.lit(1).cast("long")}, key="conv")
     return write_table(own.drop("part", "at"), "turns")
 
 
