@@ -40,7 +40,9 @@ WINDOW = 20
 CHUNK_BYTES = 24 << 20   # text of a chunk, at least one document
 BUCKET_BYTES = 16 << 20  # text whose windows meet in one bucket, about
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd multipliers of the two polynomials
-KEPT_WORDS = 200_000
+SIGN_BASE = 0xD6E8FEB86659FD95  # of the polynomial over a word's bytes; longer words are hashed by xxHash
+LONG = 64
+TURN = 2 << 20           # bytes whose words are hashed at a time, at least one document
 LOW = 32                 # bits of a hash that are stored as they are
 FIRST = 53               # bits of a hash in the first round
 
@@ -52,15 +54,30 @@ OUT = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept
 
 # -- hashes of a chunk's windows -----------------------------------------------------
 
-class _Words(dict):
-    """64-bit hash of a word, remembered while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-        value = xxh64_intdigest(word, 11)
-        if len(self) < KEPT_WORDS and len(word) <= 40:
-            self[word] = value
-        return value
+def word_hashes(data: bytes):
+    """64-bit hash of every word of some text, and where the words start."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+    signs = np.frombuffer(data, dtype=np.uint8)
+    gap = np.ones(len(signs) + 2, dtype=bool)
+    gap[1:-1] = (signs == 32) | ((signs >= 9) & (signs <= 13))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    order = np.argsort(-sizes, kind="stable")  # longest first: those that have a k-th sign are the first few
+    at, size = starts[order], sizes[order]
+    h = size.astype(np.uint64)
+    for k in range(min(int(size[0]), LONG) if len(size) else 0):
+        n = np.searchsorted(-size, -k, side="left")
+        h[:n] *= np.uint64(SIGN_BASE)
+        h[:n] += signs[at[:n] + k]
+    for i in range(int(np.searchsorted(-size, -LONG, side="left"))):
+        h[i] = xxh64_intdigest(data[at[i]:at[i] + size[i]], 11)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(29)
+    out = np.empty_like(h)
+    out[order] = h
+    return out, starts
 
 
 class Windows:
@@ -68,61 +85,59 @@ class Windows:
 
     def __init__(self, docs: list[str | None], window: int):
         import numpy as np
-        of, coded = _Words(), []
-        for text in docs:
-            words = (text or "").encode("utf-8").split()  # bytes: parts at ASCII white space alone
-            coded.append(np.fromiter(map(of.__getitem__, words), dtype=np.uint64, count=len(words)))
-        self.sizes = np.array([len(c) for c in coded], dtype=np.int64)
+        hashes, sizes, held, room = [], [], [], 0
+        for i, text in enumerate(docs):
+            held.append((text or "").encode("utf-8"))
+            room += len(held[-1])
+            if room > TURN or i == len(docs) - 1:  # several documents at a time
+                h, starts = word_hashes(b"\n".join(held))
+                ends = np.cumsum([len(t) + 1 for t in held])
+                sizes.append(np.diff(np.searchsorted(starts, ends), prepend=0))
+                hashes.append(h)
+                held, room = [], 0
+        flat = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
+        self.sizes = np.concatenate(sizes) if sizes else np.zeros(0, dtype=np.int64)
         self.first = np.cumsum(self.sizes) - self.sizes  # first word of each document
-        flat = np.concatenate(coded) if coded else np.zeros(0, dtype=np.uint64)
         n = max(0, len(flat) - window + 1)
         left = np.repeat(self.first + self.sizes, self.sizes)[:n] - np.arange(n)  # words left in the document
         self.starts = np.flatnonzero(left >= window)
-        self.hashes = []
+        made = []
         for base in BASES:
             h = np.zeros(n, dtype=np.uint64)
             for k in range(window if n else 0):
                 h *= np.uint64(base)
                 h += flat[k:k + n]
             h ^= h >> np.uint64(29)  # the lowest bits of a product depend on few others
-            self.hashes.append((h * np.uint64(BASES[0]))[self.starts])
-
-    def distinct(self):
-        """Sorted distinct first-round hashes."""
-        import numpy as np
-        return np.unique(self.hashes[0] >> np.uint64(64 - FIRST))
-
-    def marked(self, keys, bits):
-        """Numbers of the windows whose first-round hash has its bit set, one
-        of each (hash, hash) pair, ordered by that pair."""
-        import numpy as np
-        hot = np.flatnonzero(bits[np.searchsorted(keys, self.hashes[0] >> np.uint64(64 - FIRST))])
-        order = hot[np.lexsort((hot, self.hashes[1][hot] >> np.uint64(32), self.hashes[0][hot]))]
-        return order[self._new(order)]
-
-    def _new(self, order):
+            made.append((h * np.uint64(BASES[0]))[self.starts])
+        one, two = made
+        two >>= np.uint64(32)
+        order = np.argsort(one, kind="stable")
+        a, b = one[order], two[order]
+        if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+            order = np.lexsort((np.arange(len(one)), two, one))
+            a, b = one[order], two[order]
+        self.order, self.one, self.two = order, a, b  # sorted by (hash, hash, start)
+        self.new = np.ones(len(a), dtype=bool)  # the first window of each pair of hashes
+        self.new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        short = a >> np.uint64(64 - FIRST)
+        self.new_short = np.ones(len(a), dtype=bool)
+        self.new_short[1:] = short[1:] != short[:-1]
+        self.keys = short[self.new_short]  # sorted distinct first-round hashes
+
+    def marked(self, bits):
+        """Mask of the sorted windows that are sent in the second round: the
+        first of each pair of hashes whose first-round hash has its bit set."""
         import numpy as np
-        a, b = self.hashes[0][order], self.hashes[1][order] >> np.uint64(32)
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return new
+        return self.new & bits[np.cumsum(self.new_short) - 1]
 
     def repeated(self, sent, earlier):
-        """Mask of windows that also start earlier.  sent: ``marked``; earlier:
-        bit of each, an earlier chunk has it."""
+        """Mask of the windows, in order of start, that also start earlier.
+        sent: ``marked``; earlier: of each one sent, an earlier chunk has it."""
         import numpy as np
-        a, b = self.hashes[0], self.hashes[1] >> np.uint64(32)
-        order = np.lexsort((np.arange(len(a)), b, a))
-        new = self._new(order)
-        group = np.cumsum(new) - 1
-        out = np.zeros(len(a), dtype=bool)
-        out[order] = ~new
-        if len(sent):
-            of = np.empty(len(a), dtype=np.int64)
-            of[order] = group
-            gone = np.zeros(int(group[-1]) + 1, dtype=bool)
-            gone[of[sent[earlier]]] = True
-            out |= gone[of]
+        elsewhere = np.zeros(len(self.order), dtype=bool)
+        elsewhere[np.flatnonzero(sent)[earlier]] = True
+        out = np.empty(len(self.order), dtype=bool)
+        out[self.order] = ~self.new | elsewhere  # all but the first of a pair are repeated within the chunk
         return out
 
 
@@ -255,7 +270,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         import numpy as np
         import pyarrow as pa
         chunk = docs_of_chunk.column("chunk")[0].as_py()
-        keys = Windows(_texts_of(docs_of_chunk)[1], window).distinct()
+        keys = Windows(_texts_of(docs_of_chunk)[1], window).keys
         cuts, low = _cuts(keys >> np.uint64(rest), buckets), keys & np.uint64((1 << rest) - 1)
         rows = [(b, chunk, int(j - i), pack_set(low[i:j], slots)) for b, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
         return _table(pa, SETS, rows)
@@ -267,7 +282,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             return _table(pa, SETS, [])
         chunk = docs_of_chunk.column("chunk")[0].as_py()
         found, sent = _sent(docs_of_chunk, replies, "first")
-        a, b = found.hashes[0][sent], (found.hashes[1][sent] >> np.uint64(32)).astype("<u4")
+        a, b = found.one[sent], found.two[sent].astype("<u4")
         cuts = _cuts(a >> np.uint64(64 - bits), buckets)
         rows = [(k, chunk, int(j - i), a[i:j].astype("<u8").tobytes() + b[i:j].tobytes())
                 for k, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
@@ -277,10 +292,9 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         import numpy as np
         import pyarrow.compute as pc
         found = Windows(_texts_of(docs_of_chunk)[1], window)
-        keys = found.distinct()
-        cuts = _cuts(keys >> np.uint64(rest), buckets)
+        cuts = _cuts(found.keys >> np.uint64(rest), buckets)
         mine = replies.filter(pc.equal(replies.column("kind"), kind))
-        return found, found.marked(keys, _bits_of(mine, np.diff(cuts)))
+        return found, found.marked(_bits_of(mine, np.diff(cuts)))
 
     def cut(key, docs_of_chunk, replies):
         import numpy as np
@@ -290,7 +304,7 @@ def repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             return _table(pa, None, [])
         ids, whole = _texts_of(docs_of_chunk)
         found, sent = _sent(docs_of_chunk, replies, "first")
-        counts = np.diff(_cuts(found.hashes[0][sent] >> np.uint64(64 - bits), buckets))
+        counts = np.diff(_cuts(found.one[sent] >> np.uint64(64 - bits), buckets))
         earlier = _bits_of(replies.filter(pc.equal(replies.column("kind"), "second")), counts)
         gone = covered(found, found.repeated(sent, earlier), window)
         rows = []
