@@ -20,6 +20,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _SPACE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 _LED_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _BARE_CHUNK = re.compile(f"[^{_SPACE}]+")
+_BEYOND = re.compile("[\u0130\u0250-\U0010ffff]")  # signs that lower case or composition may turn into others
+_PUNCTUATION = re.compile(r"[^\w\s]+")
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() parts at these, the pre-tokenizers don't
 
 
@@ -41,8 +43,27 @@ def led_chunks(text: str) -> list[str]:
     return _LED_CHUNK.findall(text)
 
 
+def lower_words(text: str) -> list[str]:
+    """Pieces for a tokenizer that lower-cases, parts at white space and parts
+    runs of letters from runs of punctuation: those runs in lower case, if the
+    text holds no apostrophe (contractions), special token or unusual sign,
+    else its chunks."""
+    if "'" in text or "<|" in text or not (text.isascii() or not _BEYOND.search(text)):
+        return bare_chunks(text)
+    return bare_chunks(_PUNCTUATION.sub(r" \g<0> ", text.lower()))
+
+
 _TAIL = "".join(c for c in string.punctuation if c != "'")
-_ENCODERS: dict[tuple[str, bool], "ChunkEncoder"] = {}
+_HELD: dict[tuple, object] = {}
+
+
+def one_store(key: tuple, make):
+    """What a worker process keeps from task to task: the last thing asked for
+    alone, so that the stores of several operators don't add up."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def letters_core(chunk: str) -> str:
@@ -56,76 +77,86 @@ def letters_core(chunk: str) -> str:
     return core
 
 
+def _byte_signs() -> str:
+    """The sign that stands for each byte in byte-level tokenizers: printable
+    ones for themselves, the others in order from U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(others)) for b in range(256))
+
+
+_SIGNS = _byte_signs()
+
+
+class _Store(dict):
+    """A dict that makes what is missing.  At ``limit`` entries it starts
+    anew, but takes from the entries before what is asked for again, so that
+    frequent keys stay; keys over ``longest`` signs aren't kept."""
+
+    def __init__(self, make, limit: int, longest: int):
+        self.make, self.limit, self.longest, self.before = make, limit, longest, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class ChunkEncoder:
     """Token ids of whole texts, through the tokenizers library.
 
     White space always ends a pre-token of the two public tokenizers used
     here, so a text's ids are those of its chunks in a row; the same holds
     between a run of letters and the ASCII punctuation after it (apostrophes
-    aside, which start contractions).  Each distinct chunk and part is encoded
-    by the library once and kept as bytes (little-endian uint32).  Both stores
-    are emptied at ``limit`` entries and leave out long chunks, so memory is
-    bounded; a worker process keeps them from task to task.
+    aside, which start contractions).  Pieces and their parts are encoded by the
+    library once and kept as bytes (little-endian uint32), in stores of some
+    30 MB that leave out long chunks.
     """
 
-    def __init__(self, path: str, led: bool, limit: int = 600_000, longest: int = 60):
+    def __init__(self, path: str, led: bool, limit: int = 120_000, longest: int = 60):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.split = led_chunks if led else bare_chunks
+        self.split = led_chunks if led else lower_words
         self.lowers = not led
-        self.lead = " " if not led else self.tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
-        self.limit, self.longest = limit, longest
-        self.kept: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model.tokenize
+        self.parts = _Store(self._part, limit, longest)
+        self.kept = _Store(self._chunk, limit, longest)
 
     @staticmethod
     def of(path: str, led: bool) -> "ChunkEncoder":
-        if (path, led) not in _ENCODERS:
-            _ENCODERS[path, led] = ChunkEncoder(path, led)
-        return _ENCODERS[path, led]
-
-    def _missing(self, chunks: list[str]) -> list[bytes]:
-        cores = list(map(letters_core, chunks))
-        tails = [chunk[len(core):] for chunk, core in zip(chunks, cores)]
-        if self.lowers:  # the tokenizer lower-cases anyway
-            cores = [c.lower() if c.isascii() and "<" not in c else c for c in cores]
-        if len(self.parts) > self.limit:
-            self.parts.clear()
-        new = {*cores, *tails}.difference(self.parts)
-        # ASCII letters pass the normalizer and the byte mapping unchanged
-        # (but for the space before them): the library's model takes them as they are.
-        plain = [p for p in new if p.isascii() and (p[1:] if p[:1] == " " else p).isalpha()]
-        new = list(new.difference(plain))
-        tokenize, lead = self.tokenizer.model.tokenize, self.lead
-        for p in plain:
-            self.parts[p] = array("I", [t.id for t in tokenize(p.replace(" ", lead))]).tobytes()
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.parts.update(zip(new, [array("I", e.ids).tobytes() for e in encoded]))
-        new += plain
-        get = self.parts.__getitem__
-        out = list(map(bytes.__add__, map(get, cores), map(get, tails)))
-        for part in new:
-            if len(part) > self.longest:
-                del self.parts[part]
-        return out
+        return one_store(("encoder", path, led), lambda: ChunkEncoder(path, led))
+
+    def _part(self, part: str) -> bytes:
+        # Letters below U+0250 (but for the dotted capital I) stay one pre-token and
+        # change in lower case and byte signs alone: the library's model takes them so.
+        if (part[1:] if part[:1] == " " else part).isalpha() and (part.isascii() or (max(part) < "\u0250" and "\u0130" not in part)):
+            if self.lowers:
+                part = part.lower()
+            signs = part.encode("utf-8").decode("latin-1").translate(_SIGNS) if part[0] == " " or not part.isascii() else part
+            return array("I", [t.id for t in self.model(signs)]).tobytes()
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii() and self.lowers:
+            return self._part(chunk) if chunk.islower() else self.parts[chunk.lower()]
+        core = chunk if chunk.isalpha() else letters_core(chunk)
+        own = core.lower() if self.lowers and core.isascii() and "<" not in core else core
+        return self.parts[own] + self.parts[chunk[len(core):]] if len(core) < len(chunk) else self.parts[own]
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         collects = gc.isenabled()
         gc.disable()  # only strings and bytes are made, in great number
         try:
-            cut = [self.split(t) for t in texts]
-            if len(self.kept) > self.limit:
-                self.kept.clear()
-            new = list(set().union(*cut).difference(self.kept))
-            self.kept.update(zip(new, self._missing(new)))
-            get = self.kept.__getitem__
-            out = [b"".join(map(get, c)) for c in cut]
-            for chunk in new:
-                if len(chunk) > self.longest:
-                    del self.kept[chunk]
-            return out
+            get, split = self.kept.__getitem__, self.split
+            return [b"".join(map(get, split(t))) for t in texts]
         finally:
             if collects:
                 gc.enable()

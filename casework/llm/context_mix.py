@@ -11,7 +11,9 @@ step, so coder and decoder stay alike.  Three predictions are mixed:
 The mixing weights are the shares of past hits among steps with the same
 pair of confidences.  An id's interval is its share of the order-0 range,
 widened by the weight of each prediction that names it; every id keeps a
-share above zero.  The range coder has a 48-bit window, 16-bit digits, and
+share above zero.  The last ids of orders 1 and 2 are learned after every step,
+counts and weights after each of the first ``EARLY`` steps and then every
+``EARLY`` steps, when the counts are scaled to a power of two.  The range coder has a 48-bit window, 16-bit digits, and
 carries that are added to the digits already written and resolved at the end.
 """
 
@@ -29,10 +31,13 @@ GAIN = 32
 SLOT_BITS = 18
 MAX_LANES = 4096
 STEPS = 256
+SCALE = 22  # bits of the scaled counts; at least one more than those of MAX_COUNT
+EARLY = 16
+STRETCH = 7  # scaled counts are looked up in stretches of 128
 
 
 #: Next confidence by 4 * (hit or miss) + confidence so far; a miss at 0 or 1 takes the new id.
-CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], dtype=np.int8)
+CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], dtype=np.int32)
 
 
 class _Model:
@@ -40,9 +45,10 @@ class _Model:
         self.n = alphabet
         self.counts = np.ones(alphabet, dtype=np.int64)
         self.cum = np.zeros(alphabet + 1, dtype=np.int64)
-        self.cum32 = np.zeros(alphabet + 1, dtype=np.int32)
-        self.one = np.zeros(alphabet, dtype=np.int32), np.zeros(alphabet, dtype=np.int8)
-        self.two = np.zeros(1 << SLOT_BITS, dtype=np.int32), np.zeros(1 << SLOT_BITS, dtype=np.int8)
+        self.steps, self.told = 0, []
+        self.one = np.zeros(alphabet, dtype=np.int32)  # 4 * id + confidence
+        self.two = np.zeros(1 << SLOT_BITS, dtype=np.int32)
+        self.every, self.stretch = np.arange(alphabet, dtype=np.int32), None
         self.seen = np.full(32, 4, dtype=np.int64)
         self.hits1 = np.ones(32, dtype=np.int64)
         self.hits2 = np.ones(32, dtype=np.int64)
@@ -50,8 +56,10 @@ class _Model:
 
     def _settle(self) -> None:
         np.cumsum(self.counts, out=self.cum[1:])
-        self.cum32[:] = self.cum  # at most MAX_COUNT
         self.total = int(self.cum[-1])
+        self.cum <<= SCALE
+        self.cum //= self.total  # strictly rising, as the total is at most MAX_COUNT
+        self.stretch = None
         free = TOTAL - 2 * MAX_COUNT
         self.weight1 = self.hits1 * free // self.seen
         self.weight2 = self.hits2 * free // self.seen
@@ -59,15 +67,15 @@ class _Model:
     def predict(self, last: np.ndarray, before: np.ndarray) -> None:
         self.last = last
         self.slot = ((before * 0x9E3779B1 + last * 0x85EBCA77) >> 7) & ((1 << SLOT_BITS) - 1)
-        self.p1, self.c1 = self.one[0][last], self.one[1][last]
-        self.p2, self.c2 = self.two[0][self.slot], self.two[1][self.slot]
-        self.key = (self.c2 * 4 + self.c1) * 2 + (self.p1 == self.p2)
-        self.w1, self.w2 = self.weight1[self.key], self.weight2[self.key]
+        self.v1, self.v2 = self.one.take(last), self.two.take(self.slot)
+        self.p1, self.p2 = self.v1 >> 2, self.v2 >> 2
+        self.key = ((self.v2 & 3) * 4 + (self.v1 & 3)) * 2 + (self.p1 == self.p2)
+        self.w1, self.w2 = self.weight1.take(self.key), self.weight2.take(self.key)
         self.w0 = TOTAL - self.w1 - self.w2
 
     def base(self, x: np.ndarray) -> np.ndarray:
         """Order-0 range below id x."""
-        return self.cum[x] * self.w0 // self.total
+        return self.cum.take(x) * self.w0 >> SCALE
 
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         lo, hi = self.base(x), self.base(x + 1)
@@ -83,14 +91,21 @@ class _Model:
         p1, w1, w2, t = self.p1.take(off), self.w1.take(off), self.w2.take(off), t.take(off)
         w0, past2 = self.w0.take(off), t >= start.take(off)
         rest = t - w2 * past2
-        lo, hi = (self.cum.take(p1 + side) * w0 // self.total for side in (0, 1))
+        lo, hi = (self.cum.take(p1 + side) * w0 >> SCALE for side in (0, 1))
         past1 = rest >= hi + w1
         hit = (rest >= lo) & ~past1
         x[off] = p1
         free = np.flatnonzero(~hit)
         rest = (rest - w1 * past1).take(free)
-        at = ((rest + 1) * self.total - 1) // w0.take(free)
-        x[off.take(free)] = np.searchsorted(self.cum32, at.astype(np.int32), side="right") - 1
+        at = (((rest + 1) << SCALE) - 1) // w0.take(free)
+        if self.stretch is None:  # the last id that begins before or in each stretch of the scaled counts
+            self.stretch = np.zeros(1 << (SCALE - STRETCH), dtype=np.int32)
+            self.stretch[self.cum[:-1] >> STRETCH] = self.every
+            np.maximum.accumulate(self.stretch, out=self.stretch)
+        guess = self.stretch.take(at >> STRETCH).astype(np.int64)
+        amiss = np.flatnonzero((self.cum.take(guess) > at) | (self.cum.take(guess + 1) <= at))
+        guess[amiss] = np.searchsorted(self.cum, at.take(amiss), side="right") - 1
+        x[off.take(free)] = guess
         return x
 
     def learn(self, x: np.ndarray) -> None:
@@ -100,17 +115,18 @@ class _Model:
         self.seen += none + only1 + only2 + both
         self.hits1 += only1
         self.hits2 += only2 + both
-        for (ids, conf), at, c, same in ((self.one, self.last, self.c1, self.same1),
-                                         (self.two, self.slot, self.c2, self.same2)):
-            state = 4 * same.view(np.int8) + c
-            conf[at] = CONFIDENCE.take(state)
-            new = np.flatnonzero(state <= 1)
-            ids[at.take(new)] = x.take(new)
-        np.add.at(self.counts, x, GAIN)
-        if self.total + GAIN * len(x) > MAX_COUNT:
+        own = (x.astype(np.int32) << 2) | 1
+        for table, at, value, same in ((self.one, self.last, self.v1, self.same1), (self.two, self.slot, self.v2, self.same2)):
+            state = (value & 3) + 4 * same
+            table[at] = np.where(state <= 1, own, (value & -4) | CONFIDENCE.take(state))
+        self.told.append(x)
+        self.steps += 1
+        if self.steps > EARLY and self.steps % EARLY:
+            return
+        self.counts += GAIN * np.bincount(np.concatenate(self.told), minlength=self.n)
+        self.told = []
+        while int(self.counts.sum()) > MAX_COUNT:
             self.counts = (self.counts + 1) >> 1
-            while int(self.counts.sum()) > MAX_COUNT - GAIN * MAX_LANES:
-                self.counts = (self.counts + 1) >> 1
         self._settle()
 
 
