@@ -20,8 +20,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _SPACE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 _LED_CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _BARE_CHUNK = re.compile(f"[^{_SPACE}]+")
-_BEYOND = re.compile("[\u0130\u0250-\U0010ffff]")  # signs that lower case or composition may turn into others
-_PUNCTUATION = re.compile(r"[^\w\s]+")
+# Contractions, special tokens, signs that only Python takes for space, and those that lower case or composition may turn into others.
+_ODD = re.compile("['\x1c-\x1f\u0130\u0250-\U0010ffff]|<\\|")
+_PUNCTUATION = re.compile(r"(?:[^\w\s]|_)+")
 _NOT_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() parts at these, the pre-tokenizers don't
 
 
@@ -48,9 +49,9 @@ def lower_words(text: str) -> list[str]:
     runs of letters from runs of punctuation: those runs in lower case, if the
     text holds no apostrophe (contractions), special token or unusual sign,
     else its chunks."""
-    if "'" in text or "<|" in text or not (text.isascii() or not _BEYOND.search(text)):
+    if _ODD.search(text):
         return bare_chunks(text)
-    return bare_chunks(_PUNCTUATION.sub(r" \g<0> ", text.lower()))
+    return _PUNCTUATION.sub(r" \g<0> ", text.lower()).split()
 
 
 _TAIL = "".join(c for c in string.punctuation if c != "'")

@@ -6,11 +6,12 @@ length.  A word over 40 characters takes the place of a word for each 8 of
 them, and one over 512 (a text without white space, say) is cut into stretches
 of 512, each a word.  A hidden layer, gated attention (a tanh layer times a sigmoid layer)
 and a logistic output on the attention-weighted passages are trained together
-from the labels of whole documents by Adam, in numpy on the driver, on at most
-``MAX_TRAIN`` labelled documents (the first by a hash of doc_id, so the bound
-doesn't depend on the order of rows) with at most ``MAX_PASSAGES`` evenly
-spaced passages each.  Scoring is distributed, over all passages of whole
-texts, and sees the text alone.
+from the labels of whole documents by Adam, in numpy on the driver, on a
+bounded sample of labelled rows: the first ``MAX_TRAIN`` by a hash of doc_id
+(then doc_id, label and passages, where ids repeat), of these, in that order,
+every row that still fits into ``MAX_PASSAGES`` passages in all, each with all
+its passages.  Scoring is distributed, over all passages of whole texts, and
+sees the text alone.
 
 Defined cases: a null or empty text is one empty passage and gets its score; a
 null doc_id is not held out and never trains; of several labels of one id the
@@ -27,11 +28,12 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casework.llm.common import texts
+from casework.llm.common import one_store, texts
+from casework.session import write_table
 
 PASSAGE, THRESHOLD = 64, 0.3
 LETTERS = 8  # characters of a long word that take the place of one word of a passage
-MAX_TRAIN, MAX_PASSAGES = 6000, 64
+MAX_TRAIN, MAX_PASSAGES = 6000, 200_000
 HASHED, SHAPES = 20, 10
 WIDTH = SHAPES + HASHED + 2
 HIDDEN, GATE = 24, 12
@@ -73,7 +75,7 @@ class Encoder:
     """Passage vectors of texts; features of words of up to ``longest`` characters
     are kept by word, emptied at ``limit``."""
 
-    def __init__(self, limit: int = 300_000, longest: int = 40):
+    def __init__(self, limit: int = 100_000, longest: int = 40):
         import numpy as np
         self.limit, self.longest = limit, longest
         self.rows: dict[str, int] = {}
@@ -145,13 +147,8 @@ class Encoder:
         return out
 
 
-_ENCODER: list[Encoder] = []
-
-
 def encoder() -> Encoder:
-    if not _ENCODER:
-        _ENCODER.append(Encoder())
-    return _ENCODER[0]
+    return one_store(("passages",), Encoder)
 
 
 # -- the model -------------------------------------------------------------------------
@@ -251,18 +248,21 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, max
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            made = []
-            for text in batch.column(2).to_pylist():
-                p = encoder().passages(text)
-                if len(p) > max_passages:
-                    p = p[np.linspace(0, len(p) - 1, max_passages).astype(int)]
-                made.append(p.tobytes())
-            yield pa.record_batch([batch.column(0), batch.column(1).cast(pa.int32()), pa.array(made, type=pa.binary())],
-                                  names=["doc_id", "quality", "passages"])
-
-    # bounded: max_train rows (more only where doc_ids repeat) of at most max_passages short vectors
+            made = [encoder().passages(text) for text in batch.column(2).to_pylist()]
+            yield pa.record_batch([batch.column(0), batch.column(1).cast(pa.int32()), pa.array([len(p) for p in made], type=pa.int64()),
+                                   pa.array([p.tobytes() for p in made], type=pa.binary())], names=["doc_id", "quality", "n", "passages"])
+
+    kept = write_table(rows.mapInArrow(run, "doc_id long, quality int, n long, passages binary")
+                       .orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "passages").limit(max_train)
+                       .withColumn("row", F.monotonically_increasing_id()), "training-rows")
+    fits, room = [], max_passages
+    for row, n in sorted(kept.select("row", "n").collect()):  # at most max_train rows
+        if n <= room:
+            fits.append(row)
+            room -= n
+    # at most max_passages short vectors
     found = sorted((r["doc_id"], r["quality"], bytes(r["passages"])) for r in
-                   rows.mapInArrow(run, "doc_id long, quality int, passages binary").orderBy("doc_id").limit(max_train).collect())
+                   kept.filter(F.col("row").isin(fits)).select("doc_id", "quality", "passages").collect())
     return fit([np.frombuffer(p, dtype=np.float32).reshape(-1, WIDTH) for _, _, p in found], [q for _, q, _ in found])
 
 
