@@ -1,7 +1,7 @@
 """Command line for the weekly job and the report datasets.
 
-    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH] [--state PATH] [--day-first]
-        [--no-fuzzy]
+    python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH [--kml PATH=DISTRICT]]
+        [--state PATH] [--day-first] [--no-fuzzy]
     python -m casework reports --history PATH --out DIR [--dedup-incident]
 
 ``weekly`` is the incremental run (T01): landing export -> header alignment
@@ -49,7 +49,13 @@ def weekly(args) -> dict:
     spark = get_session()
     ship_package(spark)
     export = _landing(spark, args.landing, args.format, args.day_first)
-    zones = geo.read_zones(spark, args.zones) if args.zones else None
+    zones = None
+    if args.zones:
+        rings = geo.read_rings(spark, args.zones)
+        for spec in args.kml:  # PATH=DISTRICT: goes before the table's zones
+            path, _, district = spec.rpartition("=")
+            rings = rings.unionByName(geo.read_kml(spark, path, float(district), -1))
+        zones = geo.zone_index(rings)
     exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
         cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy, zones=zones), "first_load")
@@ -106,6 +112,7 @@ def main(argv=None) -> None:
     w.add_argument("--format", choices=["csv", "parquet"], default="csv")
     w.add_argument("--history", required=True)
     w.add_argument("--zones", help="Parquet zone layer, one ring per row")
+    w.add_argument("--kml", action="append", default=[], metavar="PATH=DISTRICT", help="KML layer of a sub-zone, ahead of --zones")
     w.add_argument("--state", help="folder of the person-state table")
     w.add_argument("--day-first", action="store_true", help="read 4/5/2026 as 4 May, not 5 April")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")

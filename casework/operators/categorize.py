@@ -6,7 +6,7 @@ map lookups (exact tiers) and one ordered ``when`` chain of ``contains``
 
 Tier 3 (fuzzy) is the only Python: it runs on the *distinct* texts left
 unmatched by tiers 0-2 (dictionary encoding of the work), through an Arrow
-``pandas_udf``, and is joined back.  The scored table is materialised to
+``pandas_udf`` that scores a whole batch at once, and is joined back.  The scored table is materialised to
 the checkpoint folder and counted; it is broadcast only under a row bound,
 otherwise the unmatched rows alone take a shuffle join.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casework.functions import rules
-from casework.functions.fuzzy import best_match, clean_label
+from casework.functions.fuzzy import DEFAULT_SCORER, SCORERS, best_matches, clean_label
 from casework.functions.scalars import contact_and_data, contact_level, lookup
 from casework.functions.text import clean_outcome_text, placeholder_to_null, strip_blanks
 from casework.operators.joins import DEFAULT_BROADCAST_ROWS, materialize_checked
@@ -48,17 +48,16 @@ def rule_category(t: Column) -> Column:
             .otherwise(F.coalesce(exact_tier(t), substring_tier(t))))
 
 
-@F.pandas_udf(T.StringType())
-def fuzzy_category(texts: pd.Series) -> pd.Series:
-    """Best canonical label by weighted ratio, accepted at >= 80."""
-    out = []
-    for t in texts:
-        i, score = best_match(t, CLEAN_LABELS)
-        out.append(rules.CANONICAL_CATEGORIES[i] if score >= rules.FUZZY_ACCEPT_SCORE else rules.NO_MATCH)
-    return pd.Series(out, dtype=object)
+def fuzzy_category(scorer: str = DEFAULT_SCORER):
+    """Best canonical label by the named scorer, accepted at >= 80."""
+    @F.pandas_udf(T.StringType())
+    def categories(texts: pd.Series) -> pd.Series:
+        found = best_matches(texts.tolist(), CLEAN_LABELS, rules.FUZZY_ACCEPT_SCORE, SCORERS[scorer])
+        return pd.Series([rules.CANONICAL_CATEGORIES[i] if i >= 0 else rules.NO_MATCH for i, _ in found], dtype=object)
+    return categories
 
 
-def fuzzy_table(ruled: DataFrame) -> DataFrame:
+def fuzzy_table(ruled: DataFrame, scorer: str = DEFAULT_SCORER) -> DataFrame:
     """Distinct texts unmatched by tiers 0-2 with their fuzzy category.
 
     The tier result is carried through the distinct as an aggregate value so
@@ -68,17 +67,20 @@ def fuzzy_table(ruled: DataFrame) -> DataFrame:
     return (ruled.groupBy(F.col("_t").alias("_fz_text"))
                  .agg(F.any_value("_rule").alias("_r"))
                  .filter(F.col("_r").isNull())
-                 .select("_fz_text", fuzzy_category("_fz_text").alias("_fz_cat")))
+                 .select("_fz_text", fuzzy_category(scorer)("_fz_text").alias("_fz_cat")))
 
 
 def categorize(df: DataFrame, text_col: str = "texto_limpio", out_col: str = "categoria_final",
-               fuzzy: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Tiers 0-3 over ``text_col`` (already cleaned by F02)."""
+               fuzzy: bool = True, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+             scorer: str = DEFAULT_SCORER, scorer_col: str | None = None) -> DataFrame:
+    """Tiers 0-3 over ``text_col`` (already cleaned by F02).  ``scorer``
+    names the near-match scorer; ``scorer_col`` adds its name, with version,
+    to the rows that it decided (null elsewhere)."""
     ruled = (df.select("*", strip_blanks(F.col(text_col)).alias("_t"))
                .select("*", rule_category(F.col("_t")).alias("_rule")))
     if not fuzzy:
         return ruled.withColumn(out_col, F.coalesce("_rule", F.lit(rules.NO_MATCH))).drop("_rule", "_t")
-    table, small = materialize_checked(fuzzy_table(ruled), max_broadcast_rows)
+    table, small = materialize_checked(fuzzy_table(ruled, scorer), max_broadcast_rows)
     key = F.col("_t")
     if small:
         joined = ruled.join(F.broadcast(table), key == F.col("_fz_text"), "left")
@@ -86,6 +88,9 @@ def categorize(df: DataFrame, text_col: str = "texto_limpio", out_col: str = "ca
         matched = ruled.filter(F.col("_rule").isNotNull())
         rest = ruled.filter(F.col("_rule").isNull()).join(table, key == F.col("_fz_text"), "left")
         joined = matched.unionByName(rest, allowMissingColumns=True)
+    if scorer_col:
+        decided = F.col("_rule").isNull() & (F.col("_fz_cat") != rules.NO_MATCH)
+        joined = joined.withColumn(scorer_col, F.when(decided, F.lit(scorer)))
     return (joined.withColumn(out_col, F.coalesce("_rule", "_fz_cat", F.lit(rules.NO_MATCH)))
             .drop("_rule", "_t", "_fz_text", "_fz_cat"))
 

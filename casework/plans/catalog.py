@@ -5,8 +5,7 @@ over ``events``, or ``orders`` / ``documents`` directly) and run over the
 whole tables.  The history / batch split used by the incremental operators
 is data-derived: the batch is the last two observed weeks (``batch_start`` =
 latest Monday minus 7 days, a scalar subquery), the history everything
-before it.  Oracle-checked composites run the rule tiers 0-2 only
-(``fuzzy=False``); the fuzzy tier has its own rows-only query.
+before it.
 """
 
 from __future__ import annotations
@@ -65,14 +64,14 @@ def split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataF
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Cleaned history and batch (tiers 0-2).  Cleaning is row-wise apart
+    """Cleaned history and batch.  Cleaning is row-wise apart
     from the exact-duplicate step, and exact duplicates share their date, so
     cleaning everything once and splitting at the cutoff equals cleaning the
     two parts separately; the cleaned table is materialised once and both
     parts are pruned reads of it."""
     i = load_interventions(spark, sf_dir)
     bs = batch_start(i)
-    allc = materialized(spark, sf_dir, "clean_all", lambda: pipeline.clean_batch(i, fuzzy=False))
+    allc = materialized(spark, sf_dir, "clean_all", lambda: pipeline.clean_batch(i))
     return allc.filter(F.col("fecha_inicio") < bs), allc.filter(F.col("fecha_inicio") >= bs)
 
 
@@ -205,11 +204,11 @@ def q_category_rules(spark, sf_dir):
 
 def q_category_fuzzy(spark, sf_dir):
     t = _distinct_texts(spark, sf_dir)
-    return cat.categorize(t, "texto_limpio", "categoria_final", fuzzy=True)
+    return cat.categorize(t, "texto_limpio", "categoria_final", scorer_col="scorer")
 
 
 def q_category_levels(spark, sf_dir):
-    i = cat.outcome_columns(load_interventions(spark, sf_dir), fuzzy=False)
+    i = cat.outcome_columns(load_interventions(spark, sf_dir))
     i = with_id_category(i, "persona_dni", "_dni", "_dni_motivo")
     c = F.col("_dni")
     return i.select("_seq", "cierre_texto", "texto_limpio", "categoria_final", "nivel_contacto", "contacto",
@@ -251,6 +250,32 @@ def q_geo_zone_layer(spark, sf_dir):
     return geo.assign_zone(load_interventions(spark, sf_dir), zones=zones).select("_seq", "comuna_calculada", "zone_id")
 
 
+def q_geo_zone_kml(spark, sf_dir):
+    """The same layer from KML files, one a zone, ahead of each other by
+    priority; read through the XML source, indexed and joined like any layer."""
+    import os
+    import uuid
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"zone-kml-{uuid.uuid4().hex}")
+    rings = None
+    for priority, (name, comuna) in enumerate((("rect_a", 1.0), ("rect_b", 2.0), ("rect_c", 12.0))):
+        found = [r[4] for r in LAYER_RINGS if r[0] == name]
+        corners = [" ".join(f"{x},{y},0" for x, y in (*ring, ring[0])) for ring in found]
+        boundary = "<LinearRing><coordinates>\n{}\n</coordinates></LinearRing>"
+        if name == "rect_a":  # the second ring is a hole
+            shape = (f"<Polygon><outerBoundaryIs>{boundary.format(corners[0])}</outerBoundaryIs>"
+                     f"<innerBoundaryIs>{boundary.format(corners[1])}</innerBoundaryIs></Polygon>")
+        else:
+            shape = "<MultiGeometry>" + "".join(f"<Polygon><outerBoundaryIs>{boundary.format(c)}</outerBoundaryIs></Polygon>"
+                                                for c in corners) + "</MultiGeometry>"
+        text = (f'<kml xmlns="http://www.opengis.net/kml/2.2"><Document><name>{name}</name>'
+                f"<Placemark><name>{name}</name>{shape}</Placemark></Document></kml>")
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{root}/{name}")
+        part = geo.read_kml(spark, f"{root}/{name}", comuna, priority)
+        rings = part if rings is None else rings.unionByName(part)
+    zones = geo.zone_index(rings)
+    return geo.assign_zone(load_interventions(spark, sf_dir), zones=zones).select("_seq", "comuna_calculada", "zone_id")
+
+
 def q_asof_last_state(spark, sf_dir):
     ch, cb = cleaned(spark, sf_dir)
     bound = history.day_bound(cb.select(F.min("fecha_inicio")).scalar())
@@ -300,7 +325,7 @@ def q_appearances_composite_key(spark, sf_dir):
 def q_reconcile_pending(spark, sf_dir):
     i, _, _ = split(spark, sf_dir)
     ch, _ = cleaned(spark, sf_dir)
-    out = history.reconcile_pending(ch, reexport(i), fuzzy=False)
+    out = history.reconcile_pending(ch, reexport(i))
     return out.select("_seq", "id_suceso", *history.RECONCILE_COLUMNS, "_updated")
 
 
@@ -310,7 +335,7 @@ def q_keyed_update(spark, sf_dir):
     i, _, _ = split(spark, sf_dir)
     ch, _ = cleaned(spark, sf_dir)
     cutoff = F.date_add(i.select(F.min(week_start(F.col("fecha_inicio")))).scalar(), 7)
-    src = cat.outcome_columns(reexport(i).filter(F.col("fecha_inicio") >= cutoff), fuzzy=False,
+    src = cat.outcome_columns(reexport(i).filter(F.col("fecha_inicio") >= cutoff),
                               apply_placeholders=False)
     cols = ["cierre_texto", "texto_limpio", "categoria_final", "nivel_contacto", "contacto", "brinda_datos"]
     out = history.keyed_update(ch, src, "id_suceso", cols, ["_seq"])
@@ -320,7 +345,7 @@ def q_keyed_update(spark, sf_dir):
 def q_patch_from_lookup(spark, sf_dir):
     i, _, _ = split(spark, sf_dir)
     ch, _ = cleaned(spark, sf_dir)
-    lookup = cat.outcome_columns(reexport(i).filter(F.col("estado") == "CERRADO"), fuzzy=False)
+    lookup = cat.outcome_columns(reexport(i).filter(F.col("estado") == "CERRADO"))
     out = history.patch_from_lookup(ch, lookup, "id_suceso", ["categoria_final", "nivel_contacto"], ["_seq"],
                                     keep_unmatched=False)
     return out.select("_seq", "id_suceso", "categoria_final", "nivel_contacto", "_updated")
@@ -453,7 +478,7 @@ def q_reconcile_summary(spark, sf_dir):
     """J04 count + A06: rows updated and distinct incidents closed."""
     i, _, _ = split(spark, sf_dir)
     ch, _ = cleaned(spark, sf_dir)
-    out = history.reconcile_pending(ch, reexport(i), fuzzy=False).filter("_updated")
+    out = history.reconcile_pending(ch, reexport(i)).filter("_updated")
     # every update id is a pending id, so the distinct updated ids are the closed incidents
     return out.agg(F.count(F.lit(1)).alias("n_rows_updated"), F.count_distinct("id_suceso").alias("n_incidents"))
 
@@ -521,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
     "geo_zone_layer": q_geo_zone_layer,
+    "geo_zone_kml": q_geo_zone_kml,
     "asof_last_state": q_asof_last_state,
     "last_state_row_number": q_last_state_row_number,
     "evolution_labels": q_evolution_labels,

@@ -22,7 +22,7 @@ from casework.operators.categorize import outcome_columns
 from casework.operators.dedup import drop_exact_duplicates
 from casework.operators.evolution import (classify_batch, classify_batch_with_state, starts_after,
                                           update_person_state)
-from casework.operators.geo import Zone, assign_zone
+from casework.operators.geo import ZoneIndex, assign_zone
 from casework.operators.history import (RECONCILE_COLUMNS, after_watermark, append_history,
                                         apply_keyed_update, overwrite_partitions, reconcile_updates)
 from casework.operators.joins import materialize_checked
@@ -48,9 +48,9 @@ def identity_columns(df: DataFrame, mode: str = "parity") -> DataFrame:
 
 
 def clean_batch(raw: DataFrame, fuzzy: bool = True, id_mode: str = "parity", dedup: bool = True,
-                zones: list[Zone] | None = None) -> DataFrame:
-    """C06 with geo: the cleaning half of the weekly run (``zones``: the layer
-    of ``geo.read_zones``, else the built-in one)."""
+                zones: ZoneIndex | None = None) -> DataFrame:
+    """C06 with geo: the cleaning half of the weekly run (``zones``: the index
+    of ``geo.read_zones``, else the built-in layer)."""
     df = drop_exact_duplicates(raw) if dedup else raw
     df = strip_all_strings(df)
     df = assign_zone(df, zones=zones)
@@ -98,7 +98,7 @@ class WeeklyResult:
 
 def run_weekly(export: DataFrame, history: DataFrame, history_path: str | None = None,
                wm: Column | None = None, fuzzy: bool = True,
-               person_state: DataFrame | None = None, zones: list[Zone] | None = None) -> WeeklyResult:
+               person_state: DataFrame | None = None, zones: ZoneIndex | None = None) -> WeeklyResult:
     """T01 end to end.
 
     Reconciliation (J04) touches only pending rows of closed incidents, so

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from casework.operators.evolution import (classify_batch, classify_batch_with_state, starts_after,
                                           update_person_state)
-from casework.operators.geo import Zone
+from casework.operators.geo import ZoneIndex
 from casework.plans.pipeline import clean_batch
 from casework.session import ensure_checkpoint_dir, path_exists, table_path
 from casework.sources.adapter import interventions_from_events
@@ -47,7 +47,7 @@ def _latest_state(spark: SparkSession, state_root: str, before_epoch: int) -> Da
 
 def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None, fuzzy: bool = True,
                      source_file: str = "events.parquet", files_per_trigger: int | None = None,
-                     schema=None, zones: list[Zone] | None = None) -> DataFrame:
+                     schema=None, zones: ZoneIndex | None = None) -> DataFrame:
     """Drain the landing folder (``availableNow``) and return the labelled
     history the stream maintains; ``files_per_trigger`` makes each landing
     file its own micro-batch (one weekly drop per trigger)."""

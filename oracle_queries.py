@@ -117,6 +117,79 @@ def rule_category(t: str) -> str:
             f"{case_map(t2, rules.TIER0_EXACT)}, {case_map(t2, rules.TIER1_EXACT)}, {tier2}) END")
 
 
+def sorted_words(x: str) -> str:
+    return f"array_to_string(list_sort({x}), ' ')"
+
+
+def lcs_of(a: str, b: str) -> str:
+    """Length of the longest common subsequence: one bit-parallel step for each
+    character of the longer text (the shorter one has at most 62)."""
+    s, t = f"(CASE WHEN len({a}) > len({b}) THEN {b} ELSE {a} END)", f"(CASE WHEN len({a}) > len({b}) THEN {a} ELSE {b} END)"
+    full = f"((1::BIGINT << len({s})) - 1)"
+    mask = (f"list_sum(list_transform(range(1, len({s}) + 1), lambda i: CASE WHEN {s}[i] = ch THEN 1::BIGINT << (i - 1) "
+            f"ELSE 0::BIGINT END))::BIGINT")
+    masks = f"list_transform(string_split({t}, ''), lambda ch: {mask})"
+    step = f"((v + (v & m)) | (v - (v & m))) & {full}"
+    return f"(len({s}) - bit_count(list_reduce({masks}, lambda v, m: {step}, {full})))"
+
+
+def windows_of(kind: str, src: str, a: str, b: str) -> str:
+    """Rows (pair, kind, a, b): the shorter text beside every window of the longer one."""
+    return f"""SELECT pair, {lit(kind)} AS kind, a, w AS b FROM (
+      SELECT pair, a, unnest(list_concat(
+          list_transform(range(0, len(b) - len(a) + 1), lambda i: substring(b, i + 1, len(a))),
+          list_concat(list_transform(range(1, len(a)), lambda k: substring(b, 1, k)),
+                      list_transform(range(1, len(a)), lambda k: substring(b, len(b) - k + 1, k))))) AS w
+      FROM (SELECT pair, CASE WHEN len(x) > len(y) THEN y ELSE x END AS a, CASE WHEN len(x) > len(y) THEN x ELSE y END AS b
+            FROM (SELECT pair, {a} AS x, {b} AS y FROM {src}) WHERE x <> '' AND y <> ''))
+      WHERE contains(a, w[1]) OR contains(a, w[-1])"""
+
+
+def near_match_ctes() -> str:
+    """fz (f_text, f_cat): tier 3 for every closing text that tiers 0-2 leave."""
+    labels = ", ".join(f"({i}, {lit(c)})" for i, c in enumerate(rules.CANONICAL_CATEGORIES))
+    left = "list_filter(list_distinct(wa), lambda w: NOT list_contains(wb, w))"
+    right = "list_filter(list_distinct(wb), lambda w: NOT list_contains(wa, w))"
+    both = "list_filter(list_distinct(wa), lambda w: list_contains(wb, w))"
+    with_sect = "CASE WHEN sect = '' THEN {x} ELSE sect || ' ' || {x} END"
+    return f"""fz_raw AS (SELECT cierre_supervisor AS x FROM interventions UNION SELECT resultado FROM interventions
+             UNION SELECT unnest(['19. Sin cubrir', 'Se retira del lugar'])),
+  fz_text AS (SELECT DISTINCT t FROM (SELECT {clean_outcome('x')} AS t FROM fz_raw) WHERE {rule_category('t')} IS NULL),
+  fz_label AS (SELECT i, cat, {clean_outcome('cat')} AS lab FROM (VALUES {labels}) AS v(i, cat)),
+  fz_pair AS (SELECT row_number() OVER () AS pair, t, i, cat, lab, string_split(t, ' ') AS wa, string_split(lab, ' ') AS wb,
+                     greatest(len(t), len(lab))::DOUBLE / least(len(t), len(lab)) AS r FROM fz_text, fz_label),
+  fz_words AS (SELECT *, {sorted_words('wa')} AS sa, {sorted_words('wb')} AS sb, {sorted_words(both)} AS sect,
+                      {sorted_words(left)} AS da, {sorted_words(right)} AS db,
+                      len({left}) AS na, len({right}) AS nb, CASE WHEN r <= 8 THEN 0.9::DOUBLE ELSE 0.6::DOUBLE END AS scale FROM fz_pair),
+  fz_set AS (SELECT *, {with_sect.format(x='da')} AS xa, {with_sect.format(x='db')} AS xb FROM fz_words),
+  fz_near AS (SELECT * FROM fz_set WHERE r < 1.5), fz_far AS (SELECT * FROM fz_set WHERE r >= 1.5),
+  fz_cmp AS (SELECT pair, 'whole' AS kind, t AS a, lab AS b FROM fz_set
+    UNION ALL SELECT pair, 'words', sa, sb FROM fz_near
+    UNION ALL SELECT pair, 'words', xa, xb FROM fz_near
+    UNION ALL SELECT pair, 'words', sect, xa FROM fz_near WHERE sect <> ''
+    UNION ALL SELECT pair, 'words', sect, xb FROM fz_near WHERE sect <> ''
+    UNION ALL {windows_of('part', 'fz_far', 't', 'lab')}
+    UNION ALL {windows_of('part_words', "(SELECT * FROM fz_far WHERE sect = '')", 'sa', 'sb')}
+    UNION ALL {windows_of('part_words', "(SELECT * FROM fz_far WHERE sect = '' AND (na <> len(wa) OR nb <> len(wb)))", 'da', 'db')}),
+  fz_lcs AS (SELECT a, b, {lcs_of('a', 'b')} AS l FROM (SELECT DISTINCT a, b FROM fz_cmp)),
+  fz_best AS (SELECT c.pair, max(CASE WHEN kind = 'whole' THEN v END) AS whole, max(CASE WHEN kind = 'words' THEN v END) AS words,
+                     max(CASE WHEN kind = 'part' THEN v END) AS part, max(CASE WHEN kind = 'part_words' THEN v END) AS part_words
+              FROM fz_cmp c JOIN (SELECT a, b, 200::DOUBLE * l / (len(a) + len(b)) AS v FROM fz_lcs) s ON c.a = s.a AND c.b = s.b
+              GROUP BY c.pair),
+  fz_score AS (SELECT t, i, cat, CASE WHEN r < 1.5
+      THEN greatest(whole, 0.95::DOUBLE * CASE WHEN sect <> '' AND (na = 0 OR nb = 0) THEN 100::DOUBLE ELSE words END)
+      ELSE greatest(whole, coalesce(part, 0) * scale,
+                    CASE WHEN sect <> '' THEN 100::DOUBLE ELSE coalesce(part_words, 0) END * 0.95::DOUBLE * scale) END AS score
+      FROM fz_set s JOIN fz_best b ON s.pair = b.pair),
+  fz AS (SELECT t AS f_text, CASE WHEN max(score) >= {rules.FUZZY_ACCEPT_SCORE} THEN first(cat ORDER BY score DESC, i) ELSE 'sin_match' END AS f_cat
+         FROM fz_score GROUP BY t)"""
+
+
+def category(t: str) -> str:
+    """Tiers 0-3 of a cleaned text."""
+    return f"coalesce({rule_category(t)}, (SELECT f_cat FROM fz WHERE f_text = {t}), 'sin_match')"
+
+
 def contact_level(c: str) -> str:
     return f"coalesce({case_map(f'trim({c})', rules.CONTACT_LEVEL_BY_CATEGORY)}, 'Sin dato')"
 
@@ -234,7 +307,7 @@ def geo_cte(src: str) -> str:
 
 
 def outcome_cols_select(src: str, placeholders: bool = True) -> str:
-    """SELECT of ``src`` plus the derived outcome columns (tiers 0-2)."""
+    """SELECT of ``src`` plus the derived outcome columns."""
     if placeholders:
         sup = f"CASE WHEN cierre_supervisor IN {in_list(rules.PLACEHOLDER_VALUES)} THEN NULL ELSE cierre_supervisor END"
         res = f"CASE WHEN resultado IN {in_list(rules.PLACEHOLDER_VALUES)} THEN NULL ELSE resultado END"
@@ -243,7 +316,7 @@ def outcome_cols_select(src: str, placeholders: bool = True) -> str:
     a, b = contact_pair("categoria_final")
     return f"""
     (SELECT *, {contact_level('categoria_final')} AS nivel_contacto, {a} AS contacto, {b} AS brinda_datos FROM (
-      SELECT *, coalesce({rule_category('texto_limpio')}, 'sin_match') AS categoria_final FROM (
+      SELECT *, {category('texto_limpio')} AS categoria_final FROM (
         SELECT *, {clean_outcome('cierre_texto')} AS texto_limpio FROM (
           SELECT * REPLACE ({sup} AS cierre_supervisor, {res} AS resultado),
                  coalesce({sup}, {res}) AS cierre_texto
@@ -314,7 +387,8 @@ def base_ctes() -> str:
     return f"""interventions AS ({interventions_sql('events')}),
   bounds AS (SELECT max({week('fecha_inicio')}) - INTERVAL 7 DAY AS bs FROM interventions),
   h_raw AS (SELECT * FROM interventions WHERE fecha_inicio < (SELECT bs FROM bounds)),
-  b_raw AS (SELECT * FROM interventions WHERE fecha_inicio >= (SELECT bs FROM bounds))"""
+  b_raw AS (SELECT * FROM interventions WHERE fecha_inicio >= (SELECT bs FROM bounds)),
+  {near_match_ctes()}"""
 
 
 def clean_ctes() -> str:
@@ -463,6 +537,14 @@ def _q_category_rules() -> str:
 SELECT texto_limpio, coalesce({rule_category('texto_limpio')}, 'sin_match') AS categoria_final FROM t"""
 
 
+def _q_category_fuzzy() -> str:
+    return f"""WITH {base_ctes()},
+  t AS (SELECT DISTINCT {clean_outcome('coalesce(cierre_supervisor, resultado)')} AS texto_limpio FROM interventions),
+  c AS (SELECT texto_limpio, {category('texto_limpio')} AS categoria_final FROM t)
+SELECT texto_limpio, categoria_final,
+       CASE WHEN categoria_final <> 'sin_match' AND {rule_category('texto_limpio')} IS NULL THEN 'weighted/1' END AS scorer FROM c"""
+
+
 def _q_category_levels() -> str:
     cat, _ = id_parts("persona_dni")
     return f"""WITH {base_ctes()},
@@ -941,12 +1023,13 @@ ORACLE: dict[str, str] = {
     "dni_category": _dni("parity"),
     "dni_category_intended": _dni("intended"),
     "dni_valid": _q_dni_valid(),
-    "category_rules": _q_category_rules(),
+    "category_rules": _q_category_rules(), "category_fuzzy": _q_category_fuzzy(),
     "category_levels": _q_category_levels(),
     "value_remap_audit": _q_value_remap_audit(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
     "geo_zone_layer": _q_geo_zone_layer(),
+    "geo_zone_kml": _q_geo_zone_layer(),
     "asof_last_state": _q_asof_last_state(),
     "last_state_row_number": _q_last_state_row_number(),
     "evolution_labels": _q_evolution_labels(),

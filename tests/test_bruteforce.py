@@ -9,6 +9,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from casework.operators import evolution, geo
 
 T0 = dt.datetime(2024, 1, 1)  # a Monday
@@ -119,3 +121,34 @@ def test_grid_join_matches_bruteforce_raycast(spark):
         got = {r.id: r.comuna_calculada for r in geo.assign_zone(df, cell=cell).collect()}
         want = {i: _model_zone(float(x), float(y), geo.SYNTHETIC_ZONES) for i, y, x in pts}
         assert got == want, cell
+
+
+def test_zone_index_matches_bruteforce_on_random_layers(spark):
+    """Random layers of several rings a zone (crossing ones too), against all edges."""
+    schema = "zone_id string, comuna double, priority int, ord int, ring array<struct<x: double, y: double>>"
+    for seed, cell, max_bytes in ((1, None, 1 << 28), (2, 0.7, 1 << 28), (3, 5.0, 0)):
+        rnd = random.Random(seed)
+        rows, zones = [], []
+        for k in range(12):
+            rings = []
+            for _ in range(rnd.randint(1, 4)):
+                on_grid = rnd.random() < 0.5
+                corner = lambda: ((float(rnd.randint(0, 9)), float(rnd.randint(0, 9))) if on_grid
+                                  else (round(rnd.uniform(0, 9), 3), round(rnd.uniform(0, 9), 3)))
+                ring = [corner() for _ in range(rnd.randint(3, 9))]
+                rings.append(ring + ring[:1] * rnd.randint(0, 1))
+            zone = geo.Zone(f"z{k}", float(k), k % 3, k, tuple(rings[0]), tuple(tuple(r) for r in rings[1:]))
+            zones.append(zone)
+            rows += [(zone.zone_id, zone.comuna, zone.priority, zone.ord, ring) for ring in rings]
+        rows += [("short", 99.0, 0, 0, [(0.0, 0.0), (1.0, 1.0)]), ("none", 99.0, 0, 0, None)]
+        index = geo.zone_index(spark.createDataFrame(rows, schema).repartition(3), cell, max_bytes)
+        assert index.small == (max_bytes > 0)
+        pts = [(i, str(y), str(x)) for i, (x, y) in enumerate(
+            [(float(rnd.randint(-1, 10)), float(rnd.randint(-1, 10))) for _ in range(300)]
+            + [(round(rnd.uniform(-1, 10), 2), round(rnd.uniform(-1, 10), 2)) for _ in range(900)])]
+        df = spark.createDataFrame(pts, "id int, latitud string, longitud string")
+        got = {r.id: r.comuna_calculada for r in geo.assign_zone(df, zones=index).collect()}
+        want = {i: _model_zone(float(x), float(y), zones) for i, y, x in pts}
+        assert got == want, [(pts[i], got[i], want[i]) for i in got if got[i] != want[i]][:5]
+        most = index.cells(spark).select(F.max(F.aggregate("_zones", F.lit(0), lambda a, z: a + F.size(z["ys"])))).first()[0]
+        assert most <= 60  # heights of neighbouring edges cancel out

@@ -83,3 +83,50 @@ def test_fuzzy_scorer_documented_examples():
     assert fuzzy.token_sort_ratio("fuzzy wuzzy was a bear", "wuzzy fuzzy was a bear") == 100.0
     assert fuzzy.token_set_ratio("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100.0
     assert round(fuzzy.weighted_ratio("this is a test", "this is a new test!!!"), 6) == 85.5
+
+
+def _near_texts(n, seed=1):
+    import random
+    from casework.operators.categorize import CLEAN_LABELS
+    draw, out = random.Random(seed), []
+    words = sorted({w for lab in CLEAN_LABELS for w in lab.split()})
+    for _ in range(n):
+        text = list(draw.choice(CLEAN_LABELS))
+        for _ in range(draw.randint(0, 9)):
+            at = draw.randrange(len(text) + 1)
+            text[at:at + draw.randint(0, 1)] = draw.choice(["", "a", " ", "x", "ab"])
+        out += [" ".join("".join(text).split()), " ".join(draw.choice(words) for _ in range(draw.randint(1, 9))),
+                "".join(draw.choice("abcde  ") for _ in range(draw.randint(0, 30)))]
+    return out
+
+
+def test_near_match_bound_is_never_below_the_score():
+    from casework.operators.categorize import CLEAN_LABELS
+    for text in _near_texts(60):
+        for lab in CLEAN_LABELS:
+            assert fuzzy.weighted_bound(text, lab) >= fuzzy.weighted_ratio(text, lab) - 1e-9, (text, lab)
+
+
+def test_batch_scoring_equals_one_by_one():
+    from casework.operators.categorize import CLEAN_LABELS
+    texts = _near_texts(50, seed=2)
+    want = [fuzzy.best_match(t, CLEAN_LABELS) for t in texts]
+    assert fuzzy.best_matches(texts, CLEAN_LABELS, 80.0, fuzzy.SCORERS["weighted/1"]) == [w if w[1] >= 80 else (-1, 0.0) for w in want]
+    assert 20 < sum(w[1] >= 80 for w in want) < len(want)
+
+
+def test_lcs_of_many_pairs():
+    import random
+    draw = random.Random(3)
+    word = lambda signs: "".join(draw.choice(signs) for _ in range(draw.choice([0, 1, 5, 63, 64, 65, 90])))
+    pairs = [(word("abé"), word("abcd漢")) for _ in range(800)]
+    assert fuzzy.lcs_many(pairs) == [fuzzy._lcs(a, b) for a, b in pairs]
+
+
+def test_scorer_is_swappable_and_named(spark):
+    df = spark.createDataFrame([("traslado efectivo a lugar de orgen",), ("vacio",), ("19 sin cubrir",)], "texto_limpio string")
+    got = {r.texto_limpio: (r.categoria_final, r.s) for r in categorize(df, scorer_col="s").collect()}
+    assert got["vacio"][1] == "weighted/1" and got["19 sin cubrir"][1] is None
+    plain = {r.texto_limpio: (r.categoria_final, r.s) for r in categorize(df, scorer="indel/1", scorer_col="s").collect()}
+    assert plain["vacio"] == ("sin_match", None)
+    assert plain["traslado efectivo a lugar de orgen"] == ("05. Traslado efectivo a lugar de origen", "indel/1")
