@@ -117,10 +117,10 @@ class ChunkEncoder:
     between a run of letters and the ASCII punctuation after it (apostrophes
     aside, which start contractions).  Pieces and their parts are encoded by the
     library once and kept as bytes (little-endian uint32), in stores of some
-    30 MB that leave out long chunks.
+    60 MB at most that leave out long chunks.
     """
 
-    def __init__(self, path: str, led: bool, limit: int = 120_000, longest: int = 60):
+    def __init__(self, path: str, led: bool, limit: int = 200_000, longest: int = 60):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -138,17 +138,25 @@ class ChunkEncoder:
     def _part(self, part: str) -> bytes:
         # Letters below U+0250 (but for the dotted capital I) stay one pre-token and
         # change in lower case and byte signs alone: the library's model takes them so.
-        if (part[1:] if part[:1] == " " else part).isalpha() and (part.isascii() or (max(part) < "\u0250" and "\u0130" not in part)):
-            if self.lowers:
-                part = part.lower()
-            signs = part.encode("utf-8").decode("latin-1").translate(_SIGNS) if part[0] == " " or not part.isascii() else part
-            return array("I", [t.id for t in self.model(signs)]).tobytes()
+        led = part[:1] == " "
+        if (part[1:] if led else part).isalpha():
+            plain = part.isascii()
+            if plain or not _ODD.search(part):
+                if self.lowers:
+                    part = part.lower()
+                if not plain:
+                    part = part.encode("utf-8").decode("latin-1").translate(_SIGNS)
+                elif led:
+                    part = _SIGNS[32] + part[1:]
+                return array("I", [t.id for t in self.model(part)]).tobytes()
         return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha() and chunk.isascii() and self.lowers:
             return self._part(chunk) if chunk.islower() else self.parts[chunk.lower()]
         core = chunk if chunk.isalpha() else letters_core(chunk)
+        if len(core) == len(chunk) and not self.lowers:
+            return self._part(chunk)
         own = core.lower() if self.lowers and core.isascii() and "<" not in core else core
         return self.parts[own] + self.parts[chunk[len(core):]] if len(core) < len(chunk) else self.parts[own]
 
