@@ -2,7 +2,10 @@
 
     python -m casework weekly  --landing PATH [--format csv|parquet] --history PATH [--zones PATH [--kml PATH=DISTRICT]]
         [--state PATH] [--day-first] [--no-fuzzy]
-    python -m casework reports --history PATH --out DIR [--dedup-incident]
+    python -m casework weekly  --landing PATH --store ROOT [as above]
+    python -m casework reports (--history PATH | --store ROOT) --out DIR [--dedup-incident]
+    python -m casework sync    --store ROOT --history PATH [--table snapshot]
+    python -m casework migrate --store ROOT [--lookup PATH] [--no-fuzzy]
 
 ``weekly`` is the incremental run (T01): landing export -> header alignment
 -> watermark -> reconcile late closures -> clean -> evolution labels and
@@ -25,15 +28,47 @@ from pyspark.sql import functions as F
 
 
 def _landing(spark, path: str, fmt: str, day_first: bool = False):
+    from casework.session import write_table
     from casework.sources import schema
     raw = schema.read_landing_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
     canon = schema.canonical_headers(raw)
     if "_seq" not in canon.columns:
         # file order: ids increase with the row order inside each split
-        canon = canon.withColumn("_seq", F.monotonically_increasing_id())
+        # written once, as every later use would number the rows anew
+        canon = write_table(canon.withColumn("_seq", F.monotonically_increasing_id()), "landing")
     return schema.align_to_schema(canon, schema.LANDING_SCHEMA, day_first)
 
 
+def _zones(spark, args):
+    """The index of --zones, with the KML layers ahead of it."""
+    from casework.operators import geo
+    if not args.zones:
+        return None
+    rings = geo.read_rings(spark, args.zones)
+    for spec in args.kml:  # PATH=DISTRICT
+        path, _, district = spec.rpartition("=")
+        rings = rings.unionByName(geo.read_kml(spark, path, float(district), -1))
+    return geo.zone_index(rings)
+
+
+def on_store(args) -> dict:
+    """``weekly --store``, ``sync`` and ``migrate``."""
+    from casework.plans import jobs
+    from casework.session import get_session, ship_package
+    from casework.sources.store import Store
+    spark = get_session()
+    ship_package(spark)
+    store = Store(spark, args.store)
+    if args.cmd == "weekly":
+        done = jobs.weekly(_landing(spark, args.landing, args.format, args.day_first), store, fuzzy=args.fuzzy, zones=_zones(spark, args))
+        jobs.compact_state(store)
+        return done
+    if args.cmd == "sync":
+        return jobs.sync_snapshot(spark.read.parquet(args.history), store, args.table)
+    done = jobs.migrate(store, lookup=spark.read.parquet(args.lookup) if args.lookup else None, fuzzy=args.fuzzy)
+    return {**done, "diff": [r.asDict() for r in done["diff"].collect()]}  # the top 30 values
+
+
 def _state_path(root: str, history) -> str:
     """Where the person state of just this history lies.  A run that ended
     between history and state leaves none, and the next one rebuilds it."""
@@ -42,20 +77,14 @@ def _state_path(root: str, history) -> str:
 
 
 def weekly(args) -> dict:
-    from casework.operators import evolution, geo, history
+    from casework.operators import evolution, history
     from casework.plans import pipeline
     from casework.session import get_session, path_exists, ship_package, write_table
     from casework.sources import schema
     spark = get_session()
     ship_package(spark)
     export = _landing(spark, args.landing, args.format, args.day_first)
-    zones = None
-    if args.zones:
-        rings = geo.read_rings(spark, args.zones)
-        for spec in args.kml:  # PATH=DISTRICT: goes before the table's zones
-            path, _, district = spec.rpartition("=")
-            rings = rings.unionByName(geo.read_kml(spark, path, float(district), -1))
-        zones = geo.zone_index(rings)
+    zones = _zones(spark, args)
     exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
         cleaned = write_table(pipeline.clean_batch(export, fuzzy=args.fuzzy, zones=zones), "first_load")
@@ -83,8 +112,10 @@ def reports(args) -> dict:
     from casework.plans import reports as R
     from casework.session import get_session
     from casework.sources import schema
+    from casework.sources.store import Store
     spark = get_session()
-    hist = schema.canonical_headers(schema.rename_headers(spark.read.parquet(args.history), schema.REPORT_HEADER_RENAMES))
+    stored = Store(spark, args.store).read("snapshot") if args.store else spark.read.parquet(args.history)
+    hist = schema.canonical_headers(schema.rename_headers(stored, schema.REPORT_HEADER_RENAMES))
     weekly_base, dash_base = R.prepare_weekly(hist, args.dedup_incident), R.prepare_dashboard(hist)
     outputs = {
         "kpi_table": R.kpi_table(dash_base),
@@ -110,18 +141,33 @@ def main(argv=None) -> None:
     w = sub.add_parser("weekly")
     w.add_argument("--landing", required=True)
     w.add_argument("--format", choices=["csv", "parquet"], default="csv")
-    w.add_argument("--history", required=True)
+    to = w.add_mutually_exclusive_group(required=True)
+    to.add_argument("--history", help="week-partitioned Parquet folder")
+    to.add_argument("--store", help="store of history, snapshot and person state with one commit a run")
     w.add_argument("--zones", help="Parquet zone layer, one ring per row")
     w.add_argument("--kml", action="append", default=[], metavar="PATH=DISTRICT", help="KML layer of a sub-zone, ahead of --zones")
     w.add_argument("--state", help="folder of the person-state table")
     w.add_argument("--day-first", action="store_true", help="read 4/5/2026 as 4 May, not 5 April")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     r = sub.add_parser("reports")
-    r.add_argument("--history", required=True)
+    of = r.add_mutually_exclusive_group(required=True)
+    of.add_argument("--history")
+    of.add_argument("--store")
     r.add_argument("--out", required=True)
     r.add_argument("--dedup-incident", action="store_true", help="first row of each incident only")
+    y = sub.add_parser("sync")
+    y.add_argument("--store", required=True)
+    y.add_argument("--history", required=True, help="Parquet history to catch up with")
+    y.add_argument("--table", default="snapshot")
+    m = sub.add_parser("migrate")
+    m.add_argument("--store", required=True)
+    m.add_argument("--lookup", help="Parquet table that patches categories by incident id")
+    m.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     args = p.parse_args(argv)
-    result = weekly(args) if args.cmd == "weekly" else reports(args)
+    if args.cmd == "reports":
+        result = reports(args)
+    else:
+        result = on_store(args) if args.store else weekly(args)
     print(json.dumps(result, default=str))
 
 

@@ -136,3 +136,17 @@ def value_distribution(df: DataFrame, col: str, top: int | None = None) -> DataF
     if top is not None:
         out = out.orderBy(F.desc("n"), F.asc_nulls_first("value")).limit(top)
     return out
+
+
+def distribution_diff(before: DataFrame, after: DataFrame, col: str, top: int = 30) -> DataFrame:
+    """Counts per value before and after, side by side; the ``top``
+    values by the larger count (the feature itself)."""
+    was = before.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n_before"))
+    now = after.groupBy(F.col(col).alias("value_after")).agg(F.count(F.lit(1)).alias("n_after"))
+    both = was.join(now, F.col("value").eqNullSafe(F.col("value_after")), "full")
+    n_before, n_after = F.coalesce("n_before", F.lit(0)), F.coalesce("n_after", F.lit(0))
+    # a null value of one side alone has a count there and none here
+    value = F.when(F.col("n_before").isNotNull(), F.col("value")).otherwise(F.col("value_after"))
+    return (both.select(value.alias("value"), n_before.cast("long").alias("n_before"), n_after.cast("long").alias("n_after"))
+            .withColumn("change", F.col("n_after") - F.col("n_before"))
+            .orderBy(F.desc(F.greatest("n_before", "n_after")), F.asc_nulls_first("value")).limit(top))

@@ -127,10 +127,14 @@ def update_person_state(person_state: DataFrame | None, rows: DataFrame, key: st
                                  F.count(F.lit(1)).alias("n_rows")))
     if person_state is None:
         return new
-    both = person_state.select(key, "last_" + district, "last_at", "n_rows").unionByName(new)
-    return both.groupBy(key).agg(F.max_by(F.col("last_" + district), F.col("last_at")).alias("last_" + district),
-                                 F.max("last_at").alias("last_at"),
-                                 F.sum("n_rows").alias("n_rows"))
+    return merge_person_state(person_state.select(key, "last_" + district, "last_at", "n_rows").unionByName(new), key, district)
+
+
+def merge_person_state(parts: DataFrame, key: str = KEY, district: str = DISTRICT) -> DataFrame:
+    """One row an id from a state and its deltas, in any order."""
+    return parts.groupBy(key).agg(F.max_by(F.col("last_" + district), F.col("last_at")).alias("last_" + district),
+                                  F.max("last_at").alias("last_at"),
+                                  F.sum("n_rows").alias("n_rows"))
 
 
 def _label_batch(b: DataFrame, summary: DataFrame, with_appearances: bool, key: str, district: str,

@@ -517,6 +517,40 @@ def q_evolution_stream(spark, sf_dir):
                                                   "tipo_evolucion", "apariciones")
 
 
+def _two_weekly_runs(spark, sf_dir):
+    """A store after two weekly runs (the history, then the next export of all
+    incidents), and what the runs returned."""
+    import os
+    import uuid
+    from casework.plans import jobs
+    from casework.sources.store import Store
+    i, h, _ = split(spark, sf_dir)
+    store = Store(spark, os.path.join(ensure_checkpoint_dir(spark), "tables", f"store-{uuid.uuid4().hex}"))
+    return store, jobs.weekly(h, store), jobs.weekly(reexport(i), store)
+
+
+def q_store_versions(spark, sf_dir):
+    """S07, J04, S08, T04 in one commit: the history as of both versions, and the mirrored snapshot."""
+    store, first, second = _two_weekly_runs(spark, sf_dir)
+    columns = ["_seq", "estado", "categoria_final", "tipo_evolucion", "apariciones"]
+    return (store.read("history", first["version"]).select(F.lit("first").alias("version"), *columns)
+            .unionByName(store.read("history", second["version"]).select(F.lit("second").alias("version"), *columns))
+            .unionByName(store.read("snapshot").select(F.lit("snapshot").alias("version"), *columns)))
+
+
+def q_weekly_counters(spark, sf_dir):
+    """Counters of the second weekly run, observed within its writes."""
+    _, _, second = _two_weekly_runs(spark, sf_dir)
+    names = ["n_reconciled", "n_rows", "n_valid_id", "n_no_match", "n_without_zone", "n_repeat", "max_apariciones"]
+    return spark.createDataFrame([tuple(second[n] for n in names)], ", ".join(f"{n} long" for n in names))
+
+
+def q_value_remap_diff(spark, sf_dir):
+    """Value counts before and after the C08 renames, side by side."""
+    i = load_interventions(spark, sf_dir)
+    return cat.distribution_diff(i, cat.remap_raw_outcomes(i), "resultado")
+
+
 def q_weekly_stream_counts(spark, sf_dir):
     from casework.streaming.incremental import weekly_counts_stream
     return weekly_counts_stream(spark, sf_dir)
@@ -543,6 +577,9 @@ QUERIES: dict[str, Query] = {
     "category_fuzzy": q_category_fuzzy,
     "category_levels": q_category_levels,
     "value_remap_audit": q_value_remap_audit,
+    "value_remap_diff": q_value_remap_diff,
+    "store_versions": q_store_versions,
+    "weekly_counters": q_weekly_counters,
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
     "geo_zone_layer": q_geo_zone_layer,

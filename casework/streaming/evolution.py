@@ -1,21 +1,17 @@
 """Streaming form of the carried per-person state (T01 + T04).
 
-Each micro-batch of landing rows (a weekly drop) is cleaned, labelled
-against the latest person-state version, and the state is merged:
-
-* the labelled rows go to ``<root>/history/epoch=<id>`` and the new state to
-  ``<root>/state/v=<id>``, both written with ``overwrite`` on the epoch's own
-  path, so a micro-batch replayed after a failure rewrites the same output
-  instead of duplicating it (the query checkpoint gives at-least-once
-  delivery, the epoch-keyed paths make it effectively exactly-once);
-* the state read by an epoch is the newest version strictly older than it,
-  so a replay sees the same input state;
-* everything lives under the shared checkpoint folder, never on a
-  machine-local path.
-
-The per-batch work reuses the batch operators (``clean_batch``,
-``classify_batch_with_state``, ``update_person_state``): one aggregation
-over state plus batch per trigger, no Python per group.
+Each micro-batch of landing rows (a weekly drop) is cleaned, labelled against
+the person state, and committed to a ``Store``: labelled rows, snapshot and
+state delta become visible in one version, which also holds the epoch.  The
+query checkpoint gives at-least-once delivery; a micro-batch that is replayed
+after its commit is left out, one that failed before it starts over from the
+same version, so every drop counts exactly once.
+
+A drop writes only the state buckets of its ids and reads those alone; buckets
+of many deltas are folded now and then.  Everything lives under the shared
+checkpoint folder, never on a machine-local path.  The per-batch work is that
+of the weekly job: one aggregation over the ids' buckets plus the batch, no
+Python per group.
 """
 
 from __future__ import annotations
@@ -24,25 +20,12 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from casework.operators.evolution import (classify_batch, classify_batch_with_state, starts_after,
-                                          update_person_state)
 from casework.operators.geo import ZoneIndex
-from casework.plans.pipeline import clean_batch
-from casework.session import ensure_checkpoint_dir, path_exists, table_path
+from casework.plans.jobs import compact_state, weekly_drop
+from casework.session import ensure_checkpoint_dir, table_path
 from casework.sources.adapter import interventions_from_events
-
-
-def _latest_state(spark: SparkSession, state_root: str, before_epoch: int) -> DataFrame | None:
-    if not path_exists(spark, state_root):  # no state written yet; an unreadable one is an error
-        return None
-    versions = spark.read.parquet(state_root)
-    older = versions.filter(F.col("v") < before_epoch)
-    latest = older.agg(F.max("v")).first()[0]
-    if latest is None:
-        return None
-    return versions.filter(F.col("v") == latest).drop("v")
+from casework.sources.store import Store
 
 
 def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None, fuzzy: bool = True,
@@ -52,8 +35,6 @@ def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None,
     history the stream maintains; ``files_per_trigger`` makes each landing
     file its own micro-batch (one weekly drop per trigger)."""
     root = root or os.path.join(ensure_checkpoint_dir(spark), f"evolution-stream-{uuid.uuid4().hex}")
-    history_root = os.path.join(root, "history")
-    state_root = os.path.join(root, "state")
     schema = schema or spark.read.parquet(table_path(sf_dir, "events")).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", source_file)
     if files_per_trigger:
@@ -61,20 +42,11 @@ def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None,
     rows = interventions_from_events(reader.parquet(sf_dir))
 
     def run(batch: DataFrame, epoch: int) -> None:
-        s = batch.sparkSession
-        cleaned_path = os.path.join(root, "cleaned", f"epoch={epoch}")
-        clean_batch(batch, fuzzy=fuzzy, zones=zones).write.mode("overwrite").parquet(cleaned_path)
-        cleaned = s.read.parquet(cleaned_path)
-        state = _latest_state(s, state_root, epoch)
-        if state is None:
-            labelled = classify_batch(cleaned, cleaned.filter(F.lit(False)))
-        elif starts_after(cleaned, state):
-            labelled = classify_batch_with_state(cleaned, state)
-        else:  # a drop that starts on a day the state already holds
-            labelled = classify_batch(cleaned, s.read.parquet(history_root).filter(F.col("epoch") < epoch))
-        labelled.write.mode("overwrite").parquet(os.path.join(history_root, f"epoch={epoch}"))
-        update_person_state(state, cleaned).write.mode("overwrite").parquet(
-            os.path.join(state_root, f"v={epoch}"))
+        store = Store(batch.sparkSession, root)
+        if store.manifest()["meta"].get("epoch", -1) >= epoch:
+            return  # replayed after its commit
+        weekly_drop(batch, store, fuzzy=fuzzy, zones=zones, meta={"epoch": epoch})
+        compact_state(store)
 
     query = (rows.writeStream
                  .option("checkpointLocation", os.path.join(root, "checkpoint"))
@@ -82,4 +54,4 @@ def evolution_stream(spark: SparkSession, sf_dir: str, root: str | None = None,
                  .trigger(availableNow=True)
                  .start())
     query.awaitTermination()
-    return spark.read.parquet(history_root).drop("epoch")
+    return Store(spark, root).read("history").drop("week")

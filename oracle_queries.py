@@ -1001,6 +1001,55 @@ def _q_evolution_stream() -> str:
 SELECT _seq, dni_categorizado, comuna_calculada, tipo_evolucion, apariciones FROM l"""
 
 
+def two_runs_ctes() -> str:
+    """first: the labelled history; kept: it after the reconciliation; second: the new rows of the next export."""
+    return f"""{clean_ctes()}, {reexport_cte()},
+  empty_h AS (SELECT * FROM ch WHERE false),
+  first AS (SELECT * FROM {classify_cte('ch', 'empty_h')}),
+  pend AS (SELECT DISTINCT id_suceso FROM ch WHERE estado = 'PENDIENTE'),
+  closed AS (SELECT * FROM reexp WHERE coalesce(trim(estado), '') <> 'PENDIENTE'
+             AND id_suceso IN (SELECT id_suceso FROM pend)),
+  oc AS {outcome_cols_select('closed')},
+  u AS (SELECT trim(id_suceso) AS u_id, estado AS u_estado, categoria_final AS u_cat FROM (
+          SELECT *, row_number() OVER (PARTITION BY id_suceso ORDER BY _seq) AS rn FROM oc) WHERE rn = 1),
+  kept AS (SELECT f._seq, f.tipo_evolucion, f.apariciones, upd, CASE WHEN upd THEN u_estado ELSE f.estado END AS estado,
+                  CASE WHEN upd THEN u_cat ELSE f.categoria_final END AS categoria_final
+           FROM (SELECT f.*, u.*, (u.u_id IS NOT NULL AND coalesce(f.estado = 'PENDIENTE', false)) AS upd
+                 FROM first f LEFT JOIN u ON f.id_suceso = u.u_id) f),
+  new_raw AS (SELECT * FROM reexp WHERE fecha_inicio > (SELECT max(fecha_inicio) FROM ch)),
+  new_clean AS {clean_cte('new_raw')},
+  second AS (SELECT * FROM {classify_cte('new_clean', 'ch')})"""
+
+
+def _q_store_versions() -> str:
+    columns = "_seq, estado, categoria_final, tipo_evolucion, apariciones"
+    return f"""WITH {two_runs_ctes()},
+  now AS (SELECT {columns} FROM kept UNION ALL SELECT {columns} FROM second)
+SELECT 'first' AS version, {columns} FROM first UNION ALL SELECT 'second', {columns} FROM now
+UNION ALL SELECT 'snapshot', {columns} FROM now"""
+
+
+def _q_weekly_counters() -> str:
+    return f"""WITH {two_runs_ctes()}
+SELECT (SELECT count(*) FROM kept WHERE upd)::BIGINT AS n_reconciled, count(*)::BIGINT AS n_rows,
+       count(*) FILTER ({valid_id('dni_categorizado')})::BIGINT AS n_valid_id,
+       count(*) FILTER (categoria_final = 'sin_match')::BIGINT AS n_no_match,
+       count(*) FILTER (comuna_calculada IS NULL)::BIGINT AS n_without_zone,
+       count(*) FILTER (apariciones > 1)::BIGINT AS n_repeat, max(apariciones)::BIGINT AS max_apariciones FROM second"""
+
+
+def _q_value_remap_diff() -> str:
+    renames = {k: v for k, v in rules.RAW_OUTCOME_REMAP.items() if v is not None}
+    nullify = [k for k, v in rules.RAW_OUTCOME_REMAP.items() if v is None]
+    remapped = (f"CASE WHEN resultado IN {in_list(nullify)} AND fecha_inicio >= TIMESTAMP "
+                f"{lit(rules.REMAP_NULLIFY_FROM + ' 00:00:00')} THEN NULL "
+                f"ELSE coalesce({case_map('resultado', renames)}, resultado) END")
+    return f"""WITH {base_ctes()},
+  both_sides AS (SELECT resultado AS value, 1 AS b, 0 AS a FROM interventions UNION ALL SELECT {remapped}, 0, 1 FROM interventions)
+SELECT value, sum(b)::BIGINT AS n_before, sum(a)::BIGINT AS n_after, (sum(a) - sum(b))::BIGINT AS change
+FROM both_sides GROUP BY value ORDER BY greatest(sum(b), sum(a)) DESC, value ASC NULLS FIRST LIMIT 30"""
+
+
 def _q_weekly_stream_counts() -> str:
     return f"""WITH {base_ctes()}
 SELECT {week('fecha_inicio')} AS semana, estado, CAST(count(*) AS BIGINT) AS n FROM interventions GROUP BY ALL"""
@@ -1026,6 +1075,9 @@ ORACLE: dict[str, str] = {
     "category_rules": _q_category_rules(), "category_fuzzy": _q_category_fuzzy(),
     "category_levels": _q_category_levels(),
     "value_remap_audit": _q_value_remap_audit(),
+    "value_remap_diff": _q_value_remap_diff(),
+    "store_versions": _q_store_versions(),
+    "weekly_counters": _q_weekly_counters(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
     "geo_zone_layer": _q_geo_zone_layer(),
