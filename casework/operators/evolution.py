@@ -180,3 +180,25 @@ def appearances_by_name(batch: DataFrame, history: DataFrame, key: str = KEY) ->
     counts = (hist.unionByName(b.select("_ckind", "_ckey"))
                   .groupBy("_ckind", "_ckey").agg(F.count(F.lit(1)).alias("apariciones")))
     return b.drop("apariciones").join(counts, ["_ckind", "_ckey"], "left").drop("_ckind", "_ckey")
+
+
+def update_stored_appearances(stored: DataFrame, batch: DataFrame, key: str = KEY) -> DataFrame:
+    """Stored rows whose person is in the batch get the appearance count
+    over stored and new rows: by id, or for anonymous ids by upper/trimmed
+    first and last name (a null name matches nothing); others stay.  Adds
+    ``_updated``."""
+    from casework.functions import rules
+
+    def person(df: DataFrame) -> list[Column]:
+        anon = F.col(key).isin(rules.ANONYMOUS_ID_LABELS)
+        return [anon.cast("int").alias("_anon"),
+                F.when(anon, F.upper(F.trim("persona_nombre"))).otherwise(F.col(key)).alias("_one"),
+                F.when(anon, F.upper(F.trim("persona_apellido"))).otherwise(F.lit("")).alias("_two")]
+
+    names = ["_anon", "_one", "_two"]
+    new = batch.select(*person(batch)).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias("_n_new"))
+    marked = stored.select("*", *person(stored))
+    held = marked.join(new.select(*names), names, "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_n_held"))
+    total = new.join(held, names, "left").select(*names, (F.col("_n_new") + F.coalesce("_n_held", F.lit(0))).cast("long").alias("_n"))
+    out = marked.join(total, names, "left").withColumn("_updated", F.col("_n").isNotNull())
+    return out.withColumn("apariciones", F.coalesce("_n", "apariciones")).drop(*names, "_n")

@@ -545,6 +545,21 @@ def q_weekly_counters(spark, sf_dir):
     return spark.createDataFrame([tuple(second[n] for n in names)], ", ".join(f"{n} long" for n in names))
 
 
+def q_hierarchy_maintained(spark, sf_dir):
+    """A11, A12, R06 from the counts that two weekly runs kept by week, with
+    the rows that the second run reconciled counted anew."""
+    from casework.plans import jobs
+    store, _, _ = _two_weekly_runs(spark, sf_dir)
+    return jobs.hierarchy(store)
+
+
+def q_appearances_stored(spark, sf_dir):
+    """The stored history's counts after the batch."""
+    ch, cb = cleaned(spark, sf_dir)
+    stored = evolution.classify_batch(ch, ch.filter(F.lit(False)))
+    return evolution.update_stored_appearances(stored, cb).select("_seq", "dni_categorizado", "apariciones", "_updated")
+
+
 def q_value_remap_diff(spark, sf_dir):
     """Value counts before and after the C08 renames, side by side."""
     i = load_interventions(spark, sf_dir)
@@ -580,6 +595,8 @@ QUERIES: dict[str, Query] = {
     "value_remap_diff": q_value_remap_diff,
     "store_versions": q_store_versions,
     "weekly_counters": q_weekly_counters,
+    "hierarchy_maintained": q_hierarchy_maintained,
+    "appearances_stored": q_appearances_stored,
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
     "geo_zone_layer": q_geo_zone_layer,

@@ -1,7 +1,7 @@
 """Weekly run, snapshot sync and migration on a store with one commit.
 
-``weekly`` (T01) reconciles, appends, adds to the person state and moves the
-snapshot on in one version.  The snapshot (S08, S12, J05) is the history as
+``weekly`` (T01) reconciles, appends, adds to the person state, counts the
+touched weeks anew and moves the snapshot on in one version.  The snapshot (S08, S12, J05) is the history as
 committed, by reference; ``export_snapshot`` writes it out for other readers.
 The person state (T04, J01) is a base and deltas a bucket of ids: a drop
 writes the buckets of its ids only and reads those alone; ``compact_state``
@@ -25,6 +25,7 @@ from casework.operators.geo import ZoneIndex
 from casework.operators.history import (RECONCILE_COLUMNS, after_watermark, apply_keyed_update, catchup_delta, keyed_update,
                                         patch_from_lookup, reconcile_updates, watermark)
 from casework.operators.joins import materialize_checked
+from casework.plans import reports
 from casework.plans.pipeline import clean_batch, snapshot_merge
 from casework.session import write_table
 from casework.sources.store import Staged, Store
@@ -91,12 +92,29 @@ def weekly_drop(rows: DataFrame, store: Store, *, changes: list[Staged] | None =
                                                 F.max(TS).cast("string").alias("until"))
     staged = [*(changes or []), store.stage("history", observed, "week", sort=TS),
               store.stage("state", update_person_state(None, cleaned).withColumn("bucket", bucket(F.col(KEY))), "bucket")]
+    staged.append(weekly_counts(store, base, staged))
     counts = _observed(seen, **{k: 0 for k in batch_counts()} | {"max_apariciones": None, "until": None})
     ends = [u for u in (known, counts.pop("until")) if u]
     version = store.commit(base, staged, mirror={"snapshot": "history"}, meta={**(meta or {}), "until": max(ends, default=None)})
     return {"version": version, **counts}
 
 
+def weekly_counts(store: Store, base: int, staged: list[Staged]) -> Staged:
+    """The report's counts by week, anew for the weeks that the staged
+    changes touch, from the rows that these weeks will have (so rows that a
+    reconciliation changed are counted as they now are, and no longer as they
+    were)."""
+    weeks = sorted({p.split("=", 1)[1] for s in staged if s.table == "history" for p in s.parts})
+    rows = store.read("history", store.planned(base, staged), weeks)
+    fine = reports.fine_counts(reports.prepare_weekly(rows)).withColumn("week", F.col(reports.WEEK))
+    return store.stage("counts", fine, "week", replace=True, cleared=weeks)
+
+
+def hierarchy(store: Store, version: int | None = None) -> DataFrame:
+    """R06 from the kept counts: no row of the history is read."""
+    return reports.roll_up(store.read("counts", version).drop("week"))
+
+
 def weekly(export: DataFrame, store: Store, *, wm: Column | None = None, fuzzy: bool = True,
            zones: ZoneIndex | None = None) -> dict:
     """T01 in one commit: J04 closes pending rows in the weeks that hold them,
@@ -187,5 +205,6 @@ def migrate(store: Store, *, lookup: DataFrame | None = None, fuzzy: bool = True
     if not n:
         return {"version": base, "weeks": 0, "diff": diff}
     rows = after.join(changed, F.col("week").eqNullSafe(F.col("_changed")), "left_semi")
-    staged = store.stage("history", rows, "week", replace=True, sort=TS)
-    return {"version": store.commit(base, [staged], mirror={"snapshot": "history"}), "weeks": n, "diff": diff}
+    staged = [store.stage("history", rows, "week", replace=True, sort=TS)]
+    staged.append(weekly_counts(store, base, staged))
+    return {"version": store.commit(base, staged, mirror={"snapshot": "history"}), "weeks": n, "diff": diff}

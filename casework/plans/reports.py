@@ -113,17 +113,32 @@ def report_zone(key: Column) -> Column:
 
 # -- weekly hierarchical table (A11, A12, R06, F21) -----------------------------
 
+FINE = ["zone", WEEK, "grupo_manual", "nivel_norm"]
+
+
+def fine_counts(prepared: DataFrame) -> DataFrame:
+    """Counts by zone, week, group and level: all that the weekly table rolls
+    up.  A week's counts come from the rows of that week alone, so they can be
+    kept and replaced by week."""
+    return prepared.withColumn("zone", report_zone(F.col("comuna_key"))).groupBy(*FINE).agg(F.count(F.lit(1)).alias("n"))
+
+
 def hierarchy_counts(prepared: DataFrame) -> DataFrame:
     """Counts for total / level / group / group x level rows, per week, per
-    zone and for the whole city, in one grouping-sets aggregation.  Only the
-    four displayed groups produce group rows ('Otros' still counts in the
-    totals).  Cells that would be zero are absent."""
-    df = prepared.withColumn("zone", report_zone(F.col("comuna_key")))
-    z, w, g, lv = "zone", WEEK, "grupo_manual", "nivel_norm"
-    agg = (df.groupingSets([[z, w], [z, w, lv], [z, w, g], [z, w, g, lv], [w], [w, lv], [w, g], [w, g, lv]],
-                           z, w, g, lv)
-             .agg(F.count(F.lit(1)).alias("n"),
-                  (F.grouping(z) * 4 + F.grouping(g) * 2 + F.grouping(lv)).alias("_gid")))
+    zone and for the whole city."""
+    return roll_up(fine_counts(prepared))
+
+
+def roll_up(fine: DataFrame) -> DataFrame:
+    """``fine_counts`` (just made, or kept) rolled up by grouping sets, over
+    some hundred sums a week and not over rows.  Only the four displayed groups
+    produce group rows ('Otros' still counts in the totals).  Cells that would
+    be zero are absent."""
+    z, w, g, lv = FINE
+    agg = (fine.groupingSets([[z, w], [z, w, lv], [z, w, g], [z, w, g, lv], [w], [w, lv], [w, g], [w, g, lv]],
+                             z, w, g, lv)
+           .agg(F.sum("n").alias("n"),
+                (F.grouping(z) * 4 + F.grouping(g) * 2 + F.grouping(lv)).alias("_gid")))
     gz = F.col("_gid").bitwiseAND(4) != 0
     gg = F.col("_gid").bitwiseAND(2) != 0
     gl = F.col("_gid").bitwiseAND(1) != 0
@@ -347,15 +362,17 @@ def contact_breakdown(prepared: DataFrame, n_weeks: int = rules.REPORT_WEEKS) ->
                       & F.col("tipo_carta_norm").isin("AUTOMATICA", "MANUAL"))
               .withColumn("_ent", interview_class(F.col("categoria_final"), F.col("dni_categorizado")))
               .withColumn("_res", outcome_bucket(F.col("categoria_final")))
+              # rows are counted by the finest key first; only these sums are doubled and rolled up
+              .groupBy("zone", WEEK, F.col("tipo_carta_norm").alias("tipo"), "_ent", "_res").agg(F.count(F.lit(1)).alias("n"))
               .withColumn("_pair", F.explode(F.array(
                   F.struct(F.lit("entrevista").alias("kind"), F.col("_ent").alias("clase")),
                   F.struct(F.lit("resultado").alias("kind"), F.col("_res").alias("clase")))))
-              .select("zone", WEEK, F.col("tipo_carta_norm").alias("tipo"), "_pair.kind", "_pair.clase")
+              .select("zone", WEEK, "tipo", "_pair.kind", "_pair.clase", "n")
               .filter(F.col("clase").isin(rules.INTERVIEW_CLASSES + rules.OUTCOME_CLASSES)))
     agg = (d.groupingSets([["zone", WEEK, "tipo", "kind", "clase"], ["zone", WEEK, "kind", "clase"],
                            [WEEK, "tipo", "kind", "clase"], [WEEK, "kind", "clase"]],
                           "zone", WEEK, "tipo", "kind", "clase")
-             .agg(F.count(F.lit(1)).alias("n"), (F.grouping("zone") * 2 + F.grouping("tipo")).alias("_g"))
+             .agg(F.sum("n").alias("n"), (F.grouping("zone") * 2 + F.grouping("tipo")).alias("_g"))
              .withColumn("zone", F.when(F.col("_g").bitwiseAND(2) != 0, F.lit("todas")).otherwise(F.col("zone")))
              .withColumn("tipo", F.when(F.col("_g").bitwiseAND(1) != 0, F.lit("ALL")).otherwise(F.col("tipo")))
              .drop("_g"))

@@ -128,17 +128,21 @@ def interventions_from_events(events: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work over a single scan split one task per core.
-
-    A table of one split (at most ``spark.sql.files.maxPartitionBytes``)
-    would run every regex and rule chain on one core, so it alone is dealt
-    round-robin.  A table of two or more splits is never shuffled here,
-    however many cores the cluster has."""
+    """Give CPU-heavy per-row work over a scan that one task would do alone one
+    task per core.
+
+    A table of one split, or of a few splits of which a single one holds all
+    rows (a file of one row group), would run every regex and rule chain on one
+    core, so it is dealt round-robin.  Tables of more splits than cores are
+    never looked into, and those of two or more splits with rows never
+    shuffled."""
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:  # no RDD access (e.g. a remote session): keep the scan as is
         return df
+    if 1 < splits <= target:  # no column is read: row counts come from the footers
+        splits = df.select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
     return df.repartition(target) if splits == 1 else df
 
 

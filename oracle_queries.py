@@ -1010,12 +1010,12 @@ def two_runs_ctes() -> str:
   closed AS (SELECT * FROM reexp WHERE coalesce(trim(estado), '') <> 'PENDIENTE'
              AND id_suceso IN (SELECT id_suceso FROM pend)),
   oc AS {outcome_cols_select('closed')},
-  u AS (SELECT trim(id_suceso) AS u_id, estado AS u_estado, categoria_final AS u_cat FROM (
+  u AS (SELECT trim(id_suceso) AS u_id, {', '.join(f'{c} AS u_{c}' for c in UPD_COLS)} FROM (
           SELECT *, row_number() OVER (PARTITION BY id_suceso ORDER BY _seq) AS rn FROM oc) WHERE rn = 1),
-  kept AS (SELECT f._seq, f.tipo_evolucion, f.apariciones, upd, CASE WHEN upd THEN u_estado ELSE f.estado END AS estado,
-                  CASE WHEN upd THEN u_cat ELSE f.categoria_final END AS categoria_final
+  kept AS (SELECT * EXCLUDE (u_id, {', '.join(f'u_{c}' for c in UPD_COLS)})
+                  REPLACE ({', '.join(f'CASE WHEN upd THEN u_{c} ELSE {c} END AS {c}' for c in UPD_COLS)})
            FROM (SELECT f.*, u.*, (u.u_id IS NOT NULL AND coalesce(f.estado = 'PENDIENTE', false)) AS upd
-                 FROM first f LEFT JOIN u ON f.id_suceso = u.u_id) f),
+                 FROM first f LEFT JOIN u ON f.id_suceso = u.u_id)),
   new_raw AS (SELECT * FROM reexp WHERE fecha_inicio > (SELECT max(fecha_inicio) FROM ch)),
   new_clean AS {clean_cte('new_raw')},
   second AS (SELECT * FROM {classify_cte('new_clean', 'ch')})"""
@@ -1029,6 +1029,28 @@ SELECT 'first' AS version, {columns} FROM first UNION ALL SELECT 'second', {colu
 UNION ALL SELECT 'snapshot', {columns} FROM now"""
 
 
+def _q_hierarchy_maintained() -> str:
+    return f"""WITH {two_runs_ctes()},
+  labeled AS (SELECT * EXCLUDE (upd) FROM kept UNION ALL BY NAME SELECT * FROM second),
+  {hierarchy_base_sql()}
+SELECT zone, semana, row_type, grupo, nivel, n FROM hf"""
+
+
+def _q_appearances_stored() -> str:
+    anon = f"dni_categorizado IN {in_list(rules.ANONYMOUS_ID_LABELS)}"
+    person = (f"coalesce({anon}, false) AS anon, CASE WHEN {anon} THEN upper(trim(persona_nombre)) ELSE dni_categorizado END AS one, "
+              f"CASE WHEN {anon} THEN upper(trim(persona_apellido)) ELSE '' END AS two")
+    return f"""WITH {clean_ctes()},
+  empty_h AS (SELECT * FROM ch WHERE false),
+  st AS (SELECT *, {person} FROM {classify_cte('ch', 'empty_h')}),
+  bk AS (SELECT DISTINCT anon, one, two FROM (SELECT {person} FROM cb) WHERE one IS NOT NULL AND two IS NOT NULL),
+  al AS (SELECT anon, one, two FROM st UNION ALL SELECT {person} FROM cb),
+  n AS (SELECT al.anon, al.one, al.two, count(*)::BIGINT AS n FROM al JOIN bk ON al.anon = bk.anon AND al.one = bk.one AND al.two = bk.two
+        GROUP BY ALL)
+SELECT st._seq, st.dni_categorizado, coalesce(n.n, st.apariciones) AS apariciones, n.n IS NOT NULL AS _updated
+FROM st LEFT JOIN n ON st.anon = n.anon AND st.one = n.one AND st.two = n.two"""
+
+
 def _q_weekly_counters() -> str:
     return f"""WITH {two_runs_ctes()}
 SELECT (SELECT count(*) FROM kept WHERE upd)::BIGINT AS n_reconciled, count(*)::BIGINT AS n_rows,
@@ -1078,6 +1100,8 @@ ORACLE: dict[str, str] = {
     "value_remap_diff": _q_value_remap_diff(),
     "store_versions": _q_store_versions(),
     "weekly_counters": _q_weekly_counters(),
+    "hierarchy_maintained": _q_hierarchy_maintained(),
+    "appearances_stored": _q_appearances_stored(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
     "geo_zone_layer": _q_geo_zone_layer(),
