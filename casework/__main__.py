@@ -27,7 +27,7 @@ import re
 from pyspark.sql import functions as F
 
 
-def _landing(spark, path: str, fmt: str, day_first: bool = False):
+def _landing(spark, path: str, fmt: str, day_first: bool = False, rejects: str | None = None):
     from casework.session import write_table
     from casework.sources import schema
     raw = schema.read_landing_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
@@ -36,7 +36,12 @@ def _landing(spark, path: str, fmt: str, day_first: bool = False):
         # file order: ids increase with the row order inside each split
         # written once, as every later use would number the rows anew
         canon = write_table(canon.withColumn("_seq", F.monotonically_increasing_id()), "landing")
-    return schema.align_to_schema(canon, schema.LANDING_SCHEMA, day_first)
+    if not rejects:
+        return schema.align_to_schema(canon, schema.LANDING_SCHEMA, day_first)
+    accepted, rejected, notes = schema.split_landing(canon, schema.LANDING_SCHEMA, day_first)
+    rejected.write.mode("overwrite").parquet(os.path.join(rejects, "rows"))
+    notes.write.mode("overwrite").parquet(os.path.join(rejects, "values"))
+    return accepted
 
 
 def _zones(spark, args):
@@ -60,7 +65,7 @@ def on_store(args) -> dict:
     ship_package(spark)
     store = Store(spark, args.store)
     if args.cmd == "weekly":
-        done = jobs.weekly(_landing(spark, args.landing, args.format, args.day_first), store, fuzzy=args.fuzzy, zones=_zones(spark, args))
+        done = jobs.weekly(_landing(spark, args.landing, args.format, args.day_first, getattr(args, "rejects", None)), store, fuzzy=args.fuzzy, zones=_zones(spark, args))
         jobs.compact_state(store)
         return done
     if args.cmd == "sync":
@@ -83,7 +88,7 @@ def weekly(args) -> dict:
     from casework.sources import schema
     spark = get_session()
     ship_package(spark)
-    export = _landing(spark, args.landing, args.format, args.day_first)
+    export = _landing(spark, args.landing, args.format, args.day_first, getattr(args, "rejects", None))
     zones = _zones(spark, args)
     exists = path_exists(spark, args.history)
     if not exists:  # first load: everything is new
@@ -114,7 +119,7 @@ def reports(args) -> dict:
     from casework.sources import schema
     from casework.sources.store import Store
     spark = get_session()
-    stored = Store(spark, args.store).read("snapshot") if args.store else spark.read.parquet(args.history)
+    stored = Store(spark, args.store).read("snapshot") if getattr(args, "store", None) else spark.read.parquet(args.history)
     hist = schema.canonical_headers(schema.rename_headers(stored, schema.REPORT_HEADER_RENAMES))
     weekly_base, dash_base = R.prepare_weekly(hist, args.dedup_incident), R.prepare_dashboard(hist)
     outputs = {
@@ -147,6 +152,7 @@ def main(argv=None) -> None:
     w.add_argument("--zones", help="Parquet zone layer, one ring per row")
     w.add_argument("--kml", action="append", default=[], metavar="PATH=DISTRICT", help="KML layer of a sub-zone, ahead of --zones")
     w.add_argument("--state", help="folder of the person-state table")
+    w.add_argument("--rejects", help="folder for rejected rows, and for values that did not parse")
     w.add_argument("--day-first", action="store_true", help="read 4/5/2026 as 4 May, not 5 April")
     w.add_argument("--no-fuzzy", dest="fuzzy", action="store_false")
     r = sub.add_parser("reports")

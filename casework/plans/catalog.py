@@ -517,16 +517,25 @@ def q_evolution_stream(spark, sf_dir):
                                                   "tipo_evolucion", "apariciones")
 
 
+_STORES: dict[tuple, tuple] = {}
+
+
 def _two_weekly_runs(spark, sf_dir):
     """A store after two weekly runs (the history, then the next export of all
-    incidents), and what the runs returned."""
+    incidents), and what the runs returned; made once a session, like the
+    other shared derivations."""
     import os
     import uuid
     from casework.plans import jobs
     from casework.sources.store import Store
-    i, h, _ = split(spark, sf_dir)
-    store = Store(spark, os.path.join(ensure_checkpoint_dir(spark), "tables", f"store-{uuid.uuid4().hex}"))
-    return store, jobs.weekly(h, store), jobs.weekly(reexport(i), store)
+    key = (spark.sparkContext.applicationId, sf_dir, table_version(spark, table_path(sf_dir, "events")))
+    if key not in _STORES:
+        i, h, _ = split(spark, sf_dir)
+        root = os.path.join(ensure_checkpoint_dir(spark), "tables", f"store-{uuid.uuid4().hex}")
+        store = Store(spark, root)
+        _STORES[key] = root, jobs.weekly(h, store), jobs.weekly(reexport(i), store)
+    root, first, second = _STORES[key]
+    return Store(spark, root), first, second
 
 
 def q_store_versions(spark, sf_dir):
@@ -560,6 +569,22 @@ def q_appearances_stored(spark, sf_dir):
     return evolution.update_stored_appearances(stored, cb).select("_seq", "dni_categorizado", "apariciones", "_updated")
 
 
+def q_landing_rejects(spark, sf_dir):
+    """What becomes of every landed row whose texts don't all parse."""
+    i = load_interventions(spark, sf_dir)
+    text = F.date_format("fecha_inicio", "yyyy-MM-dd HH:mm:ss")
+    n = F.col("_seq") % 50
+    landed = i.select(
+        "_seq", "id_suceso", "persona_dni",
+        F.when(n == 0, F.lit("sin fecha")).when(n == 1, F.lit(None)).when(n == 2, F.lit("  ")).otherwise(text).alias("fecha_inicio"),
+        F.when(n == 3, F.lit("32/13/2024")).when(n == 4, F.lit("")).otherwise(text).alias("fecha_fin"),
+        F.when(n == 5, F.lit('"half,a record')).alias("_corrupt_record"))
+    accepted, rejected, notes = schema.split_landing(landed, schema.HISTORY_SCHEMA)
+    return (accepted.select("_seq", F.lit("accepted").alias("status"), F.lit(None).cast("string").alias("reason"))
+            .unionByName(rejected.select("_seq", F.lit("rejected").alias("status"), F.array_join("reasons", ",").alias("reason")))
+            .unionByName(notes.select("_seq", F.lit("noted").alias("status"), "reason")))
+
+
 def q_value_remap_diff(spark, sf_dir):
     """Value counts before and after the C08 renames, side by side."""
     i = load_interventions(spark, sf_dir)
@@ -597,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "weekly_counters": q_weekly_counters,
     "hierarchy_maintained": q_hierarchy_maintained,
     "appearances_stored": q_appearances_stored,
+    "landing_rejects": q_landing_rejects,
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
     "geo_zone_layer": q_geo_zone_layer,

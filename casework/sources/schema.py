@@ -12,11 +12,12 @@ import csv
 from urllib.parse import unquote
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casework.functions.scalars import to_wall_clock
+from casework.functions.text import strip_blanks
 from casework.session import path_exists
 
 # ---------------------------------------------------------------------------
@@ -107,26 +108,66 @@ def rename_headers(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
-def align_to_schema(df: DataFrame, target: T.StructType, day_first: bool = False) -> DataFrame:
-    """S06 + S09: match source columns to target fields on the normalised
-    name (last source column wins a collision), missing -> typed null,
-    extras dropped, target order, values coerced with ``try_cast``
-    (unparsable -> null), dates written as text with ``to_wall_clock``."""
+def _aligned(df: DataFrame, target: T.StructType, day_first: bool) -> list[tuple[T.StructField, str | None, Column]]:
+    """Every target field, its source column, and its value."""
     by_norm: dict[str, str] = {}
     for c in df.columns:
         by_norm[norm_header(c)] = c
-    cols = []
+    out = []
     for f in target.fields:
         src = by_norm.get(norm_header(f.name))
         if src is None:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            value = F.lit(None).cast(f.dataType)
         elif df.schema[src].dataType == f.dataType:
-            cols.append(F.col(f"`{src}`").alias(f.name))
+            value = F.col(f"`{src}`")
         elif isinstance(f.dataType, T.TimestampNTZType) and isinstance(df.schema[src].dataType, T.StringType):
-            cols.append(to_wall_clock(F.col(f"`{src}`"), day_first).alias(f.name))
+            value = to_wall_clock(F.col(f"`{src}`"), day_first)
         else:
-            cols.append(F.col(f"`{src}`").try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            value = F.col(f"`{src}`").try_cast(f.dataType)
+        out.append((f, src, value.alias(f.name)))
+    return out
+
+
+def align_to_schema(df: DataFrame, target: T.StructType, day_first: bool = False) -> DataFrame:
+    """S06 + S09: match source columns to target fields on the normalised
+    name (last source column wins a collision), missing -> typed null,
+    extras dropped, target order, values coerced with ``try_cast``
+    (unparsable -> null), dates written as text with ``to_wall_clock``."""
+    return df.select(*[value for _, _, value in _aligned(df, target, day_first)])
+
+
+CORRUPT = "_corrupt_record"  # where a reader puts a record that it can't part into columns
+
+
+def split_landing(df: DataFrame, target: T.StructType, day_first: bool = False,
+                  required: tuple[str, ...] = ("fecha_inicio",)) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Landed rows as (accepted, rejected, notes); each row is accepted or
+    rejected.  Rejected are malformed records, and rows without a usable value
+    in a ``required`` column (an undated row can't be placed in a week, however
+    valid its id): _seq, reasons, and the row as landed, as JSON.  ``notes``
+    has a row (_seq, reason) for every other value that didn't parse and so is
+    null in ``accepted`` (aligned to ``target``)."""
+    reasons, unusable = [], F.lit(False)
+    if CORRUPT in df.columns:
+        unusable = F.col(CORRUPT).isNotNull()
+        reasons.append(F.when(unusable, F.lit("malformed")))
+    fields = _aligned(df.drop(CORRUPT), target, day_first)
+    for f, src, value in fields:
+        is_text = src is not None and isinstance(df.schema[src].dataType, T.StringType)
+        blank = F.col(f"`{src}`").isNull() if src is not None else F.lit(True)
+        if is_text:
+            blank = blank | (strip_blanks(F.col(f"`{src}`")) == "")
+        if not isinstance(f.dataType, T.StringType) and src is not None:
+            reasons.append(F.when(~blank & value.isNull(), F.lit(f"{f.name}: not parsed")))
+        if f.name in required:
+            unusable = unusable | value.isNull()
+            reasons.append(F.when(blank, F.lit(f"{f.name}: absent")))
+    seq = F.col("_seq") if "_seq" in df.columns else F.lit(None).cast("long").alias("_seq")
+    marked = df.withColumns({"_reasons": F.array_compact(F.array(*reasons)), "_unusable": unusable})
+    landed = [F.col(f"`{c}`") for c in df.columns]
+    rejected = marked.filter("_unusable").select(seq, F.col("_reasons").alias("reasons"), F.to_json(F.struct(*landed)).alias("row"))
+    kept = marked.filter("NOT _unusable")
+    return kept.select(*[value for _, _, value in fields]), rejected, kept.select(seq, F.explode("_reasons").alias("reason"))
 
 
 def canonical_headers(df: DataFrame) -> DataFrame:
@@ -172,16 +213,16 @@ def _landing_files(spark: SparkSession, paths: list[str], names: list[str], lead
     """Records of files with one header, without the ``lead`` first of each file
     (an anti join on a table of that many rows per file; the reader's
     ``skipRows`` option is not honoured)."""
-    raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+    raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*(f"_c{i}" for i in range(len(names))), CORRUPT]])
     records = (spark.read.schema(raw_schema).option("sep", sep).option("multiLine", multiline)
-                    .option("mode", "PERMISSIVE").csv([unquote(p) for p in paths])
+                    .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv([unquote(p) for p in paths])
                     .withColumn("_file", F.col("_metadata.file_path"))
                     .withColumn("_block", F.col("_metadata.file_block_start"))
                     .withColumn("_id", F.monotonically_increasing_id()))
     first = records.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner"))
     leading = first.select("_file", F.explode(F.array(*[F.col("_banner") + i for i in range(lead)])).alias("_id"))
     body = records.join(leading, ["_file", "_id"], "left_anti")
-    return body.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)])
+    return body.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)], CORRUPT)
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -1051,6 +1051,17 @@ SELECT st._seq, st.dni_categorizado, coalesce(n.n, st.apariciones) AS aparicione
 FROM st LEFT JOIN n ON st.anon = n.anon AND st.one = n.one AND st.two = n.two"""
 
 
+def _q_landing_rejects() -> str:
+    return f"""WITH {base_ctes()},
+  l AS (SELECT _seq, _seq % 50 AS n, fecha_inicio IS NULL AS undated FROM interventions),
+  r AS (SELECT _seq, n, CASE WHEN n = 5 THEN 'malformed' END AS a,
+               CASE WHEN n = 0 THEN 'fecha_inicio: not parsed' WHEN n IN (1, 2) OR undated THEN 'fecha_inicio: absent' END AS b,
+               CASE WHEN n = 3 THEN 'fecha_fin: not parsed' END AS c FROM l)
+SELECT _seq, CASE WHEN coalesce(a, b) IS NULL THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN coalesce(a, b) IS NULL THEN NULL ELSE concat_ws(',', a, b, c) END AS reason FROM r
+UNION ALL SELECT _seq, 'noted', c FROM r WHERE coalesce(a, b) IS NULL AND c IS NOT NULL"""
+
+
 def _q_weekly_counters() -> str:
     return f"""WITH {two_runs_ctes()}
 SELECT (SELECT count(*) FROM kept WHERE upd)::BIGINT AS n_reconciled, count(*)::BIGINT AS n_rows,
@@ -1102,6 +1113,7 @@ ORACLE: dict[str, str] = {
     "weekly_counters": _q_weekly_counters(),
     "hierarchy_maintained": _q_hierarchy_maintained(),
     "appearances_stored": _q_appearances_stored(),
+    "landing_rejects": _q_landing_rejects(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
     "geo_zone_layer": _q_geo_zone_layer(),

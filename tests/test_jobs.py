@@ -148,3 +148,19 @@ def test_weekly_job_with_and_without_person_state(spark, tmp_path):
             "_seq", "id_suceso", "tipo_evolucion", "apariciones").collect())))
     assert states[0] == states[1] and len(states[0]) > 0
     assert len(list((tmp_path / "state").iterdir())) == 3
+
+
+def test_landed_rows_are_accepted_or_rejected(spark, tmp_path):
+    from casework import __main__ as job
+    lines = ["Reporte semanal,,", "Id Suceso,Fecha Inicio,Fecha Fin", "1,2024-01-01 10:00:00,2024-01-02 10:00:00", "2,,x",
+             "3,2024-01-01 11:00:00,nunca", "4,ayer,", "5,2024-01-03 10:00:00,2024-01-04 10:00:00,too,many"]
+    (tmp_path / "landing.csv").write_text("\n".join(lines) + "\n")
+    accepted = job._landing(spark, f"file:{tmp_path}/landing.csv", "csv", False, f"file:{tmp_path}/rejects")
+    rows = {r["id_suceso"]: r["fecha_fin"] for r in accepted.collect()}
+    assert set(rows) == {"1", "3"} and rows["3"] is None
+    rejected = spark.read.parquet(f"file:{tmp_path}/rejects/rows")
+    got = {r["row"].split('"')[3]: r["reasons"] for r in rejected.collect()}
+    assert got["2"] == ["fecha_inicio: absent", "fecha_fin: not parsed"] and got["4"] == ["fecha_inicio: not parsed"]
+    assert got["5"][0] == "malformed" and len(got) + len(rows) == 5
+    notes = spark.read.parquet(f"file:{tmp_path}/rejects/values").collect()
+    assert [r["reason"] for r in notes] == ["fecha_fin: not parsed"]
