@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 def _landing(spark, path: str, fmt: str, day_first: bool = False, rejects: str | None = None):
     from casework.session import write_table
     from casework.sources import schema
-    raw = schema.read_landing_csv(spark, path) if fmt == "csv" else spark.read.parquet(path)
+    raw = schema.read_landing_csv(spark, path, keep_malformed=rejects is not None) if fmt == "csv" else spark.read.parquet(path)
     canon = schema.canonical_headers(raw)
     if "_seq" not in canon.columns:
         # file order: ids increase with the row order inside each split

@@ -181,7 +181,8 @@ def canonical_headers(df: DataFrame) -> DataFrame:
     return apart.drop(*[f"_beaten_{i}" for i in beaten])
 
 
-def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True) -> DataFrame:
+def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True,
+                     keep_malformed: bool = False) -> DataFrame:
     """Landing exports whose first line is a banner and whose second line
     is the header; every column arrives as a string.
 
@@ -190,7 +191,8 @@ def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline:
     with the same header are read together by Spark's CSV reader, with that
     many string columns; files with other headers are joined to them by column
     name.  ``multiline`` keeps quoted fields with line breaks whole (a file is
-    then read by one task, as a spreadsheet export is)."""
+    then read by one task, as a spreadsheet export is).  ``keep_malformed``
+    adds a column with the text of records of too few or too many fields."""
     lines = (spark.read.text(path)
                   .select("value", F.col("_metadata.file_path").alias("_file"),
                           F.col("_metadata.file_block_start").alias("_block"))
@@ -205,6 +207,7 @@ def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline:
     out = None
     for (header, blank), paths in groups.items():
         part = _landing_files(spark, paths, next(csv.reader([header], delimiter=sep)), 1 if blank else 2, sep, multiline)
+        part = part if keep_malformed else part.drop(CORRUPT)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
