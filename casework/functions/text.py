@@ -4,7 +4,9 @@ Spark has no Unicode normalisation function, so accent folding is a
 ``translate`` table generated here from ``unicodedata`` (every precomposed
 Latin letter whose canonical decomposition is an ASCII base letter plus
 combining marks), followed by a ``\\p{Mn}`` sweep for marks that arrive
-already decomposed.  Everything runs inside whole-stage codegen; no UDF.
+already decomposed.  F02's transliteration (Latin, Greek, Cyrillic) looks up
+each code point of a text once, in an array made from decompositions and the
+letters below; an ASCII text is left as it is.  No UDF.
 """
 
 from __future__ import annotations
@@ -28,6 +30,11 @@ _LOWER_EXPANSIONS = [
     ("ª", "a"), ("º", "o"), ("°", "deg"), ("¹", "1"), ("²", "2"), ("³", "3"),
     ("µ", "u"), ("×", "x"), ("©", "(c)"), ("®", "(r)"),
 ]
+
+# Public romanisation of lower-case Greek and Cyrillic letters.
+_GREEK = "α a β b γ g δ d ε e ζ z η e θ th ι i κ k λ l μ m ν n ξ x ο o π p ρ r σ s ς s τ t υ u φ ph χ kh ψ ps ω o"
+_CYRILLIC = ("а a б b в v г g д d е e ж zh з z и i к k л l м m н n о o п p р r с s т t у u ф f х kh ц ts ч ch ш sh щ shch "
+             "ъ \" ы y ь ' э e ю iu я ia ё io є ie і i ї yi ј j љ lj њ nj ћ c ђ dj џ dzh ѓ gj ќ kj ѕ dz ґ g' ў u")
 # end of FIXED VALUES
 
 
@@ -63,12 +70,39 @@ def clean_name(c: Column) -> Column:
     return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.nullif(s, F.lit("")))
 
 
+_FIRST, _LAST = 0x80, 0x1FFF  # code points of the lookup
+
+
+@lru_cache(maxsize=None)
+def romanised() -> list[str]:
+    """For each code point of the lookup what it becomes: the fixed values, else
+    its base letter's, nothing for a combining mark, else itself."""
+    fixed = dict(_LOWER_EXPANSIONS)
+    for pairs in (_GREEK, _CYRILLIC):
+        words = pairs.split()
+        fixed.update(zip(words[::2], words[1::2]))
+    out = []
+    for cp in range(_FIRST, _LAST + 1):
+        ch = chr(cp)
+        base, *marks = unicodedata.normalize("NFD", ch)
+        known = base in fixed or (base.isascii() and base.isalpha())
+        if ch in fixed:
+            out.append(fixed[ch])
+        elif unicodedata.category(ch) == "Mn":
+            out.append("")
+        elif known and all(unicodedata.category(m) == "Mn" for m in marks):
+            out.append(fixed.get(base, base))
+        else:
+            out.append(ch)
+    return out
+
+
 def transliterate_lower(c: Column) -> Column:
-    """Latin transliteration of already lower-cased text."""
-    s = c
-    for a, b in _LOWER_EXPANSIONS:
-        s = F.replace(s, F.lit(a), F.lit(b))
-    return fold_accents(s)
+    """Transliteration of already lower-cased text."""
+    table = F.split(F.lit("\ue000".join(romanised())), "\ue000")  # a constant, folded once a plan
+    looked = F.transform(F.split(c, ""), lambda ch: F.coalesce(F.get(table, F.ascii(ch) - _FIRST), ch))
+    looked = F.regexp_replace(F.array_join(looked, ""), r"\p{Mn}", "")
+    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(looked)
 
 
 def clean_outcome_text(c: Column) -> Column:

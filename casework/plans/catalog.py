@@ -569,6 +569,37 @@ def q_appearances_stored(spark, sf_dir):
     return evolution.update_stored_appearances(stored, cb).select("_seq", "dni_categorizado", "apariciones", "_updated")
 
 
+def q_clean_outcome_scripts(spark, sf_dir):
+    """outcome texts spelled with Greek and Cyrillic letters."""
+    i = load_interventions(spark, sf_dir)
+    text = F.lower(F.coalesce("cierre_supervisor", "resultado"))
+    greek = F.upper(F.translate(text, "abgdezhiklmnopqrstuvwxyáé", "αβγδεζθικλμνοπξρστυφψχωάέ"))
+    cyrillic = F.upper(F.translate(text, "abvgdejziyklmnoprstufhcqwxñ", "абвгдежзийклмнопрстуфхцчшщю"))
+    return i.select("_seq", clean_outcome_text(greek).alias("griego"), clean_outcome_text(cyrillic).alias("cirilico"))
+
+
+def q_landing_quoted(spark, sf_dir):
+    """Exports whose fields hold separators, quotes and line breaks, written and read again."""
+    import os
+    import uuid
+    from casework.session import ensure_checkpoint_dir
+    events = load_table(spark, sf_dir, "events")
+    note = F.concat("event_type", F.lit("\n"), F.coalesce("props", F.lit("")), F.lit(', "'), F.col("user_id").cast("string"), F.lit('"'))
+    record = F.concat_ws(",", F.col("event_id").cast("string"), F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"')),
+                         "event_type")
+
+    def with_banner(batches):
+        import pyarrow as pa
+        yield pa.record_batch([pa.array(["Exported events, by part", "id,nota,tipo"])], names=["value"])
+        for batch in batches:
+            yield pa.record_batch([batch.column(0).cast(pa.string())], names=["value"])
+
+    path = os.path.join(ensure_checkpoint_dir(spark), "tables", f"landing-{uuid.uuid4().hex}")
+    lines = events.filter("event_id IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL").select(record.alias("value"))
+    lines.mapInArrow(with_banner, "value string").write.text(path)
+    return schema.read_landing_csv(spark, path).select(F.col("id").cast("long").alias("id"), "nota", "tipo")
+
+
 def q_landing_rejects(spark, sf_dir):
     """What becomes of every landed row whose texts don't all parse."""
     i = load_interventions(spark, sf_dir)
@@ -623,6 +654,8 @@ QUERIES: dict[str, Query] = {
     "hierarchy_maintained": q_hierarchy_maintained,
     "appearances_stored": q_appearances_stored,
     "landing_rejects": q_landing_rejects,
+    "landing_quoted": q_landing_quoted,
+    "clean_outcome_scripts": q_clean_outcome_scripts,
     "value_distribution": q_value_distribution,
     "geo_zone": q_geo_zone,
     "geo_zone_layer": q_geo_zone_layer,

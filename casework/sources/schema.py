@@ -9,7 +9,7 @@ All of it is projection only (no job, no shuffle).
 from __future__ import annotations
 
 import csv
-from urllib.parse import unquote
+import io
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from casework.functions.scalars import to_wall_clock
 from casework.functions.text import strip_blanks
 from casework.session import path_exists
+from casework.sources import split_csv
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: source header renames
@@ -183,51 +184,29 @@ def canonical_headers(df: DataFrame) -> DataFrame:
 
 def read_landing_csv(spark: SparkSession, path: str, sep: str = ",", multiline: bool = True,
                      keep_malformed: bool = False) -> DataFrame:
-    """Landing exports whose first line is a banner and whose second line
+    """Landing exports whose first line is a banner and whose next record
     is the header; every column arrives as a string.
 
-    Header and banner of each file are found in its first split (ids increase
-    with the record order inside a split) and collected, one row a file.  Files
-    with the same header are read together by Spark's CSV reader, with that
-    many string columns; files with other headers are joined to them by column
-    name.  ``multiline`` keeps quoted fields with line breaks whole (a file is
-    then read by one task, as a spreadsheet export is).  ``keep_malformed``
-    adds a column with the text of records of too few or too many fields."""
-    lines = (spark.read.text(path)
-                  .select("value", F.col("_metadata.file_path").alias("_file"),
-                          F.col("_metadata.file_block_start").alias("_block"))
-                  .withColumn("_id", F.monotonically_increasing_id()).filter(F.col("_block") == 0))
-    top = lines.groupBy("_file").agg(F.min("_id").alias("_banner"))
-    leading = lines.join(top, "_file").filter(F.col("_id") <= F.col("_banner") + 1)
-    files = (leading.groupBy("_file").agg(F.min_by("value", "_id").alias("banner"), F.max_by("value", "_id").alias("header"))
-                    .orderBy("_file").collect())
-    groups: dict[tuple[str, bool], list[str]] = {}
-    for f in files:  # the CSV reader leaves out a blank banner line by itself
-        groups.setdefault((f.header, not f.banner.strip()), []).append(f["_file"])
+    Banner and header of each file come with the pass that finds where records
+    begin in each split (``split_csv``), one row a file.  Files with the same
+    header are read together; files with other headers are joined to them by
+    column name.  ``multiline`` keeps quoted fields with line breaks whole; a
+    file is read by as many tasks as it has splits either way.
+    ``keep_malformed`` adds a column with the text of records of too few or too
+    many fields."""
+    files, read = split_csv.read_files(spark, path, sep, multiline)
+    groups: dict[str, list[str]] = {}
+    for f in files:
+        groups.setdefault(f.header, []).append(f.file)
     out = None
-    for (header, blank), paths in groups.items():
-        part = _landing_files(spark, paths, next(csv.reader([header], delimiter=sep)), 1 if blank else 2, sep, multiline)
-        part = part if keep_malformed else part.drop(CORRUPT)
+    for header, paths in groups.items():
+        names = next(csv.reader(io.StringIO(header, newline=""), delimiter=sep))
+        part = read(paths, len(names), CORRUPT)
+        part = part.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)], *([CORRUPT] if keep_malformed else []))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def _landing_files(spark: SparkSession, paths: list[str], names: list[str], lead: int, sep: str, multiline: bool) -> DataFrame:
-    """Records of files with one header, without the ``lead`` first of each file
-    (an anti join on a table of that many rows per file; the reader's
-    ``skipRows`` option is not honoured)."""
-    raw_schema = T.StructType([T.StructField(n, T.StringType()) for n in [*(f"_c{i}" for i in range(len(names))), CORRUPT]])
-    records = (spark.read.schema(raw_schema).option("sep", sep).option("multiLine", multiline)
-                    .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv([unquote(p) for p in paths])
-                    .withColumn("_file", F.col("_metadata.file_path"))
-                    .withColumn("_block", F.col("_metadata.file_block_start"))
-                    .withColumn("_id", F.monotonically_increasing_id()))
-    first = records.filter(F.col("_block") == 0).groupBy("_file").agg(F.min("_id").alias("_banner"))
-    leading = first.select("_file", F.explode(F.array(*[F.col("_banner") + i for i in range(lead)])).alias("_id"))
-    body = records.join(leading, ["_file", "_id"], "left_anti")
-    return body.select(*[F.col(f"_c{i}").alias(n.strip()) for i, n in enumerate(names)], CORRUPT)
-
-
 def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The history table (empty frame of the schema when absent)."""
     if schema is not None and not path_exists(spark, path):  # first load; any other failure is an error

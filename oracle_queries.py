@@ -42,6 +42,14 @@ TRANSLITERATION = {
     "ŋ": "ng", "ĳ": "ij", "ſ": "s", "ª": "a", "º": "o", "°": "deg", "¹": "1", "²": "2", "³": "3", "µ": "u", "×": "x",
     "©": "(c)", "®": "(r)",
 }
+# The letters that the query on other scripts uses.
+SCRIPTS = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m", "ν": "n",
+    "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l", "м": "m",
+    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh",
+    "щ": "shch", "ю": "iu",
+}
 # end of FIXED VALUES
 
 
@@ -57,11 +65,13 @@ def clean_name(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN NULL ELSE nullif({s}, '') END"
 
 
-def clean_outcome(x: str) -> str:
+def clean_outcome(x: str, scripts: bool = False) -> str:
     s = f"lower({x})"
     for a, b in TRANSLITERATION.items():
         s = f"replace({s}, {lit(a)}, {lit(b)})"
     s = f"strip_accents({s})"
+    for a, b in SCRIPTS.items() if scripts else ():
+        s = f"replace({s}, {lit(a)}, {lit(b)})"
     s = f"regexp_replace({s}, '[_-]', ' ', 'g')"
     s = rf"regexp_replace({s}, '[^a-z0-9\s]', ' ', 'g')"
     s = rf"trim(regexp_replace({s}, '\s+', ' ', 'g'))"
@@ -1062,6 +1072,19 @@ SELECT _seq, CASE WHEN coalesce(a, b) IS NULL THEN 'accepted' ELSE 'rejected' EN
 UNION ALL SELECT _seq, 'noted', c FROM r WHERE coalesce(a, b) IS NULL AND c IS NOT NULL"""
 
 
+def _q_clean_outcome_scripts() -> str:
+    text = "lower(coalesce(cierre_supervisor, resultado))"
+    greek = f"upper(translate({text}, 'abgdezhiklmnopqrstuvwxyáé', 'αβγδεζθικλμνοπξρστυφψχωάέ'))"
+    cyrillic = f"upper(translate({text}, 'abvgdejziyklmnoprstufhcqwxñ', 'абвгдежзийклмнопрстуфхцчшщю'))"
+    return f"""WITH {base_ctes()}, s AS (SELECT _seq, {greek} AS g, {cyrillic} AS c FROM interventions)
+SELECT _seq, {clean_outcome('g', True)} AS griego, {clean_outcome('c', True)} AS cirilico FROM s"""
+
+
+def _q_landing_quoted() -> str:
+    return """SELECT event_id AS id, event_type || chr(10) || coalesce(props, '') || ', "' || user_id || '"' AS nota, event_type AS tipo
+FROM events WHERE event_id IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL"""
+
+
 def _q_weekly_counters() -> str:
     return f"""WITH {two_runs_ctes()}
 SELECT (SELECT count(*) FROM kept WHERE upd)::BIGINT AS n_reconciled, count(*)::BIGINT AS n_rows,
@@ -1114,6 +1137,8 @@ ORACLE: dict[str, str] = {
     "hierarchy_maintained": _q_hierarchy_maintained(),
     "appearances_stored": _q_appearances_stored(),
     "landing_rejects": _q_landing_rejects(),
+    "landing_quoted": _q_landing_quoted(),
+    "clean_outcome_scripts": _q_clean_outcome_scripts(),
     "value_distribution": _q_value_distribution(),
     "geo_zone": _q_geo_zone(),
     "geo_zone_layer": _q_geo_zone_layer(),
