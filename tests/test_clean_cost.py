@@ -98,3 +98,30 @@ def test_first_closed_row_is_known_before_its_outcome(spark, monkeypatch):
     past = spark.createDataFrame([("a", "PENDIENTE"), ("b", "CERRADO")], "id_suceso string, estado string")
     out = history.reconcile_updates(export, past).collect()
     assert rows == [1] and [(r.id_suceso, r.estado, r.cierre_texto) for r in out] == [("a", " cerrado", "zzz")]
+
+
+def test_each_step_of_a_row_is_in_the_plan_once(spark):
+    """Spark works out an expression as often as it stands in branches and lambdas."""
+    from casework.operators.geo import assign_zone
+    df = spark.createDataFrame([("a", "1.5", "2.5")], "t string, longitud string, latitud string")
+    names = _plan(df.select(text.clean_name(F.col("t")).alias("o")))
+    assert names.count("translate(") == 1 and names.count("regexp_replace(") == 2
+    outcome = _plan(cat.with_clean_outcome(df, "t", "o"))
+    assert outcome.count("translate(") == 1 and outcome.count("lower(") == 1
+    assert _plan(assign_zone(df)).count("filter(_zones") == 1
+
+
+def test_outcome_step_equals_the_column(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS + NAMES], "t string")
+    rows = cat.with_clean_outcome(df, "t", "a").select("t", "a", plain_outcome(F.col("t")).alias("b")).collect()
+    assert [(r.t, r.a) for r in rows] == [(r.t, r.b) for r in rows]
+
+
+def test_numbers_are_read_once(spark):
+    from casework.functions.scalars import to_district
+    given = ["1.5", " 2,5 ", "NaN", "nan", "+nan", "-inf", "Infinity", "12d", "1e400", "", " ", "abc", None]
+    df = spark.createDataFrame([(g,) for g in given], "t string").select("t", to_district(F.col("t")).alias("d"))
+    inf = float("inf")
+    assert [r.d for r in df.collect()] == [1.5, 2.5, None, None, None, -inf, inf, None, inf, None, None, None, None]
+    assert _plan(df).count("try_cast(") == 1
+    assert spark.range(1).select(to_district(F.lit(float("nan")))).first()[0] is None
