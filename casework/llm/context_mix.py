@@ -36,8 +36,19 @@ EARLY = 16
 STRETCH = 7  # scaled counts are looked up in stretches of 128
 
 
-#: Next confidence by 4 * (hit or miss) + confidence so far; a miss at 0 or 1 takes the new id.
-CONFIDENCE = np.array([1, 1, 1, 2, 1, 2, 3, 3], dtype=np.int32)
+#: Change of a confidence by 4 * (hit or miss) + confidence so far; a miss at 0 or 1 takes the new id instead.
+CHANGE = np.array([0, 0, -1, -1, 1, 1, 1, 0], dtype=np.int32)
+MARKS = np.arange(128)  # 64 * hit of order 2 + 32 * hit of order 1 + 8 and 2 * confidences of orders 2 and 1 + same id
+
+
+def _by_mark(hit: int, confidence: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every mark: whether a table takes the new id, and the change of its confidence."""
+    state = (MARKS // hit & 1) * 4 + (MARKS // confidence & 3)
+    return state <= 1, CHANGE[state]
+
+
+ONE_NEW, ONE_CHANGE = _by_mark(32, 2)
+TWO_NEW, TWO_CHANGE = _by_mark(64, 8)
 
 
 class _Model:
@@ -45,7 +56,7 @@ class _Model:
         self.n = alphabet
         self.counts = np.ones(alphabet, dtype=np.int64)
         self.cum = np.zeros(alphabet + 1, dtype=np.int64)
-        self.steps, self.told = 0, []
+        self.steps, self.told, self.marks = 0, [], []
         self.one = np.zeros(alphabet, dtype=np.int32)  # 4 * id + confidence
         self.two = np.zeros(1 << SLOT_BITS, dtype=np.int32)
         self.every, self.stretch = np.arange(alphabet, dtype=np.int32), None
@@ -69,7 +80,8 @@ class _Model:
         self.slot = ((before * 0x9E3779B1 + last * 0x85EBCA77) >> 7) & ((1 << SLOT_BITS) - 1)
         self.v1, self.v2 = self.one.take(last), self.two.take(self.slot)
         self.p1, self.p2 = self.v1 >> 2, self.v2 >> 2
-        self.key = ((self.v2 & 3) * 4 + (self.v1 & 3)) * 2 + (self.p1 == self.p2)
+        self.alike = self.p1 == self.p2
+        self.key = (((self.v2 & 3) << 3) + ((self.v1 & 3) << 1) + self.alike).astype(np.intp)
         self.w1, self.w2 = self.weight1.take(self.key), self.weight2.take(self.key)
         self.w0 = TOTAL - self.w1 - self.w2
 
@@ -83,48 +95,55 @@ class _Model:
         start = lo + self.w1 * (self.p1 < x) + self.w2 * (self.p2 < x)
         return start, hi - lo + self.w1 * self.same1 + self.w2 * self.same2
 
-    def find(self, t: np.ndarray) -> np.ndarray:
-        """The id whose interval holds t."""
+    def find(self, t: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The id whose interval holds t, and that interval."""
         x = self.p2.astype(np.int64)
-        start, width = self.interval(x)
-        off = np.flatnonzero((t < start) | (t >= start + width))  # not the order-2 prediction
-        p1, w1, w2, t = self.p1.take(off), self.w1.take(off), self.w2.take(off), t.take(off)
-        w0, past2 = self.w0.take(off), t >= start.take(off)
-        rest = t - w2 * past2
+        start = self.base(x)
+        width = self.base(x + 1) - start + self.w2 + self.w1 * self.alike
+        start += self.w1 * (self.p1 < self.p2)
+        past = t - start
+        off = np.flatnonzero((past < 0) | (past >= width))  # not the order-2 prediction
+        self.same1, self.same2 = self.alike.copy(), np.ones(len(x), dtype=bool)
+        p1, w0, w1 = self.p1.take(off).astype(np.int64), self.w0.take(off), self.w1.take(off)
+        skip = self.w2.take(off) * (past.take(off) >= 0)
+        rest = t.take(off) - skip
         lo, hi = (self.cum.take(p1 + side) * w0 >> SCALE for side in (0, 1))
-        past1 = rest >= hi + w1
-        hit = (rest >= lo) & ~past1
-        x[off] = p1
+        size = hi - lo + w1
+        past = rest - lo
+        hit = (past >= 0) & (past < size)
         free = np.flatnonzero(~hit)
-        rest = (rest - w1 * past1).take(free)
-        at = (((rest + 1) << SCALE) - 1) // w0.take(free)
+        w0, skip1 = w0.take(free), (w1 * (past >= 0)).take(free)
+        at = (((rest.take(free) - skip1 + 1) << SCALE) - 1) // w0
         if self.stretch is None:  # the last id that begins before or in each stretch of the scaled counts
             self.stretch = np.zeros(1 << (SCALE - STRETCH), dtype=np.int32)
             self.stretch[self.cum[:-1] >> STRETCH] = self.every
             np.maximum.accumulate(self.stretch, out=self.stretch)
         guess = self.stretch.take(at >> STRETCH).astype(np.int64)
-        amiss = np.flatnonzero((self.cum.take(guess) > at) | (self.cum.take(guess + 1) <= at))
-        guess[amiss] = np.searchsorted(self.cum, at.take(amiss), side="right") - 1
-        x[off.take(free)] = guess
-        return x
+        late = np.flatnonzero(self.cum.take(guess) > at)
+        guess[late] = np.searchsorted(self.cum, at.take(late), side="right") - 1
+        low, high = (self.cum.take(guess + side) * w0 >> SCALE for side in (0, 1))
+        p1[free], lo[free], size[free] = guess, low + skip1, high - low
+        x[off], start[off], width[off] = p1, lo + skip, size
+        self.same1[off], self.same2[off] = hit, False
+        return x, start, width
 
     def learn(self, x: np.ndarray) -> None:
-        """After ``interval(x)``."""
-        which = self.key + 32 * self.same1.view(np.int8) + 64 * self.same2.view(np.int8)
-        none, only1, only2, both = np.bincount(which, minlength=128).reshape(4, 32)
-        self.seen += none + only1 + only2 + both
-        self.hits1 += only1
-        self.hits2 += only2 + both
+        """After ``interval(x)``, or ``find`` that gave x."""
+        mark = self.key + (self.same1.view(np.int8) * np.int16(32) + self.same2.view(np.int8) * np.int16(64))
         own = (x.astype(np.int32) << 2) | 1
-        for table, at, value, same in ((self.one, self.last, self.v1, self.same1), (self.two, self.slot, self.v2, self.same2)):
-            state = (value & 3) + 4 * same
-            table[at] = np.where(state <= 1, own, (value & -4) | CONFIDENCE.take(state))
+        self.one[self.last] = np.where(ONE_NEW.take(mark), own, self.v1 + ONE_CHANGE.take(mark))
+        self.two[self.slot] = np.where(TWO_NEW.take(mark), own, self.v2 + TWO_CHANGE.take(mark))
         self.told.append(x)
+        self.marks.append(mark)
         self.steps += 1
         if self.steps > EARLY and self.steps % EARLY:
             return
+        none, only1, only2, both = np.bincount(np.concatenate(self.marks), minlength=128).reshape(4, 32)
+        self.seen += none + only1 + only2 + both
+        self.hits1 += only1
+        self.hits2 += only2 + both
         self.counts += GAIN * np.bincount(np.concatenate(self.told), minlength=self.n)
-        self.told = []
+        self.told, self.marks = [], []
         while int(self.counts.sum()) > MAX_COUNT:
             self.counts = (self.counts + 1) >> 1
         self._settle()
@@ -137,19 +156,22 @@ def _lanes(n: int) -> tuple[int, int, int]:
     return lanes, steps, n - (steps - 1) * lanes
 
 
-def _starts(lanes: int, steps: int, alive: int) -> np.ndarray:
-    at = np.arange(lanes)
-    return at * (steps - 1) + np.minimum(at, alive)
+def _parts(ids: np.ndarray, lanes: int, steps: int, alive: int) -> tuple[np.ndarray, np.ndarray]:
+    """Views of a block, a lane a row: those alive in the last step, and the others."""
+    whole = alive * steps
+    return ids[:whole].reshape(alive, steps), ids[whole:].reshape(lanes - alive, steps - 1)
 
 
 def compress(ids: np.ndarray) -> bytes:
     """One block.  ids: non-negative integers below 2^20."""
-    ids = np.asarray(ids, dtype=np.int64)
+    ids = np.asarray(ids).astype(np.uint32, copy=False)
     n = len(ids)
     if not n:
         return b""
     lanes, steps, alive = _lanes(n)
-    begin = _starts(lanes, steps, alive)
+    grid = np.zeros((steps, lanes), dtype=np.uint32)
+    longer, shorter = _parts(ids, lanes, steps, alive)
+    grid[:, :alive], grid[:-1, alive:] = longer.T, shorter.T
     model = _Model(int(ids.max()) + 1)
     low, rng = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK + 1, dtype=np.int64)
     room = 2 * steps + 4
@@ -159,7 +181,7 @@ def compress(ids: np.ndarray) -> bytes:
     last = before = np.zeros(lanes, dtype=np.int64)
     for step in range(steps):
         k = lanes if step < steps - 1 else alive
-        x = ids[begin[:k] + step]
+        x = grid[step, :k].astype(np.int64)
         model.predict(last[:k], before[:k])
         start, width = model.interval(x)
         r = rng[:k] >> TOTAL_BITS
@@ -169,7 +191,9 @@ def compress(ids: np.ndarray) -> bytes:
         digits[at[over] - 1] += 1
         l &= MASK
         for _ in range(2):
-            short = np.nonzero(r < LOWEST)[0]
+            short = np.flatnonzero(r < LOWEST)
+            if not len(short):
+                break
             out = l[short]
             digits[at[short]] = out >> (WINDOW - 16)
             l[short] = (out << 16) & MASK
@@ -198,17 +222,16 @@ def expand(data: bytes) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     n, alphabet = (int(v) for v in np.frombuffer(data, dtype="<u4", count=2))
     lanes, steps, alive = _lanes(n)
-    begin = _starts(lanes, steps, alive)
     lengths = np.frombuffer(data, dtype="<u4", count=lanes, offset=8).astype(np.int64)
-    body = np.frombuffer(data, dtype="<u2", offset=8 + 4 * lanes).astype(np.int64)
-    body = np.concatenate([body, np.zeros(1, dtype=np.int64)])
+    body = np.frombuffer(data, dtype="<u2", offset=8 + 4 * lanes)
+    body = np.concatenate([body, np.zeros(1, dtype=body.dtype)])
     ends = np.cumsum(lengths)
     at = ends - lengths
 
     def take(which: np.ndarray) -> np.ndarray:
-        d = body[np.where(at[which] < ends[which], at[which], len(body) - 1)]
-        at[which] += 1
-        return d
+        here = at.take(which)
+        at[which] = here + 1
+        return body.take(np.where(here < ends.take(which), here, len(body) - 1)).astype(np.int64)
 
     every = np.arange(lanes)
     code = np.zeros(lanes, dtype=np.int64)
@@ -216,22 +239,26 @@ def expand(data: bytes) -> np.ndarray:
         code = (code << 16) | take(every)
     rng = np.full(lanes, MASK + 1, dtype=np.int64)
     model = _Model(alphabet)
-    out = np.zeros(n, dtype=np.int64)
+    grid = np.zeros((steps, lanes), dtype=np.uint32)
     last = before = np.zeros(lanes, dtype=np.int64)
     for step in range(steps):
         k = lanes if step < steps - 1 else alive
         model.predict(last[:k], before[:k])
         r, c = rng[:k] >> TOTAL_BITS, code[:k]
-        x = model.find(np.minimum(c // r, TOTAL - 1))
-        start, width = model.interval(x)
+        x, start, width = model.find(np.minimum(c // r, TOTAL - 1))
         c = c - r * start
         r *= width
         for _ in range(2):
-            short = np.nonzero(r < LOWEST)[0]
+            short = np.flatnonzero(r < LOWEST)
+            if not len(short):
+                break
             c[short] = (c[short] << 16) | take(short)
             r[short] <<= 16
         code[:k], rng[:k] = c, r
-        out[begin[:k] + step] = x
+        grid[step, :k] = x
         model.learn(x)
         before, last = last[:k], x
-    return out
+    out = np.zeros(n, dtype=np.uint32)
+    longer, shorter = _parts(out, lanes, steps, alive)
+    longer[:], shorter[:] = grid[:, :alive].T, grid[:-1, alive:].T
+    return out.astype(np.int64)

@@ -117,9 +117,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = EN
 
         def stream():
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                for i, coded in encoder.encode_in_turn(batch.column(1).to_pylist()):
-                    yield ids[i], coded + end
+                for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
+                    yield doc, coded + end
 
         for block in blocks(TaskContext.get().partitionId(), stream(), block_tokens):
             yield pa.record_batch([pa.array([block], type=pa.binary())], names=["value"])
