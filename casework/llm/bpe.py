@@ -14,8 +14,10 @@ line of its own that hangs on the first.  Whether a state has the arc w of a
 merge (u, v) follows from whether it had arc u when that merge was made.
 Transitions in use are kept in a table.
 
-Words are cut by the tokenizer file's own normalizer and pre-tokenizer.
-Decoding emits the labels of the arcs, joined by the file's (absent) decoder
+Texts are cut into pieces by Arrow, and each distinct piece of some 2 MB is
+looked up once.  Runs of letters below U+0250 are words as they are, in lower
+case; other pieces are cut by the tokenizer file's own normalizer and
+pre-tokenizer.  Decoding emits the labels of the arcs, joined by the file's (absent) decoder
 with a blank.
 
 Defined cases: a null text is empty and has no ids; null and repeated
@@ -24,14 +26,13 @@ doc_ids are kept; other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casework.llm.common import bare_chunks, letters_core, texts
+from casework.llm.common import ChunkEncoder, texts
 
 _CODERS: dict[str, "Coder"] = {}
 
@@ -126,12 +127,14 @@ class Automaton:
         return out[::-1]
 
 
-class Coder:
+class Coder(ChunkEncoder):
     """Encoder and decoder of one tokenizer file of the kind this operator
-    takes: BPE, no post-processor, no decoder, words ended by white space."""
+    takes: BPE, no post-processor, no decoder, words ended by white space.
+    Texts are cut as ``ChunkEncoder`` does; the automaton gives the ids."""
 
-    def __init__(self, path: str, limit: int = 600_000, longest: int = 60):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, limit: int = 400_000, longest: int = 60):
+        import pyarrow as pa
+        super().__init__(path, False, limit, longest)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -139,14 +142,13 @@ class Coder:
             raise ValueError("not a tokenizer file of the kind handled here")
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = Automaton(model["vocab"], merges, model["end_of_word_suffix"] or "")
-        own = Tokenizer.from_file(path)
-        self.normalize, self.cut = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
+        self._word = self.automaton.encode
+        self.normalize, self.cut = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
-        self.labels = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
-        self.limit, self.longest = limit, longest
-        self.parts: dict[str, list[int]] = {}
-        self.kept: dict[str, tuple[int, str, str]] = {}
+        labels = {i: s for s, i in model["vocab"].items()} | {i: s for s, i in self.special.items()}
+        self.labels = pa.array([labels.get(i, "") for i in range(max(labels) + 1)], type=pa.large_string())
+        self.decimals = pa.array([str(i) for i in range(len(self.labels))], type=pa.large_string())
 
     @staticmethod
     def of(path: str) -> "Coder":
@@ -154,9 +156,7 @@ class Coder:
             _CODERS[path] = Coder(path)
         return _CODERS[path]
 
-    def _part(self, part: str) -> list[int]:
-        if part.isascii() and part.isalpha():
-            return self.automaton.encode(part.lower())
+    def _other(self, part: str) -> list[int]:
         out = []
         for piece in self.at_special.split(part):
             if piece in self.special:
@@ -166,47 +166,26 @@ class Coder:
                     out += self.automaton.encode(word)
         return out
 
-    def _chunk(self, chunk: str) -> tuple[int, str, str]:
-        core = letters_core(chunk)
-        ids = []
-        for part in (core.lower() if core.isascii() and core.isalpha() else core, chunk[len(core):]):
-            if part:
-                found = self.parts.get(part)
-                if found is None:
-                    found = self._part(part)
-                    if len(part) <= self.longest:
-                        if len(self.parts) > self.limit:
-                            self.parts.clear()
-                        self.parts[part] = found
-                ids += found
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
-
-    def decode(self, ids: list[int]) -> str:
-        """Labels of the arcs; without a decoder in the file, a blank between two."""
-        return " ".join([self.labels[i] for i in ids])
+    def round_trips(self, texts, most: int = 2_000_000):
+        """Arrow arrays (number of ids, the decimal ids joined by blanks, the
+        decoded text) of an Arrow column's texts, in order, about ``most``
+        bytes at a time.  Decoding takes the labels of the arcs; without a
+        decoder in the file, a blank between two."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        blank = pa.scalar(" ", type=pa.large_string())
+        for coded in self.encode_slices(texts, most):
+            counts = pc.binary_length(coded).to_numpy(zero_copy_only=False) // 4
+            ids = pa.array(np.frombuffer(b"".join(coded.to_pylist()), dtype="<u4"))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), type=pa.int64())
+            yield pa.array(counts, type=pa.int64()), *(
+                pc.binary_join(pa.LargeListArray.from_arrays(offsets, of.take(ids)), blank) for of in (self.decimals, self.labels))
 
     def round_trip(self, text: str) -> tuple[int, str, str]:
         """Number of ids, the decimal ids joined by blanks, the decoded text."""
-        chunks = bare_chunks(text)
-        if not chunks:
-            return 0, "", ""
-        if len(self.kept) > self.limit:
-            self.kept.clear()
-        kept, longs = self.kept, []
-        collects = gc.isenabled()
-        gc.disable()  # a great number of small tuples, none in a cycle
-        try:
-            for chunk in set(chunks).difference(kept):
-                kept[chunk] = self._chunk(chunk)
-                if len(chunk) > self.longest:
-                    longs.append(chunk)
-            counts, ids, labels = zip(*map(kept.__getitem__, chunks))
-        finally:
-            if collects:
-                gc.enable()
-        for chunk in longs:
-            del kept[chunk]
-        return sum(counts), " ".join(ids), " ".join(labels)
+        import pyarrow as pa
+        return tuple(column[0].as_py() for column in next(self.round_trips(pa.array([text]))))
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -215,17 +194,12 @@ def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
         coder = Coder.of(tokenizer)
-        schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.string()), ("decoded", pa.string())])
         for batch in batches:
-            doc_ids, rows, size = batch.column(0).to_pylist(), [], 0
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                rows.append((doc_ids[i], *coder.round_trip(text)))
-                size += len(text)
-                if size > 2_000_000:
-                    yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                    rows, size = [], 0
-            if rows:
-                yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+            at = 0
+            for counts, ids, decoded in coder.round_trips(batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(at, len(counts)), counts, ids.cast(pa.string()), decoded.cast(pa.string())],
+                                      names=["doc_id", "n_tokens", "ids", "decoded"])
+                at += len(counts)
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string")
 
