@@ -117,9 +117,8 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 0, window: int = WIND
             base += n
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for i, coded in encoder.encode_in_turn(batch.column(1).to_pylist()):
-                held.append((ids[i], coded + end))
+            for doc, coded in zip(batch.column(0).to_pylist(), encoder.encode_column(batch.column(1))):
+                held.append((doc, coded + end))
                 size += len(coded) // 4 + 1
                 if size >= group_tokens:
                     yield from flush()
